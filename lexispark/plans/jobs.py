@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import clean, labels, phrases, profile, terms, topk
+from ..operators import clean, labels, phrases, profile, rank, split, terms, topk
 from ..sources.tables import read_table
 from .fixtures import augmented_documents
 
@@ -147,3 +147,51 @@ def phrase_topk(spark, sf_dir):
 def class_phrase_topk(spark, sf_dir):
     freqs = phrases.phrase_frequencies(doc_phrases(spark, sf_dir), 2, by=["lang"])
     return topk.class_top_n(freqs, "lang", TOP_CLASS_N, PHRASE_SKIPS, term_col="phrase")
+
+
+# ---- 7. positions, chunks, splits -------------------------------------------
+
+SPLIT = dict(test_p=0.1, test_seed="1", valid_p=0.15, valid_seed="15")
+CHUNK_ROWS = 1000
+
+
+@job("row_slice")
+def row_slice(spark, sf_dir):
+    """``.loc[:500]`` of the training table (501 rows)."""
+    return rank.row_slice(documents(spark, sf_dir, ("doc_id", "lang")), "doc_id", 0, 500)
+
+
+@job("row_slice_window")
+def row_slice_window(spark, sf_dir):
+    """``.loc[1000:1200]`` (201 rows when the table is long enough)."""
+    return rank.row_slice(documents(spark, sf_dir, ("doc_id", "lang")), "doc_id", 1000, 1200)
+
+
+@job("head_rows")
+def head_rows(spark, sf_dir):
+    return rank.head(documents(spark, sf_dir, ("doc_id", "lang", "text")), "doc_id", 5)
+
+
+@job("chunked_union")
+def chunked_union(spark, sf_dir):
+    out = rank.chunked_union(documents(spark, sf_dir, ("doc_id", "lang")), "doc_id", CHUNK_ROWS)
+    return out.select("doc_id", "lang", F.col("chunk").cast("long").alias("chunk"))
+
+
+def split_documents(spark, sf_dir, stratify=None):
+    return split.exact_split(documents(spark, sf_dir), "doc_id", stratify=stratify, **SPLIT)
+
+
+@job("exact_split")
+def exact_split(spark, sf_dir):
+    return split_documents(spark, sf_dir).select("doc_id", "split")
+
+
+@job("exact_split_stratified")
+def exact_split_stratified(spark, sf_dir):
+    return split_documents(spark, sf_dir, stratify="lang").select("doc_id", "lang", "split")
+
+
+@job("split_leak_report")
+def split_leak_report(spark, sf_dir):
+    return split.split_leak_report(split_documents(spark, sf_dir))

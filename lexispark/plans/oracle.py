@@ -150,3 +150,52 @@ f AS (SELECT lang, phrase, count(*) AS freq FROM rk WHERE n_words >= 2 GROUP BY
 r AS (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY freq DESC, phrase) AS rank, phrase, freq FROM f)
 SELECT lang, rank, phrase, freq FROM r
 WHERE rank <= {TOP_CLASS_N} AND rank > {skip_case('lang', PHRASE_SKIPS)}""")
+
+# ---- 7. positions, chunks, splits -------------------------------------------
+
+from .jobs import CHUNK_ROWS, SPLIT  # noqa: E402
+
+sql("row_slice", """
+SELECT doc_id, lang, CAST(row_number() OVER (ORDER BY doc_id) - 1 AS BIGINT) AS pos
+FROM documents QUALIFY pos BETWEEN 0 AND 500""")
+
+sql("row_slice_window", """
+SELECT doc_id, lang, CAST(row_number() OVER (ORDER BY doc_id) - 1 AS BIGINT) AS pos
+FROM documents QUALIFY pos BETWEEN 1000 AND 1200""")
+
+sql("head_rows", """
+SELECT doc_id, lang, text, CAST(row_number() OVER (ORDER BY doc_id) - 1 AS BIGINT) AS pos
+FROM documents QUALIFY pos BETWEEN 0 AND 4""")
+
+sql("chunked_union", f"""
+SELECT doc_id, lang, CAST(floor((row_number() OVER (ORDER BY doc_id) - 1) / {CHUNK_ROWS}) AS BIGINT) AS chunk
+FROM documents""")
+
+
+def split_sql(part: str = "") -> str:
+    """Split CTE: ``sp(doc_id, lang, text, split)``; ``part`` is a PARTITION
+    BY clause body for stratified splits."""
+    pb = f"PARTITION BY {part}" if part else ""
+    return f"""
+h AS (SELECT doc_id, lang, text, md5('{SPLIT['test_seed']}-' || CAST(doc_id AS VARCHAR)) AS k1,
+             md5('{SPLIT['valid_seed']}-' || CAST(doc_id AS VARCHAR)) AS k2 FROM documents),
+t AS (SELECT *, row_number() OVER ({pb} ORDER BY k1) <= ceil({SPLIT['test_p']} * count(*) OVER ({pb})) AS is_test FROM h),
+r AS (SELECT *, row_number() OVER ({pb} ORDER BY k2) <= ceil({SPLIT['valid_p']} * count(*) OVER ({pb})) AS is_valid
+      FROM t WHERE NOT is_test),
+sp AS (SELECT doc_id, lang, text, 'test' AS split FROM t WHERE is_test
+       UNION ALL
+       SELECT doc_id, lang, text, CASE WHEN is_valid THEN 'valid' ELSE 'train' END FROM r)"""
+
+
+sql("exact_split", f"WITH {split_sql()}\nSELECT doc_id, split FROM sp")
+sql("exact_split_stratified", f"WITH {split_sql('lang')}\nSELECT doc_id, lang, split FROM sp")
+
+_pairs = [("train", "valid"), ("train", "test"), ("valid", "test")]
+sql("split_leak_report", f"""
+WITH {split_sql()},
+pt AS (SELECT md5(text) AS h, count_if(split = 'train') AS train, count_if(split = 'valid') AS valid,
+              count_if(split = 'test') AS test FROM sp GROUP BY md5(text))
+""" + "\nUNION ALL\n".join(
+    f"SELECT '{a}' AS split_a, '{b}' AS split_b, count_if({a} > 0 AND {b} > 0) AS n_shared_texts, "
+    f"CAST(coalesce(sum(CASE WHEN {a} > 0 AND {b} > 0 THEN {b} ELSE 0 END), 0) AS BIGINT) AS n_leaked_rows FROM pt"
+    for a, b in _pairs))
