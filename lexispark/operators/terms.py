@@ -61,10 +61,10 @@ def lemma_table(vocab: DataFrame) -> DataFrame:
     return best.select("term", F.col("b.cand").alias("lemma"))
 
 
-def normalized_token_table(df: DataFrame, text_col: str = "text",
-                           id_col: str = "doc_id", outer: bool = False) -> DataFrame:
-    """(id, pos, token) after lower, punctuation, stem, tokenise, stopwords."""
-    return explode_tokens(df, T.normalized_tokens(text_col), id_col, outer=outer)
+def normalized_token_table(df: DataFrame, text_col: str = "text", id_col: str = "doc_id",
+                           outer: bool = False, keep: list[str] | None = None) -> DataFrame:
+    """(id, *keep, pos, token) after lower, punctuation, stem, tokenise, stopwords."""
+    return explode_tokens(df, T.normalized_tokens(text_col), id_col, keep=keep, outer=outer)
 
 
 def lemmatize(tokens: DataFrame, lemmas: DataFrame) -> DataFrame:
@@ -76,20 +76,22 @@ def lemmatize(tokens: DataFrame, lemmas: DataFrame) -> DataFrame:
                   .withColumn("token", F.coalesce("lemma", "token")).drop("lemma"))
 
 
-def regroup(tokens: DataFrame, id_col: str = "doc_id", out_col: str = "terms") -> DataFrame:
+def regroup(tokens: DataFrame, id_col: str = "doc_id", out_col: str = "terms",
+            keep: list[str] | None = None) -> DataFrame:
     """Rebuild each document's token string in position order (one group per
     document, bounded by the document's length)."""
+    keep = keep or []
     item = F.when(F.col("pos").isNotNull(), F.struct("pos", "token"))
-    g = tokens.groupBy(id_col).agg(F.array_sort(F.collect_list(item)).alias("_t"))
-    return g.select(id_col, F.array_join(F.transform("_t", lambda x: x["token"]), " ").alias(out_col))
+    g = tokens.groupBy(id_col, *keep).agg(F.array_sort(F.collect_list(item)).alias("_t"))
+    return g.select(id_col, *keep, F.array_join(F.transform("_t", lambda x: x["token"]), " ").alias(out_col))
 
 
 def normalize_terms(df: DataFrame, text_col: str = "text", id_col: str = "doc_id",
-                    lemmatise: bool = True) -> DataFrame:
-    """(id, terms) with the corpus lemma table applied.
+                    lemmatise: bool = True, keep: list[str] | None = None) -> DataFrame:
+    """(id, *keep, terms) with the corpus lemma table applied.
 
     Documents whose token list is empty keep an empty string."""
-    toks = normalized_token_table(df, text_col, id_col, outer=True)
+    toks = normalized_token_table(df, text_col, id_col, outer=True, keep=keep)
     if lemmatise:
         toks = lemmatize(toks, lemma_table(toks.where(F.col("token").isNotNull())))
-    return regroup(toks, id_col)
+    return regroup(toks, id_col, keep=keep)

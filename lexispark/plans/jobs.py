@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import clean, labels, phrases, profile, rank, split, terms, topk
+from ..operators import (
+    bayes, clean, evaluate, features, labels, phrases, profile, rank, split, terms, topk,
+)
 from ..sources.tables import read_table
 from .fixtures import augmented_documents
 
@@ -195,3 +197,78 @@ def exact_split_stratified(spark, sf_dir):
 @job("split_leak_report")
 def split_leak_report(spark, sf_dir):
     return split.split_leak_report(split_documents(spark, sf_dir))
+
+
+# ---- 8-10. features, naive Bayes, reports ----------------------------------
+
+def model_table(spark, sf_dir):
+    """(doc_id, lang, label, split, terms): split, label-encoded, normalised."""
+    sp = split_documents(spark, sf_dir)
+    dim = labels.class_dimension(sp, "lang")
+    sp = sp.withColumn("label", labels.label_expr("lang", dim))
+    return terms.normalize_terms(sp, keep=["label", "split"]), dim
+
+
+def tfidf_model(spark, sf_dir):
+    mt, dim = model_table(spark, sf_dir)
+    w, idf, n_train = features.tfidf_fit_transform(mt, F.col("split") != "test", keep=["label", "split"])
+    return mt, dim, w, idf
+
+
+@job("doc_term_counts")
+def doc_term_counts(spark, sf_dir):
+    nt = terms.normalize_terms(documents(spark, sf_dir, ("doc_id", "text")))
+    return features.term_counts(features.doc_terms(nt))
+
+
+@job("tfidf_weights")
+def tfidf_weights(spark, sf_dir):
+    _, _, w, _ = tfidf_model(spark, sf_dir)
+    return w.select("doc_id", "term", "tf", F.round("weight", 6).alias("weight"))
+
+
+def nb_model(spark, sf_dir):
+    mt, dim, w, idf = tfidf_model(spark, sf_dir)
+    train_labels = mt.where(F.col("split") != "test").select("doc_id", "label")
+    train_w = w.where(F.col("split") != "test").select("doc_id", "term", "weight")
+    ct, consts = bayes.fit(train_w, train_labels, len(dim), idf.count())
+    return mt, w, ct, consts
+
+
+@job("nb_fit")
+def nb_fit(spark, sf_dir):
+    _, _, ct, _ = nb_model(spark, sf_dir)
+    return ct.select("label", "term", F.round("cnt", 6).alias("cnt"), F.round("log_theta", 6).alias("log_theta"))
+
+
+def nb_predictions(spark, sf_dir):
+    mt, w, ct, consts = nb_model(spark, sf_dir)
+    test = mt.where(F.col("split") == "test").select("doc_id", "label")
+    pred = bayes.predict(w.where(F.col("split") == "test"), test, ct, consts)
+    return test.join(pred.select("doc_id", "pred"), "doc_id")
+
+
+@job("text_classify_nb")
+def text_classify_nb(spark, sf_dir):
+    return nb_predictions(spark, sf_dir)
+
+
+def _round_report(df):
+    return df.select("class", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")], "support")
+
+
+@job("classification_report")
+def classification_report(spark, sf_dir):
+    return _round_report(evaluate.classification_report(nb_predictions(spark, sf_dir)))
+
+
+@job("report_long")
+def report_long(spark, sf_dir):
+    r = evaluate.report_long(evaluate.classification_report(nb_predictions(spark, sf_dir)))
+    return r.select("class", "metric", F.round("value", 6).alias("value"))
+
+
+@job("accuracy_macro_f1")
+def accuracy_macro_f1(spark, sf_dir):
+    r = evaluate.accuracy_macro_f1(nb_predictions(spark, sf_dir))
+    return r.select("n_rows", F.round("accuracy", 6).alias("accuracy"), F.round("macro_f1", 6).alias("macro_f1"))

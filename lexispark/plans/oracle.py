@@ -83,8 +83,9 @@ FROM t, unnest(t.toks) WITH ORDINALITY AS u(token, pos)
 WHERE NOT list_contains({S.STOP_LIST}, u.token)""")
 
 _rules = ", ".join(f"({i}, {S.lit(o)}, {S.lit(n)})" for i, (o, n) in enumerate(LEMMA_RULES))
-NORM_TOKENS = f"""
-toks AS (SELECT doc_id, {S.normalized_tokens('text')} AS toks FROM documents),
+def norm_tokens(source: str = "documents") -> str:
+    return f"""
+toks AS (SELECT doc_id, {S.normalized_tokens('text')} AS toks FROM {source}),
 x AS (SELECT doc_id, CAST(u.pos - 1 AS BIGINT) AS pos, u.token
       FROM toks, unnest(toks.toks) WITH ORDINALITY AS u(token, pos)),
 vocab AS (SELECT DISTINCT token AS term FROM x),
@@ -92,13 +93,16 @@ rules(ord, old, new) AS (VALUES {_rules}),
 cands AS (SELECT v.term, r.ord, left(v.term, length(v.term) - length(r.old)) || r.new AS cand
           FROM vocab v JOIN rules r ON ends_with(v.term, r.old)),
 lemmas AS (SELECT term, cand AS lemma FROM cands WHERE cand IN (SELECT term FROM vocab)
-           QUALIFY row_number() OVER (PARTITION BY term ORDER BY length(cand), ord) = 1)"""
+           QUALIFY row_number() OVER (PARTITION BY term ORDER BY length(cand), ord) = 1),
+lx AS (SELECT x.doc_id, x.pos, coalesce(l.lemma, x.token) AS token FROM x LEFT JOIN lemmas l ON l.term = x.token)"""
+
+
+NORM_TOKENS = norm_tokens()
 
 sql("lemma_vocab", f"WITH {NORM_TOKENS}\nSELECT term, lemma FROM lemmas")
 
 sql("normalize_terms", f"""
 WITH {NORM_TOKENS},
-lx AS (SELECT x.doc_id, x.pos, coalesce(l.lemma, x.token) AS token FROM x LEFT JOIN lemmas l ON l.term = x.token),
 g AS (SELECT doc_id, string_agg(token, ' ' ORDER BY pos) AS terms FROM lx GROUP BY doc_id)
 SELECT d.doc_id, coalesce(g.terms, '') AS terms FROM documents d LEFT JOIN g USING (doc_id)""")
 
@@ -199,3 +203,73 @@ pt AS (SELECT md5(text) AS h, count_if(split = 'train') AS train, count_if(split
     f"SELECT '{a}' AS split_a, '{b}' AS split_b, count_if({a} > 0 AND {b} > 0) AS n_shared_texts, "
     f"CAST(coalesce(sum(CASE WHEN {a} > 0 AND {b} > 0 THEN {b} ELSE 0 END), 0) AS BIGINT) AS n_leaked_rows FROM pt"
     for a, b in _pairs))
+
+
+# ---- 8-10. features, naive Bayes, reports ----------------------------------
+
+sql("doc_term_counts", f"""
+WITH {NORM_TOKENS}
+SELECT doc_id, token AS term, count(*) AS tf FROM lx WHERE length(token) >= 2 GROUP BY doc_id, token""")
+
+MODEL = f"""{split_sql()},
+dim AS (SELECT lang, CAST(row_number() OVER (ORDER BY lang) - 1 AS INTEGER) AS label
+        FROM (SELECT DISTINCT lang FROM sp WHERE lang IS NOT NULL)),
+lab AS (SELECT sp.doc_id, sp.split, dim.label FROM sp LEFT JOIN dim USING (lang)),
+{norm_tokens('sp')},
+tf AS (SELECT doc_id, token AS term, count(*) AS tf FROM lx WHERE length(token) >= 2 GROUP BY doc_id, token),
+ntr AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM lab WHERE split <> 'test'),
+idf AS (SELECT term, ln((1.0 + (SELECT n FROM ntr)) / (1.0 + count(*))) + 1.0 AS idf
+        FROM tf WHERE doc_id IN (SELECT doc_id FROM lab WHERE split <> 'test') GROUP BY term),
+w0 AS (SELECT tf.doc_id, tf.term, tf.tf, tf.tf * idf.idf AS w FROM tf JOIN idf USING (term)),
+w AS (SELECT doc_id, term, tf, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS weight FROM w0),
+ct AS (SELECT lab.label, w.term, sum(w.weight) AS cnt FROM w JOIN lab USING (doc_id)
+       WHERE lab.split <> 'test' GROUP BY lab.label, w.term),
+nv AS (SELECT CAST(count(*) AS DOUBLE) AS v FROM idf),
+cls AS (SELECT l.label, count(*) AS n_c, coalesce((SELECT sum(cnt) FROM ct WHERE ct.label = l.label), 0.0) AS tot
+        FROM lab l WHERE split <> 'test' GROUP BY l.label),
+ntot AS (SELECT CAST(sum(n_c) AS DOUBLE) AS n FROM cls),
+test AS (SELECT doc_id, label FROM lab WHERE split = 'test'),
+tw AS (SELECT doc_id, sum(weight) AS wd FROM w WHERE doc_id IN (SELECT doc_id FROM test) GROUP BY doc_id),
+ts AS (SELECT w.doc_id, ct.label, sum(w.weight * ln(ct.cnt + 1.0)) AS s
+       FROM w JOIN ct USING (term) WHERE w.doc_id IN (SELECT doc_id FROM test) GROUP BY w.doc_id, ct.label),
+sc AS (SELECT t.doc_id, c.label AS c,
+              ln(c.n_c / (SELECT n FROM ntot)) + coalesce(ts.s, 0.0)
+              - coalesce(tw.wd, 0.0) * ln(c.tot + (SELECT v FROM nv)) AS score
+       FROM test t JOIN cls c ON TRUE LEFT JOIN tw ON tw.doc_id = t.doc_id
+       LEFT JOIN ts ON ts.doc_id = t.doc_id AND ts.label = c.label),
+pr AS (SELECT doc_id, c AS pred FROM sc QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, c) = 1),
+preds AS (SELECT t.doc_id, t.label, pr.pred FROM test t JOIN pr USING (doc_id)),
+conf AS (SELECT label, pred, count(*) AS n FROM preds GROUP BY label, pred),
+pcls AS (SELECT c, coalesce((SELECT sum(n) FROM conf WHERE label = c AND pred = c), 0) AS tp,
+                coalesce((SELECT sum(n) FROM conf WHERE label = c), 0) AS support,
+                coalesce((SELECT sum(n) FROM conf WHERE pred = c), 0) AS predicted
+         FROM (SELECT label AS c FROM conf UNION SELECT pred FROM conf)),
+pc AS (SELECT c, tp, support, predicted,
+              CASE WHEN predicted > 0 THEN tp / predicted ELSE 0.0 END AS precision,
+              CASE WHEN support > 0 THEN tp / support ELSE 0.0 END AS recall FROM pcls),
+pcf AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END AS f1 FROM pc),
+rep AS (SELECT CAST(c AS VARCHAR) AS class, precision, recall, f1, CAST(support AS BIGINT) AS support FROM pcf
+        UNION ALL
+        SELECT 'accuracy', NULL, NULL, sum(tp) / sum(support), CAST(sum(support) AS BIGINT) FROM pcf
+        UNION ALL
+        SELECT 'macro avg', avg(precision), avg(recall), avg(f1), CAST(sum(support) AS BIGINT) FROM pcf
+        UNION ALL
+        SELECT 'weighted avg', sum(precision * support) / sum(support), sum(recall * support) / sum(support),
+               sum(f1 * support) / sum(support), CAST(sum(support) AS BIGINT) FROM pcf)"""
+
+sql("tfidf_weights", f"WITH {MODEL}\nSELECT doc_id, term, tf, round(weight, 6) AS weight FROM w")
+sql("nb_fit", f"""WITH {MODEL}
+SELECT ct.label, ct.term, round(ct.cnt, 6) AS cnt,
+       round(ln(ct.cnt + 1.0) - ln(cls.tot + (SELECT v FROM nv)), 6) AS log_theta
+FROM ct JOIN cls USING (label)""")
+sql("text_classify_nb", f"WITH {MODEL}\nSELECT doc_id, label, pred FROM preds")
+sql("classification_report", f"""WITH {MODEL}
+SELECT class, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, support FROM rep""")
+sql("report_long", f"""WITH {MODEL},
+lg AS (SELECT class, 'precision' AS metric, precision AS value FROM rep UNION ALL
+       SELECT class, 'recall', recall FROM rep UNION ALL SELECT class, 'f1', f1 FROM rep UNION ALL
+       SELECT class, 'support', CAST(support AS DOUBLE) FROM rep)
+SELECT class, metric, round(value, 6) AS value FROM lg WHERE value IS NOT NULL""")
+sql("accuracy_macro_f1", f"""WITH {MODEL}
+SELECT CAST(sum(support) AS BIGINT) AS n_rows, round(sum(tp) / sum(support), 6) AS accuracy,
+       round(avg(f1), 6) AS macro_f1 FROM pcf""")
