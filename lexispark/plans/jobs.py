@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import (
-    bayes, clean, evaluate, features, labels, phrases, profile, rank, split, terms, topk,
+    bayes, clean, evaluate, features, labels, metrics, phrases, profile, rank, sequences, split,
+    summary, terms, topk,
 )
 from ..sources.tables import read_table
 from .fixtures import augmented_documents
@@ -272,3 +273,97 @@ def report_long(spark, sf_dir):
 def accuracy_macro_f1(spark, sf_dir):
     r = evaluate.accuracy_macro_f1(nb_predictions(spark, sf_dir))
     return r.select("n_rows", F.round("accuracy", 6).alias("accuracy"), F.round("macro_f1", 6).alias("macro_f1"))
+
+
+# ---- 12. sequences ---------------------------------------------------------
+
+MAX_LEN = 150
+BATCH_SIZE = 4
+
+
+def _ids_text(c):
+    return F.array_join(F.col(c).cast("array<string>"), " ")
+
+
+def document_sequences(spark, sf_dir):
+    docs = documents(spark, sf_dir, ("doc_id", "text"))
+    toks = terms.explode_tokens(docs, sequences.seq_tokens(F.col("text")))
+    vocab = sequences.vocabulary(toks)
+    return sequences.pack_sequences(docs, vocab, max_len=MAX_LEN)
+
+
+@job("pack_sequences")
+def pack_sequences(spark, sf_dir):
+    s = document_sequences(spark, sf_dir)
+    return s.select("doc_id", _ids_text("input_ids").alias("input_ids"), "n_tokens")
+
+
+@job("pack_pairs")
+def pack_pairs(spark, sf_dir):
+    conv = read_table(spark, sf_dir, "conversations", ["conv_id", "turn", "role", "text"])
+    toks = conv.select(F.explode(sequences.seq_tokens(F.col("text"))).alias("token"))
+    vocab = sequences.vocabulary(toks)
+    budget = MAX_LEN - 3
+    u = conv.where(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("a"))
+    a = conv.where(F.col("role") == "assistant").select(
+        "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("b"))
+    pairs = u.join(a, ["conv_id", "turn"])
+    ai = sequences.ids_for(pairs, vocab, "a", ["conv_id", "turn"], budget).withColumnRenamed("ids", "a_ids")
+    bi = sequences.ids_for(pairs, vocab, "b", ["conv_id", "turn"], budget).withColumnRenamed("ids", "b_ids")
+    packed = sequences.pack_pairs(ai.join(bi, ["conv_id", "turn"]), vocab, ["conv_id", "turn"], MAX_LEN)
+    return packed.select("conv_id", "turn", _ids_text("input_ids").alias("input_ids"),
+                         _ids_text("token_type_ids").alias("token_type_ids"), "n_tokens")
+
+
+@job("pack_batches")
+def pack_batches(spark, sf_dir):
+    b = sequences.pack_batches(document_sequences(spark, sf_dir), batch_size=BATCH_SIZE)
+    return b.select("doc_id", "batch", "position", _ids_text("input_ids").alias("input_ids"),
+                    _ids_text("attention_mask").alias("attention_mask"))
+
+
+# ---- 13. scores and losses over precomputed vectors -------------------------
+
+N_LOGITS = 10
+
+
+@job("argmax_predict")
+def argmax_predict(spark, sf_dir):
+    e = read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding", "label"])
+    return e.select("vec_id", "label", metrics.argmax(metrics.logits("embedding", N_LOGITS)).alias("pred"))
+
+
+@job("cross_entropy")
+def cross_entropy(spark, sf_dir):
+    e = read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding", "label"])
+    loss = metrics.cross_entropy(metrics.logits("embedding", N_LOGITS), F.col("label"))
+    return e.select("vec_id", "label", F.round(loss, 6).alias("loss"))
+
+
+# ---- 14. histories (events as a metric log) ---------------------------------
+
+def _epoch():
+    return F.datediff(F.to_date("ts"), F.lit("1970-01-01").cast("date")).cast("long")
+
+
+@job("epoch_history")
+def epoch_history(spark, sf_dir):
+    ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "event_type", "value"])
+    h = metrics.epoch_history(ev, _epoch(), F.col("event_id") % 16, F.col("value"), F.col("event_type"))
+    return h.select("epoch", "split", F.round("loss", 6).alias("loss"))
+
+
+@job("best_checkpoint")
+def best_checkpoint(spark, sf_dir):
+    ev = read_table(spark, sf_dir, "events", ["ts", "event_type"])
+    per_epoch = ev.groupBy(_epoch().alias("epoch")).agg(
+        (F.count_if(F.col("event_type") == "purchase") / F.count(F.lit(1))).alias("metric"))
+    b = metrics.best_checkpoint(per_epoch, "metric", 0.0)
+    return b.select("epoch", F.round("metric", 6).alias("metric"), F.round("best_before", 6).alias("best_before"), "saved")
+
+
+# ---- 15. summaries ---------------------------------------------------------
+
+@job("extractive_summary")
+def extractive_summary(spark, sf_dir):
+    return summary.extractive_summary(documents(spark, sf_dir, ("doc_id", "text")))

@@ -273,3 +273,101 @@ SELECT class, metric, round(value, 6) AS value FROM lg WHERE value IS NOT NULL""
 sql("accuracy_macro_f1", f"""WITH {MODEL}
 SELECT CAST(sum(support) AS BIGINT) AS n_rows, round(sum(tp) / sum(support), 6) AS accuracy,
        round(avg(f1), 6) AS macro_f1 FROM pcf""")
+
+
+# ---- 12. sequences ---------------------------------------------------------
+
+from ..operators.summary import SENTENCE  # noqa: E402
+from .jobs import BATCH_SIZE, MAX_LEN, N_LOGITS  # noqa: E402
+
+_WT = S.word_tokens("lower(text)")
+SEQS = f"""
+t AS (SELECT doc_id, {_WT} AS toks FROM documents),
+vocab AS (SELECT token, CAST(row_number() OVER (ORDER BY md5(token)) + 3 AS INTEGER) AS id
+          FROM (SELECT DISTINCT unnest(toks) AS token FROM t)),
+x AS (SELECT doc_id, u.token, u.pos FROM t, unnest(t.toks[1:{MAX_LEN - 2}]) WITH ORDINALITY AS u(token, pos)),
+ids AS (SELECT x.doc_id, list(v.id ORDER BY x.pos) AS ids FROM x JOIN vocab v USING (token) GROUP BY x.doc_id),
+seqs AS (SELECT d.doc_id, list_concat([1], coalesce(ids.ids, []::INTEGER[]), [2]) AS seq
+         FROM documents d LEFT JOIN ids USING (doc_id))"""
+
+sql("pack_sequences", f"""WITH {SEQS}
+SELECT doc_id, array_to_string(seq, ' ') AS input_ids, CAST(len(seq) AS BIGINT) AS n_tokens FROM seqs""")
+
+sql("pack_batches", f"""WITH {SEQS},
+r AS (SELECT doc_id, seq, len(seq) AS n, row_number() OVER (ORDER BY md5('15-' || CAST(doc_id AS VARCHAR))) AS rn FROM seqs),
+b AS (SELECT *, CAST(floor((rn - 1) / {BATCH_SIZE}) AS BIGINT) AS batch FROM r),
+m AS (SELECT *, max(n) OVER (PARTITION BY batch) AS mx FROM b)
+SELECT doc_id, batch, CAST(rn AS BIGINT) AS position,
+       array_to_string(list_concat(seq, list_transform(range(mx - n), lambda x: 0)), ' ') AS input_ids,
+       array_to_string(list_concat(list_transform(range(n), lambda x: 1), list_transform(range(mx - n), lambda x: 0)), ' ')
+         AS attention_mask
+FROM m""")
+
+_B = MAX_LEN - 3
+_H = _B // 2
+sql("pack_pairs", f"""
+WITH c AS (SELECT conv_id, turn, role, {_WT} AS toks FROM conversations),
+vocab AS (SELECT token, CAST(row_number() OVER (ORDER BY md5(token)) + 3 AS INTEGER) AS id
+          FROM (SELECT DISTINCT unnest(toks) AS token FROM c)),
+pairs AS (SELECT u.conv_id, u.turn, u.toks AS at, a.toks AS bt FROM c u
+          JOIN c a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 AND a.role = 'assistant' WHERE u.role = 'user'),
+ax AS (SELECT conv_id, turn, u.token, u.pos FROM pairs, unnest(pairs.at[1:{_B}]) WITH ORDINALITY AS u(token, pos)),
+bx AS (SELECT conv_id, turn, u.token, u.pos FROM pairs, unnest(pairs.bt[1:{_B}]) WITH ORDINALITY AS u(token, pos)),
+aid AS (SELECT conv_id, turn, list(v.id ORDER BY ax.pos) AS ids FROM ax JOIN vocab v USING (token) GROUP BY conv_id, turn),
+bid AS (SELECT conv_id, turn, list(v.id ORDER BY bx.pos) AS ids FROM bx JOIN vocab v USING (token) GROUP BY conv_id, turn),
+pp AS (SELECT p.conv_id, p.turn, coalesce(aid.ids, []::INTEGER[]) AS a, coalesce(bid.ids, []::INTEGER[]) AS b
+       FROM pairs p LEFT JOIN aid USING (conv_id, turn) LEFT JOIN bid USING (conv_id, turn)),
+cut AS (SELECT *, len(a) AS la, len(b) AS lb FROM pp),
+nn AS (SELECT *,
+         CASE WHEN la + lb <= {_B} THEN la WHEN la < lb THEN least(la, {_H}) WHEN lb < la THEN {_B} - least(lb, {_H}) ELSE {_H} END AS na,
+         CASE WHEN la + lb <= {_B} THEN lb WHEN lb < la THEN least(lb, {_H}) WHEN la < lb THEN {_B} - least(la, {_H}) ELSE {_B - _H} END AS nb
+       FROM cut)
+SELECT conv_id, turn, array_to_string(list_concat([1], a[1:na], [2], b[1:nb], [2]), ' ') AS input_ids,
+       array_to_string(list_concat(list_transform(range(na + 2), lambda x: 0), list_transform(range(nb + 1), lambda x: 1)), ' ')
+         AS token_type_ids,
+       CAST(na + nb + 3 AS BIGINT) AS n_tokens
+FROM nn""")
+
+# ---- 13. scores and losses --------------------------------------------------
+
+_L = f"list_transform(embedding[1:{N_LOGITS}], lambda x: CAST(x AS DOUBLE))"
+sql("argmax_predict", f"""
+SELECT vec_id, label, CAST(list_position(l, list_max(l)) - 1 AS INTEGER) AS pred
+FROM (SELECT vec_id, label, {_L} AS l FROM embeddings)""")
+
+sql("cross_entropy", f"""
+SELECT vec_id, label,
+       round(list_max(l) + ln(list_sum(list_transform(l, lambda x: exp(x - list_max(l))))) - l[label + 1], 6) AS loss
+FROM (SELECT vec_id, label, {_L} AS l FROM embeddings)""")
+
+# ---- 14. histories ---------------------------------------------------------
+
+_EPOCH = "CAST(date_diff('day', DATE '1970-01-01', CAST(ts AS DATE)) AS BIGINT)"
+sql("epoch_history", f"""
+WITH b AS (SELECT {_EPOCH} AS epoch, event_type AS split, event_id % 16 AS batch, avg(value) AS bl
+           FROM events GROUP BY ALL)
+SELECT epoch, split, round(avg(bl), 6) AS loss FROM b GROUP BY epoch, split""")
+
+sql("best_checkpoint", f"""
+WITH e AS (SELECT {_EPOCH} AS epoch, count_if(event_type = 'purchase') / count(*) AS metric FROM events GROUP BY 1),
+b AS (SELECT epoch, metric, greatest(0.0, coalesce(max(metric) OVER (ORDER BY epoch ROWS BETWEEN UNBOUNDED PRECEDING
+             AND 1 PRECEDING), 0.0)) AS best_before FROM e)
+SELECT epoch, round(metric, 6) AS metric, round(best_before, 6) AS best_before, metric > best_before AS saved FROM b""")
+
+# ---- 15. summaries ---------------------------------------------------------
+
+sql("extractive_summary", f"""
+WITH s AS (SELECT doc_id, u.raw, u.sidx - 1 AS sidx
+           FROM documents, unnest(regexp_extract_all(text, {S.lit(SENTENCE)})) WITH ORDINALITY AS u(raw, sidx)),
+s2 AS (SELECT doc_id, sidx, {S.strip_ws('raw')} AS sentence FROM s),
+s3 AS (SELECT * FROM s2 WHERE sentence <> ''),
+tk AS (SELECT doc_id, sidx, unnest({S.word_tokens('lower(sentence)')}) AS term FROM s3),
+nd AS (SELECT CAST(count(DISTINCT doc_id) AS DOUBLE) AS n FROM documents),
+dfq AS (SELECT term, count(DISTINCT doc_id) AS df FROM tk GROUP BY term),
+idf AS (SELECT term, ln((1.0 + (SELECT n FROM nd)) / (df + 1.0)) + 1.0 AS idf FROM dfq),
+sc AS (SELECT doc_id, sidx, avg(idf) AS score, count(*) AS n_tokens FROM tk JOIN idf USING (term) GROUP BY doc_id, sidx),
+c AS (SELECT s3.doc_id, s3.sidx, s3.sentence, sc.score, sc.n_tokens FROM s3 JOIN sc USING (doc_id, sidx))
+SELECT doc_id, CAST(sidx AS BIGINT) AS sentence_index,
+       array_to_string({S.split_ws('sentence')}[1:30], ' ') AS summary,
+       round(score, 6) AS score, CAST(n_tokens AS BIGINT) AS n_tokens
+FROM c QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY (n_tokens >= 5) DESC, round(score, 9) DESC, sidx) = 1""")
