@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import (
-    bayes, clean, evaluate, features, labels, metrics, phrases, profile, rank, sequences, split,
-    summary, terms, topk,
+    bayes, clean, evaluate, features, labels, metrics, models, phrases, profile, rank, sequences,
+    split, summary, terms, topk,
 )
+from ..session import scratch_path
+from pyspark.ml.functions import array_to_vector
 from ..sources.tables import read_table
 from .fixtures import augmented_documents
 
@@ -367,3 +369,60 @@ def best_checkpoint(spark, sf_dir):
 @job("extractive_summary")
 def extractive_summary(spark, sf_dir):
     return summary.extractive_summary(documents(spark, sf_dir, ("doc_id", "text")))
+
+
+# ---- 11. MLlib classifiers, LSA and the vector head (rows-only checks) ------
+
+LSA_K = 100
+
+
+def ml_features(spark, sf_dir):
+    mt, dim = model_table(spark, sf_dir)
+    mt = mt.withColumn("tokens", T.vectorizer_tokens(F.col("terms")))
+    train = mt.where(F.col("split") != "test")
+    feats = models.tfidf_features(train, mt).select("doc_id", "label", "split", "features")
+    # a fixed partitioning in id order keeps iterative fits repeatable
+    feats = feats.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    return feats, train.count()
+
+
+@job("text_classify_lr")
+def text_classify_lr(spark, sf_dir):
+    feats, n_train = ml_features(spark, sf_dir)
+    train = feats.where(F.col("split") != "test").withColumn("label", F.col("label").cast("double"))
+    model = models.fit_save_load(models.logistic(n_train), train, scratch_path(spark, "lr_model"))
+    pred = model.transform(feats.where(F.col("split") == "test"))
+    return pred.select("doc_id", "label", F.col("prediction").cast("int").alias("pred"))
+
+
+@job("lsa_project")
+def lsa_project(spark, sf_dir):
+    feats, _ = ml_features(spark, sf_dir)
+    s, _ = models.lsa(feats.where(F.col("split") != "test"), LSA_K)
+    vals = [(i, float(v)) for i, v in enumerate(s.toArray().tolist())]
+    return spark.createDataFrame(vals, "component long, singular_value double")
+
+
+@job("text_classify_lsa_lr")
+def text_classify_lsa_lr(spark, sf_dir):
+    feats, n_train = ml_features(spark, sf_dir)
+    _, V = models.lsa(feats.where(F.col("split") != "test"), LSA_K)
+    proj = models.lsa_project(feats, V, keep=["label", "split"])
+    train = proj.where(F.col("split") != "test").withColumn("label", F.col("label").cast("double"))
+    model = models.fit_save_load(models.logistic(n_train, features="lsa"), train, None)
+    pred = model.transform(proj.where(F.col("split") == "test"))
+    return pred.select("doc_id", "label", F.col("prediction").cast("int").alias("pred"))
+
+
+@job("embedding_head")
+def embedding_head(spark, sf_dir):
+    e = read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding", "label"])
+    e = split.exact_split(e, "vec_id", test_p=0.15, test_seed="15", valid_p=0.0, valid_seed="15")
+    e = e.select("vec_id", F.col("label").cast("double").alias("label"), "split",
+                 array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
+    e = e.repartitionByRange("vec_id").sortWithinPartitions("vec_id")
+    k = int(e.agg(F.max("label")).first()[0]) + 1
+    model = models.mlp_head(64, k).fit(e.where(F.col("split") == "train"))
+    pred = model.transform(e.where(F.col("split") == "test"))
+    return pred.select("vec_id", F.col("label").cast("int").alias("label"),
+                       F.col("prediction").cast("int").alias("pred"))
