@@ -120,21 +120,29 @@ def remove_punctuation(c) -> Column:
 
 
 def split_ws(c) -> Column:
-    """Python ``str.split()``: split on whitespace runs, no empty pieces."""
-    return F.filter(F.split(strip_ws(col(c)), WS_RUN, -1), lambda w: F.length(w) > 0)
+    """Python ``str.split()``: split on whitespace runs, no empty pieces
+    (after stripping, a split on runs cannot give empty pieces)."""
+    s = strip_ws(col(c))
+    return F.when(s == "", F.array().cast("array<string>")).otherwise(F.split(s, WS_RUN, -1))
 
 
-def split_merged_forms(tokens: Column) -> Column:
-    """Word-tokenizer splits of merged forms (``cannot`` -> ``can not``)."""
-    table = F.create_map(*[x for k, v in SPLIT_FORMS.items()
-                           for x in (F.lit(k), F.array(*[F.lit(p) for p in v]))])
-    return F.flatten(F.transform(
-        tokens, lambda t: F.coalesce(F.try_element_at(table, t), F.array(t))))
+# A whole word, in whitespace-separated text
+_W0, _W1 = r"(?<![^" + WS + r"])", r"(?![^" + WS + r"])"
+MERGED = _W0 + "(?:" + "|".join(f"({a})({b})" for a, b in SPLIT_FORMS.values()) + ")" + _W1
+MERGED_REPL = "".join(f"${2 * i + 1}" for i in range(len(SPLIT_FORMS))) + " " + \
+    "".join(f"${2 * i + 2}" for i in range(len(SPLIT_FORMS)))
+STEM_TEXT = r"(?<!s)s(?=[" + WS + r"]|\z)"
+
+
+def split_merged_text(c) -> Column:
+    """Word-tokenizer splits of merged forms (``cannot`` -> ``can not``),
+    one regex pass over the text (groups that did not take part are empty)."""
+    return F.regexp_replace(col(c), MERGED, MERGED_REPL)
 
 
 def word_tokens(c) -> Column:
     """punctuation removal + word tokenisation."""
-    return split_merged_forms(split_ws(remove_punctuation(col(c))))
+    return split_ws(split_merged_text(remove_punctuation(col(c))))
 
 
 def stem_word(w: Column) -> Column:
@@ -143,13 +151,15 @@ def stem_word(w: Column) -> Column:
 
 
 def stem_text(c) -> Column:
-    return F.array_join(F.transform(split_ws(c), stem_word), " ")
+    """F10 on every whitespace-separated word at once: a final ``s`` not
+    preceded by ``s`` goes (same result as ``stem_word`` per word)."""
+    return F.regexp_replace(col(c), STEM_TEXT, "")
 
 
 def normalized_tokens(c, stopwords=STOPWORDS_EN) -> Column:
     """F2, F9, F10, F11, F12 (lemmas are a join, see operators.terms)."""
     x = stem_text(remove_punctuation(F.lower(col(c).cast("string"))))
-    toks = split_merged_forms(split_ws(x))
+    toks = split_ws(split_merged_text(x))
     return F.filter(toks, lambda w: not_stopword(w, stopwords))
 
 

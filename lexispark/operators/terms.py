@@ -86,12 +86,28 @@ def regroup(tokens: DataFrame, id_col: str = "doc_id", out_col: str = "terms",
     return g.select(id_col, *keep, F.array_join(F.transform("_t", lambda x: x["token"]), " ").alias(out_col))
 
 
+LITERAL_LEMMAS = 5_000
+
+
 def normalize_terms(df: DataFrame, text_col: str = "text", id_col: str = "doc_id",
                     lemmatise: bool = True, keep: list[str] | None = None) -> DataFrame:
     """(id, *keep, terms) with the corpus lemma table applied.
 
-    Documents whose token list is empty keep an empty string."""
-    toks = normalized_token_table(df, text_col, id_col, outer=True, keep=keep)
+    The lemma table is computed over the distinct vocabulary first.  When it
+    is small (checked count) it is applied as a literal map inside each
+    row's token array: no explode, no join, no regroup.  Otherwise tokens
+    are exploded, joined to it and rebuilt per document.  Documents whose
+    token list is empty keep an empty string."""
+    keep = keep or []
+    base = df.select(id_col, *keep, T.normalized_tokens(text_col).alias("_toks"))
     if lemmatise:
-        toks = lemmatize(toks, lemma_table(toks.where(F.col("token").isNotNull())))
-    return regroup(toks, id_col, keep=keep)
+        lem = lemma_table(base.select(F.explode("_toks").alias("token")))
+        rows = lem.limit(LITERAL_LEMMAS + 1).collect()
+        if len(rows) > LITERAL_LEMMAS:
+            toks = explode_tokens(base, F.col("_toks"), id_col, keep=keep, outer=True)
+            return regroup(lemmatize(toks, lem), id_col, keep=keep)
+        if rows:
+            m = F.create_map(*[F.lit(x) for r in rows for x in (r["term"], r["lemma"])])
+            base = base.withColumn("_toks", F.transform(
+                "_toks", lambda t: F.coalesce(F.try_element_at(m, t), t)))
+    return base.select(id_col, *keep, F.array_join("_toks", " ").alias("terms"))

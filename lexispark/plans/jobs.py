@@ -209,13 +209,15 @@ def model_table(spark, sf_dir):
     sp = split_documents(spark, sf_dir)
     dim = labels.class_dimension(sp, "lang")
     sp = sp.withColumn("label", labels.label_expr("lang", dim))
-    return terms.normalize_terms(sp, keep=["label", "split"]), dim
+    # reused by several fits and counts: cut the lineage once (reliable
+    # checkpoint in the shared checkpoint folder)
+    return terms.normalize_terms(sp, keep=["label", "split"]).checkpoint(), dim
 
 
 def tfidf_model(spark, sf_dir):
     mt, dim = model_table(spark, sf_dir)
     w, idf, n_train = features.tfidf_fit_transform(mt, F.col("split") != "test", keep=["label", "split"])
-    return mt, dim, w, idf
+    return mt, dim, w.checkpoint(), idf.checkpoint()
 
 
 @job("doc_term_counts")
@@ -382,7 +384,7 @@ def ml_features(spark, sf_dir):
     train = mt.where(F.col("split") != "test")
     feats = models.tfidf_features(train, mt).select("doc_id", "label", "split", "features")
     # a fixed partitioning in id order keeps iterative fits repeatable
-    feats = feats.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    feats = feats.repartitionByRange("doc_id").sortWithinPartitions("doc_id").checkpoint()
     return feats, train.count()
 
 
