@@ -98,5 +98,8 @@ TRANSLIT_FROM, TRANSLIT_TO = _build_single_table()
 # Character classes shared by both engines.  Java and RE2 differ on \w, \s and
 # \b, so every pattern spells its classes out.
 WS = r"\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+# the same whitespace set as plain characters (for trim functions)
+WS_CHARS = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+            + "".join(chr(c) for c in range(0x2000, 0x200B)) + "\u2028\u2029\u202f\u205f\u3000")
 WORD = r"\p{L}\p{N}_"
 ASCII_WS = r"\t\n\x0B\f\r\x1C-\x1F "

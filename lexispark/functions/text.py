@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .resources import (
     ASCII_WS, CONTRACTION_SUFFIXES, CONTRACTIONS, STOPWORDS_EN, TRANSLIT_FROM,
-    TRANSLIT_MULTI, TRANSLIT_TO, WORD, WS,
+    TRANSLIT_MULTI, TRANSLIT_TO, WORD, WS, WS_CHARS,
 )
 
 # Patterns (fixed values: the URL pattern of the reference and its strict
@@ -85,8 +85,9 @@ def drop_parentheses(c) -> Column:
 
 
 def strip_ws(c) -> Column:
-    """Python ``str.strip()``: remove leading and trailing whitespace."""
-    return F.regexp_replace(col(c), EDGE_WS, "")
+    """Python ``str.strip()``: remove leading and trailing whitespace (a
+    character-set trim, no regex)."""
+    return F.btrim(col(c), F.lit(WS_CHARS))
 
 
 def not_stopword(w: Column, stopwords=STOPWORDS_EN) -> Column:
@@ -136,8 +137,14 @@ STEM_TEXT = r"(?<!s)s(?=[" + WS + r"]|\z)"
 
 def split_merged_text(c) -> Column:
     """Word-tokenizer splits of merged forms (``cannot`` -> ``can not``),
-    one regex pass over the text (groups that did not take part are empty)."""
-    return F.regexp_replace(col(c), MERGED, MERGED_REPL)
+    one regex pass over the text (groups that did not take part are empty).
+    The regex only runs on texts that contain one of the forms."""
+    c = col(c)
+    has = None
+    for word in SPLIT_FORMS:
+        h = F.instr(c, word) > 0
+        has = h if has is None else (has | h)
+    return F.when(has, F.regexp_replace(c, MERGED, MERGED_REPL)).otherwise(c)
 
 
 def word_tokens(c) -> Column:

@@ -11,13 +11,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions.arrays import explode_rows
 
 
 def doc_terms(df: DataFrame, terms_col: str = "terms", id_col: str = "doc_id",
               keep: list[str] | None = None) -> DataFrame:
     """(id, *keep, term) of the vectoriser's tokens (two or more chars)."""
     keep = keep or []
-    return df.select(id_col, *keep, F.explode(T.vectorizer_tokens(F.col(terms_col))).alias("term"))
+    return explode_rows(df, T.vectorizer_tokens(F.col(terms_col)), "term", id_col, *keep)
 
 
 def term_counts(terms: DataFrame, id_col: str = "doc_id", keep: list[str] | None = None) -> DataFrame:

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions.arrays import explode_rows, posexplode_rows
 from ..functions.resources import STOPWORDS_EN
 
 MARK = "\u0001"
@@ -41,9 +42,9 @@ def rake_phrases(df: DataFrame, text_col: str = "text", id_col: str = "doc_id",
     docs = df.select(id_col, *keep, text_col)
     if not prepartitioned:
         docs = docs.repartition(id_col)
-    ph = docs.select(id_col, *keep, F.posexplode(phrase_arrays(F.col(text_col), stopwords)).alias("pidx", "phrase"))
+    ph = posexplode_rows(docs, phrase_arrays(F.col(text_col), stopwords), "pidx", "phrase", id_col, *keep)
     ph = ph.withColumn("words", F.split("phrase", " ", -1)).withColumn("n_words", F.size("words").cast("long"))
-    words = ph.select(id_col, *keep, "pidx", "phrase", "n_words", F.explode("words").alias("word"))
+    words = explode_rows(ph, F.col("words"), "word", id_col, *keep, "pidx", "phrase", "n_words")
     ww = Window.partitionBy(id_col, "word")
     scored = words.withColumn("wscore", F.sum("n_words").over(ww) / F.count(F.lit(1)).over(ww))
     phrases = (scored.groupBy(id_col, *keep, "pidx", "phrase", "n_words")

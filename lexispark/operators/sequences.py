@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions.arrays import posexplode_rows
 from .rank import hash_key, hash_rank
 
 # fixed values: special token ids
@@ -34,7 +35,7 @@ def vocabulary(tokens: DataFrame, term_col: str = "token") -> DataFrame:
 def _ids_per_doc(df: DataFrame, tokens_col, vocab: DataFrame, id_col: str, max_tokens: int,
                  keep: list[str]) -> DataFrame:
     """(id, *keep, ids array<int>) of the first max_tokens tokens."""
-    cut = df.select(id_col, *keep, F.posexplode_outer(F.slice(tokens_col, 1, max_tokens)).alias("pos", "token"))
+    cut = posexplode_rows(df, F.slice(tokens_col, 1, max_tokens), "pos", "token", id_col, *keep, keep_empty=True)
     j = cut.join(vocab, "token", "left")
     item = F.when(F.col("pos").isNotNull(), F.struct("pos", F.coalesce("id", F.lit(UNK)).alias("id")))
     g = j.groupBy(id_col, *keep).agg(F.array_sort(F.collect_list(item)).alias("_t"))

@@ -11,21 +11,21 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions.arrays import explode_rows, posexplode_rows
 
 SENTENCE = r"[^.!?\n]+[.!?]*"
 
 
 def sentences(df: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """(id, sidx, sentence) with blank pieces dropped (sidx keeps text order)."""
-    s = df.select(id_col, F.posexplode(F.regexp_extract_all(F.col(text_col), F.lit(SENTENCE), 0))
-                  .alias("sidx", "sentence"))
+    s = posexplode_rows(df, F.regexp_extract_all(F.col(text_col), F.lit(SENTENCE), 0), "sidx", "sentence", id_col)
     return s.withColumn("sentence", T.strip_ws("sentence")).where(F.col("sentence") != "")
 
 
 def extractive_summary(df: DataFrame, text_col: str = "text", id_col: str = "doc_id",
                        min_tokens: int = 5, max_words: int = 30) -> DataFrame:
     sents = sentences(df, text_col, id_col).withColumn("toks", T.word_tokens(F.lower("sentence")))
-    toks = sents.select(id_col, "sidx", F.explode("toks").alias("term"))
+    toks = explode_rows(sents, F.col("toks"), "term", id_col, "sidx")
     n_docs = df.select(id_col).distinct().count()
     dfreq = toks.select(id_col, "term").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     idf = dfreq.select("term", (F.log(F.lit(1.0 + n_docs) / (F.col("df") + 1.0)) + 1.0).alias("idf"))

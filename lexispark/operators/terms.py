@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions.arrays import explode_rows, posexplode_rows
 from ..functions.resources import STOPWORDS_EN
 
 # fixed values: noun suffix rules of the lemmatiser, in this order
@@ -21,8 +22,7 @@ def explode_tokens(df: DataFrame, tokens, id_col: str = "doc_id",
     """(id, *keep, pos, token): the exploded form of a token array (0-based
     pos).  ``outer`` keeps documents without tokens as one null row."""
     keep = keep or []
-    fn = F.posexplode_outer if outer else F.posexplode
-    out = df.select(id_col, *keep, fn(tokens).alias("pos", "token"))
+    out = posexplode_rows(df, tokens, "pos", "token", id_col, *keep, keep_empty=outer)
     return out.withColumn("pos", F.col("pos").cast("long"))
 
 
@@ -54,7 +54,7 @@ def lemma_table(vocab: DataFrame) -> DataFrame:
     The join is vocabulary against vocabulary (distinct terms, not the token
     stream), so it stays small relative to the corpus."""
     vocab = vocab.select(F.col("token").alias("term")).distinct()
-    cands = (vocab.select("term", F.explode(_candidates(F.col("term"))).alias("c"))
+    cands = (explode_rows(vocab, _candidates(F.col("term")), "c", "term")
                   .select("term", "c.ord", "c.cand"))
     hits = cands.join(vocab.select(F.col("term").alias("cand")), "cand", "left_semi")
     best = hits.groupBy("term").agg(F.min(F.struct(F.length("cand"), "ord", "cand")).alias("b"))
@@ -101,7 +101,7 @@ def normalize_terms(df: DataFrame, text_col: str = "text", id_col: str = "doc_id
     keep = keep or []
     base = df.select(id_col, *keep, T.normalized_tokens(text_col).alias("_toks"))
     if lemmatise:
-        lem = lemma_table(base.select(F.explode("_toks").alias("token")))
+        lem = lemma_table(explode_rows(base, F.col("_toks"), "token"))
         rows = lem.limit(LITERAL_LEMMAS + 1).collect()
         if len(rows) > LITERAL_LEMMAS:
             toks = explode_tokens(base, F.col("_toks"), id_col, keep=keep, outer=True)

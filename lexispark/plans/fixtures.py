@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.tables import read_table
+from ..sources.tables import read_table, spread
 
 FIXTURE_SQL = """
 SELECT doc_id, lang,
@@ -21,7 +21,7 @@ FROM documents JOIN pages ON page_id = doc_id % (SELECT count(*) FROM pages)
 
 
 def augmented_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents", ["doc_id", "lang", "text"])
+    docs = spread(read_table(spark, sf_dir, "documents", ["doc_id", "lang", "text"]), "doc_id")
     pages = read_table(spark, sf_dir, "pages", ["page_id", "url"])
     n_pages = pages.count()
     j = docs.join(pages, pages.page_id == docs.doc_id % F.lit(n_pages))

@@ -9,13 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions.arrays import explode_rows
 from ..operators import (
     bayes, clean, evaluate, features, labels, metrics, models, phrases, profile, rank, sequences,
     split, summary, terms, topk,
 )
 from ..session import scratch_path
 from pyspark.ml.functions import array_to_vector
-from ..sources.tables import read_table
+from ..sources.tables import read_table, spread
 from .fixtures import augmented_documents
 
 JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,8 +37,9 @@ def job(name: str):
     return deco
 
 
-def documents(spark, sf_dir, cols=("doc_id", "text", "lang")):
-    return read_table(spark, sf_dir, "documents", list(cols))
+def documents(spark, sf_dir, cols=("doc_id", "text", "lang"), spread_rows: bool = True):
+    docs = read_table(spark, sf_dir, "documents", list(cols))
+    return spread(docs, "doc_id") if spread_rows else docs
 
 
 def labelled_documents(spark, sf_dir):
@@ -133,7 +135,8 @@ def class_token_topk(spark, sf_dir):
 # ---- 6. keyphrases (on the raw text, as the reference does) -----------------
 
 def doc_phrases(spark, sf_dir):
-    return phrases.rake_phrases(documents(spark, sf_dir), keep=["lang"])
+    # the keyphrase job hash-partitions by doc_id itself
+    return phrases.rake_phrases(documents(spark, sf_dir, spread_rows=False), keep=["lang"])
 
 
 @job("rake_phrases")
@@ -305,7 +308,7 @@ def pack_sequences(spark, sf_dir):
 @job("pack_pairs")
 def pack_pairs(spark, sf_dir):
     conv = read_table(spark, sf_dir, "conversations", ["conv_id", "turn", "role", "text"])
-    toks = conv.select(F.explode(sequences.seq_tokens(F.col("text"))).alias("token"))
+    toks = explode_rows(conv, sequences.seq_tokens(F.col("text")), "token")
     vocab = sequences.vocabulary(toks)
     budget = MAX_LEN - 3
     u = conv.where(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("a"))

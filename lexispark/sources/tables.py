@@ -51,3 +51,17 @@ def read_written(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFr
     if fmt == "csv":
         return spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(path)
     return spark.read.format(fmt).load(path)
+
+
+def spread(df: DataFrame, key: str | None = None, target: int | None = None) -> DataFrame:
+    """Make sure the scan feeds enough tasks.
+
+    A table stored as a few large row groups arrives in a few partitions and
+    every per-row text step would run in those few tasks.  Only then is it
+    hash-repartitioned (by ``key``, so later per-key aggregates and windows
+    reuse the partitioning).  A scan of many files is left alone."""
+    spark = df.sparkSession
+    target = target or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, key) if key else df.repartition(target)
