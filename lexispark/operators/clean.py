@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions.arrays import evaluate_once
 
 STEPS = ("translit", "lower", "contractions", "urls", "letter_runs", "parens", "stopwords")
 
@@ -16,7 +17,7 @@ def clean_corpus(df: DataFrame, text_col: str = "text", id_col: str = "doc_id",
                  url_mode: str = "greedy", keep: list[str] | None = None) -> DataFrame:
     """Cleaned, non-empty documents: (id, clean_text, *keep)."""
     keep = keep or []
-    out = df.select(id_col, *keep, T.clean_text(text_col, url_mode).alias("clean_text"))
+    out = evaluate_once(df, T.clean_text(text_col, url_mode), "clean_text", id_col, *keep)
     return out.where(F.col("clean_text").isNotNull() & (F.col("clean_text") != ""))
 
 
@@ -24,7 +25,7 @@ def rejected_docs(df: DataFrame, text_col: str = "text", id_col: str = "doc_id",
                   url_mode: str = "greedy") -> DataFrame:
     """P5 second output: documents dropped by cleaning and why."""
     c = T.clean_text(text_col, url_mode)
-    return (df.select(id_col, F.col(text_col).isNull().alias("_null"), c.alias("_c"))
+    return (evaluate_once(df, c, "_c", id_col, F.col(text_col).isNull().alias("_null"))
               .where(F.col("_null") | (F.col("_c") == ""))
               .select(id_col, F.when(F.col("_null"), "null").otherwise("empty").alias("reason")))
 

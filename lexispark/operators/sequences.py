@@ -27,7 +27,8 @@ def seq_tokens(text) -> F.Column:
 def vocabulary(tokens: DataFrame, term_col: str = "token") -> DataFrame:
     """(token, id): ids from FIRST_ID in md5(token) order."""
     v = tokens.select(F.col(term_col).alias("token")).where(F.col("token").isNotNull()).distinct()
-    v = v.withColumn("_k", F.md5(F.col("token")))
+    # the ranking reads the vocabulary three times: materialise it once
+    v = v.withColumn("_k", F.md5(F.col("token"))).checkpoint()
     r = hash_rank(v, "_k", "_rn")
     return r.select("token", (F.col("_rn") + (FIRST_ID - 1)).cast("int").alias("id"))
 

@@ -379,6 +379,7 @@ def extractive_summary(spark, sf_dir):
 # ---- 11. MLlib classifiers, LSA and the vector head (rows-only checks) ------
 
 LSA_K = 100
+ML_ROWS_PER_PART = 5000   # iterative fits aggregate a dense gradient per partition
 
 
 def ml_features(spark, sf_dir):
@@ -387,7 +388,9 @@ def ml_features(spark, sf_dir):
     train = mt.where(F.col("split") != "test")
     feats = models.tfidf_features(train, mt).select("doc_id", "label", "split", "features")
     # a fixed partitioning in id order keeps iterative fits repeatable
-    feats = feats.repartitionByRange("doc_id").sortWithinPartitions("doc_id").checkpoint()
+    n_rows = mt.count()
+    parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), n_rows // ML_ROWS_PER_PART))
+    feats = feats.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id").checkpoint()
     return feats, train.count()
 
 
