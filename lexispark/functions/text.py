@@ -103,16 +103,24 @@ def drop_stopwords_single_space(c, stopwords=STOPWORDS_EN) -> Column:
     return strip_ws(F.array_join(kept, " "))
 
 
-def clean_text(c, url_mode: str = "greedy", stopwords=STOPWORDS_EN) -> Column:
+def clean_steps(url_mode: str = "greedy", stopwords=STOPWORDS_EN) -> list:
     """F1-F7 in the reference's order."""
-    x = col(c).cast("string")
-    x = transliterate(x)
-    x = F.lower(x)
-    x = expand_contractions(x)
-    x = remove_urls(x, url_mode)
-    x = squeeze_letter_runs(x)
-    x = drop_parentheses(x)
-    return drop_stopwords_single_space(x, stopwords)
+    return [lambda x: transliterate(x.cast("string")), F.lower, expand_contractions,
+            lambda x: remove_urls(x, url_mode), squeeze_letter_runs, drop_parentheses,
+            lambda x: drop_stopwords_single_space(x, stopwords)]
+
+
+def compose(c, steps) -> Column:
+    x = col(c)
+    for fn in steps:
+        x = fn(x)
+    return x
+
+
+def clean_text(c, url_mode: str = "greedy", stopwords=STOPWORDS_EN) -> Column:
+    """F1-F7 as one expression (prefer ``apply_steps`` with ``clean_steps``
+    in jobs: see its note)."""
+    return compose(c, clean_steps(url_mode, stopwords))
 
 
 def remove_punctuation(c) -> Column:
@@ -122,9 +130,8 @@ def remove_punctuation(c) -> Column:
 
 def split_ws(c) -> Column:
     """Python ``str.split()``: split on whitespace runs, no empty pieces
-    (after stripping, a split on runs cannot give empty pieces)."""
-    s = strip_ws(col(c))
-    return F.when(s == "", F.array().cast("array<string>")).otherwise(F.split(s, WS_RUN, -1))
+    (after stripping, only an empty text gives an empty piece)."""
+    return F.array_remove(F.split(strip_ws(col(c)), WS_RUN, -1), "")
 
 
 # A whole word, in whitespace-separated text
@@ -147,9 +154,12 @@ def split_merged_text(c) -> Column:
     return F.when(has, F.regexp_replace(c, MERGED, MERGED_REPL)).otherwise(c)
 
 
+WORD_TOKEN_STEPS = [remove_punctuation, split_merged_text, split_ws]
+
+
 def word_tokens(c) -> Column:
     """punctuation removal + word tokenisation."""
-    return split_ws(split_merged_text(remove_punctuation(col(c))))
+    return compose(c, WORD_TOKEN_STEPS)
 
 
 def stem_word(w: Column) -> Column:
@@ -163,11 +173,14 @@ def stem_text(c) -> Column:
     return F.regexp_replace(col(c), STEM_TEXT, "")
 
 
-def normalized_tokens(c, stopwords=STOPWORDS_EN) -> Column:
+def normalized_steps(stopwords=STOPWORDS_EN) -> list:
     """F2, F9, F10, F11, F12 (lemmas are a join, see operators.terms)."""
-    x = stem_text(remove_punctuation(F.lower(col(c).cast("string"))))
-    toks = split_ws(split_merged_text(x))
-    return F.filter(toks, lambda w: not_stopword(w, stopwords))
+    return [lambda x: F.lower(x.cast("string")), remove_punctuation, stem_text, split_merged_text,
+            split_ws, lambda t: F.filter(t, lambda w: not_stopword(w, stopwords))]
+
+
+def normalized_tokens(c, stopwords=STOPWORDS_EN) -> Column:
+    return compose(c, normalized_steps(stopwords))
 
 
 def vectorizer_tokens(c) -> Column:
@@ -183,3 +196,31 @@ def rake_tokens(c) -> Column:
 
 def is_rake_delimiter(t: Column, stopwords=STOPWORDS_EN) -> Column:
     return t.isin(list(stopwords)) | ~t.rlike(HAS_WORD_CHAR)
+
+
+def apply_steps(df, src, out: str, steps, once: bool = False):
+    """Run ``steps`` on column ``src`` one projection per step; the result is
+    column ``out``.
+
+    Expressions under higher-order functions are evaluated without common
+    subexpression elimination, so a step that reads its input twice would
+    recompute the whole chain below it.  With one projection per step every
+    input is a plain column; Catalyst keeps a costly column in its own
+    projection when the next step reads it more than once.  ``once`` makes
+    the last step come out of a one-element generator so that a later filter
+    on ``out`` cannot be pushed below it (and compute it again)."""
+    names = []
+    cur = col(src)
+    last = len(steps) - 1
+    for i, fn in enumerate(steps):
+        if i == last and once:
+            keep = [c for c in df.columns if c != out]
+            df = df.select(*keep, F.explode_outer(F.array(fn(cur))).alias(out))
+        else:
+            name = f"__step{i}"
+            df = df.withColumn(name, fn(cur))
+            names.append(name)
+            cur = F.col(name)
+    if not once:
+        df = df.withColumn(out, cur)
+    return df.drop(*names)

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..functions.arrays import evaluate_once
 
 STEPS = ("translit", "lower", "contractions", "urls", "letter_runs", "parens", "stopwords")
 
@@ -17,15 +16,16 @@ def clean_corpus(df: DataFrame, text_col: str = "text", id_col: str = "doc_id",
                  url_mode: str = "greedy", keep: list[str] | None = None) -> DataFrame:
     """Cleaned, non-empty documents: (id, clean_text, *keep)."""
     keep = keep or []
-    out = evaluate_once(df, T.clean_text(text_col, url_mode), "clean_text", id_col, *keep)
+    out = T.apply_steps(df.select(id_col, *keep, text_col), text_col, "clean_text",
+                        T.clean_steps(url_mode), once=True).drop(text_col)
     return out.where(F.col("clean_text").isNotNull() & (F.col("clean_text") != ""))
 
 
 def rejected_docs(df: DataFrame, text_col: str = "text", id_col: str = "doc_id",
                   url_mode: str = "greedy") -> DataFrame:
     """P5 second output: documents dropped by cleaning and why."""
-    c = T.clean_text(text_col, url_mode)
-    return (evaluate_once(df, c, "_c", id_col, F.col(text_col).isNull().alias("_null"))
+    base = df.select(id_col, F.col(text_col).isNull().alias("_null"), text_col)
+    return (T.apply_steps(base, text_col, "_c", T.clean_steps(url_mode), once=True)
               .where(F.col("_null") | (F.col("_c") == ""))
               .select(id_col, F.when(F.col("_null"), "null").otherwise("empty").alias("reason")))
 

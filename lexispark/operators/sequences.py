@@ -24,6 +24,11 @@ def seq_tokens(text) -> F.Column:
     return T.word_tokens(F.lower(text))
 
 
+def with_seq_tokens(df: DataFrame, text_col: str, out: str) -> DataFrame:
+    """``seq_tokens`` staged one projection per step (see ``apply_steps``)."""
+    return T.apply_steps(df, text_col, out, [F.lower] + T.WORD_TOKEN_STEPS)
+
+
 def vocabulary(tokens: DataFrame, term_col: str = "token") -> DataFrame:
     """(token, id): ids from FIRST_ID in md5(token) order."""
     v = tokens.select(F.col(term_col).alias("token")).where(F.col("token").isNotNull()).distinct()
@@ -43,11 +48,12 @@ def _ids_per_doc(df: DataFrame, tokens_col, vocab: DataFrame, id_col: str, max_t
     return g.select(id_col, *keep, F.transform("_t", lambda x: x["id"]).alias("ids"))
 
 
-def pack_sequences(df: DataFrame, vocab: DataFrame, text_col: str = "text", id_col: str = "doc_id",
+def pack_sequences(df: DataFrame, vocab: DataFrame, tokens_col: str = "tokens", id_col: str = "doc_id",
                    max_len: int = 150, keep: list[str] | None = None) -> DataFrame:
-    """(id, input_ids, attention_mask, n_tokens) with CLS/SEP markers."""
+    """(id, input_ids, attention_mask, n_tokens) with CLS/SEP markers,
+    from a column of tokens (``with_seq_tokens``)."""
     keep = keep or []
-    ids = _ids_per_doc(df, seq_tokens(F.col(text_col)), vocab, id_col, max_len - 2, keep)
+    ids = _ids_per_doc(df, F.col(tokens_col), vocab, id_col, max_len - 2, keep)
     full = F.concat(F.array(F.lit(CLS)), F.col("ids"), F.array(F.lit(SEP)))
     return (ids.withColumn("input_ids", full)
                .withColumn("n_tokens", F.size("input_ids").cast("long"))
@@ -83,11 +89,11 @@ def pack_pairs(pairs: DataFrame, vocab: DataFrame, id_cols: list[str], max_len:
                     F.size(ids).cast("long").alias("n_tokens"))
 
 
-def ids_for(df: DataFrame, vocab: DataFrame, text_col: str, id_cols: list[str], max_tokens: int) -> DataFrame:
-    """(id_cols, ids) for a text column, at most ``max_tokens`` ids."""
+def ids_for(df: DataFrame, vocab: DataFrame, tokens_col: str, id_cols: list[str], max_tokens: int) -> DataFrame:
+    """(id_cols, ids) for a token column, at most ``max_tokens`` ids."""
     k = "_row"
     keyed = df.withColumn(k, F.struct(*id_cols))
-    out = _ids_per_doc(keyed, seq_tokens(F.col(text_col)), vocab, k, max_tokens, [])
+    out = _ids_per_doc(keyed, F.col(tokens_col), vocab, k, max_tokens, [])
     return out.select(*[F.col(f"{k}.{c}").alias(c) for c in id_cols], "ids")
 
 

@@ -24,7 +24,7 @@ def sentences(df: DataFrame, text_col: str = "text", id_col: str = "doc_id") ->
 
 def extractive_summary(df: DataFrame, text_col: str = "text", id_col: str = "doc_id",
                        min_tokens: int = 5, max_words: int = 30) -> DataFrame:
-    sents = sentences(df, text_col, id_col).withColumn("toks", T.word_tokens(F.lower("sentence")))
+    sents = T.apply_steps(sentences(df, text_col, id_col), "sentence", "toks", [F.lower] + T.WORD_TOKEN_STEPS)
     toks = explode_rows(sents, F.col("toks"), "term", id_col, "sidx")
     n_docs = df.select(id_col).distinct().count()
     dfreq = toks.select(id_col, "term").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("df"))

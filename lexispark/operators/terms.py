@@ -64,7 +64,9 @@ def lemma_table(vocab: DataFrame) -> DataFrame:
 def normalized_token_table(df: DataFrame, text_col: str = "text", id_col: str = "doc_id",
                            outer: bool = False, keep: list[str] | None = None) -> DataFrame:
     """(id, *keep, pos, token) after lower, punctuation, stem, tokenise, stopwords."""
-    return explode_tokens(df, T.normalized_tokens(text_col), id_col, keep=keep, outer=outer)
+    keep = keep or []
+    staged = T.apply_steps(df.select(id_col, *keep, text_col), text_col, "_toks", T.normalized_steps())
+    return explode_tokens(staged, F.col("_toks"), id_col, keep=keep, outer=outer)
 
 
 def lemmatize(tokens: DataFrame, lemmas: DataFrame) -> DataFrame:
@@ -99,7 +101,8 @@ def normalize_terms(df: DataFrame, text_col: str = "text", id_col: str = "doc_id
     are exploded, joined to it and rebuilt per document.  Documents whose
     token list is empty keep an empty string."""
     keep = keep or []
-    base = df.select(id_col, *keep, T.normalized_tokens(text_col).alias("_toks"))
+    base = T.apply_steps(df.select(id_col, *keep, text_col), text_col, "_toks",
+                         T.normalized_steps()).drop(text_col)
     if lemmatise:
         lem = lemma_table(explode_rows(base, F.col("_toks"), "token"))
         rows = lem.limit(LITERAL_LEMMAS + 1).collect()

@@ -98,8 +98,9 @@ def cleaning_audit(spark, sf_dir):
 
 @job("stopword_filter")
 def stopword_filter(spark, sf_dir):
-    docs = documents(spark, sf_dir, ("doc_id", "text"))
-    toks = terms.explode_tokens(docs, T.word_tokens(F.lower("text")))
+    docs = T.apply_steps(documents(spark, sf_dir, ("doc_id", "text")), "text", "_t",
+                         [F.lower] + T.WORD_TOKEN_STEPS)
+    toks = terms.explode_tokens(docs, F.col("_t"))
     return terms.stopword_filter(toks).select("doc_id", "pos", "token")
 
 
@@ -118,7 +119,8 @@ def lemma_vocab(spark, sf_dir):
 
 def clean_tokens(spark, sf_dir):
     cleaned = clean.clean_corpus(documents(spark, sf_dir), keep=["lang"])
-    return terms.explode_tokens(cleaned, T.word_tokens("clean_text"), keep=["lang"])
+    toks = T.apply_steps(cleaned, "clean_text", "_t", T.WORD_TOKEN_STEPS)
+    return terms.explode_tokens(toks, F.col("_t"), keep=["lang"])
 
 
 @job("token_topk")
@@ -293,10 +295,9 @@ def _ids_text(c):
 
 
 def document_sequences(spark, sf_dir):
-    docs = documents(spark, sf_dir, ("doc_id", "text"))
-    toks = terms.explode_tokens(docs, sequences.seq_tokens(F.col("text")))
-    vocab = sequences.vocabulary(toks)
-    return sequences.pack_sequences(docs, vocab, max_len=MAX_LEN)
+    docs = sequences.with_seq_tokens(documents(spark, sf_dir, ("doc_id", "text")), "text", "_t")
+    vocab = sequences.vocabulary(explode_rows(docs, F.col("_t"), "token"))
+    return sequences.pack_sequences(docs, vocab, tokens_col="_t", max_len=MAX_LEN)
 
 
 @job("pack_sequences")
@@ -308,12 +309,12 @@ def pack_sequences(spark, sf_dir):
 @job("pack_pairs")
 def pack_pairs(spark, sf_dir):
     conv = read_table(spark, sf_dir, "conversations", ["conv_id", "turn", "role", "text"])
-    toks = explode_rows(conv, sequences.seq_tokens(F.col("text")), "token")
-    vocab = sequences.vocabulary(toks)
+    conv = sequences.with_seq_tokens(conv, "text", "_t")
+    vocab = sequences.vocabulary(explode_rows(conv, F.col("_t"), "token"))
     budget = MAX_LEN - 3
-    u = conv.where(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("a"))
+    u = conv.where(F.col("role") == "user").select("conv_id", "turn", F.col("_t").alias("a"))
     a = conv.where(F.col("role") == "assistant").select(
-        "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("b"))
+        "conv_id", (F.col("turn") - 1).alias("turn"), F.col("_t").alias("b"))
     pairs = u.join(a, ["conv_id", "turn"])
     ai = sequences.ids_for(pairs, vocab, "a", ["conv_id", "turn"], budget).withColumnRenamed("ids", "a_ids")
     bi = sequences.ids_for(pairs, vocab, "b", ["conv_id", "turn"], budget).withColumnRenamed("ids", "b_ids")
