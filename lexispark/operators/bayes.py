@@ -16,21 +16,23 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .features import MAX_BROADCAST_TERMS
+
 
 def fit(train_w: DataFrame, labels: DataFrame, n_classes: int, vocab_size: int,
         id_col: str = "doc_id") -> tuple[DataFrame, dict]:
     """Returns (class_terms(label, term, cnt, log_theta), class constants).
 
-    ``labels`` is (id, label) over every training document, also those
-    without in-vocabulary terms (they still count in the prior)."""
-    ct = (train_w.join(labels, id_col).groupBy("label", "term")
-                 .agg(F.sum("weight").alias("cnt")))
+    ``train_w`` is (id, label, term, weight); ``labels`` is (id, label) over
+    every training document, also those without in-vocabulary terms (they
+    still count in the prior)."""
+    ct = train_w.groupBy("label", "term").agg(F.sum("weight").alias("cnt"))
     tot = {r["label"]: r["tot"] for r in ct.groupBy("label").agg(F.sum("cnt").alias("tot")).collect()}
     nc = {r["label"]: r["count"] for r in labels.groupBy("label").count().collect()}
     if len(nc) > n_classes:
         raise ValueError("more labels than classes")
     n = sum(nc.values())
-    consts = {c: {"n_c": nc.get(c, 0), "tot": tot.get(c, 0.0),
+    consts = {c: {"n_c": nc.get(c, 0), "tot": tot.get(c, 0.0), "vocab_size": vocab_size,
                   "log_prior": math.log(nc[c] / n) if nc.get(c) else -math.inf,
                   "log_denom": math.log(tot.get(c, 0.0) + vocab_size)}
               for c in range(n_classes)}
@@ -49,6 +51,9 @@ def predict(weights: DataFrame, docs: DataFrame, class_terms: DataFrame, consts:
     per_term = (class_terms.groupBy("term").pivot("label", list(range(k)))
                            .agg(F.first(F.log(F.col("cnt") + 1.0))))
     per_term = per_term.select("term", *[F.coalesce(F.col(str(c)), F.lit(0.0)).alias(f"b{c}") for c in range(k)])
+    # one row per vocabulary term: broadcast behind the counted vocabulary size
+    vocab_size = next(iter(consts.values()))["vocab_size"] if consts else 0
+    per_term = F.broadcast(per_term) if vocab_size <= MAX_BROADCAST_TERMS else per_term
     j = weights.select(id_col, "term", "weight").join(per_term, "term", "left")
     sums = j.groupBy(id_col).agg(F.sum("weight").alias("W"),
                                  *[F.sum(F.col("weight") * F.coalesce(F.col(f"b{c}"), F.lit(0.0))).alias(f"s{c}")

@@ -7,7 +7,7 @@ document after unseen terms are dropped.  Everything stays as sparse
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -34,15 +34,25 @@ def fit_idf(tf: DataFrame, n_docs: int) -> DataFrame:
               .withColumn("idf", F.log((F.lit(1.0) + n_docs) / (F.col("df") + 1.0)) + 1.0))
 
 
-def tfidf(tf: DataFrame, idf: DataFrame, id_col: str = "doc_id") -> DataFrame:
+MAX_BROADCAST_TERMS = 2_000_000   # ~100 MB of (term, idf) rows
+
+
+def small_side(df: DataFrame, n_rows: int, limit: int = MAX_BROADCAST_TERMS) -> DataFrame:
+    """Broadcast a vocabulary-sized table only when its counted size is
+    under the limit; above it the join stays a shuffle join."""
+    return F.broadcast(df) if n_rows <= limit else df
+
+
+def tfidf(tf: DataFrame, idf: DataFrame, id_col: str = "doc_id", vocab_size: int | None = None) -> DataFrame:
     """J5 + M2: inner join on the training vocabulary (unseen terms drop
-    out before the norm), weight, L2 normalise per document."""
-    w = (tf.join(idf.select("term", "idf"), "term", "inner")
-           .withColumn("w", F.col("tf") * F.col("idf")))
-    norms = w.groupBy(id_col).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_norm"))
-    return (w.join(norms, id_col)
-             .withColumn("weight", F.col("w") / F.col("_norm"))
-             .drop("w", "_norm", "idf"))
+    out before the norm), weight, L2 normalise per document (a window, so
+    no join back)."""
+    v = idf.select("term", "idf")
+    if vocab_size is not None:
+        v = small_side(v, vocab_size)
+    w = tf.join(v, "term", "inner").withColumn("w", F.col("tf") * F.col("idf"))
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(id_col)))
+    return w.withColumn("weight", F.col("w") / norm).drop("w", "idf")
 
 
 def tfidf_fit_transform(docs: DataFrame, train_flag, terms_col: str = "terms",
@@ -55,4 +65,5 @@ def tfidf_fit_transform(docs: DataFrame, train_flag, terms_col: str = "terms",
     tf = term_counts(doc_terms(flagged, terms_col, id_col, keep + ["_train"]), id_col, keep + ["_train"])
     n_train = flagged.where(F.col("_train")).count()
     idf = fit_idf(tf.where(F.col("_train")), n_train)
-    return tfidf(tf, idf, id_col), idf, n_train
+    vocab_size = idf.count()
+    return tfidf(tf, idf, id_col, vocab_size), idf, n_train

@@ -222,7 +222,7 @@ def model_table(spark, sf_dir):
 def tfidf_model(spark, sf_dir):
     mt, dim = model_table(spark, sf_dir)
     w, idf, n_train = features.tfidf_fit_transform(mt, F.col("split") != "test", keep=["label", "split"])
-    return mt, dim, w.checkpoint(), idf.checkpoint()
+    return mt, dim, w.checkpoint(), idf
 
 
 @job("doc_term_counts")
@@ -240,7 +240,7 @@ def tfidf_weights(spark, sf_dir):
 def nb_model(spark, sf_dir):
     mt, dim, w, idf = tfidf_model(spark, sf_dir)
     train_labels = mt.where(F.col("split") != "test").select("doc_id", "label")
-    train_w = w.where(F.col("split") != "test").select("doc_id", "term", "weight")
+    train_w = w.where(F.col("split") != "test").select("doc_id", "label", "term", "weight")
     ct, consts = bayes.fit(train_w, train_labels, len(dim), idf.count())
     return mt, w, ct, consts
 

@@ -77,7 +77,7 @@ def test_naive_bayes_matches_dense_formula(spark):
     docs = spark.createDataFrame(rows, "doc_id long, terms string, label int")
     w, idf, n = features.tfidf_fit_transform(docs, F.lit(True))
     ww = w.select("doc_id", "term", "weight")
-    ct, consts = bayes.fit(ww, docs.select("doc_id", "label"), 2, idf.count())
+    ct, consts = bayes.fit(w.select("doc_id", "label", "term", "weight"), docs.select("doc_id", "label"), 2, idf.count())
     pred = {r["doc_id"]: r["scores"] for r in bayes.predict(ww, docs, ct, consts).collect()}
     vocab = sorted(r["term"] for r in idf.collect())
     X = np.zeros((5, len(vocab)))
