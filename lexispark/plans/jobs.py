@@ -3,6 +3,7 @@ test tables.  ``JOBS`` is the registry exported by ``__spark_entry__``."""
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,7 @@ from ..operators import (
     bayes, clean, evaluate, features, labels, metrics, models, phrases, profile, rank, sequences,
     split, summary, terms, topk,
 )
-from ..session import scratch_path
+from ..session import ensure_checkpoint_dir, scratch_path
 from pyspark.ml.functions import array_to_vector
 from ..sources.tables import read_table, spread
 from .fixtures import augmented_documents
@@ -31,8 +32,15 @@ TOP_PHRASES_N = 20
 
 
 def job(name: str):
+    """Register a job.  The registered callable first makes sure the session
+    has a checkpoint folder (read from ``spark.checkpoint.dir``; a local one
+    only when it is unset)."""
     def deco(fn):
-        JOBS[name] = fn
+        @functools.wraps(fn)
+        def run(spark, sf_dir):
+            ensure_checkpoint_dir(spark)
+            return fn(spark, sf_dir)
+        JOBS[name] = run
         return fn
     return deco
 
