@@ -75,7 +75,7 @@ def test_tfidf_golden(spark):
 def test_naive_bayes_matches_dense_formula(spark):
     rows = [(1, "aa bb", 0), (2, "bb cc cc", 1), (3, "aa aa dd", 0), (4, "cc dd", 1), (5, "aa cc", 1)]
     docs = spark.createDataFrame(rows, "doc_id long, terms string, label int")
-    w, idf, n = features.tfidf_fit_transform(docs, F.lit(True))
+    w, idf, n = features.tfidf_fit_transform(docs, F.lit(True), keep=["label"])
     ww = w.select("doc_id", "term", "weight")
     ct, consts = bayes.fit(w.select("doc_id", "label", "term", "weight"), docs.select("doc_id", "label"), 2, idf.count())
     pred = {r["doc_id"]: r["scores"] for r in bayes.predict(ww, docs, ct, consts).collect()}
