@@ -142,3 +142,16 @@ def test_pair_budget(spark, la, lb):
     assert r["a"] <= la and r["b"] <= lb
     if la + lb > 147 and min(la, lb) <= 73 and la != lb:
         assert min(r["a"], r["b"]) == min(la, lb)
+
+
+@pytest.mark.parametrize("literal_max", [5_000, 0])
+def test_lemma_paths(spark, monkeypatch, literal_max):
+    """Both ways of applying the corpus lemma table (literal map, join +
+    regroup) give the same terms; ``women`` maps to ``woman`` because the
+    corpus holds ``woman``."""
+    from lexispark.operators import terms
+    monkeypatch.setattr(terms, "LITERAL_LEMMAS", literal_max)
+    df = spark.createDataFrame([(1, "Two women and a woman."), (2, "The men, the man!"), (3, "the of")],
+                               "doc_id long, text string")
+    got = {r["doc_id"]: r["terms"] for r in terms.normalize_terms(df).collect()}
+    assert got == {1: "two woman woman", 2: "man man", 3: ""}
