@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import langid, linededup, simhash
+from . import htmltext, langid, licenses, linededup, multisethash, simhash
 from .common import table
 
 
@@ -17,6 +17,18 @@ def op2_language_id(spark, sf_dir):
     return out.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op3_html_text(spark, sf_dir):
+    return htmltext.main_text(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
+def op4_fingerprint(spark, sf_dir):
+    return multisethash.edited_fingerprints(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op7_licenses(spark, sf_dir):
+    return licenses.digest(licenses.scan(table(spark, sf_dir, "documents", "doc_id", "text")))
+
+
 def op8_line_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents", "doc_id", "source", "text", "n_chars")
     return linededup.drop_boilerplate(docs)
@@ -26,9 +38,10 @@ def op9_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op2_language_id, op8_line_dedup, op9_simhash)}
+QUERIES = {f.__name__: f for f in (op2_language_id, op3_html_text, op4_fingerprint, op7_licenses, op8_line_dedup, op9_simhash)}
 
 ORACLE = {
+    "op7_licenses": licenses.oracle(),
     "op8_line_dedup": """
 WITH l AS (SELECT DISTINCT doc_id, source, unnest(string_split(text, chr(10))) AS line FROM documents),
 n AS (SELECT source, count(*) AS host_pages FROM documents GROUP BY source),
