@@ -3,12 +3,20 @@ parameters; each applies its operator to its whole table."""
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import functions as F
 
-from . import htmltext, langid, licenses, linededup, multisethash, simhash
+from . import decontaminate, htmltext, langid, licenses, linededup, multisethash, simhash, tokencounts
 from .common import table
 
 
+TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
+# Fixed values of the byte-level BPE vocabulary: the pattern that cuts words, and the id that is free for end of document.
+BYTE_BPE_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+BYTE_BPE_EOD = 50256
+
+
 def op2_language_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
@@ -25,6 +33,11 @@ def op4_fingerprint(spark, sf_dir):
     return multisethash.edited_fingerprints(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op6_decontamination(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return decontaminate.leaks(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
 def op7_licenses(spark, sf_dir):
     return licenses.digest(licenses.scan(table(spark, sf_dir, "documents", "doc_id", "text")))
 
@@ -38,7 +51,14 @@ def op9_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op2_language_id, op3_html_text, op4_fingerprint, op7_licenses, op8_line_dedup, op9_simhash)}
+def op10_token_counts(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return tokencounts.document_token_counts(
+        docs, f"{TOKENIZERS}/byte_bpe_50k.tiktoken", BYTE_BPE_PATTERN, BYTE_BPE_EOD)
+
+
+QUERIES = {f.__name__: f for f in (op2_language_id, op3_html_text, op4_fingerprint, op6_decontamination,
+                                  op7_licenses, op8_line_dedup, op9_simhash, op10_token_counts)}
 
 ORACLE = {
     "op7_licenses": licenses.oracle(),
