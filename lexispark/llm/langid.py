@@ -30,6 +30,7 @@ from .common import row_chunks
 
 UND = "und"
 SPACE = 32
+SAMPLE_STEPS = 1 << 30
 
 
 @dataclass(frozen=True)
@@ -74,18 +75,20 @@ def slots_of(code: np.ndarray, hashes: int, slots_log2: int) -> list[np.ndarray]
 def learn(docs: DataFrame, per_lang: int = 2000, slots_log2: int = 20, hashes: int = 3,
           min_count: int = 3, min_share: float = 0.2, text: str = "text", lang: str = "lang",
           doc_id: str = "doc_id") -> LanguageFilter:
-    """Fit the filter on at most ``per_lang`` rows a language: those whose id
-    hashes lowest (the documented bound of the sample; texts are whole).
-    Rows without an id, a label or a text are left out.  A trigram is typical
+    """Fit the filter on about ``per_lang`` rows a language (the documented
+    bound of the sample; texts are whole): those whose id hashes below that
+    share of the language's rows, so all if there are no more than that.  Rows without an id, a label or a text are left out.  A trigram is typical
     of a language if it has it ``min_count`` times or more and at
     ``min_share`` of the highest rate among the languages or more.  Only the
     ``2**slots_log2`` slots reach the driver."""
     rows = docs.select(F.col(doc_id).alias("i"), F.col(text).alias("t"), F.col(lang).alias("l")).where(
         "i is not null and t is not null and l is not null")
-    order = Window.partitionBy("l").orderBy(F.xxhash64("i"), "i")
-    ids = (rows.select("i", "l").withColumn("k", F.row_number().over(order))
-           .where(F.col("k") <= per_lang).select("i").distinct())
-    sample = rows.join(F.broadcast(ids), "i", "left_semi").select("l", "t")  # ids: per_lang a language at most
+    sizes = {r["l"]: r["count"] for r in rows.groupBy("l").count().collect()}  # one row a language
+    langs = tuple(sorted(sizes))
+    reach = [(x, int(min(1.0, per_lang / sizes[x]) * SAMPLE_STEPS)) for x in langs]
+    limits = docs.sparkSession.createDataFrame(reach, "l string, reach long")
+    sample = (rows.join(F.broadcast(limits), "l").where(F.pmod(F.xxhash64("i"), F.lit(SAMPLE_STEPS)) < F.col("reach"))
+              .select("l", "t"))
 
     def count(batches):
         for pdf in batches:
@@ -98,7 +101,6 @@ def learn(docs: DataFrame, per_lang: int = 2000, slots_log2: int = 20, hashes: i
     rate = F.col("n") / F.sum("n").over(Window.partitionBy("l"))
     typical = (counts.withColumn("r", rate).withColumn("top", F.max("r").over(Window.partitionBy("g")))
                .where((F.col("n") >= min_count) & (F.col("r") >= min_share * F.col("top"))))
-    langs = tuple(r[0] for r in rows.select("l").distinct().orderBy("l").collect())
     place = {x: i for i, x in enumerate(langs)}
 
     def spread(batches):

@@ -7,7 +7,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from . import decontaminate, htmltext, langid, licenses, linededup, multisethash, simhash, tokencounts
+from . import decontaminate, htmltext, langid, licenses, linededup, lmscore, multisethash, sentencepieces, simhash, tokencounts
 from .common import table
 
 
@@ -17,6 +17,15 @@ BYTE_BPE_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N
 BYTE_BPE_EOD = 50256
 
 
+def op1_sentencepiece(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    model = sentencepieces.read_model(f"{TOKENIZERS}/piece_bpe_32k.model")
+    encoded = sentencepieces.encode(docs, model, keep_text=True)
+    return sentencepieces.decode(encoded, model).select(
+        "doc_id", "ids", F.size("ids").alias("n_tokens"),
+        (F.col("decoded") == F.coalesce("t", F.lit(""))).alias("round_trip"))
+
+
 def op2_language_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
@@ -33,6 +42,11 @@ def op4_fingerprint(spark, sf_dir):
     return multisethash.edited_fingerprints(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op5_lm_score(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return lmscore.lm_scores(docs, f"{TOKENIZERS}/byte_bpe_50k.tiktoken", BYTE_BPE_PATTERN)
+
+
 def op6_decontamination(spark, sf_dir):
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return decontaminate.leaks(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
@@ -57,7 +71,7 @@ def op10_token_counts(spark, sf_dir):
         docs, f"{TOKENIZERS}/byte_bpe_50k.tiktoken", BYTE_BPE_PATTERN, BYTE_BPE_EOD)
 
 
-QUERIES = {f.__name__: f for f in (op2_language_id, op3_html_text, op4_fingerprint, op6_decontamination,
+QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_language_id, op3_html_text, op4_fingerprint, op5_lm_score, op6_decontamination,
                                   op7_licenses, op8_line_dedup, op9_simhash, op10_token_counts)}
 
 ORACLE = {
