@@ -8,16 +8,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexispark.llm import langid, linededup, simhash
-from lexispark.llm.common import written
+from lexispark.llm import decontaminate, langid, linededup, sentencepieces, simhash
+from lexispark.llm.common import table, written
+from lexispark.llm.queries import TOKENIZERS
 
 DOCUMENT = ("doc_id", "text", "lang", "source", "n_chars")
 MIN_LANGUAGE_SCORE = 0.3
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects texts without a letter (``und``) and texts of which fewer than
-    MIN_LANGUAGE_SCORE of the letter n-grams are known in any language."""
+    """Rejects texts without a letter (``und``) and texts of whose letter
+    trigrams less than MIN_LANGUAGE_SCORE is known in any one language.  With
+    no labelled text to learn from, every text is rejected."""
     filt = langid.learn(docs.where(F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 != 2, F.lit(False))))
     found = langid.predict(docs, filt, keep=DOCUMENT)
     return found.where((F.col("lang_pred") != langid.UND) & (F.col("score") >= MIN_LANGUAGE_SCORE)).select(*DOCUMENT)
@@ -34,17 +36,33 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.keep_one(docs).select(*DOCUMENT)
 
 
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that leak a benchmark item."""
+    return decontaminate.drop_leaks(docs, table(spark, sf_dir, "benchmark", "item_id", "text"), keep=DOCUMENT)
+
+
+def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Encodes every document; ``round_trip`` says if decoding gives back its
+    text."""
+    model = sentencepieces.read_model(f"{TOKENIZERS}/piece_bpe_32k.model")
+    decoded = sentencepieces.decode(sentencepieces.encode(docs, model, keep_text=True), model)
+    return decoded.select("doc_id", "ids", F.size("ids").alias("n_tokens"),
+                          (F.col("decoded") == F.coalesce("t", F.lit(""))).alias("round_trip"))
+
+
 STAGES = [
     ("language_id", language_id),
     ("line_dedup", line_dedup),
     ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("sentencepiece", sentencepiece),
 ]
 
-ORACLE_SQL = None  # the stages' hashes and models are beyond SQL; tested against brute force
+ORACLE_SQL = None  # models, 64-bit hashes and alignments are beyond SQL: tested against brute force
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet").select(*DOCUMENT)
+    docs = table(spark, sf_dir, "documents", *DOCUMENT)
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
