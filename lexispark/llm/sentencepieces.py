@@ -164,36 +164,46 @@ def encode_long(model: Model, table: dict[str, tuple[int, float]], unit: str) ->
 
 
 def lattice(units: DataFrame, model: Model) -> DataFrame:
-    """(unit, edges): edges (at, id, score) of each unit, ``at`` being the
-    start times ``longest + 1`` plus the length, in ascending order."""
+    """(unit, edges): edges (at, id, weight) of each unit in ascending order;
+    ``at`` is the start times ``longest + 1`` plus the length.  The weight is
+    the score, or for a BPE model its rank (0: the first merge)."""
     spark = units.sparkSession
-    pieces = spark.createDataFrame(model.pieces, "piece string, id int, score double")
-    step = model.longest + 1
-    spans = F.flatten(F.transform(F.sequence(F.lit(0), F.length("unit") - 1), lambda a: F.transform(
-        F.sequence(F.lit(1), F.least(F.lit(model.longest), F.length("unit") - a)),
-        lambda n: F.struct((a * step + n).alias("at"), F.substring("unit", a + 1, n).alias("piece")))))
-    exploded = units.select("unit", F.explode(spans).alias("s")).select("unit", "s.at", "s.piece")
+    if model.bpe:
+        rank = {s: k for k, s in enumerate(sorted({s for _, _, s in model.pieces}, reverse=True))}
+        pieces = spark.createDataFrame([(p, i, rank[s]) for p, i, s in model.pieces], "piece string, id int, weight int")
+    else:
+        pieces = spark.createDataFrame(model.pieces, "piece string, id int, weight double")
+    numbered = units.select(F.monotonically_increasing_id().alias("row"), "unit")
+    starts = numbered.select("row", "unit", F.explode(F.sequence(F.lit(0), F.length("unit") - 1)).alias("a"))
+    spans = starts.select("row", "unit", "a", F.explode(F.sequence(
+        F.lit(1), F.least(F.lit(model.longest), F.length("unit") - F.col("a")))).alias("n"))
+    exploded = spans.select("row", "unit", (F.col("a") * (model.longest + 1) + F.col("n")).alias("at"), "n",
+                            F.substring("unit", F.col("a") + 1, F.col("n")).alias("piece"))
     joined = exploded.join(F.broadcast(pieces), "piece", "left").where(  # the vocabulary file: a fixed size
-        F.col("id").isNotNull() | (F.length("piece") == 1))
-    edge = F.when(F.col("id").isNotNull(), F.struct("at", "id", "score"))
-    return joined.groupBy("unit").agg(F.array_sort(F.collect_list(edge)).alias("edges"))
+        F.col("id").isNotNull() | (F.col("n") == 1))
+    edge = F.when(F.col("id").isNotNull(), F.struct("at", "id", "weight"))
+    return joined.groupBy("row", "unit").agg(F.sort_array(F.collect_list(edge)).alias("edges")).drop("row")
 
 
 def _edge(at: Column) -> Column:
-    """Place of the edge at ``at`` among the unit's edges, from 1; 0: none."""
-    return F.array_position("places", at)
+    """Place of the edge at ``at`` among the unit's edges, from 0; -1: none."""
+    return F.array_position("places", at).cast("int") - 1
+
+
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` evaluated once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def merge_cuts(length: Column, step: int) -> Column:
     """Fold over merges: the cuts left when no two neighbours make a piece."""
     def merge(cuts: Column, _: Column) -> Column:
-        def pair(i: Column) -> Column:
+        def pair(i: Column) -> Column:  # rank, then place, of the merge of symbols i and i + 1; null: no piece
             a, b = F.get(cuts, i), F.get(cuts, i + 2)
-            score = F.get(F.col("scores"), (_edge(a * step + b - a) - 1).cast("int"))
-            return F.struct(score.alias("score"), (-i).alias("i"))
-        pairs = F.filter(F.transform(F.sequence(F.lit(0), F.size(cuts) - 3), pair), lambda p: p["score"].isNotNull())
-        best = F.array_max(pairs)
-        return F.when(F.size(cuts) < 3, cuts).otherwise(F.filter(cuts, lambda c, j: best.isNull() | (j != 1 - best["i"])))
+            return F.get(F.col("weights"), _edge(a * step + b - a)).cast("long") * (2 * LONG) + i
+        best = F.array_min(F.transform(F.sequence(F.lit(0), F.size(cuts) - 3), pair))
+        return F.when(F.size(cuts) < 3, cuts).otherwise(_bound(
+            F.coalesce(best % (2 * LONG) + 1, F.lit(-1)), lambda mid: F.filter(cuts, lambda c, j: j != mid)))
     return F.aggregate(F.sequence(F.lit(1), F.greatest(length - 1, F.lit(1))), F.sequence(F.lit(0), length), merge)
 
 
@@ -205,32 +215,33 @@ def viterbi_cuts(length: Column, step: int, floor: float) -> Column:
 
     def further(best: Column, b: Column) -> Column:
         def edge(a: Column) -> Column:
-            own = F.get(F.col("scores"), (_edge(a * step + b - a) - 1).cast("int"))
+            own = F.get(F.col("weights"), _edge(a * step + b - a))
             own = F.coalesce(own, F.when(b - a == 1, F.lit(floor)))
             return F.struct((F.get(best, a)["score"] + own).alias("score"), (-a).alias("back"))
         starts = F.sequence(F.greatest(F.lit(0), b - step + 1), b - 1)
-        top = F.array_max(F.filter(F.transform(starts, edge), lambda e: e["score"].isNotNull()))
-        return F.concat(best, F.array(F.struct(top["score"].alias("score"), (-top["back"]).alias("start"))))
+        edges = F.filter(F.transform(starts, edge), lambda e: e["score"].isNotNull())
+        return F.concat(best, F.transform(F.array(F.array_max(edges)), lambda top: F.struct(
+            top["score"].alias("score"), (-top["back"]).alias("start"))))
 
     first = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("start"))).cast(state)
     best = F.aggregate(F.sequence(F.lit(1), length), first, lambda s, b: further(s, b).cast(state))
-    back = F.aggregate(F.reverse(F.sequence(F.lit(1), length)), F.array(length), lambda cuts, b: F.when(
-        F.get(cuts, F.lit(0)) == b, F.concat(F.array(F.get(best, b)["start"]), cuts)).otherwise(cuts))
-    return back
+    return _bound(best, lambda last: F.aggregate(
+        F.reverse(F.sequence(F.lit(1), length)), F.array(length), lambda cuts, b: F.when(
+            F.get(cuts, F.lit(0)) == b, F.concat(F.array(F.get(last, b)["start"]), cuts)).otherwise(cuts)))
 
 
 def fold(edges: DataFrame, model: Model) -> DataFrame:
     """(unit, ids) from (unit, edges)."""
     step = model.longest + 1
     floor = min((s for _, _, s in model.pieces), default=0.0) - 10
-    t = edges.select("unit", F.transform("edges", lambda e: e["at"]).alias("places"),
-                     F.transform("edges", lambda e: e["id"]).alias("ids"), F.transform("edges", lambda e: e["score"]).alias("scores"))
+    t = edges.select("unit", F.col("edges.at").alias("places"), F.col("edges.id").alias("ids"),
+                     F.col("edges.weight").alias("weights"))
     n = F.length("unit")
     t = t.withColumn("cuts", merge_cuts(n, step) if model.bpe else viterbi_cuts(n, step, floor))
 
     def symbol(k: Column) -> Column:
         a, b = F.get(F.col("cuts"), k), F.get(F.col("cuts"), k + 1)
-        known = F.get(F.col("ids"), (_edge(a * step + b - a) - 1).cast("int"))
+        known = F.get(F.col("ids"), _edge(a * step + b - a))
         if model.byte_ids is None:
             other = F.array(F.lit(model.unknown))
         else:
