@@ -23,11 +23,3 @@ def posexplode_rows(df: DataFrame, arr, pos: str, alias: str, *cols, keep_empty:
     out = df.select(*cols, F.posexplode_outer(arr).alias(pos, alias))
     return out if keep_empty else out.where(F.col(pos).isNotNull())
 
-
-def evaluate_once(df: DataFrame, expr, alias: str, *cols) -> DataFrame:
-    """(*cols, alias) with ``expr`` computed exactly once per row.
-
-    A filter on a computed column is normally pushed below the projection
-    and the expression is computed twice (once to filter, once to output).
-    Producing the value from a one-element generator stops that push-down."""
-    return df.select(*cols, F.explode_outer(F.array(expr)).alias(alias))

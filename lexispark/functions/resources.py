@@ -57,43 +57,59 @@ CONTRACTION_SUFFIXES = (
     ("'d", " would"),
 )
 
-# --- fixed values: characters whose ASCII form is more than one letter or
-# has no decomposition (the rest of the table is derived by rule below)
-TRANSLIT_MULTI = {
+# --- fixed values: ASCII forms of characters that no decomposition gives
+TRANSLIT_BASE = {
     "ß": "ss", "æ": "ae", "Æ": "AE", "œ": "oe", "Œ": "OE", "þ": "th", "Þ": "Th",
-    "…": "...", "—": "--", "«": "<<", "»": ">>",
+    "ø": "o", "Ø": "O", "đ": "d", "Đ": "D", "ł": "l", "Ł": "L", "ð": "d", "Ð": "D", "ı": "i",
+    "‘": "'", "’": "'", "‚": "'", "‛": "'", "“": '"', "”": '"', "„": '"',
+    "–": "-", "—": "--", "‐": "-", "‑": "-", "−": "-", "«": "<<", "»": ">>", "⁄": "/", "×": "x", "÷": "/",
+    "©": "(c)", "®": "(r)", "€": "EUR", "£": "GBP", "¥": "JPY", "°": "deg", "·": "*", "•": "*",
+    # Greek
+    "α": "a", "β": "b", "γ": "g", "δ": "d", "ε": "e", "ζ": "z", "η": "e", "θ": "th", "ι": "i", "κ": "k", "λ": "l", "μ": "m",
+    "ν": "n", "ξ": "x", "ο": "o", "π": "p", "ρ": "r", "σ": "s", "ς": "s", "τ": "t", "υ": "u", "φ": "ph", "χ": "kh",
+    "ψ": "ps", "ω": "o",
+    # Cyrillic
+    "а": "a", "б": "b", "в": "v", "г": "g", "д": "d", "е": "e", "ж": "zh", "з": "z", "и": "i", "к": "k", "л": "l", "м": "m",
+    "н": "n", "о": "o", "п": "p", "р": "r", "с": "s", "т": "t", "у": "u", "ф": "f", "х": "kh", "ц": "ts", "ч": "ch",
+    "ш": "sh", "щ": "shch", "ъ": "'", "ы": "y", "ь": "'", "э": "e", "ю": "iu", "я": "ia", "є": "ie", "і": "i", "ґ": "g",
 }
-TRANSLIT_SINGLE_EXTRA = {
-    "ø": "o", "Ø": "O", "đ": "d", "Đ": "D", "ł": "l", "Ł": "L", "ð": "d", "Ð": "D",
-    "ı": "i", "‘": "'", "’": "'", "‚": "'", "‛": "'", "“": '"', "”": '"', "„": '"',
-    "–": "-", "‐": "-", "‑": "-", " ": " ",
-}
-
 
-def _build_single_table() -> tuple[str, str]:
-    """Latin-1 supplement and Latin Extended-A letters -> base ASCII letter.
 
-    Rule: NFKD-decompose the character and keep it only when the
-    decomposition starts with one ASCII letter followed by combining marks.
-    """
-    src, dst = [], []
-    for cp in range(0x00C0, 0x0180):
-        ch = chr(cp)
-        if ch in TRANSLIT_MULTI or ch in TRANSLIT_SINGLE_EXTRA:
+def _ascii_form(ch: str) -> str | None:
+    """ASCII form of a character: NFKD, combining marks dropped, then each
+    letter as it is or from the table above (capitals from small letters)."""
+    out = []
+    for c in unicodedata.normalize("NFKD", ch) if ch not in TRANSLIT_BASE else ch:
+        if unicodedata.combining(c):
             continue
-        dec = unicodedata.normalize("NFKD", ch)
-        base = dec[:1]
-        rest = dec[1:]
-        if base.isascii() and base.isalpha() and all(unicodedata.combining(c) for c in rest):
-            src.append(ch)
-            dst.append(base)
-    for k, v in TRANSLIT_SINGLE_EXTRA.items():
-        src.append(k)
-        dst.append(v)
-    return "".join(src), "".join(dst)
+        if c.isascii():
+            out.append(c)
+        elif c in TRANSLIT_BASE:
+            out.append(TRANSLIT_BASE[c])
+        elif c.lower() in TRANSLIT_BASE:
+            out.append(TRANSLIT_BASE[c.lower()].capitalize())
+        else:
+            return None
+    return "".join(out) or None
+
+
+def _build_tables() -> tuple[dict[str, str], str, str]:
+    """Characters of Latin, Greek and Cyrillic, punctuation, currency, letter-like and
+    presentation forms that have an ASCII form: those that become several
+    characters, and the 1:1 table."""
+    multi, src, dst = {}, [], []
+    for first, last in ((0xA0, 0x52F), (0x1E00, 0x1FFF), (0x2000, 0x218F), (0xFB00, 0xFB06), (0xFF01, 0xFF5E)):
+        for cp in range(first, last + 1):
+            form = _ascii_form(chr(cp))
+            if form and len(form) == 1:
+                src.append(chr(cp))
+                dst.append(form)
+            elif form:
+                multi[chr(cp)] = form
+    return multi, "".join(src), "".join(dst)
 
 
-TRANSLIT_FROM, TRANSLIT_TO = _build_single_table()
+TRANSLIT_MULTI, TRANSLIT_FROM, TRANSLIT_TO = _build_tables()
 
 # Character classes shared by both engines.  Java and RE2 differ on \w, \s and
 # \b, so every pattern spells its classes out.

@@ -19,6 +19,7 @@ URL_STRICT = r"http[^" + ASCII_WS + r"]+"
 LETTER_RUN = r"([a-z])\1{2,}"
 SEGMENTS = r"[a-z']+|[^a-z']+"
 NON_ASCII = r"[^\x00-\x7F]"
+MULTI = "[" + "".join(TRANSLIT_MULTI) + "]"  # characters that become several
 PUNCT = r"[^" + WORD + WS + r"]"
 WS_RUN = r"[" + WS + r"]+"
 EDGE_WS = r"\A[" + WS + r"]+|[" + WS + r"]+\z"
@@ -41,8 +42,10 @@ def transliterate(c) -> Column:
     """multi-letter replacements, 1:1 table, then drop what is left
     outside ASCII."""
     c = col(c)
+    multi = c
     for src, dst in TRANSLIT_MULTI.items():
-        c = F.replace(c, F.lit(src), F.lit(dst))
+        multi = F.replace(multi, F.lit(src), F.lit(dst))
+    c = F.when(c.rlike(MULTI), multi).otherwise(c)
     c = F.translate(c, TRANSLIT_FROM, TRANSLIT_TO)
     return F.regexp_replace(c, NON_ASCII, "")
 
@@ -162,14 +165,9 @@ def word_tokens(c) -> Column:
     return compose(c, WORD_TOKEN_STEPS)
 
 
-def stem_word(w: Column) -> Column:
-    """drop one final ``s`` unless the word ends in ``ss``."""
-    return F.regexp_extract(w, STEM, 1)
-
-
 def stem_text(c) -> Column:
     """F10 on every whitespace-separated word at once: a final ``s`` not
-    preceded by ``s`` goes (same result as ``stem_word`` per word)."""
+    preceded by ``s`` goes."""
     return F.regexp_replace(col(c), STEM_TEXT, "")
 
 

@@ -6,66 +6,54 @@ score(d,c) = ln(n_c/n) + sum_t w(d,t) ln theta(c,t)
 The score splits into a class constant, a per-document total weight and a
 sum over the terms the document shares with class c:
   score = ln(n_c/n) - W_d ln(T_c + |V|) + sum_t w(d,t) ln(cnt_c(t) + 1)
-(alpha = 1, so terms absent from class c add ln 1 = 0), so scoring is one equi-join on term and one aggregate per document; there is
-no document x class cross product.  Classes form a bounded dimension."""
+(alpha = 1, so terms absent from class c add ln 1 = 0).  Scoring is one
+equi-join on term and one aggregate per document; the class constants are one
+row with an array a class, and there is no document x class product.  Rows
+without a label are not trained on."""
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .features import MAX_BROADCAST_TERMS
+from .metrics import argmax
 
 
-def fit(train_w: DataFrame, labels: DataFrame, n_classes: int, vocab_size: int,
-        id_col: str = "doc_id") -> tuple[DataFrame, dict]:
-    """Returns (class_terms(label, term, cnt, log_theta), class constants).
+def fit(train_w: DataFrame, labels: DataFrame, vocab_size: int, id_col: str = "doc_id") -> tuple[DataFrame, DataFrame]:
+    """Returns (class_terms(label, term, cnt, log_theta), classes(label, n_c,
+    tot, log_prior, log_denom)).
 
     ``train_w`` is (id, label, term, weight); ``labels`` is (id, label) over
     every training document, also those without in-vocabulary terms (they
-    still count in the prior)."""
-    ct = train_w.groupBy("label", "term").agg(F.sum("weight").alias("cnt"))
-    tot = {r["label"]: r["tot"] for r in ct.groupBy("label").agg(F.sum("cnt").alias("tot")).collect()}
-    nc = {r["label"]: r["count"] for r in labels.groupBy("label").count().collect()}
-    if len(nc) > n_classes:
-        raise ValueError("more labels than classes")
-    n = sum(nc.values())
-    consts = {c: {"n_c": nc.get(c, 0), "tot": tot.get(c, 0.0), "vocab_size": vocab_size,
-                  "log_prior": math.log(nc[c] / n) if nc.get(c) else -math.inf,
-                  "log_denom": math.log(tot.get(c, 0.0) + vocab_size)}
-              for c in range(n_classes)}
-    denom = F.create_map(*[x for c in range(n_classes) for x in (F.lit(c), F.lit(consts[c]["log_denom"]))])
-    ct = ct.withColumn("log_theta", F.log(F.col("cnt") + 1.0) - F.element_at(denom, F.col("label")))
-    return ct, consts
-
-
-def predict(weights: DataFrame, docs: DataFrame, class_terms: DataFrame, consts: dict,
+    still count in the prior).  Rows with a null label are left out."""
+    ct = (train_w.where(F.col("label").isNotNull()).groupBy("label", "term").agg(F.sum("weight").alias("cnt"))).checkpoint()
+    tot = ct.groupBy("label").agg(F.sum("cnt").alias("tot"))
+    per = labels.where(F.col("label").isNotNull()).groupBy("label").agg(F.count(F.lit(1)).alias("n_c"))
+    n = F.lit(float(labels.where(F.col("label").isNotNull()).count()))
+    classes = per.join(tot, "label", "left").select(
+        "label", "n_c", F.coalesce("tot", F.lit(0.0)).alias("tot"), F.log(F.col("n_c") / n).alias("log_prior"),
+        F.log(F.coalesce("tot", F.lit(0.0)) + F.lit(float(vocab_size))).alias("log_denom")).checkpoint()
+    ct = ct.join(classes.select("label", "log_denom"), "label").select(
+        "label", "term", "cnt", (F.log(F.col("cnt") + 1.0) - F.col("log_denom")).alias("log_theta"))
+    return ct, classes
+
+
+def predict(weights: DataFrame, docs: DataFrame, class_terms: DataFrame, classes: DataFrame,
             id_col: str = "doc_id") -> DataFrame:
-    """(id, pred, scores) for every row of ``docs`` (id column only needed).
-
-    class_terms is pivoted to one row per term with one column per class,
-    joined once to the document weights, and summed per document."""
-    k = len(consts)
-    per_term = (class_terms.groupBy("term").pivot("label", list(range(k)))
-                           .agg(F.first(F.log(F.col("cnt") + 1.0))))
-    per_term = per_term.select("term", *[F.coalesce(F.col(str(c)), F.lit(0.0)).alias(f"b{c}") for c in range(k)])
-    # one row per vocabulary term: broadcast behind the counted vocabulary size
-    vocab_size = next(iter(consts.values()))["vocab_size"] if consts else 0
-    per_term = F.broadcast(per_term) if vocab_size <= MAX_BROADCAST_TERMS else per_term
+    """(id, scores, pred) for every row of ``docs`` (id column only needed);
+    ``scores`` is in label order, ``pred`` the label of the best (the lowest
+    on ties)."""
+    rows = classes.orderBy("label").collect()  # one row a class
+    per_term = class_terms.groupBy("term").agg(F.collect_list(F.struct("label", F.log(F.col("cnt") + 1.0).alias("v"))).alias("vs"))
     j = weights.select(id_col, "term", "weight").join(per_term, "term", "left")
-    sums = j.groupBy(id_col).agg(F.sum("weight").alias("W"),
-                                 *[F.sum(F.col("weight") * F.coalesce(F.col(f"b{c}"), F.lit(0.0))).alias(f"s{c}")
-                                   for c in range(k)])
-    d = docs.select(id_col).join(sums, id_col, "left")
-    scores = F.array(*[
-        (F.lit(consts[c]["log_prior"]) + F.coalesce(F.col(f"s{c}"), F.lit(0.0))
-         - F.coalesce(F.col("W"), F.lit(0.0)) * F.lit(consts[c]["log_denom"]))
-        for c in range(k)])
-    return d.select(id_col, scores.alias("scores")).withColumn("pred", argmax(F.col("scores")))
-
-
-def argmax(arr) -> F.Column:
-    """Index of the largest value, lowest index on ties (0-based)."""
-    return (F.array_position(arr, F.array_max(arr)) - 1).cast("int")
+    total = weights.groupBy(id_col).agg(F.sum("weight").alias("W"))
+    shared = (j.select(id_col, "weight", F.explode("vs").alias("x"))
+              .groupBy(id_col, "x.label").agg(F.sum(F.col("weight") * F.col("x.v")).alias("s"))
+              .groupBy(id_col).agg(F.map_from_entries(F.collect_list(F.struct("label", "s"))).alias("m")))
+    d = docs.select(id_col).join(total, id_col, "left").join(shared, id_col, "left")
+    consts = F.array(*[F.struct(F.lit(r["label"]).alias("c"), F.lit(r["log_prior"]).alias("p"),
+                                F.lit(r["log_denom"]).alias("q")) for r in rows])
+    w = F.coalesce("W", F.lit(0.0))
+    scores = F.transform(consts, lambda c: c["p"] + F.coalesce(F.try_element_at("m", c["c"]), F.lit(0.0)) - w * c["q"])
+    label = F.get(F.array(*[F.lit(r["label"]) for r in rows]), argmax(F.col("scores")))
+    return d.select(id_col, scores.alias("scores")).withColumn("pred", label)

@@ -34,23 +34,11 @@ def fit_idf(tf: DataFrame, n_docs: int) -> DataFrame:
               .withColumn("idf", F.log((F.lit(1.0) + n_docs) / (F.col("df") + 1.0)) + 1.0))
 
 
-MAX_BROADCAST_TERMS = 2_000_000   # ~100 MB of (term, idf) rows
-
-
-def small_side(df: DataFrame, n_rows: int, limit: int = MAX_BROADCAST_TERMS) -> DataFrame:
-    """Broadcast a vocabulary-sized table only when its counted size is
-    under the limit; above it the join stays a shuffle join."""
-    return F.broadcast(df) if n_rows <= limit else df
-
-
-def tfidf(tf: DataFrame, idf: DataFrame, id_col: str = "doc_id", vocab_size: int | None = None) -> DataFrame:
+def tfidf(tf: DataFrame, idf: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """J5 + M2: inner join on the training vocabulary (unseen terms drop
     out before the norm), weight, L2 normalise per document (a window, so
     no join back)."""
-    v = idf.select("term", "idf")
-    if vocab_size is not None:
-        v = small_side(v, vocab_size)
-    w = tf.join(v, "term", "inner").withColumn("w", F.col("tf") * F.col("idf"))
+    w = tf.join(idf.select("term", "idf"), "term", "inner").withColumn("w", F.col("tf") * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(id_col)))
     return w.withColumn("weight", F.col("w") / norm).drop("w", "idf")
 
@@ -59,11 +47,13 @@ def tfidf_fit_transform(docs: DataFrame, train_flag, terms_col: str = "terms",
                         id_col: str = "doc_id", keep: list[str] | None = None):
     """Fit on the rows where ``train_flag`` holds, transform all rows.
 
+    The counts are made once, with the documents already partitioned by id,
+    and checkpointed; IDF, its size and the weights all come from them.
     Returns (weights(id, *keep, term, tf, weight), idf(term, df, idf), n_train)."""
     keep = keep or []
     flagged = docs.withColumn("_train", train_flag)
-    tf = term_counts(doc_terms(flagged, terms_col, id_col, keep + ["_train"]), id_col, keep + ["_train"])
+    rows = flagged.select(id_col, *keep, "_train", terms_col).repartition(id_col)
+    tf = term_counts(doc_terms(rows, terms_col, id_col, keep + ["_train"]), id_col, keep + ["_train"]).checkpoint()
     n_train = flagged.where(F.col("_train")).count()
-    idf = fit_idf(tf.where(F.col("_train")), n_train)
-    vocab_size = idf.count()
-    return tfidf(tf, idf, id_col, vocab_size), idf, n_train
+    idf = fit_idf(tf.where(F.col("_train")), n_train).checkpoint()
+    return tfidf(tf.drop("_train"), idf, id_col), idf, n_train

@@ -1,38 +1,46 @@
-"""Label encoding (J1) with an explicit, size-checked class dimension."""
+"""Label encoding (J1): a class dimension as a table, and a left join to it."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_CLASSES = 10_000
+BROADCAST_ROWS = 100_000  # counted rows of a dimension up to which it is broadcast
+SALTS = 16
 
 
-def class_list(df: DataFrame, class_col: str, max_classes: int = MAX_CLASSES) -> list[str]:
-    """Distinct non-null classes, sorted.  The list is collected only after
-    checking that it is small (a class dimension, not data)."""
-    rows = (df.select(class_col).where(F.col(class_col).isNotNull()).distinct()
-              .limit(max_classes + 1).collect())
-    if len(rows) > max_classes:
-        raise ValueError(f"{class_col} has more than {max_classes} classes")
-    return sorted(r[0] for r in rows)
+def attach(df: DataFrame, dim: DataFrame, keys: list[str]) -> DataFrame:
+    """``df`` left-joined (null-safe) to a dimension with one row a key.
 
+    The dimension is computed once and counted: within BROADCAST_ROWS it is
+    broadcast, so the rows of ``df`` don't move; a larger one is joined by a
+    shuffle, the rows of each key dealt over SALTS keys."""
+    dim = dim.checkpoint()
+    named = dim.select(*[F.col(k).alias(f"__{k}") for k in keys], *[c for c in dim.columns if c not in keys])
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    if dim.count() <= BROADCAST_ROWS:
+        out = df.join(F.broadcast(named), same, "left")
+    else:
+        salted = named.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        left = df.withColumn("__part", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
+        out = left.join(salted, same & (F.col("__part") == F.col("__salt")), "left").drop("__part", "__salt")
+    return out.drop(*[f"__{k}" for k in keys])
 
-def class_dimension(df: DataFrame, class_col: str, classes: list | None = None) -> dict:
-    """class -> label id.  Default order is alphabetical (the reference's
-    ``enumerate(set(...))`` order changes per process)."""
-    classes = classes if classes is not None else class_list(df, class_col)
-    return {c: i for i, c in enumerate(classes)}
 
-
-def label_expr(class_col: str, dim: dict):
-    """Lookup in a literal map: the broadcast of a bounded dimension, with no
-    join operator at all.  Unknown classes give null (counted, not raised)."""
-    m = F.create_map(*[x for k, v in dim.items() for x in (F.lit(k), F.lit(v))])
-    return F.try_element_at(m, F.col(class_col)).cast("int")
+def class_dimension(df: DataFrame, class_col: str, classes: list | None = None, label_col: str = "label") -> DataFrame:
+    """(class_col, label): label ids from 0 in alphabetical order (the
+    reference's ``enumerate(set(...))`` order changes per process), or in the
+    order of ``classes``.  The window runs over distinct classes only."""
+    if classes is not None:
+        return df.sparkSession.createDataFrame([(c, i) for i, c in enumerate(classes)], f"{class_col} string, {label_col} int")
+    found = df.select(class_col).where(F.col(class_col).isNotNull()).distinct()
+    return found.withColumn(label_col, (F.row_number().over(Window.orderBy(class_col)) - 1).cast("int"))
 
 
 def label_encode(df: DataFrame, class_col: str, classes: list | None = None,
                  label_col: str = "label") -> DataFrame:
-    dim = class_dimension(df, class_col, classes)
-    return df.withColumn(label_col, label_expr(class_col, dim))
+    """``df`` with the label id; classes that the dimension doesn't have, and
+    null, get null."""
+    return attach(df, class_dimension(df, class_col, classes, label_col), [class_col])

@@ -10,9 +10,21 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def logits(vec_col: str, k: int) -> F.Column:
-    """First k values of a vector column as doubles."""
-    return F.transform(F.slice(F.col(vec_col), 1, k), lambda x: x.cast("double"))
+def centroids(df: DataFrame, vec_col: str, label_col: str) -> list[tuple]:
+    """(class, mean vector) of each class, in class order: one value a class
+    and dimension reaches the driver."""
+    cells = df.where(F.col(label_col).isNotNull()).select(F.col(label_col).alias("c"), F.posexplode(vec_col).alias("i", "x"))
+    means = cells.groupBy("c", "i").agg(F.avg(F.col("x").cast("double")).alias("m"))
+    rows = means.groupBy("c").agg(F.sort_array(F.collect_list(F.struct("i", "m"))).alias("v")).orderBy("c").collect()
+    return [(r["c"], [x["m"] for x in r["v"]]) for r in rows]
+
+
+def logits(vec_col: str, means: list[tuple]) -> F.Column:
+    """Scores of a vector: its dot product with each class's mean."""
+    v = F.transform(F.col(vec_col), lambda x: x.cast("double"))
+    dot = lambda m: F.aggregate(F.zip_with(v, F.array(*[F.lit(x) for x in m]), lambda x, y: x * y),
+                                F.lit(0.0), lambda s, x: s + x)
+    return F.array(*[dot(m) for _, m in means])
 
 
 def argmax(arr: F.Column) -> F.Column:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..functions.arrays import explode_rows, posexplode_rows
+from ..functions.arrays import posexplode_rows
 from ..functions.resources import STOPWORDS_EN
 
 MARK = "\u0001"
@@ -34,21 +34,20 @@ def phrase_arrays(text, stopwords=STOPWORDS_EN):
 
 
 def rake_phrases(df: DataFrame, text_col: str = "text", id_col: str = "doc_id",
-                 keep: list[str] | None = None, stopwords=STOPWORDS_EN,
-                 prepartitioned: bool = False) -> DataFrame:
+                 keep: list[str] | None = None, stopwords=STOPWORDS_EN) -> DataFrame:
     """(id, *keep, rank, phrase, n_words, score): every phrase of every
     document, best first (score desc, phrase desc)."""
     keep = keep or []
-    docs = df.select(id_col, *keep, text_col)
-    if not prepartitioned:
-        docs = docs.repartition(id_col)
+    docs = df.select(id_col, *keep, text_col).repartition(id_col)
     ph = posexplode_rows(docs, phrase_arrays(F.col(text_col), stopwords), "pidx", "phrase", id_col, *keep)
     ph = ph.withColumn("words", F.split("phrase", " ", -1)).withColumn("n_words", F.size("words").cast("long"))
-    words = explode_rows(ph, F.col("words"), "word", id_col, *keep, "pidx", "phrase", "n_words")
+    # the phrase itself goes with its first word only, so the exploded rows stay linear in the text
+    words = posexplode_rows(ph, F.col("words"), "widx", "word", id_col, *keep, "pidx", "phrase", "n_words").withColumn(
+        "phrase", F.when(F.col("widx") == 0, F.col("phrase")))
     ww = Window.partitionBy(id_col, "word")
     scored = words.withColumn("wscore", F.sum("n_words").over(ww) / F.count(F.lit(1)).over(ww))
-    phrases = (scored.groupBy(id_col, *keep, "pidx", "phrase", "n_words")
-                     .agg(F.sum("wscore").alias("score")))
+    phrases = (scored.groupBy(id_col, *keep, "pidx", "n_words")
+                     .agg(F.sum("wscore").alias("score"), F.max("phrase").alias("phrase")))
     wr = Window.partitionBy(id_col).orderBy(F.round("score", 9).desc(), F.col("phrase").desc())
     return phrases.select(id_col, *keep, F.row_number().over(wr).cast("long").alias("rank"),
                           "phrase", "n_words", "score")

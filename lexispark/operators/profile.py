@@ -13,7 +13,8 @@ def class_distribution(df: DataFrame, class_col: str, text_col: str = "text") ->
     the text so the shuffle carries 32-byte keys, not whole texts."""
     return (df.groupBy(F.col(class_col).alias("class"))
               .agg(F.count(F.lit(1)).alias("n_docs"),
-                   F.countDistinct(F.md5(F.col(text_col))).alias("n_distinct_texts")))
+                   F.countDistinct(F.md5(F.col(text_col))).alias("n_distinct_texts"))
+              .orderBy(F.desc("n_docs"), "class"))
 
 
 def class_pair_counts(df: DataFrame, a: str, b: str) -> DataFrame:

@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from ..sources.tables import read_written, write_table
 
-TOPK_MAX = 100_000          # slices ending before this use a top-k sort
 ROWS_PER_BUCKET = 200_000   # target bucket size of the two-phase rank
 MAX_BUCKETS = 65_536
 
@@ -49,8 +48,9 @@ def numeric_buckets(df: DataFrame, key: str, out: str = "_bucket") -> DataFrame:
     splits = [-float("inf")] + qs + [float("inf")]
     tmp = f"{out}_k"
     bz = Bucketizer(splits=splits, inputCol=tmp, outputCol=out, handleInvalid="keep")
+    # null keys come first, in a bucket of their own
     return (bz.transform(df.withColumn(tmp, F.col(key).cast("double")))
-              .drop(tmp).withColumn(out, F.col(out).cast("long")))
+              .drop(tmp).withColumn(out, F.when(F.col(key).isNull(), F.lit(-1)).otherwise(F.col(out)).cast("long")))
 
 
 def rank_in_buckets(df: DataFrame, order: list, bucket: str = "_bucket",
@@ -67,11 +67,11 @@ def rank_in_buckets(df: DataFrame, order: list, bucket: str = "_bucket",
         offsets.append((r[0], run))
         run += r[1]
     spark = df.sparkSession
-    off = spark.createDataFrame(offsets, f"{bucket} long, _offset long")
+    off = spark.createDataFrame(offsets, "_of long, _offset long")
     w = Window.partitionBy(bucket).orderBy(*order)
-    return (df.join(F.broadcast(off), bucket, "left")
+    return (df.join(F.broadcast(off), F.col(bucket).eqNullSafe(F.col("_of")), "left")
               .withColumn(out, (F.col("_offset") + F.row_number().over(w)).cast("long"))
-              .drop("_offset"))
+              .drop("_of", "_offset"))
 
 
 def global_rank(df: DataFrame, key: str, out: str = "rn") -> DataFrame:
@@ -89,22 +89,18 @@ def hash_rank(df: DataFrame, key_col: str, out: str = "rn") -> DataFrame:
 
 def row_slice(df: DataFrame, key: str, start: int, end: int) -> DataFrame:
     """``.loc[start:end]`` by position in ``key`` order, both ends
-    included (0-based positions in ``pos``).  Short prefixes use a top-k
-    sort (each task keeps end+1 rows); others the two-phase rank."""
+    included (0-based positions in ``pos``; null keys first), from the
+    two-phase rank."""
     if end < start:
         return df.limit(0).withColumn("pos", F.lit(0).cast("long"))
-    if end + 1 <= TOPK_MAX:
-        top = df.orderBy(F.col(key)).limit(end + 1)
-        w = Window.orderBy(F.col(key))   # over at most TOPK_MAX rows
-        ranked = top.withColumn("pos", (F.row_number().over(w) - 1).cast("long"))
-    else:
-        ranked = global_rank(df, key, "pos").withColumn("pos", F.col("pos") - 1)
+    ranked = global_rank(df, key, "pos").withColumn("pos", F.col("pos") - 1)
     return ranked.where(F.col("pos").between(start, end))
 
 
 def head(df: DataFrame, key: str, n: int) -> DataFrame:
-    """P10: first n rows in key order."""
-    return row_slice(df, key, 0, n - 1)
+    """P10: first n rows in key order (a top-k sort: each task keeps n)."""
+    top = df.orderBy(F.col(key)).limit(n)
+    return top.withColumn("pos", (F.row_number().over(Window.orderBy(F.col(key))) - 1).cast("long"))
 
 
 def with_chunks(df: DataFrame, key: str, chunk_rows: int = 1000) -> DataFrame:
@@ -114,8 +110,9 @@ def with_chunks(df: DataFrame, key: str, chunk_rows: int = 1000) -> DataFrame:
 
 
 def chunked_union(df: DataFrame, key: str, chunk_rows: int = 1000, path: str | None = None) -> DataFrame:
-    """Write one folder per chunk, then read the whole directory back
-    as one table (each chunk exactly once)."""
+    """Write the chunks, then read the whole directory back as one
+    table (each chunk exactly once).  A chunk lies in one file, next to its
+    neighbours; the number of files follows the size of the data."""
     path = path or scratch_path(df.sparkSession, "chunks")
-    write_table(with_chunks(df, key, chunk_rows), path, partition_by=["chunk"])
+    write_table(with_chunks(df, key, chunk_rows).repartitionByRange("chunk").sortWithinPartitions("chunk"), path)
     return read_written(df.sparkSession, path)

@@ -2,8 +2,8 @@
 
 A corpus vocabulary gives every distinct token an id (ordered by md5 of the
 token, ranked with the two-phase rank, so no single-task sort); documents
-are cut to the first ``max_len - 2`` tokens *before* any join, mapped to ids
-with one join, and rebuilt in position order."""
+are cut to the first ``max_len - 2`` tokens *before* any join, and their
+distinct tokens mapped to ids with one join."""
 
 from __future__ import annotations
 
@@ -11,21 +11,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..functions.arrays import posexplode_rows
-from .rank import hash_key, hash_rank
+from ..functions.arrays import explode_rows
+from .rank import global_rank, hash_key, hash_rank
 
 # fixed values: special token ids
 PAD, CLS, SEP, UNK = 0, 1, 2, 3
 FIRST_ID = 4
 
 
-def seq_tokens(text) -> F.Column:
-    """Word tokens of the lower-cased text (punctuation removed)."""
-    return T.word_tokens(F.lower(text))
-
-
 def with_seq_tokens(df: DataFrame, text_col: str, out: str) -> DataFrame:
-    """``seq_tokens`` staged one projection per step (see ``apply_steps``)."""
+    """Word tokens of the lower-cased text (punctuation removed), one
+    projection per step (see ``apply_steps``)."""
     return T.apply_steps(df, text_col, out, [F.lower] + T.WORD_TOKEN_STEPS)
 
 
@@ -38,14 +34,20 @@ def vocabulary(tokens: DataFrame, term_col: str = "token") -> DataFrame:
     return r.select("token", (F.col("_rn") + (FIRST_ID - 1)).cast("int").alias("id"))
 
 
-def _ids_per_doc(df: DataFrame, tokens_col, vocab: DataFrame, id_col: str, max_tokens: int,
-                 keep: list[str]) -> DataFrame:
-    """(id, *keep, ids array<int>) of the first max_tokens tokens."""
-    cut = posexplode_rows(df, F.slice(tokens_col, 1, max_tokens), "pos", "token", id_col, *keep, keep_empty=True)
-    j = cut.join(vocab, "token", "left")
-    item = F.when(F.col("pos").isNotNull(), F.struct("pos", F.coalesce("id", F.lit(UNK)).alias("id")))
-    g = j.groupBy(id_col, *keep).agg(F.array_sort(F.collect_list(item)).alias("_t"))
-    return g.select(id_col, *keep, F.transform("_t", lambda x: x["id"]).alias("ids"))
+def token_ids(df: DataFrame, cols: list[str], vocab: DataFrame, id_cols: list[str]) -> DataFrame:
+    """``df`` with its token array columns ``cols`` replaced by id arrays.
+
+    Only a row's distinct tokens meet the vocabulary (one join for all of the
+    columns); the ids come back as a map of the row."""
+    every = F.array_distinct(F.concat(*[F.coalesce(F.col(c), F.array().cast("array<string>")) for c in cols]))
+    own = explode_rows(df, every, "token", *id_cols)
+    maps = own.join(vocab, "token").groupBy(*id_cols).agg(
+        F.map_from_entries(F.collect_set(F.struct("token", "id"))).alias("_m"))
+    out = df.join(maps, id_cols, "left")
+    for c in cols:
+        out = out.withColumn(c, F.transform(F.coalesce(F.col(c), F.array().cast("array<string>")),
+                                            lambda t: F.coalesce(F.try_element_at("_m", t), F.lit(UNK))))
+    return out.drop("_m")
 
 
 def pack_sequences(df: DataFrame, vocab: DataFrame, tokens_col: str = "tokens", id_col: str = "doc_id",
@@ -53,7 +55,8 @@ def pack_sequences(df: DataFrame, vocab: DataFrame, tokens_col: str = "tokens",
     """(id, input_ids, attention_mask, n_tokens) with CLS/SEP markers,
     from a column of tokens (``with_seq_tokens``)."""
     keep = keep or []
-    ids = _ids_per_doc(df, F.col(tokens_col), vocab, id_col, max_len - 2, keep)
+    cut = df.select(id_col, *keep, F.slice(tokens_col, 1, max_len - 2).alias("ids"))
+    ids = token_ids(cut, ["ids"], vocab, [id_col])
     full = F.concat(F.array(F.lit(CLS)), F.col("ids"), F.array(F.lit(SEP)))
     return (ids.withColumn("input_ids", full)
                .withColumn("n_tokens", F.size("input_ids").cast("long"))
@@ -75,10 +78,10 @@ def pair_budget(la: F.Column, lb: F.Column, budget: int):
 
 
 def pack_pairs(pairs: DataFrame, vocab: DataFrame, id_cols: list[str], max_len: int = 150) -> DataFrame:
-    """Pairs (id_cols, a_ids, b_ids) -> input_ids, token_type_ids.
-
-    ``pairs`` holds the two id arrays already (see ``ids_for``)."""
+    """Pairs (id_cols, a, b) of token arrays -> input_ids, token_type_ids."""
     budget = max_len - 3
+    pairs = token_ids(pairs.select(*id_cols, F.slice("a", 1, budget).alias("a_ids"), F.slice("b", 1, budget).alias("b_ids")),
+                      ["a_ids", "b_ids"], vocab, id_cols)
     la, lb = F.size("a_ids"), F.size("b_ids")
     na, nb = pair_budget(la, lb, budget)
     p = pairs.withColumn("_na", na).withColumn("_nb", nb)
@@ -89,24 +92,25 @@ def pack_pairs(pairs: DataFrame, vocab: DataFrame, id_cols: list[str], max_len:
                     F.size(ids).cast("long").alias("n_tokens"))
 
 
-def ids_for(df: DataFrame, vocab: DataFrame, tokens_col: str, id_cols: list[str], max_tokens: int) -> DataFrame:
-    """(id_cols, ids) for a token column, at most ``max_tokens`` ids."""
-    k = "_row"
-    keyed = df.withColumn(k, F.struct(*id_cols))
-    out = _ids_per_doc(keyed, F.col(tokens_col), vocab, k, max_tokens, [])
-    return out.select(*[F.col(f"{k}.{c}").alias(c) for c in id_cols], "ids")
-
-
-def pack_batches(seqs: DataFrame, id_col: str = "doc_id", batch_size: int = 4, seed="15") -> DataFrame:
-    """Seeded shuffle order, batch = floor((rank-1)/size),
-    pad each sequence to the longest in its batch, mask the padding."""
-    order = seqs.withColumn("_k", hash_key(id_col, seed))
-    ranked = hash_rank(order, "_k", "_rn")
+def pack_batches(seqs: DataFrame, id_col: str = "doc_id", batch_size: int = 4, seed="15",
+                 split_col: str = "split", shuffled: str = "train", ordered: tuple = ("valid", "test")) -> DataFrame:
+    """N3/N4/W4/W5, per split: the ``shuffled`` part in seeded order, the
+    others by id; batch = floor((rank-1)/size); each sequence padded to the
+    longest of its batch, the padding masked.
+
+    Ranks and batch maxima are made on (id, split, length) rows; the id
+    arrays are joined to them once."""
+    narrow = seqs.select(id_col, split_col, "n_tokens").checkpoint()
+    parts = [hash_rank(narrow.where(F.col(split_col) == shuffled).withColumn("_k", hash_key(id_col, seed)), "_k", "_rn").drop("_k")]
+    parts += [global_rank(narrow.where(F.col(split_col) == s), id_col, "_rn") for s in ordered]
+    ranked = parts[0]
+    for p in parts[1:]:
+        ranked = ranked.unionByName(p)
     b = ranked.withColumn("batch", F.floor((F.col("_rn") - 1) / batch_size).cast("long"))
-    m = F.max("n_tokens").over(Window.partitionBy("batch"))
-    b = b.withColumn("_m", m.cast("int"))
+    b = b.withColumn("_m", F.max("n_tokens").over(Window.partitionBy(split_col, "batch")).cast("int"))
+    b = b.select(id_col, split_col, "batch", "_rn", "_m").join(seqs.select(id_col, "input_ids"), id_col)
     pad = F.col("_m") - F.size("input_ids")
-    return b.select(id_col, "batch", F.col("_rn").cast("long").alias("position"),
+    return b.select(id_col, split_col, "batch", F.col("_rn").cast("long").alias("position"),
                     F.concat("input_ids", F.array_repeat(F.lit(PAD), pad)).alias("input_ids"),
                     F.concat(F.array_repeat(F.lit(1), F.size("input_ids")),
                              F.array_repeat(F.lit(0), pad)).alias("attention_mask"))

@@ -2,87 +2,52 @@
 
 Rows are ordered by ``md5(seed-id)``; the test part is the first
 ``ceil(p*n)`` rows (per stratum if asked).  Instead of ranking every row,
-the k-th smallest key is found from a histogram of the key's leading hex
-digits (a bounded table) plus a sort of the one boundary bucket per
-stratum.  The split itself is then a narrow comparison with a threshold:
-no shuffle of the data at all."""
+the k-th smallest key of each stratum is found from a histogram of the keys'
+leading hex digits (map-side counts), a running sum over it, and a rank inside
+the one bucket that holds the boundary.  All of it stays in tables with a row
+a stratum or a bucket, whatever their number; the split itself is a comparison
+with the stratum's threshold."""
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .labels import attach
 from .rank import hash_key, hex_bucket
 
 HIST_BITS = 16
-MAX_HIST_ROWS = 2_000_000
 
 
-def _thresholds(df: DataFrame, key: str, p: float, strata: list[str]) -> dict:
-    """stratum tuple -> largest key inside the first ceil(p*n_stratum) rows
-    (None when that count is 0)."""
+def thresholds(df: DataFrame, key: str, p: float, strata: list[str]) -> DataFrame:
+    """(*strata, _thr): the largest key inside the first ceil(p*n) rows of
+    each stratum (no row where that count is 0)."""
     b = df.select(*strata, key, hex_bucket(F.col(key), HIST_BITS).alias("_b"))
-    hist = b.groupBy(*strata, "_b").count().limit(MAX_HIST_ROWS + 1).collect()
-    if len(hist) > MAX_HIST_ROWS:
-        raise ValueError("too many strata for an exact split")
-    by_stratum: dict = {}
-    for r in hist:
-        by_stratum.setdefault(tuple(r[s] for s in strata), []).append((r["_b"], r["count"]))
-    targets = {}
-    for s, rows in by_stratum.items():
-        n = sum(c for _, c in rows)
-        k = math.ceil(p * n)
-        if k <= 0:
-            targets[s] = None
-            continue
-        run = 0
-        for bucket, c in sorted(rows):
-            if run + c >= k:
-                targets[s] = (bucket, k - run)
-                break
-            run += c
-    need = {s: t for s, t in targets.items() if t is not None}
-    out = {s: None for s in targets}
-    if not need:
-        return out
-    # one small job: sort only the boundary bucket of each stratum
-    cond = None
-    for s, (bucket, _) in need.items():
-        c = F.col("_b") == bucket
-        for name, v in zip(strata, s):
-            c = c & (F.col(name).isNull() if v is None else (F.col(name) == v))
-        cond = c if cond is None else (cond | c)
-    w = Window.partitionBy(*strata, "_b").orderBy(key)
-    ranked = b.where(cond).withColumn("_r", F.row_number().over(w))
-    picks = {}
-    for s, (bucket, r) in need.items():
-        picks[(s, bucket)] = r
-    want = None
-    for (s, bucket), r in picks.items():
-        c = (F.col("_b") == bucket) & (F.col("_r") == r)
-        for name, v in zip(strata, s):
-            c = c & (F.col(name).isNull() if v is None else (F.col(name) == v))
-        want = c if want is None else (want | c)
-    for row in ranked.where(want).select(*strata, key).collect():
-        out[tuple(row[s] for s in strata)] = row[key]
-    return out
+    hist = b.groupBy(*strata, "_b").agg(F.count(F.lit(1)).alias("_c"))
+    whole = Window.partitionBy(*strata)  # a stratum has 2**HIST_BITS buckets at most
+    before = whole.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    k = F.ceil(F.lit(p) * F.sum("_c").over(whole))
+    cum = hist.withColumn("_k", k).withColumn("_before", F.coalesce(F.sum("_c").over(before), F.lit(0)))
+    bound = cum.where((F.col("_before") < F.col("_k")) & (F.col("_k") <= F.col("_before") + F.col("_c"))).select(
+        *[F.col(s).alias(f"_s{i}") for i, s in enumerate(strata)], F.col("_b").alias("_bb"),
+        (F.col("_k") - F.col("_before")).alias("_r"))
+    same = F.col("_b") == F.col("_bb")
+    for i, s in enumerate(strata):
+        same = same & F.col(s).eqNullSafe(F.col(f"_s{i}"))
+    edge = b.join(bound, same).select(*strata, "_b", key, "_r")
+    place = F.row_number().over(Window.partitionBy(*strata, "_b").orderBy(key))
+    return edge.withColumn("_p", place).where(F.col("_p") == F.col("_r")).select(*strata, F.col(key).alias("_thr"))
 
 
-def _first_k_flag(df: DataFrame, key: str, p: float, strata: list[str]) -> F.Column:
-    """True for rows inside the first ceil(p*n) of their stratum."""
-    th = _thresholds(df, key, p, strata)
+def flag_first(df: DataFrame, key: str, p: float, strata: list[str], out: str) -> DataFrame:
+    """``df`` with boolean ``out``: inside the first ceil(p*n) rows of the
+    stratum."""
+    thr = thresholds(df, key, p, strata)
     if not strata:
-        t = th.get(())
-        return F.lit(False) if t is None else (F.col(key) <= F.lit(t))
-    c = F.col(strata[0])
-    known = [(s[0], t) for s, t in th.items() if s[0] is not None and t is not None]
-    by_class = (F.try_element_at(F.create_map(*[x for k, t in known for x in (F.lit(k), F.lit(t))]), c)
-                if known else F.lit(None).cast("string"))
-    null_t = th.get((None,))
-    thr = F.when(c.isNull(), F.lit(null_t).cast("string")).otherwise(by_class)
-    return F.coalesce(F.col(key) <= thr, F.lit(False))
+        row = thr.first()
+        return df.withColumn(out, F.lit(False) if row is None else F.coalesce(F.col(key) <= F.lit(row["_thr"]), F.lit(False)))
+    flagged = attach(df, thr, strata)
+    return flagged.withColumn(out, F.coalesce(F.col(key) <= F.col("_thr"), F.lit(False))).drop("_thr")
 
 
 def exact_split(df: DataFrame, id_col: str = "doc_id", test_p: float = 0.1,
@@ -93,14 +58,23 @@ def exact_split(df: DataFrame, id_col: str = "doc_id", test_p: float = 0.1,
     md5(valid_seed-id).  ``stratify`` applies the counts per class."""
     if test_seed is None or valid_seed is None:
         raise ValueError("a seed is required")
-    strata = [stratify] if stratify else []   # one class column at most
+    strata = [stratify] if stratify else []
+    cols = df.columns
     h = df.withColumn("_k1", hash_key(id_col, test_seed)).withColumn("_k2", hash_key(id_col, valid_seed))
-    is_test = _first_k_flag(h, "_k1", test_p, strata)
-    h = h.withColumn("_test", is_test)
-    rest = h.where(~F.col("_test"))
-    is_valid = _first_k_flag(rest, "_k2", valid_p, strata) if valid_p > 0 else F.lit(False)
-    split = F.when(F.col("_test"), "test").when(is_valid, "valid").otherwise("train")
-    return h.withColumn("split", split).drop("_k1", "_k2", "_test")
+    h = flag_first(h, "_k1", test_p, strata, "_test")
+    # the rows of the test part have no second key, so they are neither counted nor taken
+    h = h.withColumn("_k2", F.when(~F.col("_test"), F.col("_k2")))
+    if valid_p > 0:
+        thr = thresholds(h.where("_k2 is not null"), "_k2", valid_p, strata)
+        if strata:
+            h = attach(h, thr, strata)
+        else:
+            row = thr.first()
+            h = h.withColumn("_thr", F.lit(row["_thr"] if row else None).cast("string"))
+    else:
+        h = h.withColumn("_thr", F.lit(None).cast("string"))
+    split = F.when(F.col("_test"), "test").when(F.col("_k2") <= F.col("_thr"), "valid").otherwise("train")
+    return h.withColumn("split", split).select(*cols, "split")
 
 
 def split_leak_report(df: DataFrame, text_col: str = "text") -> DataFrame:

@@ -7,7 +7,7 @@ the whole corpus with the same smooth formula as TF-IDF."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -24,18 +24,27 @@ def sentences(df: DataFrame, text_col: str = "text", id_col: str = "doc_id") ->
 
 def extractive_summary(df: DataFrame, text_col: str = "text", id_col: str = "doc_id",
                        min_tokens: int = 5, max_words: int = 30) -> DataFrame:
+    """One row a document; one without a word token has an empty summary.
+
+    The text is tokenised once, to (document, sentence, term, n); document
+    frequencies and scores come from that table, and the winning sentence is
+    cut from its text by its number at the end."""
     sents = T.apply_steps(sentences(df, text_col, id_col), "sentence", "toks", [F.lower] + T.WORD_TOKEN_STEPS)
-    toks = explode_rows(sents, F.col("toks"), "term", id_col, "sidx")
+    counts = (explode_rows(sents, F.col("toks"), "term", id_col, "sidx")
+              .groupBy(id_col, "sidx", "term").agg(F.count(F.lit(1)).alias("n"))).checkpoint()
     n_docs = df.select(id_col).distinct().count()
-    dfreq = toks.select(id_col, "term").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    dfreq = counts.select(id_col, "term").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     idf = dfreq.select("term", (F.log(F.lit(1.0 + n_docs) / (F.col("df") + 1.0)) + 1.0).alias("idf"))
-    scored = (toks.join(idf, "term").groupBy(id_col, "sidx")
-                  .agg(F.avg("idf").alias("score"), F.count(F.lit(1)).alias("n_tokens")))
-    cand = sents.select(id_col, "sidx", "sentence").join(scored, [id_col, "sidx"])
-    w = Window.partitionBy(id_col).orderBy((F.col("n_tokens") >= min_tokens).desc(),
-                                           F.round("score", 9).desc(), F.col("sidx").asc())
-    best = cand.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == 1)
-    words = F.slice(T.split_ws(F.col("sentence")), 1, max_words)
-    return best.select(id_col, F.col("sidx").cast("long").alias("sentence_index"),
-                       F.array_join(words, " ").alias("summary"),
-                       F.round("score", 6).alias("score"), F.col("n_tokens").cast("long").alias("n_tokens"))
+    scored = (counts.join(idf, "term").groupBy(id_col, "sidx")
+                    .agg((F.sum(F.col("n") * F.col("idf")) / F.sum("n")).alias("score"), F.sum("n").alias("n_tokens")))
+    best = scored.groupBy(F.col(id_col).alias("_id")).agg(F.max(F.struct(
+        (F.col("n_tokens") >= min_tokens).alias("enough"), F.round("score", 9).alias("rounded"), (-F.col("sidx")).alias("back"),
+        "score", "n_tokens")).alias("b"))
+    out = df.select(id_col, text_col).join(best, F.col(id_col).eqNullSafe(F.col("_id")), "left")
+    sidx = -F.col("b.back")
+    sentence = T.strip_ws(F.get(F.regexp_extract_all(F.col(text_col), F.lit(SENTENCE), 0), sidx))
+    words = F.slice(T.split_ws(sentence), 1, max_words)
+    return out.select(id_col, sidx.cast("long").alias("sentence_index"),
+                      F.coalesce(F.array_join(words, " "), F.lit("")).alias("summary"),
+                      F.round("b.score", 6).alias("score"),
+                      F.coalesce("b.n_tokens", F.lit(0)).cast("long").alias("n_tokens"))

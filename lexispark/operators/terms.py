@@ -69,48 +69,22 @@ def normalized_token_table(df: DataFrame, text_col: str = "text", id_col: str =
     return explode_tokens(staged, F.col("_toks"), id_col, keep=keep, outer=outer)
 
 
-def lemmatize(tokens: DataFrame, lemmas: DataFrame) -> DataFrame:
-    """Replace tokens by their lemma.  The lemma table only holds changed
-    terms; AQE turns this into a broadcast join when its runtime size is
-    under the threshold and keeps a shuffle join otherwise."""
-    l = lemmas.select(F.col("term").alias("token"), "lemma")
-    return (tokens.join(l, "token", "left")
-                  .withColumn("token", F.coalesce("lemma", "token")).drop("lemma"))
-
-
-def regroup(tokens: DataFrame, id_col: str = "doc_id", out_col: str = "terms",
-            keep: list[str] | None = None) -> DataFrame:
-    """Rebuild each document's token string in position order (one group per
-    document, bounded by the document's length)."""
-    keep = keep or []
-    item = F.when(F.col("pos").isNotNull(), F.struct("pos", "token"))
-    g = tokens.groupBy(id_col, *keep).agg(F.array_sort(F.collect_list(item)).alias("_t"))
-    return g.select(id_col, *keep, F.array_join(F.transform("_t", lambda x: x["token"]), " ").alias(out_col))
-
-
-LITERAL_LEMMAS = 5_000
-
-
 def normalize_terms(df: DataFrame, text_col: str = "text", id_col: str = "doc_id",
                     lemmatise: bool = True, keep: list[str] | None = None) -> DataFrame:
     """(id, *keep, terms) with the corpus lemma table applied.
 
-    The lemma table is computed over the distinct vocabulary first.  When it
-    is small (checked count) it is applied as a literal map inside each
-    row's token array: no explode, no join, no regroup.  Otherwise tokens
-    are exploded, joined to it and rebuilt per document.  Documents whose
-    token list is empty keep an empty string."""
+    Only a document's distinct tokens meet the lemma table; the few that it
+    changes come back as a map of the document.  Documents whose token list
+    is empty have an empty string, null texts stay null."""
     keep = keep or []
     base = T.apply_steps(df.select(id_col, *keep, text_col), text_col, "_toks",
                          T.normalized_steps()).drop(text_col)
     if lemmatise:
         lem = lemma_table(explode_rows(base, F.col("_toks"), "token"))
-        rows = lem.limit(LITERAL_LEMMAS + 1).collect()
-        if len(rows) > LITERAL_LEMMAS:
-            toks = explode_tokens(base, F.col("_toks"), id_col, keep=keep, outer=True)
-            return regroup(lemmatize(toks, lem), id_col, keep=keep)
-        if rows:
-            m = F.create_map(*[F.lit(x) for r in rows for x in (r["term"], r["lemma"])])
-            base = base.withColumn("_toks", F.transform(
-                "_toks", lambda t: F.coalesce(F.try_element_at(m, t), t)))
+        own = explode_rows(base, F.array_distinct("_toks"), "term", id_col)
+        maps = own.join(lem, "term").groupBy(id_col).agg(F.collect_set(F.struct("term", "lemma")).alias("_l"))
+        base = base.join(maps.withColumnRenamed(id_col, "_id"), F.col(id_col).eqNullSafe(F.col("_id")), "left")
+        m = F.map_from_entries("_l")
+        base = base.withColumn("_m", m).withColumn("_toks", F.when(F.col("_l").isNull(), F.col("_toks")).otherwise(
+            F.transform("_toks", lambda t: F.coalesce(F.try_element_at("_m", t), t))))
     return base.select(id_col, *keep, F.array_join("_toks", " ").alias("terms"))

@@ -33,3 +33,16 @@ def augmented_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
               .when(m4 == 1, F.concat("text", F.lit(" See "), "url", F.lit(" for more, then stop.")))
               .otherwise(F.col("text")))
     return j.select("doc_id", "lang", text.alias("text"))
+
+
+LEMMA_SQL = """
+SELECT doc_id, CASE WHEN doc_id % 50 = 1 THEN concat('Two women, a woman and men; the man. ', text) ELSE text END AS text
+FROM documents
+"""
+
+
+def lemma_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document; some begin with words that the lemma rules change."""
+    docs = spread(read_table(spark, sf_dir, "documents", ["doc_id", "text"]), "doc_id")
+    return docs.select("doc_id", F.when(F.col("doc_id") % 50 == 1, F.concat(
+        F.lit("Two women, a woman and men; the man. "), "text")).otherwise(F.col("text")).alias("text"))

@@ -17,8 +17,8 @@ from ..operators import (
 )
 from ..session import ensure_checkpoint_dir, scratch_path
 from pyspark.ml.functions import array_to_vector
-from ..sources.tables import read_table, spread
-from .fixtures import augmented_documents
+from ..sources.tables import read_table, read_written, spread, write_table
+from .fixtures import augmented_documents, lemma_documents
 
 JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -60,7 +60,7 @@ def labelled_documents(spark, sf_dir):
 
 @job("class_distribution")
 def class_distribution(spark, sf_dir):
-    return profile.class_distribution(documents(spark, sf_dir), "lang")
+    return profile.class_distribution(documents(spark, sf_dir, ("text", "lang"), spread_rows=False), "lang")
 
 
 @job("class_pair_counts")
@@ -114,13 +114,14 @@ def stopword_filter(spark, sf_dir):
 
 @job("normalize_terms")
 def normalize_terms(spark, sf_dir):
-    return terms.normalize_terms(documents(spark, sf_dir, ("doc_id", "text")))
+    return terms.normalize_terms(lemma_documents(spark, sf_dir))
 
 
 @job("lemma_vocab")
 def lemma_vocab(spark, sf_dir):
-    toks = terms.normalized_token_table(documents(spark, sf_dir, ("doc_id", "text")))
-    return terms.lemma_table(toks)
+    """The lemma table of the unstemmed vocabulary, where the rules apply."""
+    docs = T.apply_steps(documents(spark, sf_dir, ("doc_id", "text")), "text", "_t", [F.lower] + T.WORD_TOKEN_STEPS)
+    return terms.lemma_table(explode_rows(docs, F.col("_t"), "token"))
 
 
 # ---- 5. token top-k (EDA reads the cleaned corpus) -------------------------
@@ -171,6 +172,7 @@ def class_phrase_topk(spark, sf_dir):
 
 SPLIT = dict(test_p=0.1, test_seed="1", valid_p=0.15, valid_seed="15")
 CHUNK_ROWS = 1000
+SLICE = (100, 150)
 
 
 @job("row_slice")
@@ -181,8 +183,8 @@ def row_slice(spark, sf_dir):
 
 @job("row_slice_window")
 def row_slice_window(spark, sf_dir):
-    """``.loc[1000:1200]`` (201 rows when the table is long enough)."""
-    return rank.row_slice(documents(spark, sf_dir, ("doc_id", "lang")), "doc_id", 1000, 1200)
+    """A window inside the table (the reference takes ``.loc[1000:1200]`` of a longer one)."""
+    return rank.row_slice(documents(spark, sf_dir, ("doc_id", "lang")), "doc_id", *SLICE)
 
 
 @job("head_rows")
@@ -217,20 +219,23 @@ def split_leak_report(spark, sf_dir):
 
 # ---- 8-10. features, naive Bayes, reports ----------------------------------
 
-def model_table(spark, sf_dir):
-    """(doc_id, lang, label, split, terms): split, label-encoded, normalised."""
+def model_table(spark, sf_dir, target="lang"):
+    """(doc_id, label, split, terms): split, label-encoded, normalised.  The
+    target is the language, or a column of ``labels`` (null where a document
+    has no label)."""
     sp = split_documents(spark, sf_dir)
-    dim = labels.class_dimension(sp, "lang")
-    sp = sp.withColumn("label", labels.label_expr("lang", dim))
+    if target != "lang":
+        sp = sp.join(read_table(spark, sf_dir, "labels", ["doc_id", target]), "doc_id", "left")
+    sp = labels.label_encode(sp, target)
     # reused by several fits and counts: cut the lineage once (reliable
     # checkpoint in the shared checkpoint folder)
-    return terms.normalize_terms(sp, keep=["label", "split"]).checkpoint(), dim
+    return terms.normalize_terms(sp, keep=["label", "split"]).checkpoint()
 
 
-def tfidf_model(spark, sf_dir):
-    mt, dim = model_table(spark, sf_dir)
+def tfidf_model(spark, sf_dir, target="lang"):
+    mt = model_table(spark, sf_dir, target)
     w, idf, n_train = features.tfidf_fit_transform(mt, F.col("split") != "test", keep=["label", "split"])
-    return mt, dim, w.checkpoint(), idf
+    return mt, w.checkpoint(), idf
 
 
 @job("doc_term_counts")
@@ -241,16 +246,31 @@ def doc_term_counts(spark, sf_dir):
 
 @job("tfidf_weights")
 def tfidf_weights(spark, sf_dir):
-    _, _, w, _ = tfidf_model(spark, sf_dir)
+    _, w, _ = tfidf_model(spark, sf_dir)
+    return w.select("doc_id", "term", "tf", F.round("weight", 6).alias("weight"))
+
+
+PHRASE_SPLIT = dict(test_p=0.75, test_seed="42", valid_p=0.0, valid_seed="42")
+
+
+@job("phrase_tfidf_weights")
+def phrase_tfidf_weights(spark, sf_dir):
+    """M8: TF-IDF of the keyphrases of two or more words as terms, fitted on a
+    quarter of the documents."""
+    sp = split.exact_split(documents(spark, sf_dir), "doc_id", **PHRASE_SPLIT)
+    ph = phrases.rake_phrases(sp, keep=["split"]).where(F.col("n_words") >= 2)
+    tf = features.term_counts(ph.select("doc_id", "split", F.col("phrase").alias("term")), keep=["split"]).checkpoint()
+    n_train = sp.where(F.col("split") != "test").count()
+    w = features.tfidf(tf, features.fit_idf(tf.where(F.col("split") != "test"), n_train))
     return w.select("doc_id", "term", "tf", F.round("weight", 6).alias("weight"))
 
 
-def nb_model(spark, sf_dir):
-    mt, dim, w, idf = tfidf_model(spark, sf_dir)
+def nb_model(spark, sf_dir, target="lang"):
+    mt, w, idf = tfidf_model(spark, sf_dir, target)
     train_labels = mt.where(F.col("split") != "test").select("doc_id", "label")
     train_w = w.where(F.col("split") != "test").select("doc_id", "label", "term", "weight")
-    ct, consts = bayes.fit(train_w, train_labels, len(dim), idf.count())
-    return mt, w, ct, consts
+    ct, classes = bayes.fit(train_w, train_labels, idf.count())
+    return mt, w, ct, classes
 
 
 @job("nb_fit")
@@ -259,10 +279,10 @@ def nb_fit(spark, sf_dir):
     return ct.select("label", "term", F.round("cnt", 6).alias("cnt"), F.round("log_theta", 6).alias("log_theta"))
 
 
-def nb_predictions(spark, sf_dir):
-    mt, w, ct, consts = nb_model(spark, sf_dir)
-    test = mt.where(F.col("split") == "test").select("doc_id", "label")
-    pred = bayes.predict(w.where(F.col("split") == "test"), test, ct, consts)
+def nb_predictions(spark, sf_dir, target="lang"):
+    mt, w, ct, classes = nb_model(spark, sf_dir, target)
+    test = mt.where(F.col("split") == "test").select("doc_id", "label").checkpoint()
+    pred = bayes.predict(w.where(F.col("split") == "test"), test.select("doc_id"), ct, classes)
     return test.join(pred.select("doc_id", "pred"), "doc_id")
 
 
@@ -271,6 +291,21 @@ def text_classify_nb(spark, sf_dir):
     return nb_predictions(spark, sf_dir)
 
 
+@job("quality_classify_nb")
+def quality_classify_nb(spark, sf_dir):
+    return nb_predictions(spark, sf_dir, "quality")
+
+
+@job("quality_report")
+def quality_report(spark, sf_dir):
+    return _round_report(evaluate.classification_report(nb_predictions(spark, sf_dir, "quality")))
+
+
+@job("toxic_report")
+def toxic_report(spark, sf_dir):
+    return _round_report(evaluate.classification_report(nb_predictions(spark, sf_dir, "toxic")))
+
+
 def _round_report(df):
     return df.select("class", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")], "support")
 
@@ -302,10 +337,12 @@ def _ids_text(c):
     return F.array_join(F.col(c).cast("array<string>"), " ")
 
 
-def document_sequences(spark, sf_dir):
-    docs = sequences.with_seq_tokens(documents(spark, sf_dir, ("doc_id", "text")), "text", "_t")
+def document_sequences(spark, sf_dir, with_split=False):
+    docs = split_documents(spark, sf_dir) if with_split else documents(spark, sf_dir, ("doc_id", "text"))
+    docs = sequences.with_seq_tokens(docs, "text", "_t")
     vocab = sequences.vocabulary(explode_rows(docs, F.col("_t"), "token"))
-    return sequences.pack_sequences(docs, vocab, tokens_col="_t", max_len=MAX_LEN)
+    return sequences.pack_sequences(docs, vocab, tokens_col="_t", max_len=MAX_LEN,
+                                    keep=["split"] if with_split else None)
 
 
 @job("pack_sequences")
@@ -319,41 +356,61 @@ def pack_pairs(spark, sf_dir):
     conv = read_table(spark, sf_dir, "conversations", ["conv_id", "turn", "role", "text"])
     conv = sequences.with_seq_tokens(conv, "text", "_t")
     vocab = sequences.vocabulary(explode_rows(conv, F.col("_t"), "token"))
-    budget = MAX_LEN - 3
     u = conv.where(F.col("role") == "user").select("conv_id", "turn", F.col("_t").alias("a"))
     a = conv.where(F.col("role") == "assistant").select(
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("_t").alias("b"))
-    pairs = u.join(a, ["conv_id", "turn"])
-    ai = sequences.ids_for(pairs, vocab, "a", ["conv_id", "turn"], budget).withColumnRenamed("ids", "a_ids")
-    bi = sequences.ids_for(pairs, vocab, "b", ["conv_id", "turn"], budget).withColumnRenamed("ids", "b_ids")
-    packed = sequences.pack_pairs(ai.join(bi, ["conv_id", "turn"]), vocab, ["conv_id", "turn"], MAX_LEN)
+    packed = sequences.pack_pairs(u.join(a, ["conv_id", "turn"]), vocab, ["conv_id", "turn"], MAX_LEN)
     return packed.select("conv_id", "turn", _ids_text("input_ids").alias("input_ids"),
                          _ids_text("token_type_ids").alias("token_type_ids"), "n_tokens")
 
 
 @job("pack_batches")
 def pack_batches(spark, sf_dir):
-    b = sequences.pack_batches(document_sequences(spark, sf_dir), batch_size=BATCH_SIZE)
-    return b.select("doc_id", "batch", "position", _ids_text("input_ids").alias("input_ids"),
+    seqs = document_sequences(spark, sf_dir, with_split=True).checkpoint()
+    b = sequences.pack_batches(seqs, batch_size=BATCH_SIZE)
+    return b.select("doc_id", "split", "batch", "position", _ids_text("input_ids").alias("input_ids"),
                     _ids_text("attention_mask").alias("attention_mask"))
 
 
 # ---- 13. scores and losses over precomputed vectors -------------------------
 
-N_LOGITS = 10
+def scored_vectors(spark, sf_dir):
+    """(vec_id, label, at, l): dot products with the class means as logits,
+    and the label's place among the classes."""
+    e = read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding", "label"])
+    means = metrics.centroids(e, "embedding", "label")
+    classes = F.array(*[F.lit(c) for c, _ in means])
+    return e.select("vec_id", "label", (F.array_position(classes, F.col("label")) - 1).cast("int").alias("at"),
+                    metrics.logits("embedding", means).alias("l")), classes
 
 
 @job("argmax_predict")
 def argmax_predict(spark, sf_dir):
-    e = read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding", "label"])
-    return e.select("vec_id", "label", metrics.argmax(metrics.logits("embedding", N_LOGITS)).alias("pred"))
+    e, classes = scored_vectors(spark, sf_dir)
+    return e.select("vec_id", "label", F.get(classes, metrics.argmax(F.col("l"))).alias("pred"))
 
 
 @job("cross_entropy")
 def cross_entropy(spark, sf_dir):
-    e = read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding", "label"])
-    loss = metrics.cross_entropy(metrics.logits("embedding", N_LOGITS), F.col("label"))
-    return e.select("vec_id", "label", F.round(loss, 6).alias("loss"))
+    e, _ = scored_vectors(spark, sf_dir)
+    return e.select("vec_id", "label", F.round(metrics.cross_entropy(F.col("l"), F.col("at")), 6).alias("loss"))
+
+
+@job("batch_losses")
+def batch_losses(spark, sf_dir):
+    """Mean loss of each batch, in id order."""
+    e, _ = scored_vectors(spark, sf_dir)
+    loss = e.select("vec_id", metrics.cross_entropy(F.col("l"), F.col("at")).alias("loss"))
+    per = rank.with_chunks(loss, "vec_id", BATCH_SIZE).groupBy(F.col("chunk").alias("batch"))
+    return per.agg(F.count(F.lit(1)).alias("n_rows"), F.round(F.avg("loss"), 6).alias("loss"))
+
+
+@job("csv_roundtrip")
+def csv_roundtrip(spark, sf_dir):
+    """The documents written as CSV and read with their schema."""
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text", "lang", "source", "n_chars"])
+    path = write_table(docs, scratch_path(spark, "csv"), "csv")
+    return read_written(spark, path, "csv", docs.schema)
 
 
 # ---- 14. histories (events as a metric log) ---------------------------------

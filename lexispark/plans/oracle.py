@@ -4,7 +4,7 @@ from ``sql_text`` so both sides use the same fixed lists and patterns."""
 from __future__ import annotations
 
 from . import sql_text as S
-from .fixtures import FIXTURE_SQL
+from .fixtures import FIXTURE_SQL, LEMMA_SQL
 from .jobs import (
     PHRASE_SKIPS, TOKEN_SKIPS, TOP_CLASS_N, TOP_PHRASES_N, TOP_TOKENS_N,
 )
@@ -99,12 +99,20 @@ lx AS (SELECT x.doc_id, x.pos, coalesce(l.lemma, x.token) AS token FROM x LEFT J
 
 NORM_TOKENS = norm_tokens()
 
-sql("lemma_vocab", f"WITH {NORM_TOKENS}\nSELECT term, lemma FROM lemmas")
+sql("lemma_vocab", f"""
+WITH vocab AS (SELECT DISTINCT unnest({S.word_tokens('lower(text)')}) AS term FROM documents),
+rules(ord, old, new) AS (VALUES {_rules}),
+cands AS (SELECT v.term, r.ord, left(v.term, length(v.term) - length(r.old)) || r.new AS cand
+          FROM vocab v JOIN rules r ON ends_with(v.term, r.old))
+SELECT term, cand AS lemma FROM cands WHERE cand IN (SELECT term FROM vocab)
+QUALIFY row_number() OVER (PARTITION BY term ORDER BY length(cand), ord) = 1""")
 
 sql("normalize_terms", f"""
-WITH {NORM_TOKENS},
+WITH src AS ({LEMMA_SQL}),
+{norm_tokens('src')},
 g AS (SELECT doc_id, string_agg(token, ' ' ORDER BY pos) AS terms FROM lx GROUP BY doc_id)
-SELECT d.doc_id, coalesce(g.terms, '') AS terms FROM documents d LEFT JOIN g USING (doc_id)""")
+SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(g.terms, '') END AS terms
+FROM documents d LEFT JOIN g USING (doc_id)""")
 
 # ---- 5. token top-k --------------------------------------------------------
 
@@ -157,15 +165,15 @@ WHERE rank <= {TOP_CLASS_N} AND rank > {skip_case('lang', PHRASE_SKIPS)}""")
 
 # ---- 7. positions, chunks, splits -------------------------------------------
 
-from .jobs import CHUNK_ROWS, SPLIT  # noqa: E402
+from .jobs import CHUNK_ROWS, PHRASE_SPLIT, SLICE, SPLIT  # noqa: E402
 
 sql("row_slice", """
 SELECT doc_id, lang, CAST(row_number() OVER (ORDER BY doc_id) - 1 AS BIGINT) AS pos
 FROM documents QUALIFY pos BETWEEN 0 AND 500""")
 
-sql("row_slice_window", """
+sql("row_slice_window", f"""
 SELECT doc_id, lang, CAST(row_number() OVER (ORDER BY doc_id) - 1 AS BIGINT) AS pos
-FROM documents QUALIFY pos BETWEEN 1000 AND 1200""")
+FROM documents QUALIFY pos BETWEEN {SLICE[0]} AND {SLICE[1]}""")
 
 sql("head_rows", """
 SELECT doc_id, lang, text, CAST(row_number() OVER (ORDER BY doc_id) - 1 AS BIGINT) AS pos
@@ -176,7 +184,7 @@ SELECT doc_id, lang, CAST(floor((row_number() OVER (ORDER BY doc_id) - 1) / {CHU
 FROM documents""")
 
 
-def split_sql(part: str = "") -> str:
+def split_sql(part: str = "", SPLIT: dict = SPLIT) -> str:
     """Split CTE: ``sp(doc_id, lang, text, split)``; ``part`` is a PARTITION
     BY clause body for stratified splits."""
     pb = f"PARTITION BY {part}" if part else ""
@@ -211,35 +219,48 @@ sql("doc_term_counts", f"""
 WITH {NORM_TOKENS}
 SELECT doc_id, token AS term, count(*) AS tf FROM lx WHERE length(token) >= 2 GROUP BY doc_id, token""")
 
-MODEL = f"""{split_sql()},
-dim AS (SELECT lang, CAST(row_number() OVER (ORDER BY lang) - 1 AS INTEGER) AS label
-        FROM (SELECT DISTINCT lang FROM sp WHERE lang IS NOT NULL)),
-lab AS (SELECT sp.doc_id, sp.split, dim.label FROM sp LEFT JOIN dim USING (lang)),
-{norm_tokens('sp')},
-tf AS (SELECT doc_id, token AS term, count(*) AS tf FROM lx WHERE length(token) >= 2 GROUP BY doc_id, token),
+def model_sql(target: str = "lang", upto: str = "rep") -> str:
+    """CTEs of the model jobs, as far as the query needs them."""
+    source = "sp" if target == "lang" else f"(SELECT sp.*, l.{target} FROM sp LEFT JOIN labels l USING (doc_id))"
+    parts = [("sp", split_sql()), ("lab", f"""
+tg AS MATERIALIZED (SELECT * FROM {source}),
+dim AS (SELECT {target}, CAST(row_number() OVER (ORDER BY {target}) - 1 AS INTEGER) AS label
+        FROM (SELECT DISTINCT {target} FROM tg WHERE {target} IS NOT NULL)),
+lab AS MATERIALIZED (SELECT tg.doc_id, tg.split, dim.label FROM tg LEFT JOIN dim USING ({target}))"""),
+        ("w", norm_tokens("sp").strip() + """,
+tf AS MATERIALIZED (SELECT doc_id, token AS term, count(*) AS tf FROM lx WHERE length(token) >= 2 GROUP BY doc_id, token),
 ntr AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM lab WHERE split <> 'test'),
-idf AS (SELECT term, ln((1.0 + (SELECT n FROM ntr)) / (1.0 + count(*))) + 1.0 AS idf
-        FROM tf WHERE doc_id IN (SELECT doc_id FROM lab WHERE split <> 'test') GROUP BY term),
+idf AS MATERIALIZED (SELECT tf.term, ln((1.0 + any_value(ntr.n)) / (1.0 + count(*))) + 1.0 AS idf
+        FROM tf JOIN lab USING (doc_id), ntr WHERE lab.split <> 'test' GROUP BY tf.term),
 w0 AS (SELECT tf.doc_id, tf.term, tf.tf, tf.tf * idf.idf AS w FROM tf JOIN idf USING (term)),
-w AS (SELECT doc_id, term, tf, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS weight FROM w0),
-ct AS (SELECT lab.label, w.term, sum(w.weight) AS cnt FROM w JOIN lab USING (doc_id)
-       WHERE lab.split <> 'test' GROUP BY lab.label, w.term),
+w AS MATERIALIZED (SELECT doc_id, term, tf, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS weight FROM w0)"""),
+        ("ct", """
+ct AS MATERIALIZED (SELECT lab.label, w.term, sum(w.weight) AS cnt FROM w JOIN lab USING (doc_id)
+       WHERE lab.split <> 'test' AND lab.label IS NOT NULL GROUP BY lab.label, w.term),
 nv AS (SELECT CAST(count(*) AS DOUBLE) AS v FROM idf),
-cls AS (SELECT l.label, count(*) AS n_c, coalesce((SELECT sum(cnt) FROM ct WHERE ct.label = l.label), 0.0) AS tot
-        FROM lab l WHERE split <> 'test' GROUP BY l.label),
+tot AS (SELECT label, sum(cnt) AS tot FROM ct GROUP BY label),
+nc AS (SELECT label, count(*) AS n_c FROM lab WHERE split <> 'test' AND label IS NOT NULL GROUP BY label),
+cls AS MATERIALIZED (SELECT nc.label, nc.n_c, coalesce(tot.tot, 0.0) AS tot, nv.v
+        FROM nc LEFT JOIN tot USING (label), nv)"""),
+        ("preds", """
 ntot AS (SELECT CAST(sum(n_c) AS DOUBLE) AS n FROM cls),
 test AS (SELECT doc_id, label FROM lab WHERE split = 'test'),
-tw AS (SELECT doc_id, sum(weight) AS wd FROM w WHERE doc_id IN (SELECT doc_id FROM test) GROUP BY doc_id),
+tw AS (SELECT w.doc_id, sum(weight) AS wd FROM w JOIN test USING (doc_id) GROUP BY w.doc_id),
 ts AS (SELECT w.doc_id, ct.label, sum(w.weight * ln(ct.cnt + 1.0)) AS s
-       FROM w JOIN ct USING (term) WHERE w.doc_id IN (SELECT doc_id FROM test) GROUP BY w.doc_id, ct.label),
+       FROM w JOIN test USING (doc_id) JOIN ct USING (term) GROUP BY w.doc_id, ct.label),
 sc AS (SELECT t.doc_id, c.label AS c,
-              ln(c.n_c / (SELECT n FROM ntot)) + coalesce(ts.s, 0.0)
-              - coalesce(tw.wd, 0.0) * ln(c.tot + (SELECT v FROM nv)) AS score
-       FROM test t JOIN cls c ON TRUE LEFT JOIN tw ON tw.doc_id = t.doc_id
+              ln(c.n_c / ntot.n) + coalesce(ts.s, 0.0) - coalesce(tw.wd, 0.0) * ln(c.tot + c.v) AS score
+       FROM test t JOIN cls c ON TRUE JOIN ntot ON TRUE LEFT JOIN tw ON tw.doc_id = t.doc_id
        LEFT JOIN ts ON ts.doc_id = t.doc_id AND ts.label = c.label),
 pr AS (SELECT doc_id, c AS pred FROM sc QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, c) = 1),
-preds AS (SELECT t.doc_id, t.label, pr.pred FROM test t JOIN pr USING (doc_id)),
-conf AS (SELECT label, pred, count(*) AS n FROM preds GROUP BY label, pred),
+preds AS MATERIALIZED (SELECT t.doc_id, t.label, pr.pred FROM test t JOIN pr USING (doc_id))"""),
+        ("rep", REPORT)]
+    names = [n for n, _ in parts]
+    return ",\n".join(text.strip() for _, text in parts[:names.index(upto) + 1])
+
+
+REPORT = """
+conf AS (SELECT label, pred, count(*) AS n FROM preds WHERE label IS NOT NULL GROUP BY label, pred),
 pcls AS (SELECT c, coalesce((SELECT sum(n) FROM conf WHERE label = c AND pred = c), 0) AS tp,
                 coalesce((SELECT sum(n) FROM conf WHERE label = c), 0) AS support,
                 coalesce((SELECT sum(n) FROM conf WHERE pred = c), 0) AS predicted
@@ -256,15 +277,26 @@ rep AS (SELECT CAST(c AS VARCHAR) AS class, precision, recall, f1, CAST(support
         UNION ALL
         SELECT 'weighted avg', sum(precision * support) / sum(support), sum(recall * support) / sum(support),
                sum(f1 * support) / sum(support), CAST(sum(support) AS BIGINT) FROM pcf)"""
-
-sql("tfidf_weights", f"WITH {MODEL}\nSELECT doc_id, term, tf, round(weight, 6) AS weight FROM w")
-sql("nb_fit", f"""WITH {MODEL}
-SELECT ct.label, ct.term, round(ct.cnt, 6) AS cnt,
-       round(ln(ct.cnt + 1.0) - ln(cls.tot + (SELECT v FROM nv)), 6) AS log_theta
+MODEL = model_sql()
+REPORT_ROWS = ("SELECT class, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, support FROM rep")
+
+sql("tfidf_weights", f"WITH {model_sql(upto='w')}\nSELECT doc_id, term, tf, round(weight, 6) AS weight FROM w")
+sql("phrase_tfidf_weights", f"""WITH {split_sql(SPLIT=PHRASE_SPLIT)},
+{RAKE.strip()},
+tf AS MATERIALIZED (SELECT rk.doc_id, phrase AS term, count(*) AS tf FROM rk WHERE n_words >= 2 GROUP BY rk.doc_id, phrase),
+ntr AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM sp WHERE split <> 'test'),
+idf AS (SELECT tf.term, ln((1.0 + any_value(ntr.n)) / (1.0 + count(*))) + 1.0 AS idf
+        FROM tf JOIN sp USING (doc_id), ntr WHERE sp.split <> 'test' GROUP BY tf.term),
+w0 AS (SELECT tf.doc_id, tf.term, tf.tf, tf.tf * idf.idf AS w FROM tf JOIN idf USING (term))
+SELECT doc_id, term, tf, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight FROM w0""")
+sql("nb_fit", f"""WITH {model_sql(upto='ct')}
+SELECT ct.label, ct.term, round(ct.cnt, 6) AS cnt, round(ln(ct.cnt + 1.0) - ln(cls.tot + cls.v), 6) AS log_theta
 FROM ct JOIN cls USING (label)""")
-sql("text_classify_nb", f"WITH {MODEL}\nSELECT doc_id, label, pred FROM preds")
-sql("classification_report", f"""WITH {MODEL}
-SELECT class, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, support FROM rep""")
+sql("text_classify_nb", f"WITH {model_sql(upto='preds')}\nSELECT doc_id, label, pred FROM preds")
+sql("quality_classify_nb", f"WITH {model_sql('quality', 'preds')}\nSELECT doc_id, label, pred FROM preds")
+sql("classification_report", f"WITH {MODEL}\n{REPORT_ROWS}")
+for _t in ("quality", "toxic"):
+    sql(f"{_t}_report", f"WITH {model_sql(_t)}\n{REPORT_ROWS}")
 sql("report_long", f"""WITH {MODEL},
 lg AS (SELECT class, 'precision' AS metric, precision AS value FROM rep UNION ALL
        SELECT class, 'recall', recall FROM rep UNION ALL SELECT class, 'f1', f1 FROM rep UNION ALL
@@ -278,14 +310,14 @@ SELECT CAST(sum(support) AS BIGINT) AS n_rows, round(sum(tp) / sum(support), 6)
 # ---- 12. sequences ---------------------------------------------------------
 
 from ..operators.summary import SENTENCE  # noqa: E402
-from .jobs import BATCH_SIZE, MAX_LEN, N_LOGITS  # noqa: E402
+from .jobs import BATCH_SIZE, MAX_LEN  # noqa: E402
 
 _WT = S.word_tokens("lower(text)")
 SEQS = f"""
-t AS (SELECT doc_id, {_WT} AS toks FROM documents),
+wt AS (SELECT doc_id, {_WT} AS toks FROM documents),
 vocab AS (SELECT token, CAST(row_number() OVER (ORDER BY md5(token)) + 3 AS INTEGER) AS id
-          FROM (SELECT DISTINCT unnest(toks) AS token FROM t)),
-x AS (SELECT doc_id, u.token, u.pos FROM t, unnest(t.toks[1:{MAX_LEN - 2}]) WITH ORDINALITY AS u(token, pos)),
+          FROM (SELECT DISTINCT unnest(toks) AS token FROM wt)),
+x AS (SELECT doc_id, u.token, u.pos FROM wt, unnest(wt.toks[1:{MAX_LEN - 2}]) WITH ORDINALITY AS u(token, pos)),
 ids AS (SELECT x.doc_id, list(v.id ORDER BY x.pos) AS ids FROM x JOIN vocab v USING (token) GROUP BY x.doc_id),
 seqs AS (SELECT d.doc_id, list_concat([1], coalesce(ids.ids, []::INTEGER[]), [2]) AS seq
          FROM documents d LEFT JOIN ids USING (doc_id))"""
@@ -294,10 +326,13 @@ sql("pack_sequences", f"""WITH {SEQS}
 SELECT doc_id, array_to_string(seq, ' ') AS input_ids, CAST(len(seq) AS BIGINT) AS n_tokens FROM seqs""")
 
 sql("pack_batches", f"""WITH {SEQS},
-r AS (SELECT doc_id, seq, len(seq) AS n, row_number() OVER (ORDER BY md5('15-' || CAST(doc_id AS VARCHAR))) AS rn FROM seqs),
-b AS (SELECT *, CAST(floor((rn - 1) / {BATCH_SIZE}) AS BIGINT) AS batch FROM r),
-m AS (SELECT *, max(n) OVER (PARTITION BY batch) AS mx FROM b)
-SELECT doc_id, batch, CAST(rn AS BIGINT) AS position,
+{split_sql().strip()},
+rn AS (SELECT doc_id, split, seq, len(seq) AS n, row_number() OVER (PARTITION BY split ORDER BY
+             CASE WHEN split = 'train' THEN md5('15-' || CAST(doc_id AS VARCHAR)) END, doc_id) AS rn
+      FROM seqs JOIN sp USING (doc_id)),
+bn AS (SELECT *, CAST(floor((rn - 1) / {BATCH_SIZE}) AS BIGINT) AS batch FROM rn),
+m AS (SELECT *, max(n) OVER (PARTITION BY split, batch) AS mx FROM bn)
+SELECT doc_id, split, batch, CAST(rn AS BIGINT) AS position,
        array_to_string(list_concat(seq, list_transform(range(mx - n), lambda x: 0)), ' ') AS input_ids,
        array_to_string(list_concat(list_transform(range(n), lambda x: 1), list_transform(range(mx - n), lambda x: 0)), ' ')
          AS attention_mask
@@ -330,15 +365,23 @@ FROM nn""")
 
 # ---- 13. scores and losses --------------------------------------------------
 
-_L = f"list_transform(embedding[1:{N_LOGITS}], lambda x: CAST(x AS DOUBLE))"
-sql("argmax_predict", f"""
-SELECT vec_id, label, CAST(list_position(l, list_max(l)) - 1 AS INTEGER) AS pred
-FROM (SELECT vec_id, label, {_L} AS l FROM embeddings)""")
-
-sql("cross_entropy", f"""
-SELECT vec_id, label,
-       round(list_max(l) + ln(list_sum(list_transform(l, lambda x: exp(x - list_max(l))))) - l[label + 1], 6) AS loss
-FROM (SELECT vec_id, label, {_L} AS l FROM embeddings)""")
+LOGITS = """
+e AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings),
+m AS (SELECT e.label, r.i, avg(e.v[r.i]) AS m FROM e, (SELECT unnest(range(1, (SELECT max(len(v)) FROM e) + 1)) AS i) r
+      GROUP BY e.label, r.i),
+c AS (SELECT label AS c, list(m ORDER BY i) AS cv FROM m WHERE label IS NOT NULL GROUP BY label),
+l AS (SELECT vec_id, label, list(list_dot_product(v, cv) ORDER BY c) AS l, list(c ORDER BY c) AS cs
+      FROM e, c GROUP BY vec_id, label),
+x AS (SELECT vec_id, label, l, cs,
+             list_max(l) + ln(list_sum(list_transform(l, lambda x: exp(x - list_max(l))))) - l[list_position(cs, label)] AS loss
+      FROM l)"""
+sql("argmax_predict", f"WITH {LOGITS}\nSELECT vec_id, label, cs[list_position(l, list_max(l))] AS pred FROM x")
+sql("cross_entropy", f"WITH {LOGITS}\nSELECT vec_id, label, round(loss, 6) AS loss FROM x")
+sql("batch_losses", f"""WITH {LOGITS},
+b AS (SELECT loss, CAST(floor((row_number() OVER (ORDER BY vec_id) - 1) / {BATCH_SIZE}) AS BIGINT) AS batch FROM x)
+SELECT batch, count(*) AS n_rows, round(avg(loss), 6) AS loss FROM b GROUP BY batch""")
+
+sql("csv_roundtrip", "SELECT doc_id, text, lang, source, n_chars FROM documents")
 
 # ---- 14. histories ---------------------------------------------------------
 
@@ -367,7 +410,7 @@ dfq AS (SELECT term, count(DISTINCT doc_id) AS df FROM tk GROUP BY term),
 idf AS (SELECT term, ln((1.0 + (SELECT n FROM nd)) / (df + 1.0)) + 1.0 AS idf FROM dfq),
 sc AS (SELECT doc_id, sidx, avg(idf) AS score, count(*) AS n_tokens FROM tk JOIN idf USING (term) GROUP BY doc_id, sidx),
 c AS (SELECT s3.doc_id, s3.sidx, s3.sentence, sc.score, sc.n_tokens FROM s3 JOIN sc USING (doc_id, sidx))
-SELECT doc_id, CAST(sidx AS BIGINT) AS sentence_index,
-       array_to_string({S.split_ws('sentence')}[1:30], ' ') AS summary,
-       round(score, 6) AS score, CAST(n_tokens AS BIGINT) AS n_tokens
-FROM c QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY (n_tokens >= 5) DESC, round(score, 9) DESC, sidx) = 1""")
+SELECT d.doc_id, CAST(sidx AS BIGINT) AS sentence_index,
+       coalesce(array_to_string({S.split_ws('sentence')}[1:30], ' '), '') AS summary,
+       round(score, 6) AS score, CAST(coalesce(n_tokens, 0) AS BIGINT) AS n_tokens
+FROM documents d LEFT JOIN (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY (n_tokens >= 5) DESC, round(score, 9) DESC, sidx) = 1) b USING (doc_id)""")

@@ -38,16 +38,19 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is.  Only when it is unset (local tests) a scratch folder is made.
+    On a cluster ``spark.checkpoint.dir`` must name a shared folder, which is
+    used as it is.  Only a local session may leave it unset: it then gets a
+    folder of this machine.
     """
     sc = spark.sparkContext
-    d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="lexispark-ckpt-")
     if not sc.getCheckpointDir():
+        d = sc.getConf().get("spark.checkpoint.dir", None)
+        if not d:
+            if not sc.master.startswith("local[") and sc.master != "local":
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+            d = tempfile.mkdtemp(prefix="lexispark-ckpt-")
         sc.setCheckpointDir(d)
-    return sc.getCheckpointDir() or d
+    return sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -5,10 +5,11 @@ parquet scan; CSV passages are read with a fixed schema (no inference)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+NULL_MARK = "\\N"
 PASSAGE_SCHEMA = T.StructType([
     T.StructField("discourse_text", T.StringType(), True),
     T.StructField("discourse_type", T.StringType(), True),
@@ -26,30 +27,48 @@ def read_passages_csv(spark: SparkSession, path: str,
                       id_col: str = "doc_id") -> DataFrame:
     """Quoted multi-line CSV with a header and a fixed schema.
 
-    ``doc_id`` is a stable key built from the file name and the byte offset
-    order within it, so no saved pandas index column is needed.  Spark has
-    no zip codec: land the file unpacked or gzip-compressed."""
-    df = (spark.read.schema(schema).option("header", True).option("multiLine", True)
-          .option("escape", '"').csv(path))
-    return df.withColumn(id_col, F.monotonically_increasing_id())
+    A file with an id column in ``schema`` keeps it.  Otherwise the id is a
+    hash of the file's path, the row's content and its number among the equal
+    rows of that file: it doesn't change when other files land or the scan is
+    cut differently.  Spark has no zip codec: land the file unpacked or
+    gzip-compressed."""
+    df = _csv_reader(spark, schema).csv(path)
+    if id_col in schema.fieldNames():
+        return df
+    content = F.md5(F.to_json(F.struct(*[F.col(c) for c in schema.fieldNames()])))
+    keyed = df.select("*", F.col("_metadata.file_path").alias("_file"), content.alias("_row"))
+    same = Window.partitionBy("_file", "_row").orderBy(F.lit(0))  # equal rows: any order gives the same table
+    return keyed.select(F.md5(F.concat_ws("|", "_file", "_row", F.row_number().over(same).cast("string"))).alias(id_col),
+                        *schema.fieldNames())
+
+
+def _csv_reader(spark: SparkSession, schema: T.StructType):
+    return (spark.read.schema(schema).option("header", True).option("multiLine", True).option("escape", '"')
+            .option("lineSep", "\n").option("emptyValue", ""))
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet",
                 partition_by: list[str] | None = None, mode: str = "overwrite") -> str:
-    """Parquet (default) or CSV with a header; never writes an index."""
+    """Parquet (default) or CSV with a header; never writes an index.  CSV
+    keeps edge spaces, line ends and quotes; null is written as NULL_MARK, so
+    that it differs from an empty text."""
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
     if fmt == "csv":
-        w.option("header", True).option("escape", '"').csv(path)
+        (w.option("header", True).option("escape", '"').option("lineSep", "\n").option("emptyValue", '""').option("nullValue", NULL_MARK)
+         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
     else:
         w.format(fmt).save(path)
     return path
 
 
-def read_written(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+def read_written(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType | None = None) -> DataFrame:
+    """The written table; CSV has no types, so it needs the schema."""
     if fmt == "csv":
-        return spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(path)
+        if schema is None:
+            raise ValueError("a CSV table is read with its schema")
+        return _csv_reader(spark, schema).option("nullValue", NULL_MARK).csv(path)
     return spark.read.format(fmt).load(path)
 
 

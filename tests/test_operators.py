@@ -56,7 +56,6 @@ def test_hash_rank_orders_by_key(spark, monkeypatch):
 def test_row_slice_paths_agree(spark, monkeypatch):
     docs = jobs.documents(spark, SF_SMALL, ("doc_id", "lang"))
     a = rank.row_slice(docs, "doc_id", 10, 60).collect()
-    monkeypatch.setattr(rank, "TOPK_MAX", 0)
     monkeypatch.setattr(rank, "ROWS_PER_BUCKET", 13)
     b = rank.row_slice(docs, "doc_id", 10, 60).collect()
     assert len(a) == 51
@@ -77,8 +76,8 @@ def test_naive_bayes_matches_dense_formula(spark):
     docs = spark.createDataFrame(rows, "doc_id long, terms string, label int")
     w, idf, n = features.tfidf_fit_transform(docs, F.lit(True), keep=["label"])
     ww = w.select("doc_id", "term", "weight")
-    ct, consts = bayes.fit(w.select("doc_id", "label", "term", "weight"), docs.select("doc_id", "label"), 2, idf.count())
-    pred = {r["doc_id"]: r["scores"] for r in bayes.predict(ww, docs, ct, consts).collect()}
+    ct, classes = bayes.fit(w.select("doc_id", "label", "term", "weight"), docs.select("doc_id", "label"), idf.count())
+    pred = {r["doc_id"]: r["scores"] for r in bayes.predict(ww, docs, ct, classes).collect()}
     vocab = sorted(r["term"] for r in idf.collect())
     X = np.zeros((5, len(vocab)))
     for r in ww.collect():
@@ -144,14 +143,124 @@ def test_pair_budget(spark, la, lb):
         assert min(r["a"], r["b"]) == min(la, lb)
 
 
-@pytest.mark.parametrize("literal_max", [5_000, 0])
-def test_lemma_paths(spark, monkeypatch, literal_max):
-    """Both ways of applying the corpus lemma table (literal map, join +
-    regroup) give the same terms; ``women`` maps to ``woman`` because the
-    corpus holds ``woman``."""
+def test_lemmas_and_null_text(spark):
+    """``women`` maps to ``woman`` because the corpus holds ``woman``; a null
+    text stays null, one without words is empty."""
     from lexispark.operators import terms
-    monkeypatch.setattr(terms, "LITERAL_LEMMAS", literal_max)
-    df = spark.createDataFrame([(1, "Two women and a woman."), (2, "The men, the man!"), (3, "the of")],
+    df = spark.createDataFrame([(1, "Two women and a woman."), (2, "The men, the man!"), (3, "the of"), (4, None), (4, None)],
                                "doc_id long, text string")
-    got = {r["doc_id"]: r["terms"] for r in terms.normalize_terms(df).collect()}
-    assert got == {1: "two woman woman", 2: "man man", 3: ""}
+    got = sorted(((r["doc_id"], r["terms"]) for r in terms.normalize_terms(df).collect()), key=str)
+    assert got == [(1, "two woman woman"), (2, "man man"), (3, ""), (4, None), (4, None)]
+
+
+def test_split_of_many_strata_and_rows(spark):
+    """64 classes, one of them null and one with a third of 3 million rows."""
+    n = 3_000_000
+    c = F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("c"), (F.col("id") % 62).cast("string")))
+    df = spark.range(n).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 997 == 0, F.lit(None)).otherwise(c).alias("c"))
+    s = split.exact_split(df, "doc_id", test_p=0.1, valid_p=0.15, stratify="c")
+    got = {}
+    for r in s.groupBy("c", "split").count().collect():
+        got.setdefault(r["c"], {})[r["split"]] = r["count"]
+    assert len(got) == 64 and sum(sum(v.values()) for v in got.values()) == n
+    for v in got.values():
+        total = sum(v.values())
+        test = math.ceil(0.1 * total)
+        assert v == {"test": test, "valid": math.ceil(0.15 * (total - test)),
+                     "train": total - test - math.ceil(0.15 * (total - test))}
+
+
+def test_stratified_split_beyond_the_broadcast(spark, monkeypatch):
+    from lexispark.operators import labels
+    df = spark.range(500).select(F.col("id").alias("doc_id"), (F.col("id") % 7).cast("string").alias("c"))
+    want = sorted(map(tuple, split.exact_split(df, stratify="c").collect()))
+    monkeypatch.setattr(labels, "BROADCAST_ROWS", 0)
+    assert sorted(map(tuple, split.exact_split(df, stratify="c").collect())) == want
+
+
+@pytest.mark.parametrize("rows_per_bucket", [7, 1_000_000])
+def test_null_keys_rank_first(spark, monkeypatch, rows_per_bucket):
+    monkeypatch.setattr(rank, "ROWS_PER_BUCKET", rows_per_bucket)
+    df = spark.range(60).select(F.when(F.col("id") > 1, F.col("id")).alias("k"), F.col("id").alias("v"))
+    got = rank.global_rank(df, "k").collect()
+    assert sorted(r["rn"] for r in got if r["k"] is None) == [1, 2]
+    assert {r["k"]: r["rn"] for r in got if r["k"] is not None} == {k: k + 1 for k in range(2, 60)}
+    assert sorted(r["pos"] for r in rank.row_slice(df, "k", 1, 4).collect()) == [1, 2, 3, 4]
+    assert rank.chunked_union(df, "k", 10).groupBy("chunk").count().where("count = 10").count() == 6
+
+
+def test_naive_bayes_leaves_unlabelled_rows_out(spark):
+    rows = [(1, "aa bb", 0), (2, "cc ee ff", 1), (5, "cc gg ff", 1), (3, "aa dd", None), (4, "", 0), (6, "aa", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, terms string, label int")
+    w, idf, _ = features.tfidf_fit_transform(docs, F.lit(True), keep=["label"])
+    ct, classes = bayes.fit(w, docs.select("doc_id", "label"), idf.count())
+    assert {r["label"]: r["n_c"] for r in classes.collect()} == {0: 3, 1: 2}
+    assert {r["label"] for r in ct.collect()} == {0, 1}
+    pred = {r["doc_id"]: r["pred"] for r in bayes.predict(w, docs, ct, classes).collect()}
+    assert pred == {1: 0, 2: 1, 3: 0, 4: 0, 5: 1, 6: 0}
+
+
+def test_summary_has_every_document(spark):
+    from lexispark.operators import summary
+    rows = [(1, "..."), (2, None), (3, "!!! ???"), (4, "One good sentence with many words. Two."), (5, "--- ---")]
+    got = {r["doc_id"]: (r["summary"], r["n_tokens"]) for r in summary.extractive_summary(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: ("", 0), 2: ("", 0), 3: ("", 0), 4: ("One good sentence with many words.", 6), 5: ("", 0)}
+
+
+def test_phrase_rows_are_linear_in_the_text(spark):
+    text = " ".join(f"w{i}" for i in range(3000))
+    out = phrases.rake_phrases(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+    assert len(out) == 1 and out[0]["phrase"] == text and out[0]["n_words"] == 3000
+
+
+def test_batches_do_not_mix_splits(spark):
+    seqs = spark.range(50).select(F.col("id").alias("doc_id"), F.array(F.lit(1), F.lit(2)).alias("input_ids"),
+                                  F.lit(2).cast("long").alias("n_tokens"),
+                                  F.expr("case when id < 30 then 'train' when id < 41 then 'valid' else 'test' end").alias("split"))
+    got = sequences.pack_batches(seqs, batch_size=4).collect()
+    by = {}
+    for r in got:
+        by.setdefault((r["split"], r["batch"]), []).append(r)
+    assert len(got) == 50 and len(by) == 8 + 3 + 3
+    valid = sorted((r["position"], r["doc_id"]) for r in got if r["split"] == "valid")
+    assert [i for _, i in valid] == list(range(30, 41))
+    train = [i for _, i in sorted((r["position"], r["doc_id"]) for r in got if r["split"] == "train")]
+    assert train != sorted(train)
+
+
+def test_csv_ids_are_stable(spark, tmp_path):
+    from pyspark.sql import types as T
+    from lexispark.sources import tables
+    schema = T.StructType([T.StructField("discourse_text", T.StringType()), T.StructField("discourse_type", T.StringType())])
+    odd = spark.createDataFrame([('a "quoted",\nline', "x"), ("", None), (None, " edge "), ("x\r\ny", "")], schema)
+    tables.write_table(odd, str(tmp_path / "odd"), "csv")
+    again = tables.read_written(spark, str(tmp_path / "odd"), "csv", schema)
+    assert sorted(map(str, again.collect())) == sorted(map(str, odd.collect()))
+    one = spark.createDataFrame([('a "quoted",\nline', "x"), ("same", "y"), ("same", "y"), ("z", "y"), ("w", "y")], schema)
+    tables.write_table(one.coalesce(1), str(tmp_path / "d"), "csv")
+    first = tables.read_passages_csv(spark, str(tmp_path / "d")).collect()
+    assert sorted(tuple(r)[1:] for r in first) == sorted(tuple(r) for r in one.collect())
+    assert len({r["doc_id"] for r in first}) == 5
+    tables.write_table(one.coalesce(1), str(tmp_path / "e"), "csv")
+    import glob
+    import shutil
+    shutil.copy(glob.glob(str(tmp_path / "e" / "part*"))[0], tmp_path / "d" / "part-later.csv")
+    second = {r["doc_id"] for r in tables.read_passages_csv(spark, str(tmp_path / "d")).collect()}
+    assert len(second) == 10 and {r["doc_id"] for r in first} <= second
+
+
+def test_checkpoint_folder_must_be_shared_on_a_cluster():
+    from types import SimpleNamespace as N
+    from lexispark.session import ensure_checkpoint_dir
+    sc = N(master="spark://host:7077", getCheckpointDir=lambda: None, getConf=lambda: N(get=lambda k, d: d))
+    with pytest.raises(ValueError):
+        ensure_checkpoint_dir(N(sparkContext=sc))
+
+
+@pytest.mark.parametrize("text, want", [
+    ("Привет мир", "Privet mir"), ("Ελλάδα", "Ellada"), ("Tiếng Việt", "Tieng Viet"), ("ﬁne ½ © € ™", "fine 1/2 (c) EUR TM"),
+    ("Щука ψ Ёж Straße", "Shchuka ps Ezh Strasse"), ("日本", "")])
+def test_transliteration(spark, text, want):
+    from lexispark.functions import text as T
+    assert spark.createDataFrame([(text,)], "t string").select(T.transliterate("t").alias("x")).first()["x"] == want

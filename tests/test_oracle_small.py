@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as E
 from conftest import SF_SMALL
 
-ORACLE = E.oracle_sql()
+ORACLE = {k: v for k, v in E.oracle_sql().items() if k not in E._LLM}  # those of llm are tested in tests/llm
 
 
 def _norm(v):
@@ -37,5 +37,5 @@ def test_query_matches_oracle(spark, duck, name):
 
 def test_entry_smoke(spark):
     df = E.entry(spark)
-    assert df.count() >= 0
+    assert df.count() > 0
     assert df.columns == ["lang", "rank", "token", "freq"]
