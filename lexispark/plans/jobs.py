@@ -16,7 +16,7 @@ from ..operators import (
     split, summary, terms, topk,
 )
 from ..session import ensure_checkpoint_dir, scratch_path
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from ..sources.tables import read_table, read_written, spread, write_table
 from .fixtures import augmented_documents, lemma_documents
 
@@ -444,48 +444,75 @@ def extractive_summary(spark, sf_dir):
 
 # ---- 11. MLlib classifiers, LSA and the vector head (rows-only checks) ------
 
-LSA_K = 100
-ML_ROWS_PER_PART = 5000   # iterative fits aggregate a dense gradient per partition
+LSA_K = 500
 
 
-def ml_features(spark, sf_dir):
-    mt, dim = model_table(spark, sf_dir)
-    mt = mt.withColumn("tokens", T.vectorizer_tokens(F.col("terms")))
-    train = mt.where(F.col("split") != "test")
-    feats = models.tfidf_features(train, mt).select("doc_id", "label", "split", "features")
-    # a fixed partitioning in id order keeps iterative fits repeatable
-    n_rows = mt.count()
-    parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), n_rows // ML_ROWS_PER_PART))
-    feats = feats.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id").checkpoint()
-    return feats, train.count()
+def ml_matrix(spark, sf_dir):
+    """(model table, matrix entries with label and split, number of terms)."""
+    mt, w, idf = tfidf_model(spark, sf_dir)
+    numbers = models.term_numbers(idf).checkpoint()
+    x = w.join(numbers, "term").select("doc_id", "label", "split", "tid", "weight").checkpoint()
+    return mt.select("doc_id", "label", "split"), x, numbers.count()
 
 
-@job("text_classify_lr")
-def text_classify_lr(spark, sf_dir):
-    feats, n_train = ml_features(spark, sf_dir)
-    train = feats.where(F.col("split") != "test").withColumn("label", F.col("label").cast("double"))
-    model = models.fit_save_load(models.logistic(n_train), train, scratch_path(spark, "lr_model"))
+def _classified(feats, features, path=None):
+    """Logistic regression fitted on the labelled training rows; predictions
+    for the test rows."""
+    feats = models.spread_by_id(feats).checkpoint()
+    train = feats.where((F.col("split") != "test") & F.col("label").isNotNull()).withColumn("label", F.col("label").cast("double"))
+    model = models.fit_save_load(models.logistic(train.count(), features=features), train, path)
     pred = model.transform(feats.where(F.col("split") == "test"))
     return pred.select("doc_id", "label", F.col("prediction").cast("int").alias("pred"))
 
 
+def lr_predictions(spark, sf_dir):
+    docs, x, n_terms = ml_matrix(spark, sf_dir)
+    return _classified(models.sparse_vectors(x, docs, n_terms), "features", scratch_path(spark, "lr_model"))
+
+
+@job("text_classify_lr")
+def text_classify_lr(spark, sf_dir):
+    return lr_predictions(spark, sf_dir)
+
+
+@job("lr_report")
+def lr_report(spark, sf_dir):
+    return _round_report(evaluate.classification_report(lr_predictions(spark, sf_dir)))
+
+
+def lsa_vectors(spark, sf_dir):
+    """(docs, (doc_id, lsa), singular values): fitted on the training rows,
+    every row projected."""
+    docs, x, _ = ml_matrix(spark, sf_dir)
+    s, v = models.lsa(x.where(F.col("split") != "test"), LSA_K)
+    return docs, models.lsa_project(x, v, len(s)), s
+
+
 @job("lsa_project")
 def lsa_project(spark, sf_dir):
-    feats, _ = ml_features(spark, sf_dir)
-    s, _ = models.lsa(feats.where(F.col("split") != "test"), LSA_K)
-    vals = [(i, float(v)) for i, v in enumerate(s.toArray().tolist())]
-    return spark.createDataFrame(vals, "component long, singular_value double")
+    """(doc_id, component, value): size of each document's projection; the sign
+    of a component is arbitrary."""
+    _, proj, _ = lsa_vectors(spark, sf_dir)
+    return proj.select("doc_id", F.posexplode("lsa").alias("component", "value")).select(
+        "doc_id", "component", F.round(F.abs("value"), 6).alias("value"))
+
+
+def lsa_lr_predictions(spark, sf_dir):
+    docs, proj, s = lsa_vectors(spark, sf_dir)
+    zero = F.array_repeat(F.lit(0.0), len(s))
+    feats = docs.join(proj, "doc_id", "left").select(
+        "doc_id", "label", "split", array_to_vector(F.coalesce("lsa", zero)).alias("lsa"))
+    return _classified(feats, "lsa")
 
 
 @job("text_classify_lsa_lr")
 def text_classify_lsa_lr(spark, sf_dir):
-    feats, n_train = ml_features(spark, sf_dir)
-    _, V = models.lsa(feats.where(F.col("split") != "test"), LSA_K)
-    proj = models.lsa_project(feats, V, keep=["label", "split"])
-    train = proj.where(F.col("split") != "test").withColumn("label", F.col("label").cast("double"))
-    model = models.fit_save_load(models.logistic(n_train, features="lsa"), train, None)
-    pred = model.transform(proj.where(F.col("split") == "test"))
-    return pred.select("doc_id", "label", F.col("prediction").cast("int").alias("pred"))
+    return lsa_lr_predictions(spark, sf_dir)
+
+
+@job("lsa_lr_report")
+def lsa_lr_report(spark, sf_dir):
+    return _round_report(evaluate.classification_report(lsa_lr_predictions(spark, sf_dir)))
 
 
 @job("embedding_head")
@@ -494,9 +521,9 @@ def embedding_head(spark, sf_dir):
     e = split.exact_split(e, "vec_id", test_p=0.15, test_seed="15", valid_p=0.0, valid_seed="15")
     e = e.select("vec_id", F.col("label").cast("double").alias("label"), "split",
                  array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
-    e = e.repartitionByRange("vec_id").sortWithinPartitions("vec_id")
-    k = int(e.agg(F.max("label")).first()[0]) + 1
-    model = models.mlp_head(64, k).fit(e.where(F.col("split") == "train"))
+    e = models.spread_by_id(e, "vec_id").checkpoint()
+    k, d = e.agg(F.max("label"), F.max(F.size(vector_to_array("features")))).first()
+    model = models.mlp_head(int(d), int(k) + 1).fit(e.where(F.col("split") == "train"))
     pred = model.transform(e.where(F.col("split") == "test"))
     return pred.select("vec_id", F.col("label").cast("int").alias("label"),
                        F.col("prediction").cast("int").alias("pred"))
