@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, scratch_path
 
@@ -31,12 +30,6 @@ def written(df: DataFrame, name: str, partition_by: list[str] | None = None) ->
     return spark.read.schema(df.schema).parquet(path)
 
 
-def checked_broadcast(df: DataFrame, rows: int, limit: int) -> DataFrame:
-    """``df`` with a broadcast hint if its counted rows are within ``limit``;
-    otherwise ``df`` as it is, for a shuffled join."""
-    return F.broadcast(df) if rows <= limit else df
-
-
 def row_chunks(lengths, limit: int = CHUNK_CHARS):
     """Ranges ``(start, end)`` of consecutive rows whose lengths add up to
     about ``limit``; a longer row is a range of its own."""

@@ -20,8 +20,7 @@ BYTE_BPE_EOD = 50256
 def op1_sentencepiece(spark, sf_dir):
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     model = sentencepieces.read_model(f"{TOKENIZERS}/piece_bpe_32k.model")
-    encoded = sentencepieces.encode(docs, model, keep_text=True)
-    return sentencepieces.decode(encoded, model).select(
+    return sentencepieces.encode(docs, model, decoded=True).select(
         "doc_id", "ids", F.size("ids").alias("n_tokens"),
         (F.col("decoded") == F.coalesce("t", F.lit(""))).alias("round_trip"))
 

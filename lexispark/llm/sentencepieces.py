@@ -40,9 +40,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .blocks import BLOCK_CHARS, in_blocks
+from .blocks import in_blocks
 
 SPACE = "▁"
+BLOCK_CHARS = 8_000_000  # a task holds a block's texts, its distinct units and their ids
 LONG = 96
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
@@ -164,7 +165,7 @@ def encode_long(model: Model, table: dict[str, tuple[int, float]], unit: str) ->
 
 
 def lattice(units: DataFrame, model: Model) -> DataFrame:
-    """(unit, edges): edges (at, id, weight) of each unit in ascending order;
+    """(unit, low, edges): edges (at, id, weight) of each unit in ascending order;
     ``at`` is the start times ``longest + 1`` plus the length.  The weight is
     the score, or for a BPE model its rank (0: the first merge)."""
     spark = units.sparkSession
@@ -173,16 +174,16 @@ def lattice(units: DataFrame, model: Model) -> DataFrame:
         pieces = spark.createDataFrame([(p, i, rank[s]) for p, i, s in model.pieces], "piece string, id int, weight int")
     else:
         pieces = spark.createDataFrame(model.pieces, "piece string, id int, weight double")
-    numbered = units.select(F.monotonically_increasing_id().alias("row"), "unit")
-    starts = numbered.select("row", "unit", F.explode(F.sequence(F.lit(0), F.length("unit") - 1)).alias("a"))
-    spans = starts.select("row", "unit", "a", F.explode(F.sequence(
+    numbered = units.select(F.monotonically_increasing_id().alias("row"), "unit", "low")
+    starts = numbered.select("row", "unit", "low", F.explode(F.sequence(F.lit(0), F.length("unit") - 1)).alias("a"))
+    spans = starts.select("row", "unit", "low", "a", F.explode(F.sequence(
         F.lit(1), F.least(F.lit(model.longest), F.length("unit") - F.col("a")))).alias("n"))
-    exploded = spans.select("row", "unit", (F.col("a") * (model.longest + 1) + F.col("n")).alias("at"), "n",
+    exploded = spans.select("row", "unit", "low", (F.col("a") * (model.longest + 1) + F.col("n")).alias("at"), "n",
                             F.substring("unit", F.col("a") + 1, F.col("n")).alias("piece"))
     joined = exploded.join(F.broadcast(pieces), "piece", "left").where(  # the vocabulary file: a fixed size
         F.col("id").isNotNull() | (F.col("n") == 1))
     edge = F.when(F.col("id").isNotNull(), F.struct("at", "id", "weight"))
-    return joined.groupBy("row", "unit").agg(F.sort_array(F.collect_list(edge)).alias("edges")).drop("row")
+    return joined.groupBy("row", "unit", "low").agg(F.sort_array(F.collect_list(edge)).alias("edges")).drop("row")
 
 
 def _edge(at: Column) -> Column:
@@ -198,12 +199,12 @@ def _bound(value: Column, use) -> Column:
 def merge_cuts(length: Column, step: int) -> Column:
     """Fold over merges: the cuts left when no two neighbours make a piece."""
     def merge(cuts: Column, _: Column) -> Column:
-        def pair(i: Column) -> Column:  # rank, then place, of the merge of symbols i and i + 1; null: no piece
-            a, b = F.get(cuts, i), F.get(cuts, i + 2)
-            return F.get(F.col("weights"), _edge(a * step + b - a)).cast("long") * (2 * LONG) + i
-        best = F.array_min(F.transform(F.sequence(F.lit(0), F.size(cuts) - 3), pair))
-        return F.when(F.size(cuts) < 3, cuts).otherwise(_bound(
-            F.coalesce(best % (2 * LONG) + 1, F.lit(-1)), lambda mid: F.filter(cuts, lambda c, j: j != mid)))
+        def pair(a: Column, i: Column) -> Column:  # rank, then place, of the merge of symbols i and i + 1; null: no piece
+            return F.get(F.col("weights"), _edge(a * step + F.get(cuts, i + 2) - a)).cast("long") * (2 * LONG) + i
+        best = F.array_min(F.transform(cuts, pair))
+        gone = (best % (2 * LONG) + 1).cast("int")  # the cut inside the merge
+        return _bound(gone, lambda k: F.when(k.isNull(), cuts).otherwise(
+            F.concat(F.slice(cuts, F.lit(1), k), F.slice(cuts, k + 2, F.size(cuts)))))
     return F.aggregate(F.sequence(F.lit(1), F.greatest(length - 1, F.lit(1))), F.sequence(F.lit(0), length), merge)
 
 
@@ -231,16 +232,16 @@ def viterbi_cuts(length: Column, step: int, floor: float) -> Column:
 
 
 def fold(edges: DataFrame, model: Model) -> DataFrame:
-    """(unit, ids) from (unit, edges)."""
+    """(unit, low, ids) from (unit, low, edges)."""
     step = model.longest + 1
     floor = min((s for _, _, s in model.pieces), default=0.0) - 10
-    t = edges.select("unit", F.col("edges.at").alias("places"), F.col("edges.id").alias("ids"),
+    t = edges.select("unit", "low", F.col("edges.at").alias("places"), F.col("edges.id").alias("ids"),
                      F.col("edges.weight").alias("weights"))
     n = F.length("unit")
     t = t.withColumn("cuts", merge_cuts(n, step) if model.bpe else viterbi_cuts(n, step, floor))
 
-    def symbol(k: Column) -> Column:
-        a, b = F.get(F.col("cuts"), k), F.get(F.col("cuts"), k + 1)
+    def symbol(a: Column, k: Column) -> Column:
+        b = F.get(F.col("cuts"), k + 1)
         known = F.get(F.col("ids"), _edge(a * step + b - a))
         if model.byte_ids is None:
             other = F.array(F.lit(model.unknown))
@@ -251,11 +252,11 @@ def fold(edges: DataFrame, model: Model) -> DataFrame:
                 byte, F.conv(F.substring(code, 2 * i + 1, F.lit(2)), 16, 10).cast("int")))
         return F.when(known.isNotNull(), F.array(known)).otherwise(other)
 
-    return t.select("unit", F.flatten(F.transform(F.sequence(F.lit(0), F.size("cuts") - 2), symbol)).alias("ids"))
+    return t.select("unit", "low", F.flatten(F.transform(F.slice("cuts", F.lit(1), F.size("cuts") - 1), symbol)).alias("ids"))
 
 
 def encode_units(units: DataFrame, model: Model) -> DataFrame:
-    """(unit, ids) of distinct units."""
+    """(unit, low, ids) of distinct units; ``low`` is only carried along."""
     short = units.where(F.length("unit") <= LONG)
     folded = fold(lattice(short, model), model)
 
@@ -265,16 +266,20 @@ def encode_units(units: DataFrame, model: Model) -> DataFrame:
         for batch in batches:
             texts = batch.column("unit").to_pylist()
             yield pa.RecordBatch.from_arrays(
-                [batch.column("unit"), pa.array([encode_long(model, table, u) for u in texts], pa.list_(pa.int32()))],
-                names=["unit", "ids"])
+                [batch.column("unit"), batch.column("low"), pa.array([encode_long(model, table, u) for u in texts], pa.list_(pa.int32()))],
+                names=["unit", "low", "ids"])
 
-    return folded.union(units.where(F.length("unit") > LONG).mapInArrow(run, "unit string, ids array<int>"))
+    return folded.union(units.where(F.length("unit") > LONG).mapInArrow(run, "unit string, low int, ids array<int>"))
 
 
-def encode(docs: DataFrame, model: Model, text: str = "text", doc_id: str = "doc_id", keep_text: bool = False,
+def encode(docs: DataFrame, model: Model, text: str = "text", doc_id: str = "doc_id", decoded: bool = False,
            block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """(doc_id, ids) of every row, and its text as ``t`` if ``keep_text``."""
+    """(doc_id, ids) of every row.  With ``decoded``, the ids are decoded in
+    the same task, and the text (``t``) and what they decode to (``decoded``)
+    are returned beside them."""
     blocks = in_blocks(docs, doc_id, text, block_chars)
+    # units are few bytes and much work, so they are dealt to more partitions than their size asks for
+    parts = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def distinct(key, table):
         import pyarrow as pa
@@ -283,9 +288,10 @@ def encode(docs: DataFrame, model: Model, text: str = "text", doc_id: str = "doc
             seen.update(cutter.units(t.as_py()))
         return pa.table({"block": pa.array([key[0].as_py()] * len(seen), pa.int32()), "unit": pa.array(list(seen), pa.string())})
 
-    held = (blocks.groupBy("block").applyInArrow(distinct, "block int, unit string")
-            .groupBy("unit").agg(F.collect_list("block").alias("blocks")))
-    answers = held.join(encode_units(held.select("unit"), model), "unit").select(
+    held = blocks.groupBy("block").applyInArrow(distinct, "block int, unit string").repartition(parts, "unit")
+    # both sides read block and unit, so that they share one exchange of ``held``
+    asked = held.groupBy("unit").agg(F.collect_list("block").alias("blocks"), F.min("block").alias("low"))
+    answers = asked.join(encode_units(held.groupBy("unit").agg(F.min("block").alias("low")), model), ["unit", "low"]).select(
         F.explode("blocks").alias("block"), "unit", "ids")
     kind = blocks.schema["doc_id"].dataType.simpleString()
 
@@ -304,10 +310,11 @@ def encode(docs: DataFrame, model: Model, text: str = "text", doc_id: str = "doc
             out.append(flat[skip + np.arange(len(skip))].astype(np.int32))
             ends.append(ends[-1] + len(skip))
         ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(out) if out else np.zeros(0, np.int32)))
-        return pa.table({"doc_id": left.column("doc_id"), "ids": ids, **({"t": left.column("t")} if keep_text else {})})
+        both = {"t": left.column("t"), "decoded": pa.array([decode_ids(model, x.as_py()) for x in ids], pa.string())} if decoded else {}
+        return pa.table({"doc_id": left.column("doc_id"), "ids": ids, **both})
 
     return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
-        string, f"doc_id {kind}, ids array<int>" + (", t string" if keep_text else ""))
+        string, f"doc_id {kind}, ids array<int>" + (", t string, decoded string" if decoded else ""))
 
 
 def decode_ids(model: Model, ids: list[int] | None) -> str:

@@ -32,10 +32,10 @@ def test_sentencepiece_equals_the_library(spark):
     rng = random.Random(2)
     odd = [(3000 + i, "".join(rng.choice("ab  etion=-.\nthe日é😀") for _ in range(rng.randrange(150)))) for i in range(40)]
     df = spark.createDataFrame(some(spark) + ODD + odd, "doc_id long, text string").selectExpr("*", "1 as block", "2 as unit", "3 as ids")
-    got = sentencepieces.decode(sentencepieces.encode(df, model, keep_text=True, block_chars=60_000), model).collect()
+    got = sentencepieces.decode(sentencepieces.encode(df, model, decoded=True, block_chars=60_000), model, name="again").collect()
     assert len(got) == df.count()
     for r in got:
-        assert r["ids"] == lib.encode(r["t"] or "") and r["decoded"] == (r["t"] or "")
+        assert r["ids"] == lib.encode(r["t"] or "") and r["decoded"] == r["again"] == (r["t"] or "")
     assert sentencepieces.encode(df.limit(0), model).count() == 0
 
 
@@ -45,7 +45,7 @@ def test_viterbi_equals_brute_force(spark):
     pieces = [(w, i, -rng.random() * 5) for i, w in enumerate(sorted(words))]
     model = sentencepieces.Model(False, False, pieces, None, 99, 100, {})
     units = ["a" * 5, "abab", "b", "bbabba", "aabbaabb", "acb"]
-    got = {r["unit"]: r["ids"] for r in sentencepieces.encode_units(spark.createDataFrame([(u,) for u in units], "unit string"), model).collect()}
+    got = {r["unit"]: r["ids"] for r in sentencepieces.encode_units(spark.createDataFrame([(u, 0) for u in units], "unit string, low int"), model).collect()}
     table = {p: (i, s) for p, i, s in pieces}
     floor = min(s for _, _, s in pieces) - 10
 
