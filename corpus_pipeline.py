@@ -45,8 +45,7 @@ def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Encodes every document; ``round_trip`` says if decoding gives back its
     text."""
     model = sentencepieces.read_model(f"{TOKENIZERS}/piece_bpe_32k.model")
-    decoded = sentencepieces.decode(sentencepieces.encode(docs, model, keep_text=True), model)
-    return decoded.select("doc_id", "ids", F.size("ids").alias("n_tokens"),
+    return sentencepieces.encode(docs, model, decoded=True).select("doc_id", "ids", F.size("ids").alias("n_tokens"),
                           (F.col("decoded") == F.coalesce("t", F.lit(""))).alias("round_trip"))
 
 
