@@ -197,15 +197,32 @@ def _bound(value: Column, use) -> Column:
 
 
 def merge_cuts(length: Column, step: int) -> Column:
-    """Fold over merges: the cuts left when no two neighbours make a piece."""
-    def merge(cuts: Column, _: Column) -> Column:
-        def pair(a: Column, i: Column) -> Column:  # rank, then place, of the merge of symbols i and i + 1; null: no piece
-            return F.get(F.col("weights"), _edge(a * step + F.get(cuts, i + 2) - a)).cast("long") * (2 * LONG) + i
-        best = F.array_min(F.transform(cuts, pair))
-        gone = (best % (2 * LONG) + 1).cast("int")  # the cut inside the merge
-        return _bound(gone, lambda k: F.when(k.isNull(), cuts).otherwise(
-            F.concat(F.slice(cuts, F.lit(1), k), F.slice(cuts, k + 2, F.size(cuts)))))
-    return F.aggregate(F.sequence(F.lit(1), F.greatest(length - 1, F.lit(1))), F.sequence(F.lit(0), length), merge)
+    """Fold over merges: the cuts left when no two neighbours make a piece.
+
+    The state also has, for each inner cut, the rank of the merge that would
+    remove it (null: no piece); a merge changes only its two neighbours' ranks."""
+    none = F.array().cast("array<int>")
+
+    def rank(a: Column, b: Column) -> Column:
+        return F.get(F.col("weights"), _edge(a * step + b - a))
+
+    def merge(s: Column, _: Column) -> Column:
+        cuts, ranks = s["cuts"], s["ranks"]
+
+        def without(k: Column) -> Column:  # cut k (from 0) goes
+            left = F.when(k > 1, F.array(rank(F.get(cuts, k - 2), F.get(cuts, k + 1)))).otherwise(none)
+            right = F.when(k < F.size(ranks), F.array(rank(F.get(cuts, k - 1), F.get(cuts, k + 2)))).otherwise(none)
+            return F.struct(
+                F.concat(F.slice(cuts, F.lit(1), k), F.slice(cuts, k + 2, F.size(cuts))).alias("cuts"),
+                F.concat(F.slice(ranks, F.lit(1), F.greatest(k - 2, F.lit(0))), left, right,
+                         F.slice(ranks, k + 2, F.size(ranks))).alias("ranks"))
+
+        best = F.array_position(ranks, F.array_min(ranks)).cast("int")  # the leftmost of equal ranks
+        return _bound(best, lambda k: F.when(k.isNull(), s).otherwise(without(k)))
+
+    ranks = F.when(length < 2, none).otherwise(F.transform(F.sequence(F.lit(0), length - 2), lambda i: rank(i, i + 2)))
+    first = F.struct(F.sequence(F.lit(0), length).alias("cuts"), ranks.alias("ranks"))
+    return F.aggregate(F.sequence(F.lit(1), F.greatest(length - 1, F.lit(1))), first, merge, lambda s: s["cuts"])
 
 
 def viterbi_cuts(length: Column, step: int, floor: float) -> Column:
@@ -256,8 +273,9 @@ def fold(edges: DataFrame, model: Model) -> DataFrame:
 
 
 def encode_units(units: DataFrame, model: Model) -> DataFrame:
-    """(unit, low, ids) of distinct units; ``low`` is only carried along."""
-    short = units.where(F.length("unit") <= LONG)
+    """(unit, low, ids) of distinct ``units`` (unit, low, size); ``low`` is
+    only carried along."""
+    short = units.where(F.col("size") <= LONG)
     folded = fold(lattice(short, model), model)
 
     def run(batches):
@@ -269,7 +287,7 @@ def encode_units(units: DataFrame, model: Model) -> DataFrame:
                 [batch.column("unit"), batch.column("low"), pa.array([encode_long(model, table, u) for u in texts], pa.list_(pa.int32()))],
                 names=["unit", "low", "ids"])
 
-    return folded.union(units.where(F.length("unit") > LONG).mapInArrow(run, "unit string, low int, ids array<int>"))
+    return folded.union(units.where(F.col("size") > LONG).select("unit", "low").mapInArrow(run, "unit string, low int, ids array<int>"))
 
 
 def encode(docs: DataFrame, model: Model, text: str = "text", doc_id: str = "doc_id", decoded: bool = False,
@@ -289,10 +307,14 @@ def encode(docs: DataFrame, model: Model, text: str = "text", doc_id: str = "doc
         return pa.table({"block": pa.array([key[0].as_py()] * len(seen), pa.int32()), "unit": pa.array(list(seen), pa.string())})
 
     held = blocks.groupBy("block").applyInArrow(distinct, "block int, unit string").repartition(parts, "unit")
-    # both sides read block and unit, so that they share one exchange of ``held``
+    # all branches read block and unit and filter on aggregates only, so that they share one exchange of ``held``
     asked = held.groupBy("unit").agg(F.collect_list("block").alias("blocks"), F.min("block").alias("low"))
-    answers = asked.join(encode_units(held.groupBy("unit").agg(F.min("block").alias("low")), model), ["unit", "low"]).select(
-        F.explode("blocks").alias("block"), "unit", "ids")
+    units = held.groupBy("unit").agg(F.min("block").alias("low"), F.max(F.length("unit")).alias("size"))
+    encoded = encode_units(units, model)
+    answers = (asked.withColumn("ids", F.lit(None).cast("array<int>"))
+               .unionByName(encoded.withColumn("blocks", F.lit(None).cast("array<int>")))
+               .groupBy("unit", "low").agg(F.first("blocks", True).alias("blocks"), F.first("ids", True).alias("ids"))
+               .select(F.explode("blocks").alias("block"), "unit", "ids"))
     kind = blocks.schema["doc_id"].dataType.simpleString()
 
     def string(key, left, right):

@@ -45,7 +45,7 @@ def test_viterbi_equals_brute_force(spark):
     pieces = [(w, i, -rng.random() * 5) for i, w in enumerate(sorted(words))]
     model = sentencepieces.Model(False, False, pieces, None, 99, 100, {})
     units = ["a" * 5, "abab", "b", "bbabba", "aabbaabb", "acb"]
-    got = {r["unit"]: r["ids"] for r in sentencepieces.encode_units(spark.createDataFrame([(u, 0) for u in units], "unit string, low int"), model).collect()}
+    got = {r["unit"]: r["ids"] for r in sentencepieces.encode_units(spark.createDataFrame([(u, 0, len(u)) for u in units], "unit string, low int, size int"), model).collect()}
     table = {p: (i, s) for p, i, s in pieces}
     floor = min(s for _, _, s in pieces) - 10
 
