@@ -26,8 +26,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops boilerplate lines; every document stays."""
-    return linededup.drop_boilerplate(docs).select(*DOCUMENT)
+    """Drops boilerplate lines; every document stays.  Copies of a text count
+    as one page, so that ``near_dedup`` finds them whole."""
+    return linededup.drop_boilerplate(docs, by_text=True).select(*DOCUMENT)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

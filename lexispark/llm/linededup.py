@@ -10,7 +10,9 @@ task more than its partial counts.
 Defined results: null text stays null (its row counts as a page without
 lines); a null host is one host of its own; blank lines are never boilerplate;
 repeated rows count as pages of their own; empty input gives empty output.  A
-text whose lines all go becomes empty; its row stays.  The documents' columns
+text whose lines all go becomes empty; its row stays.  With ``by_text`` a page
+is a distinct whole text of the host, so that copies of one page, whatever
+their number, don't make its lines boilerplate.  The documents' columns
 are kept and only ``text`` and ``n_chars`` change, so other columns may have
 any name that doesn't begin with two underscores."""
 
@@ -26,14 +28,18 @@ SALTS = 32
 
 
 def boilerplate(docs: DataFrame, max_ratio: float = 0.05, min_pages: int = 5,
-                host: str = "source", text: str = "text") -> DataFrame:
+                host: str = "source", text: str = "text", by_text: bool = False) -> DataFrame:
     """(host, line_hash, pages, ratio) of the lines above the ratio.  A host's
     ratios add up to its mean number of lines a page, so it has at most that
     number divided by ``max_ratio`` of them."""
     rows = docs.select(F.col(host).alias("host"), F.col(text).alias("t"))
+    hashes = F.array_distinct(F.transform(
+        F.filter(F.split("t", "\n", -1), lambda x: F.trim(x) != ""), lambda x: F.xxhash64(x)))
+    if by_text:
+        rows = rows.select("host", F.md5("t").alias("k"), hashes.alias("h")).groupBy("host", "k").agg(F.first("h").alias("h"))
+        hashes = F.col("h")
     pages = rows.groupBy("host").agg(F.count(F.lit(1)).alias("host_pages"))
-    lines = rows.select("host", F.explode(F.array_distinct(F.transform(
-        F.filter(F.split("t", "\n", -1), lambda x: F.trim(x) != ""), lambda x: F.xxhash64(x)))).alias("line_hash"))
+    lines = rows.select("host", F.explode(hashes).alias("line_hash"))
     seen = lines.groupBy("host", "line_hash").agg(F.count(F.lit(1)).alias("pages")).where(F.col("pages") >= min_pages)
     return (seen.join(pages, seen.host.eqNullSafe(pages.host)).select(
         seen.host, "line_hash", "pages", (F.col("pages") / F.col("host_pages")).alias("ratio"))
@@ -41,10 +47,10 @@ def boilerplate(docs: DataFrame, max_ratio: float = 0.05, min_pages: int = 5,
 
 
 def drop_boilerplate(docs: DataFrame, max_ratio: float = 0.05, min_pages: int = 5,
-                     host: str = "source", text: str = "text") -> DataFrame:
+                     host: str = "source", text: str = "text", by_text: bool = False) -> DataFrame:
     """``docs`` without boilerplate lines, ``n_chars`` (if there is one)
     counted anew, and ``n_lines``, ``n_dropped`` of each row."""
-    found = cut(boilerplate(docs, max_ratio, min_pages, host, text).groupBy("host").agg(
+    found = cut(boilerplate(docs, max_ratio, min_pages, host, text, by_text).groupBy("host").agg(
         F.collect_set("line_hash").alias("__drop")))
     hosts = found.count()
     if hosts <= BROADCAST_HOSTS:

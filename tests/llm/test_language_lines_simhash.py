@@ -1,5 +1,6 @@
 """Operators 2, 8 and 9 against brute force, and their edge cases."""
 import collections
+import hashlib
 import random
 
 import pytest
@@ -83,6 +84,19 @@ def test_line_dedup_by_hand(spark, monkeypatch, limit):
     assert any(r["n_dropped"] for r in got)
 
 
+def test_pipeline_keeps_one_of_a_large_copy_group(spark):
+    """Copies over the ratio on two hosts; the menu of all pages still goes."""
+    import corpus_pipeline
+    text = lambda k: "\n".join(" ".join(hashlib.md5(f"{k}.{j}.{w}".encode()).hexdigest()[:6] for w in range(12)) for j in range(4))
+    rows = [(i, f"menu\n{text(i)}", "en", "ab"[i % 2], 0) for i in range(60)]
+    rows += [(1000 + i, f"menu\n{text('copied')}", "en", "a", 0) for i in range(30)]
+    rows += [(2000 + i, f"menu\n{text('other')}", "en", "b", 0) for i in range(10)]
+    lines = corpus_pipeline.line_dedup(spark, frame(spark, rows), None)
+    assert {r["text"] for r in lines.collect()} == {t.removeprefix("menu\n") for _, t, *_ in rows}
+    kept = {r["doc_id"]: r["text"] for r in corpus_pipeline.near_dedup(spark, lines, None).collect()}
+    assert set(kept) == {*range(60), 1000, 2000} and kept[1000] == text("copied") and kept[2000] == text("other")
+
+
 def test_line_dedup_keeps_columns_and_empty(spark):
     df = frame(spark, [(1, "a\nb", "en", "h", 3)]).selectExpr("*", "7 as host", "8 as pages", "9 as line_hash")
     out = linededup.drop_boilerplate(df)
