@@ -89,6 +89,24 @@ def test_stupid_backoff_by_hand(spark, order):
     assert got == want
 
 
+def test_registered_lm_counts_all_trigrams(spark, tmp_path):
+    from lexispark.llm.queries import op5_lm_score
+    rows = [(1, "one two three four"), (2, "one two five"), (3, "six")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    units = lmscore.encoder(RANKS, BYTE_BPE_PATTERN)
+    ids = {i: units([t])[1].tolist() for i, t in rows}
+    count = collections.Counter(tuple(x[j:j + n]) for x in ids.values() for n in (1, 2, 3) for j in range(len(x) - n + 1))
+    total = sum(map(len, ids.values()))
+
+    def s(x, j):  # every n-gram has been counted
+        g = tuple(x[max(0, j - 2):j + 1])
+        return count[g] / (count[g[:-1]] if len(g) > 1 else total)
+
+    for r in op5_lm_score(spark, str(tmp_path)).collect():
+        x = ids[r["doc_id"]]
+        assert abs(r["lm_score"] - sum(math.log10(s(x, j)) for j in range(len(x)))) < 1e-9
+
+
 def test_lm_empty(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert lmscore.lm_scores(df, RANKS, BYTE_BPE_PATTERN).count() == 0
