@@ -10,7 +10,9 @@ that has most of the clustered content; its lines are the main text, short
 ones and headings too (outside ``article`` and ``main``, lines before or after
 the content cluster go from the first one on that is mostly links).  Menus, headers, footers, sidebars, notices, adverts,
 forms, scripts, styles and reader comments are left out by element, role and
-class name, also inside the region.
+class name, also inside the region.  A class name marks an element only if it
+isn't the wrapper of the article: ``_marked`` decides that when the whole page
+has been read.
 
 Defined results: null, empty or text-free html gives an empty text; broken
 markup is read as browsers do (unclosed elements end with their parent, stray
@@ -50,11 +52,15 @@ LINKED = 0.5  # share of a line in links from which it is a link line
 
 
 class _Events(HTMLParser):
-    """Collects lines: [texts, tags, container, left out, characters in links]."""
+    """Collects lines: [texts, tags, container, left out, characters in links,
+    innermost element with a marking name]."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, bool, int]] = []  # element, begins a part to leave out, container before it
+        self.stack: list[tuple[str, bool, int, int]] = []  # element, begins a part to leave out, container and named element before it
+        self.named = 0
+        self.names = [-1]  # parents of the elements with a marking name
+        self.heads: list[tuple[str, int]] = []  # main, article, h1 and the named element around each
         self.noise = 0
         self.main = 0
         self.links = 0
@@ -72,8 +78,9 @@ class _Events(HTMLParser):
     def break_line(self) -> None:
         if self.lines and not self.lines[-1][0]:
             self.lines[-1][2:4] = [self.box, self.noise > 0]
+            self.lines[-1][5] = self.named
         else:
-            self.lines.append([[], 0, self.box, self.noise > 0, 0])
+            self.lines.append([[], 0, self.box, self.noise > 0, 0, self.named])
 
     def skipped(self, tag: str, attrs) -> bool:
         if tag in SKIP or (tag == "header" and not self.main):
@@ -81,12 +88,14 @@ class _Events(HTMLParser):
         if tag in ("html", "body", "article", "main"):
             return False
         for k, v in attrs:
-            if k in ("class", "id") and v and not SKIP_WORDS.isdisjoint(re.split(r"[^a-z]+", v.lower())):
-                return True
             if (k == "role" and v and v.lower() in SKIP_ROLES) or k == "hidden" or (k == "aria-hidden" and v == "true"):
                 return True
         return False
 
+    def has_name(self, tag: str, attrs) -> bool:
+        return tag not in ("html", "body", "article", "main") and any(
+            k in ("class", "id") and v and not SKIP_WORDS.isdisjoint(re.split(r"[^a-z]+", v.lower())) for k, v in attrs)
+
     def handle_starttag(self, tag, attrs) -> None:
         if tag in ENDS_P and self.has_open("p"):
             self.close_to("p")
@@ -100,14 +109,20 @@ class _Events(HTMLParser):
         if tag in VOID:
             return
         skip = self.skipped(tag, attrs)
-        self.stack.append((tag, skip, self.box))
+        named = not skip and self.has_name(tag, attrs)
+        self.stack.append((tag, skip, self.box, self.named))
         self.noise += skip
+        if named:
+            self.names.append(self.named)
+            self.named = len(self.names) - 1
+        if tag in ("main", "article", "h1") and not self.noise:
+            self.heads.append((tag, self.named))
         self.main += tag in ("article", "main")
         self.links += tag == "a"
         if tag in CONTAINERS:
             self.boxes.append((tag, self.box))
             self.box = len(self.boxes) - 1
-        if skip or tag in CONTAINERS:
+        if skip or named or tag in CONTAINERS:
             self.break_line()
 
     def handle_startendtag(self, tag, attrs) -> None:
@@ -116,7 +131,7 @@ class _Events(HTMLParser):
             self.handle_endtag(tag)
 
     def has_open(self, tag: str, within: tuple[str, ...] = ("div", "article", "section", "main", "td", "body")) -> bool:
-        for name, _, _ in reversed(self.stack):
+        for name, *_ in reversed(self.stack):
             if name == tag:
                 return True
             if name in within:
@@ -125,19 +140,20 @@ class _Events(HTMLParser):
 
     def close_to(self, tag: str) -> None:
         while self.stack:
-            name, skip, box = self.stack.pop()
+            name, skip, box, named = self.stack.pop()
             self.noise -= skip
             self.main -= name in ("article", "main")
             self.links -= name == "a"
             self.box = box
-            if skip or name in CONTAINERS or name in BLOCK:
+            left, self.named = self.named != named, named
+            if skip or left or name in CONTAINERS or name in BLOCK:
                 self.break_line()
             if name == tag:
                 return
 
     def handle_endtag(self, tag) -> None:
         self.lines[-1][1] += 1
-        if any(name == tag for name, _, _ in reversed(self.stack)):
+        if any(x[0] == tag for x in reversed(self.stack)):
             self.close_to(tag)
 
     def handle_data(self, data) -> None:
@@ -167,6 +183,36 @@ def _threshold(x: np.ndarray) -> float:
     return float(cut)
 
 
+def _clustered(ratio: np.ndarray, noise: np.ndarray, sigma: float) -> np.ndarray:
+    smooth = _smooth(np.where(noise, 0.0, ratio), sigma)
+    content = (smooth > _threshold(smooth)) & ~noise
+    return content if content.any() else ~noise
+
+
+def _marked(page: _Events, named: list[int], mass: np.ndarray, most: float) -> set[int]:
+    """The named elements that are left out.  One is kept as a wrapper if it
+    holds the page's main element or first article or headline, and no unmarked
+    text of half its mass is outside; where these are outside all named ones,
+    it must have ``most`` of the text that isn't links, no ``main`` or ``article`` must be outside,
+    and not more than a tenth of the text."""
+    marks = set(range(1, len(page.names)))
+    chains: list[set[int]] = [set()]
+    for parent in page.names[1:]:
+        chains.append(chains[parent] | {len(chains)})
+    head = min(page.heads, key=lambda h: h[0] != "main", default=("", 0))
+    inside = {e: sum(m for m, n in zip(mass, named) if e in chains[n]) for e in marks}
+    for e in sorted(marks, key=lambda e: (-inside[e], e)):
+        outside = sum(m for m, n in zip(mass, named) if e not in chains[n] and marks.isdisjoint(chains[n]))
+        if e in chains[head[1]]:
+            wrapper = 2 * outside <= inside[e]
+        else:
+            wrapper = (not head[1] and head[0] in ("", "h1") and inside[e] >= most * mass.sum() > 0
+                       and outside <= 0.1 * mass.sum())
+        if wrapper:
+            marks.remove(e)
+    return {n for n in range(len(chains)) if not marks.isdisjoint(chains[n])}
+
+
 def extract(html: str | None, sigma: float = 1.0, most: float = 0.5) -> str:
     """The main text of one page; ``most``: the share of the clustered content
     that the chosen container must have."""
@@ -176,17 +222,23 @@ def extract(html: str | None, sigma: float = 1.0, most: float = 0.5) -> str:
     page.feed(html)
     page.close()
     lines = []
-    for texts, tags, box, noise, linked in page.lines:
+    named = []
+    for texts, tags, box, noise, linked, name in page.lines:
         text = " ".join("".join(texts).split())
         if text:
             lines.append((text, len(text) / (tags + 1), box, noise, linked > LINKED * len(text)))
+            named.append(name)
     if not any(not x[3] for x in lines):
         return ""
-    smooth = _smooth(np.array([0.0 if x[3] else x[1] for x in lines]), sigma)
-    content = (smooth > _threshold(smooth)) & np.array([not x[3] for x in lines])
-    if not content.any():
-        content = np.array([not x[3] for x in lines])
-    mass = np.array([len(x[0]) for x in lines]) * content
+    size, ratio = np.array([len(x[0]) for x in lines]), np.array([x[1] for x in lines])
+    if any(named):
+        plain = np.array([not x[3] and not x[4] for x in lines])  # a long comment would put the article in the low cluster
+        gone = _marked(page, named, size * plain, most)
+        lines = [(*x[:3], x[3] or n in gone, x[4]) for x, n in zip(lines, named)]
+        if all(x[3] for x in lines):
+            return ""
+    content = _clustered(ratio, np.array([x[3] for x in lines]), sigma)
+    mass = size * content
     held = np.zeros(len(page.boxes))  # clustered content in each container, with what is nested in it
     for k, (_, _, box, _, _) in enumerate(lines):
         while box > 0:

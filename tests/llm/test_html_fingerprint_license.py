@@ -25,6 +25,17 @@ def test_articles_of_the_pages(spark):
         assert got[r["page_id"]]["n_chars"] == len(got[r["page_id"]]["text"]) and got[r["page_id"]]["url"] == r["url"]
 
 
+@pytest.mark.parametrize("wrapper", ["class='content has-sidebar'", "id='layout-sidebar-right'", "class='post comments-open'", "class='no-ads'"])
+@pytest.mark.parametrize("inner", ["article", "main", "div"])
+def test_a_wrapper_is_no_mark(wrapper, inner):
+    text = "A sentence of the article, long enough to count as content. " * 4
+    aside = "<div class='sidebar'><p>Short aside.</p></div><div class='comments'><p>" + "Long comment of a reader. " * 60 + "</p></div>"
+    page = f"<body><nav>Home</nav><div {wrapper}><{inner}><h1>Head</h1><p>{text}</p><p>{text}</p></{inner}>{aside}</div><footer>f</footer></body>"
+    assert htmltext.extract(page) == f"Head {text.strip()} {text.strip()}"
+    short = f"<body><div class='post'><h1>Head</h1><p>{text}</p></div><div class='comments'><article>{'Long comment of a reader. ' * 60}</article></div>"
+    assert htmltext.extract(short) == f"Head {text.strip()}"
+
+
 LONG = "A sentence of the article, long enough to count as content. " * 4
 
 
