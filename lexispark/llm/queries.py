@@ -7,7 +7,8 @@ import os
 
 from pyspark.sql import functions as F
 
-from . import decontaminate, htmltext, langid, licenses, linededup, lmscore, multisethash, sentencepieces, simhash, tokencounts
+from . import (decontaminate, htmltext, langid, licenses, linededup, lmscore, merkle, mixing, multisethash, sentencepieces, simhash,
+               spelling, tokencounts)
 from .common import table
 
 
@@ -70,8 +71,23 @@ def op10_token_counts(spark, sf_dir):
         docs, f"{TOKENIZERS}/byte_bpe_50k.tiktoken", BYTE_BPE_PATTERN, BYTE_BPE_EOD)
 
 
+def op11_spelling(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return spelling.spelling_variants(docs, min_chars=6, min_count=5, ratio=5, drop_every=199)
+
+
+def op12_merkle(spark, sf_dir):
+    return merkle.tampered_manifest(table(spark, sf_dir, "documents", "doc_id", "source", "lang", "n_chars", "text"))
+
+
+def op13_mixing(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "source")
+    return mixing.mix(docs, weights=(5, 2, 1), most=3).select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_language_id, op3_html_text, op4_fingerprint, op5_lm_score, op6_decontamination,
-                                  op7_licenses, op8_line_dedup, op9_simhash, op10_token_counts)}
+                                  op7_licenses, op8_line_dedup, op9_simhash, op10_token_counts, op11_spelling, op12_merkle,
+                                  op13_mixing)}
 
 ORACLE = {
     "op7_licenses": licenses.oracle(),
