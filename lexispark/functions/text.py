@@ -19,7 +19,8 @@ URL_STRICT = r"http[^" + ASCII_WS + r"]+"
 LETTER_RUN = r"([a-z])\1{2,}"
 SEGMENTS = r"[a-z']+|[^a-z']+"
 NON_ASCII = r"[^\x00-\x7F]"
-MULTI = "[" + "".join(TRANSLIT_MULTI) + "]"  # characters that become several
+MULTI = "".join(TRANSLIT_MULTI)  # characters that become several
+MULTI_PIECES = f"[{MULTI}]|[^{MULTI}]+"
 PUNCT = r"[^" + WORD + WS + r"]"
 WS_RUN = r"[" + WS + r"]+"
 EDGE_WS = r"\A[" + WS + r"]+|[" + WS + r"]+\z"
@@ -40,14 +41,17 @@ def col(c) -> Column:
 
 def transliterate(c) -> Column:
     """multi-letter replacements, 1:1 table, then drop what is left
-    outside ASCII."""
+    outside ASCII.  A text of as many bytes as characters is ASCII and stays
+    as it is; only texts that hold a multi-letter character are cut at them."""
     c = col(c)
-    multi = c
-    for src, dst in TRANSLIT_MULTI.items():
-        multi = F.replace(multi, F.lit(src), F.lit(dst))
-    c = F.when(c.rlike(MULTI), multi).otherwise(c)
-    c = F.translate(c, TRANSLIT_FROM, TRANSLIT_TO)
-    return F.regexp_replace(c, NON_ASCII, "")
+    table = F.create_map(*[F.lit(x) for kv in TRANSLIT_MULTI.items() for x in kv])
+    pieces = F.regexp_extract_all(c, F.lit(MULTI_PIECES), 0)
+    multi = F.array_join(F.transform(pieces, lambda s: F.coalesce(
+        F.when(F.length(s) == 1, F.try_element_at(table, s)), s)), "")
+    has_multi = F.length(F.translate(c, MULTI, "")) < F.length(c)
+    c = F.when(F.octet_length(c) > F.length(c), F.when(has_multi, multi).otherwise(c)).otherwise(c)
+    rest = F.regexp_replace(F.translate(c, TRANSLIT_FROM, TRANSLIT_TO), NON_ASCII, "")
+    return F.when(F.octet_length(c) > F.length(c), rest).otherwise(c)
 
 
 def _expand_segment(s: Column, table: Column) -> Column:

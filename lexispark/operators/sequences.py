@@ -38,16 +38,20 @@ def token_ids(df: DataFrame, cols: list[str], vocab: DataFrame, id_cols: list[st
     """``df`` with its token array columns ``cols`` replaced by id arrays.
 
     Only a row's distinct tokens meet the vocabulary (one join for all of the
-    columns); the ids come back as a map of the row."""
+    columns); the ids come back as a map of the row.  Rows are told apart by
+    their ids and a hash of their tokens, compared as one struct in which null
+    equals null, so rows without an id or with a repeated one keep their own
+    tokens, and rows equal in both share a map that fits them all."""
+    df = df.withColumn("_row", F.struct(*id_cols, F.xxhash64(*cols).alias("_h")))
     every = F.array_distinct(F.concat(*[F.coalesce(F.col(c), F.array().cast("array<string>")) for c in cols]))
-    own = explode_rows(df, every, "token", *id_cols)
-    maps = own.join(vocab, "token").groupBy(*id_cols).agg(
+    own = explode_rows(df, every, "token", "_row")
+    maps = own.join(vocab, "token").groupBy("_row").agg(
         F.map_from_entries(F.collect_set(F.struct("token", "id"))).alias("_m"))
-    out = df.join(maps, id_cols, "left")
+    out = df.join(maps, "_row", "left")
     for c in cols:
         out = out.withColumn(c, F.transform(F.coalesce(F.col(c), F.array().cast("array<string>")),
                                             lambda t: F.coalesce(F.try_element_at("_m", t), F.lit(UNK))))
-    return out.drop("_m")
+    return out.drop("_m", "_row")
 
 
 def pack_sequences(df: DataFrame, vocab: DataFrame, tokens_col: str = "tokens", id_col: str = "doc_id",
@@ -98,17 +102,21 @@ def pack_batches(seqs: DataFrame, id_col: str = "doc_id", batch_size: int = 4, s
     others by id; batch = floor((rank-1)/size); each sequence padded to the
     longest of its batch, the padding masked.
 
-    Ranks and batch maxima are made on (id, split, length) rows; the id
-    arrays are joined to them once."""
-    narrow = seqs.select(id_col, split_col, "n_tokens").checkpoint()
-    parts = [hash_rank(narrow.where(F.col(split_col) == shuffled).withColumn("_k", hash_key(id_col, seed)), "_k", "_rn").drop("_k")]
+    Ranks and batch maxima are made on (row, id, split, length) rows; the id
+    arrays are joined to them once, by a row number that the checkpoint
+    fixes, so rows without an id or with a repeated one stay apart.  Rows
+    without an id are shuffled by their row number."""
+    seqs = seqs.withColumn("_row", F.monotonically_increasing_id()).checkpoint()
+    narrow = seqs.select("_row", id_col, split_col, "n_tokens")
+    key = F.coalesce(hash_key(id_col, seed), hash_key("_row", f"{seed}-row"))
+    parts = [hash_rank(narrow.where(F.col(split_col) == shuffled).withColumn("_k", key), "_k", "_rn").drop("_k")]
     parts += [global_rank(narrow.where(F.col(split_col) == s), id_col, "_rn") for s in ordered]
     ranked = parts[0]
     for p in parts[1:]:
         ranked = ranked.unionByName(p)
     b = ranked.withColumn("batch", F.floor((F.col("_rn") - 1) / batch_size).cast("long"))
     b = b.withColumn("_m", F.max("n_tokens").over(Window.partitionBy(split_col, "batch")).cast("int"))
-    b = b.select(id_col, split_col, "batch", "_rn", "_m").join(seqs.select(id_col, "input_ids"), id_col)
+    b = b.select("_row", id_col, split_col, "batch", "_rn", "_m").join(seqs.select("_row", "input_ids"), "_row")
     pad = F.col("_m") - F.size("input_ids")
     return b.select(id_col, split_col, "batch", F.col("_rn").cast("long").alias("position"),
                     F.concat("input_ids", F.array_repeat(F.lit(PAD), pad)).alias("input_ids"),

@@ -21,8 +21,9 @@ HIST_BITS = 16
 
 def thresholds(df: DataFrame, key: str, p: float, strata: list[str]) -> DataFrame:
     """(*strata, _thr): the largest key inside the first ceil(p*n) rows of
-    each stratum (no row where that count is 0)."""
-    b = df.select(*strata, key, hex_bucket(F.col(key), HIST_BITS).alias("_b"))
+    each stratum (no row where that count is 0).  Rows without a key aren't
+    counted."""
+    b = df.where(F.col(key).isNotNull()).select(*strata, key, hex_bucket(F.col(key), HIST_BITS).alias("_b"))
     hist = b.groupBy(*strata, "_b").agg(F.count(F.lit(1)).alias("_c"))
     whole = Window.partitionBy(*strata)  # a stratum has 2**HIST_BITS buckets at most
     before = whole.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
@@ -55,7 +56,9 @@ def exact_split(df: DataFrame, id_col: str = "doc_id", test_p: float = 0.1,
                 stratify: str | None = None) -> DataFrame:
     """Adds ``split`` in {train, valid, test}: test = first ceil(test_p*n)
     by md5(test_seed-id); valid = first ceil(valid_p*n_rest) of the rest by
-    md5(valid_seed-id).  ``stratify`` applies the counts per class."""
+    md5(valid_seed-id).  ``stratify`` applies the counts per class.  Rows
+    without an id have no place in that order: they aren't counted in n and go
+    to train; rows that repeat an id go to one part."""
     if test_seed is None or valid_seed is None:
         raise ValueError("a seed is required")
     strata = [stratify] if stratify else []
@@ -65,7 +68,7 @@ def exact_split(df: DataFrame, id_col: str = "doc_id", test_p: float = 0.1,
     # the rows of the test part have no second key, so they are neither counted nor taken
     h = h.withColumn("_k2", F.when(~F.col("_test"), F.col("_k2")))
     if valid_p > 0:
-        thr = thresholds(h.where("_k2 is not null"), "_k2", valid_p, strata)
+        thr = thresholds(h, "_k2", valid_p, strata)
         if strata:
             h = attach(h, thr, strata)
         else:

@@ -366,8 +366,7 @@ def pack_pairs(spark, sf_dir):
 
 @job("pack_batches")
 def pack_batches(spark, sf_dir):
-    seqs = document_sequences(spark, sf_dir, with_split=True).checkpoint()
-    b = sequences.pack_batches(seqs, batch_size=BATCH_SIZE)
+    b = sequences.pack_batches(document_sequences(spark, sf_dir, with_split=True), batch_size=BATCH_SIZE)
     return b.select("doc_id", "split", "batch", "position", _ids_text("input_ids").alias("input_ids"),
                     _ids_text("attention_mask").alias("attention_mask"))
 

@@ -25,7 +25,7 @@ def translit(x: str) -> str:
     src = "[" + ", ".join(lit(c) for c in TRANSLIT_MULTI) + "]"
     dst = "[" + ", ".join(lit(c) for c in TRANSLIT_MULTI.values()) + "]"
     one = f"list_transform(string_split({x}, ''), lambda c: coalesce({dst}[list_position({src}, c)], c))"
-    x = f"CASE WHEN regexp_matches({x}, {lit(T.MULTI)}) THEN array_to_string({one}, '') ELSE {x} END"
+    x = f"CASE WHEN regexp_matches({x}, {lit('[' + T.MULTI + ']')}) THEN array_to_string({one}, '') ELSE {x} END"
     x = f"translate({x}, {lit(TRANSLIT_FROM)}, {lit(TRANSLIT_TO)})"
     return f"regexp_replace({x}, {lit(T.NON_ASCII)}, '', 'g')"
 

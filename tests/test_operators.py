@@ -1,4 +1,5 @@
 """Operator properties and brute-force checks on small inputs."""
+import collections
 import math
 
 import numpy as np
@@ -264,3 +265,31 @@ def test_checkpoint_folder_must_be_shared_on_a_cluster():
 def test_transliteration(spark, text, want):
     from lexispark.functions import text as T
     assert spark.createDataFrame([(text,)], "t string").select(T.transliterate("t").alias("x")).first()["x"] == want
+
+
+# ---- rows without an id, and repeated ids ------------------------------------------
+
+def test_exact_split_leaves_rows_without_an_id_uncounted(spark):
+    rows = [(i if i % 4 else None, f"t{i}") for i in range(1000)]
+    got = split.exact_split(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    parts = collections.Counter((r["doc_id"] is None, r["split"]) for r in got)
+    assert parts == {(True, "train"): 250, (False, "test"): 75, (False, "valid"): 102, (False, "train"): 573}
+    alone = {r["doc_id"]: r["split"] for r in split.exact_split(
+        spark.createDataFrame([r for r in rows if r[0] is not None], "doc_id long, text string")).collect()}
+    assert {r["doc_id"]: r["split"] for r in got if r["doc_id"] is not None} == alone
+
+
+def test_sequences_of_rows_without_an_id_or_with_a_repeated_one(spark):
+    texts = [(1, "red green"), (1, "blue"), (None, "red blue"), (None, "green"), (None, "green"), (2, None), (3, "")]
+    df = sequences.with_seq_tokens(spark.createDataFrame(texts, "doc_id long, text string"), "text", "_t")
+    vocab = sequences.vocabulary(df.select(F.explode("_t").alias("token")))
+    ids = {r["token"]: r["id"] for r in vocab.collect()}
+    packed = sequences.pack_sequences(df, vocab, tokens_col="_t", max_len=8)
+    want = sorted((d is None, d or 0, [1] + [ids[w] for w in (t or "").split()] + [2]) for d, t in texts)
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0, r["input_ids"]) for r in packed.collect()) == want
+    batches = sequences.pack_batches(packed.withColumn("split", F.lit("train")), batch_size=3).collect()
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0, r["input_ids"][:sum(r["attention_mask"])]) for r in batches) == want
+    assert sorted(r["position"] for r in batches) == list(range(1, 8))
+    pairs = spark.createDataFrame([(None, ["red"], ["blue"]), (None, ["green"], ["red"])], "k long, a array<string>, b array<string>")
+    got = sequences.pack_pairs(pairs, vocab, ["k"], 8).collect()
+    assert sorted(r["input_ids"] for r in got) == sorted([[1, ids["red"], 2, ids["blue"], 2], [1, ids["green"], 2, ids["red"], 2]])
