@@ -10,9 +10,12 @@ with the stratum's threshold."""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from .labels import attach
 from .rank import hash_key, hex_bucket
 
@@ -95,3 +98,63 @@ def split_leak_report(df: DataFrame, text_col: str = "text") -> DataFrame:
     tot = per_text.agg(*aggs)
     stack = ", ".join(f"'{a}', '{b}', {a}_{b}_texts, {a}_{b}_rows" for a, b in pairs)
     return tot.selectExpr(f"stack({len(pairs)}, {stack}) AS (split_a, split_b, n_shared_texts, n_leaked_rows)")
+
+
+# ---- splits that keep groups together ------------------------------------------
+
+def fill_threshold(groups: DataFrame, target: int) -> str:
+    """The key up to which whole ``groups`` (key, size), taken in the order of
+    their md5 keys, come to no more than ``target`` rows.
+
+    A histogram of the keys' leading digits gives the bucket in which the
+    target is passed; only that bucket's groups are put in order.  The result
+    need not be a key itself: it is the bucket's prefix if not even its first
+    group fits."""
+    hist = groups.groupBy(hex_bucket(F.col("key"), HIST_BITS).alias("b")).agg(F.sum("size").alias("c"))
+    run = hist.withColumn("upto", F.sum("c").over(Window.orderBy("b")))  # 2**HIST_BITS rows at most
+    edge = run.where(F.col("upto") > target).orderBy("b").first()
+    if edge is None:
+        return "g"  # behind every hexadecimal key
+    prefix = f"{edge['b']:0{HIST_BITS // 4}x}"
+    own = groups.where(F.col("key").startswith(prefix))
+    placed = own.withColumn("upto", F.sum("size").over(Window.partitionBy(F.lit(0)).orderBy("key")) + (edge["upto"] - edge["c"]))
+    return placed.where(F.col("upto") <= target).agg(F.max("key")).first()[0] or prefix
+
+
+def _fill(groups: DataFrame, target: int) -> DataFrame:
+    """(h) of the groups that are taken: whole groups in key order as long as
+    they fit, then single rows in key order for what is left."""
+    first = fill_threshold(groups, target)
+    taken = groups.where(F.col("key") <= first)
+    rest = groups.where((F.col("key") > first) & (F.col("size") == 1))
+    lacking = target - (taken.agg(F.sum("size")).first()[0] or 0)
+    second = fill_threshold(rest, lacking)
+    return taken.select("h").unionByName(rest.where(F.col("key") <= second).select("h"))
+
+
+def exact_split_grouped(df: DataFrame, group_col: str = "text", test_p: float = 0.1, test_seed="1",
+                        valid_p: float = 0.15, valid_seed="15") -> DataFrame:
+    """U2/U3 without a leak: as ``exact_split``, but rows with one value of
+    ``group_col`` (null is a value) stay in one part.
+
+    Groups are taken whole in md5(seed-group) order while the part doesn't
+    pass ceil(p*n) rows, then single rows fill what is left.  So a part has
+    exactly that many rows if there are enough single rows, and lacks less
+    than the largest group has if not.  Rows are reduced to their groups'
+    sizes before any of it; a group of any size costs a row a task."""
+    if test_seed is None or valid_seed is None:
+        raise ValueError("a seed is required")
+    spark = df.sparkSession
+    # a null has a mark of its own, which no md5 is
+    h = F.coalesce(F.md5(F.col(group_col).cast("string")), F.lit("null"))
+    path = scratch_path(spark, "split_groups")
+    df.groupBy(h.alias("h")).agg(F.count(F.lit(1)).alias("size")).write.parquet(path)
+    groups = spark.read.schema("h string, size long").parquet(path)
+    n = groups.agg(F.sum("size")).first()[0] or 0
+    keyed = lambda g, seed: g.withColumn("key", F.md5(F.concat(F.lit(f"{seed}-"), "h")))
+    test = _fill(keyed(groups, test_seed), math.ceil(test_p * n)).withColumn("split", F.lit("test")).checkpoint()
+    left = groups.join(test.select("h"), "h", "left_anti").checkpoint()
+    valid = _fill(keyed(left, valid_seed), math.ceil(valid_p * (left.agg(F.sum("size")).first()[0] or 0))).withColumn(
+        "split", F.lit("valid"))
+    parts = test.unionByName(valid).withColumnRenamed("h", "_h").withColumnRenamed("split", "_part")
+    return attach(df.withColumn("_h", h), parts, ["_h"]).select(*df.columns, F.coalesce("_part", F.lit("train")).alias("split"))

@@ -69,9 +69,16 @@ def normalized_token_table(df: DataFrame, text_col: str = "text", id_col: str =
     return explode_tokens(staged, F.col("_toks"), id_col, keep=keep, outer=outer)
 
 
-def normalize_terms(df: DataFrame, text_col: str = "text", id_col: str = "doc_id",
-                    lemmatise: bool = True, keep: list[str] | None = None) -> DataFrame:
-    """(id, *keep, terms) with the corpus lemma table applied.
+def corpus_lemmas(df: DataFrame, text_col: str = "text") -> DataFrame:
+    """(term, lemma) of the words of ``df`` after the steps of ``normalize_terms``."""
+    staged = T.apply_steps(df.select(text_col), text_col, "_toks", T.normalized_steps())
+    return lemma_table(explode_rows(staged, F.col("_toks"), "token"))
+
+
+def normalize_terms(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", lemmatise: bool = True,
+                    keep: list[str] | None = None, lemmas: DataFrame | None = None) -> DataFrame:
+    """(id, *keep, terms) with the corpus lemma table applied, or
+    ``lemmas`` (term, lemma) where another corpus gave them.
 
     Only a document's distinct tokens meet the lemma table; the few that it
     changes come back as a map of the document.  Documents whose token list
@@ -80,7 +87,7 @@ def normalize_terms(df: DataFrame, text_col: str = "text", id_col: str = "doc_id
     base = T.apply_steps(df.select(id_col, *keep, text_col), text_col, "_toks",
                          T.normalized_steps()).drop(text_col)
     if lemmatise:
-        lem = lemma_table(explode_rows(base, F.col("_toks"), "token"))
+        lem = lemma_table(explode_rows(base, F.col("_toks"), "token")) if lemmas is None else lemmas
         own = explode_rows(base, F.array_distinct("_toks"), "term", id_col)
         maps = own.join(lem, "term").groupBy(id_col).agg(F.collect_set(F.struct("term", "lemma")).alias("_l"))
         base = base.join(maps.withColumnRenamed(id_col, "_id"), F.col(id_col).eqNullSafe(F.col("_id")), "left")

@@ -13,7 +13,7 @@ from ..functions import text as T
 from ..functions.arrays import explode_rows
 from ..operators import (
     bayes, clean, evaluate, features, labels, metrics, models, phrases, profile, rank, sequences,
-    split, summary, terms, topk,
+    split, summary, terms, textmodel, topk, training,
 )
 from ..session import ensure_checkpoint_dir, scratch_path
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -217,6 +217,17 @@ def split_leak_report(spark, sf_dir):
     return split.split_leak_report(split_documents(spark, sf_dir))
 
 
+@job("exact_split_grouped")
+def exact_split_grouped(spark, sf_dir):
+    """Equal texts stay in one part."""
+    return split.exact_split_grouped(documents(spark, sf_dir), "text", **SPLIT).select("doc_id", "split")
+
+
+@job("split_leak_report_grouped")
+def split_leak_report_grouped(spark, sf_dir):
+    return split.split_leak_report(split.exact_split_grouped(documents(spark, sf_dir), "text", **SPLIT))
+
+
 # ---- 8-10. features, naive Bayes, reports ----------------------------------
 
 def model_table(spark, sf_dir, target="lang"):
@@ -286,6 +297,17 @@ def nb_predictions(spark, sf_dir, target="lang"):
     return test.join(pred.select("doc_id", "pred"), "doc_id")
 
 
+@job("score_saved_nb")
+def score_saved_nb(spark, sf_dir):
+    """A naive Bayes model fitted on the training rows and
+    stored; the test rows' texts scored with what was stored alone."""
+    docs = labels.label_encode(split_documents(spark, sf_dir), "lang").checkpoint()
+    path = scratch_path(spark, "nb_model")
+    textmodel.fit_nb(docs.where("split <> 'test'"), terms.corpus_lemmas(docs), path)
+    test = docs.where("split = 'test'")
+    return test.select("doc_id", "label").join(textmodel.score_nb(test, path).select("doc_id", "pred"), "doc_id")
+
+
 @job("text_classify_nb")
 def text_classify_nb(spark, sf_dir):
     return nb_predictions(spark, sf_dir)
@@ -526,3 +548,30 @@ def embedding_head(spark, sf_dir):
     pred = model.transform(e.where(F.col("split") == "test"))
     return pred.select("vec_id", F.col("label").cast("int").alias("label"),
                        F.col("prediction").cast("int").alias("pred"))
+
+
+# ---- 16. training by epochs, and its stored versions -------------------------
+
+HEAD = dict(epochs=5, batch_rows=128, rate=5e-3, seed=15)
+
+
+def embedding_splits(spark, sf_dir):
+    e = read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding", "label"])
+    return split.exact_split(e, "vec_id", test_p=0.1, test_seed="1", valid_p=0.15, valid_seed="15").checkpoint()
+
+
+@job("head_epochs")
+def head_epochs(spark, sf_dir):
+    """The history of a fit by epochs."""
+    h = training.fit_head(embedding_splits(spark, sf_dir), scratch_path(spark, "head"), **HEAD)
+    return h.select("epoch", "split", F.round("loss", 6).alias("loss"), F.round("accuracy", 6).alias("accuracy"), "saved")
+
+
+@job("head_best_predictions")
+def head_best_predictions(spark, sf_dir):
+    """A fit that is stopped halfway, resumed from its stored
+    version, and the test rows' classes by its best epoch."""
+    e, path = embedding_splits(spark, sf_dir), scratch_path(spark, "head")
+    training.fit_head(e, path, stop_after=HEAD["epochs"] // 2, **HEAD)
+    training.fit_head(e, path, **HEAD)
+    return training.predict_head(e.where("split = 'test'"), path, keep=("label",))

@@ -203,14 +203,47 @@ sql("exact_split", f"WITH {split_sql()}\nSELECT doc_id, split FROM sp")
 sql("exact_split_stratified", f"WITH {split_sql('lang')}\nSELECT doc_id, lang, split FROM sp")
 
 _pairs = [("train", "valid"), ("train", "test"), ("valid", "test")]
-sql("split_leak_report", f"""
-WITH {split_sql()},
+
+
+def leak_sql(split: str) -> str:
+    return f"""
+WITH {split},
 pt AS (SELECT md5(text) AS h, count_if(split = 'train') AS train, count_if(split = 'valid') AS valid,
               count_if(split = 'test') AS test FROM sp GROUP BY md5(text))
 """ + "\nUNION ALL\n".join(
-    f"SELECT '{a}' AS split_a, '{b}' AS split_b, count_if({a} > 0 AND {b} > 0) AS n_shared_texts, "
-    f"CAST(coalesce(sum(CASE WHEN {a} > 0 AND {b} > 0 THEN {b} ELSE 0 END), 0) AS BIGINT) AS n_leaked_rows FROM pt"
-    for a, b in _pairs))
+        f"SELECT '{a}' AS split_a, '{b}' AS split_b, count_if({a} > 0 AND {b} > 0) AS n_shared_texts, "
+        f"CAST(coalesce(sum(CASE WHEN {a} > 0 AND {b} > 0 THEN {b} ELSE 0 END), 0) AS BIGINT) AS n_leaked_rows FROM pt"
+        for a, b in _pairs)
+
+
+sql("split_leak_report", leak_sql(split_sql()))
+
+
+def fill_sql(name: str, groups: str, seed: str, p: float) -> str:
+    """CTE ``name``(h): the groups that fill ceil(p*n) rows."""
+    return f"""
+{name}_k AS (SELECT h, size, md5('{seed}-' || h) AS key FROM {groups}),
+{name}_n AS (SELECT ceil({p} * coalesce(sum(size), 0)) AS target FROM {groups}),
+{name}_r AS (SELECT h, size, key, sum(size) OVER (ORDER BY key) AS upto FROM {name}_k),
+{name}_f AS (SELECT h, size FROM {name}_r, {name}_n WHERE upto <= target),
+{name}_l AS (SELECT target - coalesce((SELECT sum(size) FROM {name}_f), 0) AS lacking FROM {name}_n),
+{name}_s AS (SELECT h, row_number() OVER (ORDER BY key) AS rn FROM {name}_k
+             WHERE size = 1 AND h NOT IN (SELECT h FROM {name}_f)),
+{name} AS (SELECT h FROM {name}_f UNION ALL SELECT h FROM {name}_s, {name}_l WHERE rn <= lacking)"""
+
+
+def grouped_split_sql() -> str:
+    return f"""
+g AS (SELECT coalesce(md5(text), 'null') AS h, count(*) AS size FROM documents GROUP BY 1),
+{fill_sql("tst", "g", SPLIT["test_seed"], SPLIT["test_p"])},
+g2 AS (SELECT h, size FROM g WHERE h NOT IN (SELECT h FROM tst)),
+{fill_sql("val", "g2", SPLIT["valid_seed"], SPLIT["valid_p"])},
+sp AS (SELECT doc_id, lang, text, CASE WHEN coalesce(md5(text), 'null') IN (SELECT h FROM tst) THEN 'test'
+              WHEN coalesce(md5(text), 'null') IN (SELECT h FROM val) THEN 'valid' ELSE 'train' END AS split FROM documents)"""
+
+
+sql("exact_split_grouped", f"WITH {grouped_split_sql()}\nSELECT doc_id, split FROM sp")
+sql("split_leak_report_grouped", leak_sql(grouped_split_sql()))
 
 
 # ---- 8-10. features, naive Bayes, reports ----------------------------------
@@ -293,6 +326,7 @@ sql("nb_fit", f"""WITH {model_sql(upto='ct')}
 SELECT ct.label, ct.term, round(ct.cnt, 6) AS cnt, round(ln(ct.cnt + 1.0) - ln(cls.tot + cls.v), 6) AS log_theta
 FROM ct JOIN cls USING (label)""")
 sql("text_classify_nb", f"WITH {model_sql(upto='preds')}\nSELECT doc_id, label, pred FROM preds")
+sql("score_saved_nb", f"WITH {model_sql(upto='preds')}\nSELECT doc_id, label, pred FROM preds")
 sql("quality_classify_nb", f"WITH {model_sql('quality', 'preds')}\nSELECT doc_id, label, pred FROM preds")
 sql("classification_report", f"WITH {MODEL}\n{REPORT_ROWS}")
 for _t in ("quality", "toxic"):

@@ -1,5 +1,6 @@
 """Operator properties and brute-force checks on small inputs."""
 import collections
+import hashlib
 import math
 
 import numpy as np
@@ -293,3 +294,47 @@ def test_sequences_of_rows_without_an_id_or_with_a_repeated_one(spark):
     pairs = spark.createDataFrame([(None, ["red"], ["blue"]), (None, ["green"], ["red"])], "k long, a array<string>, b array<string>")
     got = sequences.pack_pairs(pairs, vocab, ["k"], 8).collect()
     assert sorted(r["input_ids"] for r in got) == sorted([[1, ids["red"], 2, ids["blue"], 2], [1, ids["green"], 2, ids["red"], 2]])
+
+
+# ---- splits that keep equal texts together ---------------------------------------------
+
+def brute_grouped(texts, p, q, seeds=("1", "15")):
+    h = lambda t: "null" if t is None else hashlib.md5(t.encode()).hexdigest()
+    size = collections.Counter(h(t) for t in texts)
+    out = {}
+    for name, share, seed in (("test", p, seeds[0]), ("valid", q, seeds[1])):
+        left = sorted((hashlib.md5(f"{seed}-{g}".encode()).hexdigest(), g) for g in size if g not in out)
+        room = math.ceil(share * sum(size[g] for _, g in left))
+        while left and size[left[0][1]] <= room:
+            g = left.pop(0)[1]
+            out[g], room = name, room - size[g]
+        for _, g in left:
+            if size[g] == 1 and room:
+                out[g], room = name, room - 1
+    return {t: out.get(h(t), "train") for t in texts}
+
+
+@pytest.mark.parametrize("hot", [0, 3, 400])
+@pytest.mark.parametrize("bits", [4, 16])
+def test_grouped_split_against_brute_force(spark, monkeypatch, hot, bits):
+    monkeypatch.setattr(split, "HIST_BITS", bits)
+    texts = [f"t{i}" for i in range(300)] + [f"g{i % 9}" for i in range(100)] + ["same"] * hot + [None] * 5 + ["", ""]
+    df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, h string")
+    got = split.exact_split_grouped(df, "text", 0.1, "1", 0.15, "15")
+    assert got.columns == ["doc_id", "text", "h", "split"]
+    rows = got.collect()
+    want = brute_grouped(texts, 0.1, 0.15)
+    assert {r["text"]: r["split"] for r in rows} == want and len(rows) == len(texts)
+    assert all(r["split"] == want[r["text"]] for r in rows)  # one part a text
+    n = math.ceil(0.1 * len(texts))
+    assert sum(r["split"] == "test" for r in rows) == n  # single texts fill the part
+    report = split.split_leak_report(got.where("text is not null")).collect()
+    assert all(r["n_shared_texts"] == 0 for r in report)
+
+
+def test_grouped_split_without_single_rows(spark):
+    texts = [f"g{i // 7}" for i in range(700)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    part = collections.Counter(r["split"] for r in split.exact_split_grouped(df).collect())
+    assert 0 <= 70 - part["test"] < 7 and 0 <= math.ceil(0.15 * (700 - part["test"])) - part["valid"] < 7
+    assert split.exact_split_grouped(df.limit(0)).count() == 0
