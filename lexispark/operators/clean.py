@@ -42,7 +42,7 @@ def cleaning_audit(df: DataFrame, class_col: str, text_col: str = "text",
     for i, fn in enumerate(fns, start=1):
         staged = staged.withColumn(f"s{i}", fn(F.col(f"s{i - 1}")))
     aggs = [F.count(F.lit(1)).alias("n_docs"),
-            F.count_if(F.col("s0").rlike(T.NON_ASCII)).alias("n_non_ascii")]
+            F.count_if(F.octet_length("s0") > F.length("s0")).alias("n_non_ascii")]
     for i, name in enumerate(STEPS, start=1):
         aggs.append(F.count_if(F.col(f"s{i}") != F.col(f"s{i - 1}")).alias(f"n_{name}"))
     aggs.append(F.count_if(F.col("s7").isNull() | (F.col("s7") == "")).alias("n_rejected"))

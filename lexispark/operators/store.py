@@ -35,6 +35,14 @@ def versions(spark: SparkSession, path: str) -> list[int]:
     return sorted({r["version"] for r in _commits(spark, path)})
 
 
+def commits(spark: SparkSession, path: str) -> list[tuple[int, dict, str]]:
+    """(version, info, folder) of every committed version, in order."""
+    last = {}
+    for r in sorted(_commits(spark, path), key=lambda r: r["at"]):
+        last[r["version"]] = (r["version"], json.loads(r["info"]), r["folder"])
+    return [last[v] for v in sorted(last)]
+
+
 def save_version(spark: SparkSession, path: str, tables: dict[str, DataFrame], info: dict | None = None,
                  version: int | None = None) -> int:
     """Writes ``tables`` and then commits them as ``version`` (the next one if

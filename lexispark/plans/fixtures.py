@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from ..sources.tables import read_table, spread
 
 FIXTURE_SQL = """
@@ -46,3 +47,18 @@ def lemma_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spread(read_table(spark, sf_dir, "documents", ["doc_id", "text"]), "doc_id")
     return docs.select("doc_id", F.when(F.col("doc_id") % 50 == 1, F.concat(
         F.lit("Two women, a woman and men; the man. "), "text")).otherwise(F.col("text")).alias("text"))
+
+
+def broken_csv(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of gzip CSV files (doc_id, text, lang, n_chars; no header) of every
+    document; some records have a word in a number's place, lack a field or
+    have one too many."""
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text", "lang", "n_chars"])
+    quoted = lambda c: F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
+    m = F.col("doc_id") % 20
+    line = F.concat_ws(",", F.col("doc_id").cast("string"), quoted(F.col("text")), quoted(F.col("lang")),
+                       F.when(m == 3, F.lit("many")).when(m == 7, F.lit(None)).otherwise(F.col("n_chars").cast("string")),
+                       F.when(m == 11, F.lit("more")))
+    path = scratch_path(spark, "broken_csv")
+    docs.select(line.alias("value")).repartition(4).write.option("compression", "gzip").text(path)
+    return path

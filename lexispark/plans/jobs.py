@@ -12,13 +12,13 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..functions.arrays import explode_rows
 from ..operators import (
-    bayes, clean, evaluate, features, labels, metrics, models, phrases, profile, rank, sequences,
+    bayes, chunks, clean, evaluate, features, labels, mergecounts, metrics, models, phrases, profile, rank, sequences,
     split, summary, terms, textmodel, topk, training,
 )
 from ..session import ensure_checkpoint_dir, scratch_path
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from ..sources.tables import read_table, read_written, spread, write_table
-from .fixtures import augmented_documents, lemma_documents
+from ..sources.tables import ingest_csv, read_table, read_written, record_counts, spread, write_table
+from .fixtures import augmented_documents, broken_csv, lemma_documents
 
 JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -575,3 +575,57 @@ def head_best_predictions(spark, sf_dir):
     training.fit_head(e, path, stop_after=HEAD["epochs"] // 2, **HEAD)
     training.fit_head(e, path, **HEAD)
     return training.predict_head(e.where("split = 'test'"), path, keep=("label",))
+
+
+# ---- 17. ingestion, resumable chunks, mergeable counts -----------------------
+
+def _ingested(spark, sf_dir):
+    schema = read_table(spark, sf_dir, "documents", ["doc_id", "text", "lang", "n_chars"]).schema
+    return ingest_csv(spark, broken_csv(spark, sf_dir), schema, header=False)
+
+
+@job("csv_ingest")
+def csv_ingest(spark, sf_dir):
+    """Records of gzip CSV files, those that don't fit the schema with
+    the reason."""
+    accepted, rejected = _ingested(spark, sf_dir)
+    none = F.lit(None).cast("string")
+    return accepted.select("doc_id", "text", "lang", "n_chars", F.lit("accepted").alias("status"), none.alias("column"),
+                           none.alias("value")).unionByName(rejected.select(
+        F.split_part("record", F.lit(","), F.lit(1)).cast("long").alias("doc_id"), none.alias("text"), none.alias("lang"),
+        F.lit(None).cast("long").alias("n_chars"), F.col("reason").alias("status"), "column", "value"))
+
+
+@job("csv_accounts")
+def csv_accounts(spark, sf_dir):
+    """Accepted and rejected records over all files; together all that was written."""
+    return record_counts(*_ingested(spark, sf_dir)).agg(
+        F.sum("accepted").alias("accepted"), F.sum("rejected").alias("rejected"),
+        F.sum(F.col("accepted") + F.col("rejected")).alias("records"))
+
+
+RUN_CHUNK_ROWS = 150
+
+
+@job("chunk_run_resumed")
+def chunk_run_resumed(spark, sf_dir):
+    """Cleaning by chunks, stopped after the first job and resumed."""
+    docs, path = documents(spark, sf_dir), scratch_path(spark, "chunk_run")
+    work = lambda rows: clean.clean_corpus(rows, keep=["chunk"])
+    chunks.run_chunks(docs, "doc_id", work, path, RUN_CHUNK_ROWS, at_once=2, stop_after=1)
+    return chunks.run_chunks(docs, "doc_id", work, path, RUN_CHUNK_ROWS).select("doc_id", "chunk", "clean_text")
+
+
+@job("token_topk_batches")
+def token_topk_batches(spark, sf_dir):
+    """The corpus counted in three batches, one of them added twice
+    and one taken back and added again, compacted on the way; the top words."""
+    toks, path = clean_tokens(spark, sf_dir).checkpoint(), scratch_path(spark, "counts")
+    batch = lambda k: toks.where(F.pmod("doc_id", F.lit(3)) == k)
+    for k in (0, 1, 0):
+        mergecounts.add_batch(path, f"batch{k}", batch(k))
+    mergecounts.compact(spark, path)
+    mergecounts.remove_batch(spark, path, "batch1")
+    mergecounts.add_batch(path, "batch2", batch(2))
+    mergecounts.add_batch(path, "batch1", batch(1))
+    return topk.top_n(mergecounts.totals(spark, path), TOP_TOKENS_N)

@@ -6,7 +6,7 @@ from __future__ import annotations
 from . import sql_text as S
 from .fixtures import FIXTURE_SQL, LEMMA_SQL
 from .jobs import (
-    PHRASE_SKIPS, TOKEN_SKIPS, TOP_CLASS_N, TOP_PHRASES_N, TOP_TOKENS_N,
+    PHRASE_SKIPS, RUN_CHUNK_ROWS, TOKEN_SKIPS, TOP_CLASS_N, TOP_PHRASES_N, TOP_TOKENS_N,
 )
 from ..operators.terms import LEMMA_RULES
 
@@ -448,3 +448,26 @@ SELECT d.doc_id, CAST(sidx AS BIGINT) AS sentence_index,
        coalesce(array_to_string({S.split_ws('sentence')}[1:30], ' '), '') AS summary,
        round(score, 6) AS score, CAST(coalesce(n_tokens, 0) AS BIGINT) AS n_tokens
 FROM documents d LEFT JOIN (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY (n_tokens >= 5) DESC, round(score, 9) DESC, sidx) = 1) b USING (doc_id)""")
+
+# ---- 17. ingestion, resumable chunks, mergeable counts -----------------------
+
+sql("csv_ingest", """
+WITH k AS (SELECT *, doc_id % 20 AS m FROM documents),
+r AS (SELECT *, m IN (3, 7, 11) AS bad FROM k)
+SELECT doc_id, CASE WHEN NOT bad THEN text END AS text, CASE WHEN NOT bad THEN lang END AS lang,
+       CASE WHEN NOT bad THEN n_chars END AS n_chars,
+       CASE WHEN m = 3 THEN 'type' WHEN bad THEN 'columns' ELSE 'accepted' END AS status,
+       CASE WHEN m = 3 THEN 'n_chars' END AS "column", CASE WHEN m = 3 THEN 'many' END AS value
+FROM r""")
+
+sql("csv_accounts", """
+SELECT CAST(count_if(doc_id % 20 NOT IN (3, 7, 11)) AS BIGINT) AS accepted,
+       CAST(count_if(doc_id % 20 IN (3, 7, 11)) AS BIGINT) AS rejected, count(*) AS records FROM documents""")
+
+sql("chunk_run_resumed", f"""
+WITH n AS (SELECT doc_id, text, CAST(floor((row_number() OVER (ORDER BY doc_id) - 1) / {RUN_CHUNK_ROWS}) AS BIGINT) AS chunk
+           FROM documents),
+c AS (SELECT doc_id, chunk, {S.clean_text('text')} AS clean_text FROM n)
+SELECT doc_id, chunk, clean_text FROM c WHERE clean_text IS NOT NULL AND clean_text <> ''""")
+
+sql("token_topk_batches", ORACLE["token_topk"])

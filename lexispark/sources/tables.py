@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import scratch_path
+
 NULL_MARK = "\\N"
 PASSAGE_SCHEMA = T.StructType([
     T.StructField("discourse_text", T.StringType(), True),
@@ -42,6 +44,48 @@ def read_passages_csv(spark: SparkSession, path: str,
                         *schema.fieldNames())
 
 
+RECORD = "_record"  # column of a record that doesn't fit the schema
+
+
+def ingest_csv(spark: SparkSession, path: str, schema: T.StructType, header: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(accepted, rejected) records of CSV files, plain or
+    gzip-compressed, each parsed once and written down.
+
+    ``accepted`` has the schema's columns and ``file``; ``rejected`` has
+    (file, record, reason, column, value): the raw record, and ``columns`` if
+    it has more or fewer fields than the schema, else ``type`` with the first
+    field that its column can't hold.  Every record is in one of the two.  A
+    quote that is never closed takes the rest of its file into one record."""
+    raw = T.StructType([*schema.fields, T.StructField(RECORD, T.StringType())])
+    reader = _csv_reader(spark, raw).option("header", header).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", RECORD)
+    folder = scratch_path(spark, "ingest")
+    (reader.option("nullValue", NULL_MARK).csv(path).withColumn("file", F.col("_metadata.file_path"))
+     .withColumn("ok", F.col(RECORD).isNull()).write.partitionBy("ok").parquet(folder))
+    parsed = spark.read.schema(T.StructType([*raw.fields, T.StructField("file", T.StringType()),
+                                             T.StructField("ok", T.BooleanType())])).parquet(folder)
+    accepted = parsed.where("ok").select(*schema.fieldNames(), "file")
+    strings = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(schema.fields))]
+                           + [T.StructField(RECORD, T.StringType())])
+    again = F.from_csv(RECORD, F.lit(strings.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " ")),
+                       {"escape": '"', "columnNameOfCorruptRecord": RECORD, "nullValue": NULL_MARK, "multiLine": "true"})
+    x = F.col("x")
+    wrong = [F.when(x[f"c{i}"].isNotNull() & x[f"c{i}"].try_cast(f.dataType).isNull(),
+                    F.struct(F.lit(f.name).alias("column"), x[f"c{i}"].alias("value")))
+             for i, f in enumerate(schema.fields)]
+    short = x[RECORD].isNotNull() | F.coalesce(*wrong).isNull()
+    rejected = parsed.where("not ok").select("file", F.col(RECORD).alias("record"), again.alias("x")).select(
+        "file", "record", F.when(short, "columns").otherwise("type").alias("reason"),
+        *[F.when(~short, F.coalesce(*wrong)[c]).alias(c) for c in ("column", "value")])
+    return accepted, rejected
+
+
+def record_counts(accepted: DataFrame, rejected: DataFrame) -> DataFrame:
+    """(file, accepted, rejected): the accounts of an ingestion."""
+    both = accepted.select("file", F.lit(1).alias("a"), F.lit(0).alias("r")).unionByName(
+        rejected.select("file", F.lit(0).alias("a"), F.lit(1).alias("r")))
+    return both.groupBy("file").agg(F.sum("a").alias("accepted"), F.sum("r").alias("rejected"))
+
+
 def _csv_reader(spark: SparkSession, schema: T.StructType):
     return (spark.read.schema(schema).option("header", True).option("multiLine", True).option("escape", '"')
             .option("lineSep", "\n").option("emptyValue", ""))
