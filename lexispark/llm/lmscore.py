@@ -1,57 +1,74 @@
 """Operator 5, LM scoring by stupid backoff, computed relationally.
 
 The units are the ids of a public tokenizer's fixed vocabulary (16 bits an id,
-so an n-gram of up to three units is one long).  Documents are dealt to blocks
-of bounded size.  Each block is exploded to its distinct n-grams with their
-counts; these rows go to the count table, partitioned by n-gram, where the
-counts of all blocks are summed; every n-gram's corpus count goes back to the
-blocks that asked, and a block's documents are scored with what it got:
+so an n-gram of up to three units is one long).  Documents are encoded where
+the scan has them and dealt, as units, to blocks of bounded size.  Each block
+is exploded to its distinct n-grams with their counts; these rows go to the
+count table, partitioned by n-gram, where the counts of all blocks are summed.
+Back to a block go only the n-grams whose corpus count isn't the block's own:
+the block counts the others, most of them, itself.  Then its documents are
+scored:
 
     S(w | context) = count(context w) / count(context)   if count(context w) >= min_count
                      backoff * S(w | shorter context)    otherwise
     S(w) = count(w) / number of units
 
-A document's score is the sum of log10 S over its units.  The counts are taken
-over all documents.  An n-gram has one row a block at most, so the most
-frequent one costs its partition no more rows than there are blocks, and no
-group holds more than one block's distinct n-grams.
+With ``leave_one_out`` a document's own occurrences are taken from every count
+that scores it, so that it isn't evidence for itself and what stands nowhere
+else backs off; a unit that no other document has counts as ``backoff`` times
+one occurrence.  A document's score is the sum of log10 S over its units.  The
+counts are taken over all documents.  An n-gram has one row a block at most, so
+the most frequent one costs its partition no more rows than there are blocks,
+and no group holds more than one block's distinct n-grams.
 
 Defined results: null or empty text has 0 units, score 0.0 and a null mean and
-perplexity; repeated rows count and are scored each; empty input gives an empty
-result.  Only the named columns are read, so others may have any name."""
+perplexity; texts of any length are encoded whole, also very long runs of
+white space; repeated rows count and are scored each; a lone document scored
+by the others has nothing to go by, so each unit backs off through all orders
+to ``backoff``; empty input gives an empty result.  Only the named columns are read, so others may have
+any name."""
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .blocks import BLOCK_CHARS, in_blocks
-from .common import row_chunks, written
-from .tokencounts import read_ranks
+from .common import row_chunks
+from .tokencounts import Codec, encode_text, read_ranks
 
 BACKOFF = 0.4
 UNIT_BITS = 16
+BLOCK_CHARS = 12_000_000
+CHUNK_UNITS = 1 << 18       # units that are sorted at a time
+CHUNK_TEXTS = (1 << 15) - 1  # texts of a chunk: their number stands above an n-gram in one long
 
 
 def encoder(ranks_path: str, pattern: str):
-    """Units of a text: ids of a tiktoken vocabulary, from 1 (0 is no unit)."""
+    """Units of texts: ids of a tiktoken vocabulary, from 1 (0 is no unit)."""
     import tiktoken
     codec = tiktoken.Encoding("units", pat_str=pattern, mergeable_ranks=read_ranks(ranks_path), special_tokens={})
-    if codec.max_token_value + 1 >= 1 << UNIT_BITS:
-        raise ValueError("the vocabulary has more ids than an n-gram key can hold")
 
     def units(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(text's number, unit) of every unit of ``texts``."""
-        ids = [codec.encode_ordinary(t) for t in texts]
-        n = [len(x) for x in ids]
-        flat = np.fromiter((i for x in ids for i in x), np.int64, sum(n)) + 1
-        return np.repeat(np.arange(len(texts)), n), flat
+        return _flat([_units(codec, t) for t in texts])
 
     return units
 
 
+def _units(codec, text: str) -> np.ndarray:
+    if codec.max_token_value + 1 >= 1 << UNIT_BITS:
+        raise ValueError("the vocabulary has more ids than an n-gram key can hold")
+    return (encode_text(codec, text) + 1).astype("<u2")
+
+
+def _flat(units: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    flat = np.concatenate(units).astype(np.int64) if units else np.zeros(0, np.int64)
+    return np.repeat(np.arange(len(units)), [len(u) for u in units]), flat
+
+
 def ngrams(doc: np.ndarray, unit: np.ndarray, order: int) -> list[np.ndarray]:
     """Keys of the n-grams that end at each unit, for n = 1..order; 0 where
     the text has no n units up to there."""
@@ -64,87 +81,112 @@ def ngrams(doc: np.ndarray, unit: np.ndarray, order: int) -> list[np.ndarray]:
     return keys
 
 
-def count_table(blocks: DataFrame, units, order: int, min_count: int) -> DataFrame:
-    """(block, g, c): the corpus count of each n-gram of each block; those of
-    two units or more only if they come ``min_count`` times."""
-    def explode(rows):
-        texts, parts = rows["t"].fillna("").tolist(), []
-        for a, b in row_chunks([len(t) for t in texts]):
-            g = np.concatenate(ngrams(*units(texts[a:b]), order))
-            parts.append(np.unique(g[g > 0], return_counts=True))
-            if len(parts) > 16:
-                parts = [_merged(parts)]
-        g, n = _merged(parts)
-        return pd.DataFrame({"block": rows["block"].iat[0], "g": g, "n": n})
-
-    rows = blocks.groupBy("block").applyInPandas(explode, "block int, g long, n long")
-    total = F.sum("n").over(Window.partitionBy("g"))
-    return rows.select("block", "g", total.alias("c")).where((F.col("g") < 1 << UNIT_BITS) | (F.col("c") >= min_count))
+def _chunks(units: list[np.ndarray]):
+    """Lists of consecutive texts' units, bounded in units and in texts."""
+    for a, b in row_chunks([len(u) for u in units], CHUNK_UNITS):
+        for c in range(a, b, CHUNK_TEXTS):
+            yield c, units[c:min(b, c + CHUNK_TEXTS)]
+
+
+def count_ngrams(units: list[np.ndarray], order: int) -> tuple[np.ndarray, np.ndarray]:
+    """(n-grams in order, their counts) of a block."""
+    parts: list = []
+    for _, own in _chunks(units):
+        g = np.concatenate(ngrams(*_flat(own), order))
+        parts.append(np.unique(g[g > 0], return_counts=True))
+        while len(parts) > 1 and len(parts[-2][0]) <= 2 * len(parts[-1][0]):  # sizes fall, so each n-gram is merged few times
+            parts[-2:] = [_merged(parts[-2:])]
+    return _merged(parts) if parts else (np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
 def _merged(parts):
-    g = np.concatenate([p[0] for p in parts])
-    n = np.concatenate([p[1] for p in parts])
-    keys, at = np.unique(g, return_inverse=True)
-    return keys, np.bincount(at, weights=n, minlength=len(keys)).astype(np.int64)
-
-
-def score_block(texts: list[str], g: np.ndarray, c: np.ndarray, total: int, units, order: int,
-                backoff: float) -> tuple[np.ndarray, np.ndarray]:
-    """(units, sum of log10 S) of each text, with the counts ``c`` of the
-    sorted n-grams ``g``."""
-    size, score = np.zeros(len(texts), np.int64), np.zeros(len(texts))
-
-    def count(keys):
-        if not len(g):
-            return np.zeros(len(keys))
-        at = np.minimum(np.searchsorted(g, keys), len(g) - 1)
-        return np.where((g[at] == keys) & (keys > 0), c[at], 0).astype(float)
-
-    for a, b in row_chunks([len(t) for t in texts]):
-        doc, unit = units(texts[a:b])
-        keys = ngrams(doc, unit, order)
-        s = count(keys[0]) / max(total, 1)
-        below = count(keys[0])
+    g, n = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+    order = np.argsort(g, kind="stable")
+    g, n = g[order], n[order]
+    first = np.flatnonzero(np.r_[True, g[1:] != g[:-1]]) if len(g) else np.zeros(0, np.int64)
+    return g[first], np.add.reduceat(n, first) if len(g) else n
+
+
+def score_block(units: list[np.ndarray], g: np.ndarray, c: np.ndarray, total: int, order: int, min_count: int,
+                backoff: float, leave_one_out: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(units, sum of log10 S) of each text, with the corpus counts ``c`` of
+    the sorted n-grams ``g``."""
+    size, score = np.zeros(len(units), np.int64), np.zeros(len(units))
+    for at, own in _chunks(units):
+        doc, unit = _flat(own)
+        lengths = np.bincount(doc, minlength=len(own))
+        size[at:at + len(own)] = lengths
+        if not len(unit):
+            continue
+        counts = []
+        for keys in ngrams(doc, unit, order):
+            mark, back, here = np.unique((doc << 3 * UNIT_BITS) | keys, return_inverse=True, return_counts=True)
+            key = mark & ((1 << 3 * UNIT_BITS) - 1)
+            n = c[np.minimum(np.searchsorted(g, key), len(g) - 1)] - (here if leave_one_out else 0)
+            counts.append(np.where(key > 0, n, 0)[back].astype(float))
+        rest = total - (lengths[doc] if leave_one_out else 0)
+        s = np.where(counts[0] > 0, counts[0], backoff) / np.maximum(rest, 1)
         for n in range(1, order):
-            here = count(keys[n])
-            context = np.r_[0.0, below[:-1]]  # of the n units before
-            seen = here > 0
-            s = np.where(seen, here / np.where(seen, context, 1), np.where(keys[n] > 0, backoff * s, s))
-            below = here
-        size[a:b] = np.bincount(doc, minlength=b - a)
-        score[a:b] = np.bincount(doc, weights=np.log10(s), minlength=b - a)
+            context = np.r_[0.0, counts[n - 1][:-1]]  # of the n units before
+            known = counts[n] >= min_count
+            inside = np.r_[np.zeros(n, bool), doc[n:] == doc[:-n]][:len(doc)]
+            s = np.where(known, counts[n] / np.where(known, context, 1), np.where(inside, backoff * s, s))
+        score[at:at + len(own)] = np.bincount(doc, weights=np.log10(s), minlength=len(own))
     return size, score
 
 
+def unit_blocks(docs: DataFrame, ranks_path: str, pattern: str, text: str, doc_id: str, block_chars: int) -> DataFrame:
+    """(block, doc_id, u): the units of every row, partitioned by block."""
+    vocabulary = Codec(docs.sparkSession, ranks_path, pattern)
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("t"))
+    total = rows.agg(F.sum(F.length("t"))).first()[0] or 0
+    blocks = max(1, math.ceil(total / block_chars))
+
+    def run(batches):
+        import pyarrow as pa
+        codec = vocabulary.get()
+        for batch in batches:
+            u = pa.array([_units(codec, t.as_py() or "").tobytes() for t in batch.column("t")], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("block"), batch.column("doc_id"), u], names=["block", "doc_id", "u"])
+
+    block = F.pmod(F.xxhash64("doc_id", "t"), F.lit(blocks)).cast("int").alias("block")
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return rows.select(block, "doc_id", "t").mapInArrow(run, f"block int, doc_id {kind}, u binary").repartition("block")
+
+
 def lm_scores(docs: DataFrame, ranks_path: str, pattern: str, order: int = 2, min_count: int = 2,
-              backoff: float = BACKOFF, text: str = "text", doc_id: str = "doc_id",
+              backoff: float = BACKOFF, leave_one_out: bool = False, text: str = "text", doc_id: str = "doc_id",
               block_chars: int = BLOCK_CHARS) -> DataFrame:
     """(doc_id, n_units, lm_score, mean_score, perplexity) of every row."""
     if order not in (1, 2, 3):
         raise ValueError("an n-gram key holds one to three units")
-    blocks = in_blocks(docs, doc_id, text, block_chars)
-    cache: dict = {}
+    blocks = unit_blocks(docs, ranks_path, pattern, text, doc_id, block_chars)
+    kind = blocks.schema["doc_id"].dataType.simpleString()
 
-    def units(texts):
-        if "units" not in cache:
-            cache["units"] = encoder(ranks_path, pattern)
-        return cache["units"](texts)
+    def opened(table) -> list[np.ndarray]:
+        return [np.frombuffer(u.as_py(), "<u2") for u in table.column("u")]
 
-    counts = written(count_table(blocks, units, order, min_count), "lm_counts")
-    total = (counts.where(F.col("g") < 1 << UNIT_BITS).groupBy("g").agg(F.first("c").alias("c"))
-             .agg(F.sum("c")).first()[0] or 0)
-    kind = blocks.schema["doc_id"].dataType.simpleString()
+    def explode(key, table):
+        import pyarrow as pa
+        units = opened(table)
+        g, n = count_ngrams(units, order)
+        g, n = np.r_[0, g], np.r_[sum(map(len, units)), n]  # 0 stands for the units themselves
+        return pa.table({"block": pa.array(np.full(len(g), key[0].as_py(), np.int32)), "g": pa.array(g), "n": pa.array(n)})
 
     def score(key, left, right):
         import pyarrow as pa
-        right = right.sort_by("g") if right.num_rows else right
-        g, c = right.column("g").to_numpy(), right.column("c").to_numpy()
-        texts = [t or "" for t in left.column("t").to_pylist()]
-        n, s = score_block(texts, g, c, total, units, order, backoff)
+        units = opened(left)
+        g, c = count_ngrams(units, order)
+        other, known = right.column("g").to_numpy(), right.column("c").to_numpy()
+        total = int(known[other == 0][0])
+        c[np.searchsorted(g, other[other > 0])] = known[other > 0]
+        n, s = score_block(units, g, c, total, order, min_count, backoff, leave_one_out)
         return pa.table({"doc_id": left.column("doc_id"), "n_units": pa.array(n), "lm_score": pa.array(s)})
 
-    scored = blocks.groupBy("block").cogroup(counts.groupBy("block")).applyInArrow(
+    held = blocks.groupBy("block").applyInArrow(explode, "block int, g long, n long")
+    total = F.sum("n").over(Window.partitionBy("g"))
+    answers = held.select("block", "g", "n", total.alias("c")).where("g = 0 or c <> n").select("block", "g", "c")
+    scored = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         score, f"doc_id {kind}, n_units long, lm_score double")
     mean = F.when(F.col("n_units") > 0, F.col("lm_score") / F.col("n_units"))
     return scored.select("doc_id", "n_units", "lm_score", mean.alias("mean_score"), F.pow(F.lit(10.0), -mean).alias("perplexity"))

@@ -44,7 +44,7 @@ def op4_fingerprint(spark, sf_dir):
 
 def op5_lm_score(spark, sf_dir):
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
-    return lmscore.lm_scores(docs, f"{TOKENIZERS}/byte_bpe_50k.tiktoken", BYTE_BPE_PATTERN, order=3, min_count=1)
+    return lmscore.lm_scores(docs, f"{TOKENIZERS}/byte_bpe_50k.tiktoken", BYTE_BPE_PATTERN, order=3, min_count=1, leave_one_out=True)
 
 
 def op6_decontamination(spark, sf_dir):

@@ -20,6 +20,10 @@ have any name."""
 
 from __future__ import annotations
 
+import base64
+import functools
+import re
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -88,11 +92,54 @@ def count_tokens(blocks: DataFrame, eod: int, width: int = 2, open_tail: bool =
                       .where("n_tokens > 0"))
 
 
+#: Long runs of what ``\\s`` matches in the tokenizer's pattern.
+LONG_SPACE = re.compile("[\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]{4096,}")
+
+
+def encode_text(codec, text: str) -> np.ndarray:
+    """Ids of ``text`` by a codec whose pattern takes white space as
+    ``\\s+(?!\\S)|\\s+``.  That pattern's stack overflows on a very long run of
+    white space, so such a run is cut out: it is one piece to the end of the
+    text, or to its last character if something follows, which is what the
+    pattern makes of it; the ids are the same."""
+    parts, at = [], 0
+    for m in LONG_SPACE.finditer(text):
+        a, b = m.span()
+        b = b if b == len(text) else b - 1
+        parts += [codec.encode_to_numpy(text[at:a], disallowed_special=()),
+                  np.array(codec._encode_single_piece(text[a:b]), np.uint32)]
+        at = b
+    parts.append(codec.encode_to_numpy(text[at:] if at else text, disallowed_special=()))
+    return parts[0] if len(parts) == 1 else np.concatenate(parts)
+
+
+@functools.lru_cache(maxsize=2)
+def _codec(file: bytes, pattern: str):
+    import tiktoken
+    return tiktoken.Encoding("units", pat_str=pattern, mergeable_ranks=_ranks(file), special_tokens={})
+
+
+class Codec:
+    """A tiktoken vocabulary for tasks: the driver alone reads its file, and
+    each Python worker builds the encoder once."""
+
+    def __init__(self, spark, ranks_path: str, pattern: str):
+        with open(ranks_path, "rb") as f:
+            self.file = spark.sparkContext.broadcast(f.read())  # a vocabulary file: of fixed size
+        self.pattern = pattern
+
+    def get(self):
+        return _codec(self.file.value, self.pattern)
+
+
+def _ranks(file: bytes) -> dict[bytes, int]:
+    return {base64.b64decode(a): int(b) for a, b in map(bytes.split, file.splitlines())}
+
+
 def read_ranks(path: str) -> dict[bytes, int]:
     """The merge ranks of a ``.tiktoken`` file."""
-    import base64
     with open(path, "rb") as f:
-        return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        return _ranks(f.read())
 
 
 def token_files(docs: DataFrame, ranks_path: str, pattern: str, eod: int, width: int = 2, block_tokens: int = 1 << 16,
@@ -101,15 +148,14 @@ def token_files(docs: DataFrame, ranks_path: str, pattern: str, eod: int, width:
     shared folder: (blocks, manifest) with the blocks (file, block, payload)
     and the ids in the order written (file, first, ids).  A task holds one
     Arrow batch of texts and less than two blocks of ids."""
-    kind = WIDTH[width]
+    kind, vocabulary = WIDTH[width], Codec(docs.sparkSession, ranks_path, pattern)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("t"))
 
     def run(batches):
         import pyarrow as pa
-        import tiktoken
         from pyspark import TaskContext
 
-        codec = tiktoken.Encoding("flat", pat_str=pattern, mergeable_ranks=read_ranks(ranks_path), special_tokens={})
+        codec = vocabulary.get()
         file = f"{TaskContext.get().partitionId():08d}"
         held, size, block, first = [], 0, 0, 0
 
@@ -125,9 +171,8 @@ def token_files(docs: DataFrame, ranks_path: str, pattern: str, eod: int, width:
             first += batch.num_rows
             numbers, payloads = [], []
             for t in batch.column("t"):
-                ids = codec.encode_ordinary(t.as_py() or "")
-                ids.append(eod)
-                held.append(np.array(ids, kind))
+                ids = np.append(encode_text(codec, t.as_py() or ""), eod)
+                held.append(ids.astype(kind))
                 size += len(ids)
                 if size >= block_tokens:
                     flat = np.concatenate(held)

@@ -89,22 +89,73 @@ def test_stupid_backoff_by_hand(spark, order):
     assert got == want
 
 
-def test_registered_lm_counts_all_trigrams(spark, tmp_path):
+def leave_one_out_by_hand(ids, order, backoff=0.4):
+    """Scores of each text's units by the counts of the others."""
+    grams = [collections.Counter(tuple(x[j:j + n]) for n in range(1, order + 1) for j in range(len(x) - n + 1)) for x in ids]
+    count, total, taken = sum(grams, collections.Counter()), sum(map(len, ids)), collections.Counter()
+
+    def s(x, own, j, n):
+        g = tuple(x[j - n + 1:j + 1])
+        here = count[g] - own[g]
+        if n == 1:
+            return (here or backoff) / max(1, total - len(x))
+        if here >= 1:
+            return here / (count[g[:-1]] - own[g[:-1]])
+        taken["backoff"] += 1
+        return backoff * s(x, own, j, n - 1)
+
+    scores = [sum(math.log10(s(x, own, j, min(order, j + 1))) for j in range(len(x))) for x, own in zip(ids, grams)]
+    return scores, taken["backoff"]
+
+
+@pytest.mark.parametrize("order", [1, 2, 3])
+def test_leave_one_out_by_hand(spark, monkeypatch, order):
+    monkeypatch.setattr(lmscore, "CHUNK_UNITS", 500)
+    monkeypatch.setattr(lmscore, "CHUNK_TEXTS", 3)
+    rows = some(spark, 30) + ODD
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    units = lmscore.encoder(RANKS, BYTE_BPE_PATTERN)
+    ids = [units([t or ""])[1].tolist() for _, t in rows]
+    scores, backed_off = leave_one_out_by_hand(ids, order)
+    want = collections.Counter((i, len(x), round(v, 5)) for (i, _), x, v in zip(rows, ids, scores))
+    for block_chars in (20_000, 10_000_000):
+        got = lmscore.lm_scores(df, RANKS, BYTE_BPE_PATTERN, order, 1, leave_one_out=True, block_chars=block_chars)
+        assert collections.Counter((r["doc_id"], r["n_units"], round(r["lm_score"], 5)) for r in got.collect()) == want
+    assert order == 1 or backed_off > 100
+
+
+def test_registered_lm_leaves_the_document_out(spark, tmp_path):
     from lexispark.llm.queries import op5_lm_score
-    rows = [(1, "one two three four"), (2, "one two five"), (3, "six")]
+    rows = [(1, "one two three four"), (2, "one two five"), (3, "six"), (4, "one two three")]
     spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     units = lmscore.encoder(RANKS, BYTE_BPE_PATTERN)
-    ids = {i: units([t])[1].tolist() for i, t in rows}
-    count = collections.Counter(tuple(x[j:j + n]) for x in ids.values() for n in (1, 2, 3) for j in range(len(x) - n + 1))
-    total = sum(map(len, ids.values()))
+    ids = [units([t])[1].tolist() for _, t in rows]
+    want = {i: v for (i, _), v in zip(rows, leave_one_out_by_hand(ids, 3)[0])}
+    for r in op5_lm_score(spark, str(tmp_path)).collect():
+        assert abs(r["lm_score"] - want[r["doc_id"]]) < 1e-9
 
-    def s(x, j):  # every n-gram has been counted
-        g = tuple(x[max(0, j - 2):j + 1])
-        return count[g] / (count[g[:-1]] if len(g) > 1 else total)
 
-    for r in op5_lm_score(spark, str(tmp_path)).collect():
-        x = ids[r["doc_id"]]
-        assert abs(r["lm_score"] - sum(math.log10(s(x, j)) for j in range(len(x)))) < 1e-9
+def test_blocks_are_encoded_once(spark):
+    """Both readers of the blocks share one exchange."""
+    df = lmscore.lm_scores(spark.createDataFrame([(1, "a b")], "doc_id long, text string"), RANKS, BYTE_BPE_PATTERN)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final and final.count("MapInArrow") == 1
+
+
+def test_very_long_white_space(spark):
+    import tiktoken
+    codec = tiktoken.Encoding("t", pat_str=BYTE_BPE_PATTERN, mergeable_ranks=tokencounts.read_ranks(RANKS), special_tokens={})
+    for n in (4095, 4096, 4097, 9000):
+        for run in ("\n" * n, " " * n, " \n" * n, "\u3000\t" * n):
+            for text in (run, f"a{run}", f"{run}b", f"a{run} b", f"a{run}\nb.", f"a {run}'s {run}1"):
+                assert tokencounts.encode_text(codec, text).tolist() == codec.encode_ordinary(text)
+    rows = [(1, "\n" * 2_000_000), (2, "a" + " " * 2_000_000 + "b"), (3, "plain text")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    n = {i: len(tokencounts.encode_text(codec, t)) for i, t in rows}
+    assert {r["doc_id"]: r["n_units"] for r in lmscore.lm_scores(df, RANKS, BYTE_BPE_PATTERN, leave_one_out=True).collect()} == n
+    assert {r["doc_id"]: r["n_tokens"] for r in tokencounts.document_token_counts(
+        df, RANKS, BYTE_BPE_PATTERN, BYTE_BPE_EOD).collect()} == n
 
 
 def test_lm_empty(spark):
