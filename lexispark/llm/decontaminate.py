@@ -7,7 +7,8 @@ some part of it is within ``floor(max_error * length)`` edits of one of the
 item's segments.
 
 Filter: with k edits, a segment of m characters and its copy share at least
-m + 1 - q - k * q q-grams, and all of them on at most k + 1 neighbouring
+m + 1 - q - k * q q-grams (q is 8, or the largest smaller power of two for
+which that is at least one), and all of them on at most k + 1 neighbouring
 diagonals (place in the document minus place in the segment).  Shared q-grams
 are counted in diagonal bands of width 2 (k + 1) that overlap by half, so the
 copy's q-grams fall into one band whole; bands that meet the bound are
@@ -21,8 +22,9 @@ is searched in all documents.  Documents are searched in pieces of bounded
 length that overlap by more than a segment.
 
 Defined results: null and empty texts leak nothing; items (normalised) that are
-shorter than ``min_item`` characters are too short to identify and are not
-searched; equal items are all reported; repeated rows have their own results;
+shorter than ``min_item`` characters are too short to allow edits: with
+``short_items`` they leak where they stand exactly, between word bounds (one
+place is reported), else they are not searched; equal items are all reported; repeated rows have their own results;
 empty documents or an empty benchmark give an empty result.  Only the named
 columns are read, so others may have any name."""
 
@@ -57,14 +59,14 @@ def _codes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
-def qgram_hashes(cp: np.ndarray) -> np.ndarray:
+def qgram_hashes(cp: np.ndarray, q: int = Q) -> np.ndarray:
     """A 64-bit hash of each q-gram; equal q-grams have equal hashes, and what
     the hash confuses fails the alignment."""
-    n = len(cp) - Q + 1
+    n = len(cp) - q + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
     h, width, base = cp.astype(np.uint64), 1, 0x100000001B3
-    while width < Q:  # the polynomial of twice the width, from two neighbours
+    while width < q:  # the polynomial of twice the width, from two neighbours
         h = h[:-width] * np.uint64(base) + h[width:]
         width, base = 2 * width, base * base & 0xFFFFFFFFFFFFFFFF
     return h * MIX
@@ -72,7 +74,9 @@ def qgram_hashes(cp: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Segments:
-    """The searched segments of one block, and their q-grams in hash order."""
+    """The searched segments of one block, and their q-grams in hash order.
+    Those whose edit budget needs shorter q-grams are in ``rest``, numbered
+    behind the others; items that are matched exactly are in ``short``."""
     items: list[int]
     texts: list[str]
     budget: np.ndarray
@@ -81,28 +85,71 @@ class Segments:
     segment: np.ndarray
     place: np.ndarray
     seen: np.ndarray  # a bit for each hash prefix that occurs
+    q: int = Q
+    rest: Segments | None = None
+    short: dict[str, list[int]] | None = None
 
     @classmethod
-    def of(cls, items: list[tuple[int, str]], segment: int, max_error: float, min_item: int) -> Segments:
-        ids, texts = [], []
+    def of(cls, items: list[tuple[int, str]], segment: int, max_error: float, min_item: int,
+           short_items: bool = False) -> Segments:
+        ids, texts, short = [], [], {}
         for item, text in items:
             text = normalise(text)
-            if len(text) >= max(min_item, Q):
+            if len(text) >= max(min_item, 1):
                 parts = cut_item(text, segment)
                 ids += [item] * len(parts)
                 texts += parts
+            elif text and short_items:
+                short.setdefault(text, []).append(item)
+        s = cls._of(ids, texts, max_error, Q)
+        s.short = short
+        return s
+
+    @classmethod
+    def _of(cls, ids: list[int], texts: list[str], max_error: float, q: int) -> Segments:
         size = np.array([len(t) for t in texts], np.int64)
         budget = (size * max_error).astype(np.int64)
-        # the lemma's bound; where it says nothing, a smaller budget that it can prove is used
-        budget = np.minimum(budget, np.maximum(0, (size - Q) // Q))
-        hs = [qgram_hashes(_codes(t)) for t in texts]
+        fits = (size + 1 - q - budget * q >= 1) | (q == 1)
+        rest = None
+        if not fits.all():
+            rest = cls._of([ids[i] for i in np.flatnonzero(~fits)], [texts[i] for i in np.flatnonzero(~fits)], max_error, q // 2)
+            ids, texts = [ids[i] for i in np.flatnonzero(fits)], [texts[i] for i in np.flatnonzero(fits)]
+            size, budget = size[fits], budget[fits]
+        hs = [qgram_hashes(_codes(t), q) for t in texts]
         h = np.concatenate(hs) if hs else np.zeros(0, np.uint64)
         seg = np.repeat(np.arange(len(hs)), [len(x) for x in hs]) if hs else np.zeros(0, np.int64)
         place = np.concatenate([np.arange(len(x)) for x in hs]) if hs else np.zeros(0, np.int64)
         order = np.argsort(h, kind="stable")
         seen = np.zeros(1 << TABLE_LOG2, bool)
         seen[(h >> np.uint64(64 - TABLE_LOG2)).astype(np.int64)] = True
-        return cls(ids, texts, budget, size + 1 - Q - budget * Q, h[order], seg[order], place[order], seen)
+        return cls(ids, texts, budget, size + 1 - q - budget * q, h[order], seg[order], place[order], seen, q, rest)
+
+    def item(self, g: int) -> int:
+        """The item of segment ``g``, counted through ``rest``."""
+        return self.items[g] if g < len(self.items) else self.rest.item(g - len(self.items))
+
+
+def exact_places(texts: list[str], short: dict[str, list[int]]) -> list[tuple[int, int, int, int]]:
+    """(index of the text, item, start, end): the first place of each short
+    item in normalised ``texts`` that isn't inside a word."""
+    import ahocorasick
+    if not short:
+        return []
+    find = ahocorasick.Automaton()
+    for t in short:
+        find.add_word(t, t)
+    find.make_automaton()
+    out = []
+    for i, text in enumerate(texts):
+        first: dict[str, int] = {}
+        for end, t in find.iter(text):
+            a, b = end + 1 - len(t), end + 1
+            inside = (a > 0 and text[a - 1].isalnum() and t[0].isalnum()) or (
+                b < len(text) and text[b].isalnum() and t[-1].isalnum())
+            if not inside:
+                first.setdefault(t, a)
+        out += [(i, item, a, a + len(t)) for t, a in first.items() for item in short[t]]
+    return out
 
 
 def align(pattern: np.ndarray, window: np.ndarray, low: int, high: int, budget: int) -> tuple[int, int, int] | None:
@@ -142,9 +189,16 @@ def align(pattern: np.ndarray, window: np.ndarray, low: int, high: int, budget:
 def search(texts: list[str], s: Segments) -> list[tuple[int, int, int, int, int]]:
     """(index of the text, segment, edits, start, end) of every segment found
     in normalised ``texts``: its best place in each band."""
+    found = _search(texts, s)
+    if s.rest is not None:
+        found += [(i, g + len(s.items), *v) for i, g, *v in search(texts, s.rest)]
+    return found
+
+
+def _search(texts: list[str], s: Segments) -> list[tuple[int, int, int, int, int]]:
     if not len(s.hashes):
         return []
-    reach = int(max(len(t) for t in s.texts) + 2 * s.budget.max() + Q)
+    reach = int(max(len(t) for t in s.texts) + 2 * s.budget.max() + s.q)
     pieces = [(i, a, t[a:a + PIECE_CHARS + reach]) for i, t in enumerate(texts) for a in range(0, len(t), PIECE_CHARS)]
     out: dict[tuple[int, int], tuple[int, int, int]] = {}
     groups = list(_groups(pieces))[::-1]
@@ -152,7 +206,7 @@ def search(texts: list[str], s: Segments) -> list[tuple[int, int, int, int, int]
         group = groups.pop()
         cp = _codes("\0".join(p[2] for p in group))
         first = np.cumsum([0] + [len(p[2]) + 1 for p in group])
-        h = qgram_hashes(cp)
+        h = qgram_hashes(cp, s.q)
         at = np.flatnonzero(s.seen[(h >> np.uint64(64 - TABLE_LOG2)).astype(np.int64)])
         lo = np.searchsorted(s.hashes, h[at], "left")
         n = np.searchsorted(s.hashes, h[at], "right") - lo
@@ -240,7 +294,7 @@ def item_blocks(benchmark: DataFrame, item_id: str, text: str):
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, max_error: float = 0.1, segment: int = 120, min_item: int = 24,
-          text: str = "text", doc_id: str = "doc_id", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+          short_items: bool = False, text: str = "text", doc_id: str = "doc_id", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """(doc_id, item_id, segments, edits, spans): one row for each document
     row and item that it leaks, with the number of segments found, their edits
     together, and their (start, end) in the normalised text."""
@@ -251,15 +305,18 @@ def leaks(docs: DataFrame, benchmark: DataFrame, max_error: float = 0.1, segment
               "spans array<struct<start:long,end:long,edits:long>>")
     out = spark.createDataFrame([], schema)
     for block in item_blocks(benchmark, item_id, item_text):
-        shared = spark.sparkContext.broadcast(Segments.of(block, segment, max_error, min_item))
+        shared = spark.sparkContext.broadcast(Segments.of(block, segment, max_error, min_item, short_items))
 
         def run(batches, shared=shared):
             import pyarrow as pa
             for batch in batches:
                 s, ids = shared.value, batch.column("doc_id")
                 found: dict[tuple[int, int], list] = {}
-                for i, g, edits, a, b in search([normalise(t.as_py()) for t in batch.column("t")], s):
-                    found.setdefault((i, s.items[g]), []).append((a, b, edits))
+                texts = [normalise(t.as_py()) for t in batch.column("t")]
+                for i, g, edits, a, b in search(texts, s):
+                    found.setdefault((i, s.item(g)), []).append((a, b, edits))
+                for i, item, a, b in exact_places(texts, s.short):
+                    found.setdefault((i, item), []).append((a, b, 0))
                 keys = sorted(found)
                 yield pa.RecordBatch.from_arrays([
                     ids.take(pa.array([i for i, _ in keys], pa.int64())), pa.array([x for _, x in keys], pa.int64()),
@@ -274,7 +331,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, max_error: float = 0.1, segment
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, keep: tuple[str, ...], max_error: float = 0.1, segment: int = 120,
-               min_item: int = 24, text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+               min_item: int = 24, short_items: bool = False, text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """Columns ``keep`` of the rows of ``docs`` that leak no item.  Each block
     of the benchmark is one pass over what the one before has kept; no row is
     matched by its id, so repeated and missing ids make no difference."""
@@ -282,12 +339,13 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, keep: tuple[str, ...], max
     out = docs.select(*keep, *([] if text in keep else [text]))
     schema = out.schema
     for block in item_blocks(benchmark, item_id, item_text):
-        shared = spark.sparkContext.broadcast(Segments.of(block, segment, max_error, min_item))
+        shared = spark.sparkContext.broadcast(Segments.of(block, segment, max_error, min_item, short_items))
 
         def run(batches, shared=shared):
             import pyarrow as pa
             for batch in batches:
-                hit = {x[0] for x in search([normalise(t.as_py()) for t in batch.column(text)], shared.value)}
+                texts = [normalise(t.as_py()) for t in batch.column(text)]
+                hit = {x[0] for x in search(texts, shared.value)} | {x[0] for x in exact_places(texts, shared.value.short)}
                 yield batch.filter(pa.array([i not in hit for i in range(batch.num_rows)], pa.bool_()))
 
         out = out.mapInArrow(run, schema)

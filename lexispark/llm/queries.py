@@ -49,7 +49,7 @@ def op5_lm_score(spark, sf_dir):
 
 def op6_decontamination(spark, sf_dir):
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
-    return decontaminate.leaks(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
+    return decontaminate.leaks(docs, table(spark, sf_dir, "benchmark", "item_id", "text"), short_items=True)
 
 
 def op7_licenses(spark, sf_dir):

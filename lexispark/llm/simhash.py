@@ -133,20 +133,17 @@ def link_fingerprints(fps: DataFrame, n: int, max_bits: int = 2) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2, text: str = "text",
                     doc_id: str = "doc_id") -> DataFrame:
-    """(doc_id, fingerprint, component_id, n_links): every row with its
-    fingerprint, the smallest doc_id that links reach from it, and the number
-    of links kept for its fingerprint."""
+    """(doc_id, fingerprint, component_id): every row with its fingerprint
+    and the smallest doc_id that links reach from it."""
     rows = cut(fingerprints(docs, shingle, text, doc_id))
     distinct = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("low")))
     links = cut(link_fingerprints(distinct.select("fp"), distinct.count(), max_bits))
-    degree = links.select(F.explode(F.array("a", "b")).alias("fp")).groupBy("fp").agg(F.count(F.lit(1)).alias("n_links"))
     rooted = distinct.join(components(links).withColumnRenamed("node", "fp"), "fp", "left").withColumn(
         "root", F.coalesce("root", "fp"))
     low = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    by_fp = rooted.join(low, "root").join(degree, "fp", "left").select(
-        "fp", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    by_fp = rooted.join(low, "root").select("fp", "component_id")
     return rows.join(by_fp, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "n_links")
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:

@@ -214,6 +214,40 @@ def test_leaks_of_the_documents(spark, monkeypatch):
     assert {r["doc_id"] for r in kept.collect()} == {r["doc_id"] for r in docs.collect()} - {i for i, _ in want}
 
 
+def test_edits_that_need_shorter_qgrams():
+    """Three edits in 30 characters leave no 8-gram for sure."""
+    rng = random.Random(9)
+    items = [(k, "".join(rng.choice("abcdefgh") for _ in range(n))) for k, n in enumerate([30, 31, 24, 25, 45])]
+    for error in (0.1, 0.2, 0.34):
+        s = decontaminate.Segments.of(items, 120, error, 24)
+        texts, want = [], {}
+        for k, t in items:
+            for _ in range(12):
+                x = list(t)
+                for _ in range(rng.randrange(0, int(error * len(t)) + 3)):
+                    j, what = rng.randrange(len(x)), rng.randrange(3)
+                    x[j:j + 1] = [] if what == 0 else [rng.choice("abcd")] if what == 1 else [x[j], "z"]
+                texts.append("xyz " + "".join(x) + " xyz")
+                for m, u in items:
+                    edits = semi_global(u, texts[-1])
+                    if edits <= int(error * len(u)):
+                        want[len(texts) - 1, m] = edits
+        assert {(i, s.item(g)): e for i, g, e, _, _ in decontaminate.search(texts, s)} == want
+        assert any(e == 3 for (_, m), e in want.items() if m == 0)
+
+
+def test_short_items_are_found_exactly(spark):
+    bench = spark.createDataFrame([(1, "Tiny  item"), (2, "tiny item"), (3, "yes"), (4, ""), (5, "c++")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "a TINY\nitem."), (2, "tiny items"), (3, "eyes, YES!"), (4, "eyes"), (5, "in c++ and"),
+                                  (6, "tinyitem")], "doc_id long, text string")
+    got = decontaminate.leaks(docs, bench, short_items=True).collect()
+    assert sorted((r["doc_id"], r["item_id"], r["edits"]) for r in got) == [(1, 1, 0), (1, 2, 0), (3, 3, 0), (5, 5, 0)]
+    assert {tuple(r["spans"][0]) for r in got if r["doc_id"] == 3} == {(6, 9, 0)}
+    kept = decontaminate.drop_leaks(docs, bench, ("doc_id",), short_items=True)
+    assert sorted(r["doc_id"] for r in kept.collect()) == [2, 4, 6]
+    assert decontaminate.leaks(docs, bench).count() == 0
+
+
 def test_leak_edges(spark):
     bench = spark.createDataFrame([(1, None), (2, ""), (3, "tiny"), (4, "Exactly this  question should be found again"),
                                    (5, "exactly this question should be found AGAIN")], "item_id long, text string")
