@@ -23,6 +23,8 @@ name."""
 from __future__ import annotations
 
 import re
+from collections import Counter
+from html import unescape
 from html.parser import HTMLParser
 
 import numpy as np
@@ -46,6 +48,8 @@ SKIP_WORDS = frozenset((
     "signup login share sharing social related recommended comment comments commentlist disqus replies reply respond "
     "pagination pager skip").split())
 CONTAINERS = frozenset("article main section div td body".split())
+#: Elements that an open paragraph or list item doesn't reach beyond.
+WITHIN = {"p": frozenset("div article section main td body".split()), "li": frozenset("ul ol menu".split())}
 #: A paragraph that is still open ends where one of these begins.
 ENDS_P = BLOCK - {"br", "body", "html", "title", "caption", "td", "th", "tr", "tbody", "thead", "tfoot"}
 LINKED = 0.5  # share of a line in links from which it is a link line
@@ -58,6 +62,9 @@ class _Events(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.stack: list[tuple[str, bool, int, int]] = []  # element, begins a part to leave out, container and named element before it
+        self.places: dict[str, list[int]] = {"p": [], "li": []}  # where they stand in the stack
+        self.within: dict[str, list[int]] = {"p": [], "li": []}  # where elements stand that they don't reach beyond
+        self.open: Counter = Counter()
         self.named = 0
         self.names = [-1]  # parents of the elements with a marking name
         self.heads: list[tuple[str, int]] = []  # main, article, h1 and the named element around each
@@ -99,7 +106,7 @@ class _Events(HTMLParser):
     def handle_starttag(self, tag, attrs) -> None:
         if tag in ENDS_P and self.has_open("p"):
             self.close_to("p")
-        if tag == "li" and self.has_open("li", ("ul", "ol", "menu")):
+        if tag == "li" and self.has_open("li"):
             self.close_to("li")
         if tag in BLOCK and tag != "br":
             self.break_line()
@@ -110,6 +117,12 @@ class _Events(HTMLParser):
             return
         skip = self.skipped(tag, attrs)
         named = not skip and self.has_name(tag, attrs)
+        for kind in WITHIN:
+            if tag == kind:
+                self.places[kind].append(len(self.stack))
+            elif tag in WITHIN[kind]:
+                self.within[kind].append(len(self.stack))
+        self.open[tag] += 1
         self.stack.append((tag, skip, self.box, self.named))
         self.noise += skip
         if named:
@@ -130,17 +143,19 @@ class _Events(HTMLParser):
         if tag not in VOID and tag not in CONTAINERS and tag not in SKIP:
             self.handle_endtag(tag)
 
-    def has_open(self, tag: str, within: tuple[str, ...] = ("div", "article", "section", "main", "td", "body")) -> bool:
-        for name, *_ in reversed(self.stack):
-            if name == tag:
-                return True
-            if name in within:
-                return False
-        return False
+    def has_open(self, tag: str) -> bool:
+        """Whether ``tag`` is open above the nearest element of ``WITHIN``."""
+        own, around = self.places[tag], self.within[tag]
+        return bool(own) and (not around or own[-1] > around[-1])
 
     def close_to(self, tag: str) -> None:
         while self.stack:
             name, skip, box, named = self.stack.pop()
+            self.open[name] -= 1
+            for kind in WITHIN:
+                for at in (self.places[kind], self.within[kind]):
+                    if at and at[-1] == len(self.stack):
+                        at.pop()
             self.noise -= skip
             self.main -= name in ("article", "main")
             self.links -= name == "a"
@@ -153,9 +168,18 @@ class _Events(HTMLParser):
 
     def handle_endtag(self, tag) -> None:
         self.lines[-1][1] += 1
-        if any(x[0] == tag for x in reversed(self.stack)):
+        if self.open[tag]:
             self.close_to(tag)
 
+    def read(self, html: str) -> None:
+        """The whole page.  Behind the last ``>`` no tag can end, so that rest
+        is text at once; the parser would look for an end at each ``<``."""
+        end = html.rfind(">") + 1
+        self.feed(html[:end])
+        self.close()
+        if end < len(html):
+            self.handle_data(unescape(html[end:]))
+
     def handle_data(self, data) -> None:
         self.lines[-1][0].append(data)
         if self.links:
@@ -195,22 +219,34 @@ def _marked(page: _Events, named: list[int], mass: np.ndarray, most: float) -> s
     text of half its mass is outside; where these are outside all named ones,
     it must have ``most`` of the text that isn't links, no ``main`` or ``article`` must be outside,
     and not more than a tenth of the text."""
-    marks = set(range(1, len(page.names)))
-    chains: list[set[int]] = [set()]
-    for parent in page.names[1:]:
-        chains.append(chains[parent] | {len(chains)})
+    parent, n = page.names, len(page.names)
+    inside = np.bincount(named, weights=mass, minlength=n)  # an element's number is above its parent's
+    own = inside.copy()
+    for e in range(n - 1, 0, -1):
+        inside[parent[e]] += inside[e]
     head = min(page.heads, key=lambda h: h[0] != "main", default=("", 0))
-    inside = {e: sum(m for m, n in zip(mass, named) if e in chains[n]) for e in marks}
-    for e in sorted(marks, key=lambda e: (-inside[e], e)):
-        outside = sum(m for m, n in zip(mass, named) if e not in chains[n] and marks.isdisjoint(chains[n]))
-        if e in chains[head[1]]:
+    around = set()
+    at = head[1]
+    while at > 0:
+        around.add(at)
+        at = parent[at]
+    marked = np.r_[False, np.ones(n - 1, bool)]
+    free = ~marked  # neither an element nor one around it is marked
+    outside = own[0]  # text without a mark; an element that is still marked has none of it
+    for e in sorted(range(1, n), key=lambda e: (-inside[e], e)):  # parents come before their children
+        if e in around:
             wrapper = 2 * outside <= inside[e]
         else:
             wrapper = (not head[1] and head[0] in ("", "h1") and inside[e] >= most * mass.sum() > 0
                        and outside <= 0.1 * mass.sum())
         if wrapper:
-            marks.remove(e)
-    return {n for n in range(len(chains)) if not marks.isdisjoint(chains[n])}
+            marked[e] = False
+            if free[parent[e]]:
+                free[e] = True
+                outside += own[e]
+    for e in range(1, n):
+        marked[e] |= marked[parent[e]]
+    return set(np.flatnonzero(marked).tolist())
 
 
 def extract(html: str | None, sigma: float = 1.0, most: float = 0.5) -> str:
@@ -219,8 +255,7 @@ def extract(html: str | None, sigma: float = 1.0, most: float = 0.5) -> str:
     if not html:
         return ""
     page = _Events()
-    page.feed(html)
-    page.close()
+    page.read(html)
     lines = []
     named = []
     for texts, tags, box, noise, linked, name in page.lines:
@@ -240,17 +275,17 @@ def extract(html: str | None, sigma: float = 1.0, most: float = 0.5) -> str:
     content = _clustered(ratio, np.array([x[3] for x in lines]), sigma)
     mass = size * content
     held = np.zeros(len(page.boxes))  # clustered content in each container, with what is nested in it
-    for k, (_, _, box, _, _) in enumerate(lines):
-        while box > 0:
-            held[box] += mass[k]
-            box = page.boxes[box][1]
+    for k, x in enumerate(lines):
+        held[x[2]] += mass[k]
+    for b in range(len(held) - 1, 0, -1):  # a container's number is above its parent's
+        held[page.boxes[b][1]] += held[b]
     names = [b[0] for b in page.boxes]
     enough = [b for b in range(1, len(names)) if held[b] >= most * mass.sum()]
     chosen = max((b for b in enough if names[b] in ("article", "main")), default=None)
     first, last = 0, len(lines)
     if chosen is None:
         whole = [b for b in range(1, len(names)) if held[b] >= 0.9 * mass.sum() and names[b] != "body"]
-        chosen = max(whole, default=0)  # a container's number is above its parents': the innermost
+        chosen = max(whole, default=0)  # the innermost
         at = np.flatnonzero(content)
         first, last = int(at[0]), int(at[-1]) + 1
         while first > 0 and not lines[first - 1][4]:
@@ -258,23 +293,13 @@ def extract(html: str | None, sigma: float = 1.0, most: float = 0.5) -> str:
         while last < len(lines) and not lines[last][4]:
             last += 1
 
-    def inside(box: int) -> bool:
-        while box > chosen:
-            box = page.boxes[box][1]
-        return box == chosen or chosen == 0
-
-    sisters = {b for b in range(1, len(names)) if chosen and names[chosen] == "article"
-               and names[b] == "article" and page.boxes[b][1] == page.boxes[chosen][1]}
-
-    def in_sister(box: int) -> bool:
-        while box > 0:
-            if box in sisters:
-                return True
-            box = page.boxes[box][1]
-        return False
-
+    article = names[chosen] == "article"
+    inside = [chosen == 0]  # in the chosen container, or in a sister article
+    for b in range(1, len(names)):
+        sister = article and names[b] == "article" and page.boxes[b][1] == page.boxes[chosen][1]
+        inside.append(chosen == 0 or b == chosen or sister or inside[page.boxes[b][1]])
     return " ".join(x[0] for k, x in enumerate(lines)
-                    if not x[3] and first <= k < last and (inside(x[2]) or in_sister(x[2])))
+                    if not x[3] and first <= k < last and inside[x[2]])
 
 
 def main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:

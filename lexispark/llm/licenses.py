@@ -1,10 +1,13 @@
 """Operator 7, license scans by an exact set-similarity join (DataFrame
 functions only).
 
-Blocks are the lines of a text, templates are known license notices; both are
+Blocks are the lines of a text, and its runs of words: twice as many as the
+longest template has, the next run beginning after half of them, so that a
+notice that is wrapped over lines or stands behind comment marks lies whole in
+one of them.  Templates are known license notices; blocks and templates are
 sets of words.  A block contains a template if it has at least ``threshold``
 of the template's words.  The words of all templates are ordered by the number
-of blocks that hold them, rarest first (one counting pass; only these words'
+of blocks that hold them, rarest first (one counting pass over the lines; only these words'
 counts reach the driver).  A block that meets the threshold for template T
 must share one of T's first |T| - need + 1 words in that order (prefix
 filter), hold at least ``need`` template words (length filter), and, by the
@@ -102,9 +105,10 @@ def _places(w: Column, phrase: str, label: str) -> Column:
 
 def scan(docs: DataFrame, templates=TEMPLATES, base=BASE, threshold: float = 0.9, text: str = "text",
          doc_id: str = "doc_id") -> DataFrame:
-    """(doc_id, n_words, places, blocks) of every row: ``places`` has label
-    and first word of each base phrase, ``blocks`` has label, line (from 0)
-    and containment of each block that meets the threshold.  ``templates``
+    """(doc_id, n_words, places, blocks, runs) of every row: ``places`` has
+    label and first word of each base phrase, ``blocks`` has label, line (from
+    0) and containment of each line that meets the threshold, ``runs`` label,
+    first word and containment of each run that does.  ``templates``
     and ``base`` are (label, text) and (phrase, label) pairs."""
     spark = docs.sparkSession
     sets = [(label, sorted(set(t.split()))) for label, t in templates]
@@ -122,16 +126,22 @@ def scan(docs: DataFrame, templates=TEMPLATES, base=BASE, threshold: float = 0.9
     src = docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc_id"),
                       F.coalesce(F.col(text), F.lit("")).alias("t")).select("row", "doc_id", low.alias("t"))
     w = F.col("w")
+    held = lambda some: F.array_intersect(_strings(order), some)
     has_start = lambda x: F.arrays_overlap(x["words"], _strings(starts))
     any_start = " or ".join(f"contains(line, '{s}')" for s in starts)
     lines = F.expr(f"filter(transform(split(t, '\\n', -1), (line, k) -> struct(k, line)), x -> {any_start.replace('(line', '(x.line')})")
+    number, none = F.lit(None).cast("int"), F.array().cast("array<struct<line:int,start:int,words:array<string>>>")
     blocks = F.filter(F.transform(lines, lambda x: F.struct(
-        x["k"].alias("k"), F.array_intersect(_strings(order), words(x["line"])).alias("words"))), has_start)
-    each = (src.select("row", "doc_id", words(F.col("t")).alias("w"), blocks.alias("blocks"))
+        x["k"].alias("line"), number.alias("start"), held(words(x["line"])).alias("words"))), has_start)
+    step = run_step(templates)
+    runs = F.filter(F.transform(F.sequence(F.lit(0), F.size(w) - 1, F.lit(step)), lambda i: F.struct(
+        number.alias("line"), i.alias("start"), held(F.slice(w, i + 1, 2 * step)).alias("words"))), has_start)
+    runs = F.when((F.size(w) > 0) & F.expr(any_start.replace("(line", "(t")), runs).otherwise(none)
+    each = (src.select("row", "doc_id", "t", words(F.col("t")).alias("w"), blocks.alias("blocks"))
             .select("row", "doc_id", F.size(w).cast("long").alias("n_words"),
-                    F.concat(*[_places(w, p, label) for p, label in base]).alias("places"), "blocks"))
+                    F.concat(*[_places(w, p, label) for p, label in base]).alias("places"), F.concat("blocks", runs).alias("blocks")))
     one = (each.select("row", "doc_id", "n_words", "places", F.explode_outer("blocks").alias("b"))
-           .select("row", "doc_id", "n_words", "places", F.col("b.k").alias("line"), F.col("b.words").alias("held"))
+           .select("row", "doc_id", "n_words", "places", "b.line", "b.start", F.col("b.words").alias("held"))
            .select("*", F.posexplode_outer("held").alias("j", "w")))
     left = lambda n, at: n - at - 1  # noqa: E731  words after this one
     reach = F.least("i", "j") + 1 + F.least(left(F.size("words"), F.col("i")), left(F.size("held"), F.col("j")))
@@ -142,8 +152,18 @@ def scan(docs: DataFrame, templates=TEMPLATES, base=BASE, threshold: float = 0.9
             .withColumn("share", share)
             .groupBy("row", "doc_id", "n_words", "places")
             .agg(F.collect_set(F.when(F.col("share").isNotNull(), F.struct(
-                "label", "line", F.col("share").alias("containment")))).alias("blocks"))
-            .select("doc_id", "n_words", "places", F.array_sort("blocks").alias("blocks")))
+                "label", "line", "start", F.col("share").alias("containment")))).alias("found"))
+            .select("doc_id", "n_words", "places", _found("line").alias("blocks"), _found("start").alias("runs")))
+
+
+def _found(kind: str) -> Column:
+    own = F.filter("found", lambda x: x[kind].isNotNull())
+    return F.array_sort(F.transform(own, lambda x: F.struct(x["label"].alias("label"), x[kind].alias(kind), x["containment"].alias("containment"))))
+
+
+def run_step(templates) -> int:
+    """Words after which the next run begins: as many as the longest template has."""
+    return max(len(t.split()) for _, t in templates)
 
 
 def digest(found: DataFrame) -> DataFrame:
@@ -151,17 +171,20 @@ def digest(found: DataFrame) -> DataFrame:
     joined = lambda x: F.array_join(F.array_sort(F.array_distinct(x)), ",")
     base = F.transform("places", lambda p: p["label"])
     starts = F.transform("places", lambda p: p["start"].cast("long"))
+    found_in = [F.transform(c, lambda b: F.struct(b["label"].alias("label"), b["containment"].alias("containment")))
+                for c in ("blocks", "runs")]
     score = F.when(F.size("places") > 0, F.lit(1.0)).otherwise(
-        F.coalesce(F.array_max(F.transform("blocks", lambda b: b["containment"])), F.lit(0.0)))
+        F.coalesce(F.array_max(F.transform(F.concat(*found_in), lambda b: b["containment"])), F.lit(0.0)))
     return found.select("doc_id", "n_words", F.size("places").cast("long").alias("n_base"),
                         F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
                         joined(base).alias("base_labels"),
-                        joined(F.concat(base, F.transform("blocks", lambda b: b["label"]))).alias("labels"),
+                        joined(F.concat(base, F.transform(F.concat(*found_in), lambda b: b["label"]))).alias("labels"),
                         score.alias("score"))
 
 
 def oracle(threshold: float = 0.9) -> str:
-    """DuckDB SQL that compares every line with every template."""
+    """DuckDB SQL that compares every line and run with every template."""
+    step = run_step(TEMPLATES)
     t = ", ".join(f"({i}, '{label}', '{text}')" for i, (label, text) in enumerate(TEMPLATES))
     get = "regexp_extract_all(translate({}, '" + UPPER + "', '" + LOWER + "'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
     places = " UNION ALL ".join(
@@ -174,7 +197,9 @@ p AS ({places}),
 pb AS (SELECT doc_id, count(*) AS n_base, min(start) AS first_word, max(start) AS last_word FROM p GROUP BY doc_id),
 tpl AS (SELECT label, list_distinct(string_split(txt, ' ')) AS tw FROM (VALUES {t}) v(i, label, txt)),
 ln AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents),
-lw AS (SELECT doc_id, list_distinct({get.format("line")}) AS lw FROM ln),
+lw AS (SELECT doc_id, list_distinct({get.format("line")}) AS lw FROM ln
+       UNION ALL
+       SELECT doc_id, list_distinct(w[i + 1:i + {2 * step}]) AS lw FROM (SELECT doc_id, w, unnest(range(0, len(w), {step})) AS i FROM d)),
 c AS (SELECT doc_id, label, len(list_intersect(tw, lw)) AS hits, len(tw) AS n FROM lw, tpl),
 m AS (SELECT doc_id, label, hits / n AS share FROM c WHERE hits >= ceil({threshold} * n - 1e-9)),
 lab AS (SELECT doc_id, label FROM p UNION SELECT doc_id, label FROM m),

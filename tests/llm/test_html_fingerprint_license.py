@@ -56,6 +56,18 @@ def test_extract(page, want):
     assert htmltext.extract(page) == want
 
 
+def test_large_and_broken_pages_are_read_in_linear_time():
+    import time
+    text = "This is the main text of the page, long enough to be found. " * 5
+    pages = ["<body><article><p>" + text + "</p></article>" + "<div class='comment'><p>one more</p></div>" * 20_000,
+             "<p>" + text + "</p>" + "<a " * 100_000, "<b>" * 50_000 + "<p>" + text + "</p>" + "</i>" * 50_000,
+             "<div>" * 20_000 + "<p>" + text + "</p>" + "<p>x</p>" * 5_000]
+    began = time.time()
+    found = [htmltext.extract(p) for p in pages]
+    assert time.time() - began < 30
+    assert all(text.strip() in x for x in found) and "one more" not in found[0]
+
+
 def test_html_edges(spark):
     df = spark.createDataFrame([(1, "u", None), (1, "u", None), (None, None, "<p>x")], "page_id long, url string, html string")
     got = htmltext.main_text(df.selectExpr("*", "'z' as text", "3 as n_chars")).collect()
@@ -157,6 +169,26 @@ def test_license_scan_by_hand(spark):
     assert "gpl" in d[9004]["labels"].split(",") and d[9005]["base_labels"] == "mit" and d[None]["labels"] == "cc-by,cc-by-nc"
 
 
+def test_wrapped_notices(spark):
+    """Every template wrapped at 72 columns or less, in comments, anywhere in a text."""
+    import textwrap
+    rows, want = [], {}
+    for k, (label, t) in enumerate(licenses.TEMPLATES):
+        for m, (before, mark, width) in enumerate([("", "", 72), ("int x;\n" * 9 + "a b c d e f g\n" * k, "# ", 40), ("word " * (11 * k + 3) + "\n", " * ", 24)]):
+            rows.append((100 * k + m, before + "\n".join(mark + x for x in textwrap.wrap(t.capitalize(), width)) + "\nint main() { return 0; }\n" * 20))
+            want[100 * k + m] = label
+    df = spark.createDataFrame(rows + [(9999, None)], "doc_id long, text string")
+    found = licenses.scan(df)
+    got = {r["doc_id"]: r["labels"].split(",") for r in licenses.digest(found).collect()}
+    assert all(label in got[i] for i, label in want.items())
+    step, texts = licenses.run_step(licenses.TEMPLATES), dict(rows)
+    for r in found.where("doc_id < 9999").collect():
+        w = WORD.findall(lower(texts[r["doc_id"]]))
+        brute = sorted((label, i, len(s & held) / len(s)) for i in range(0, len(w), step) for held in [set(w[i:i + 2 * step])]
+                       for label, s in [(a, set(b.split())) for a, b in licenses.TEMPLATES] if len(s & held) >= 0.9 * len(s) - 1e-9)
+        assert [tuple(x) for x in r["runs"]] == sorted(set(brute))
+
+
 def test_license_empty(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert licenses.digest(licenses.scan(df)).count() == 0
