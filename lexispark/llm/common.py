@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ensure_checkpoint_dir, scratch_path
 
+TEXT_ROWS = 1_000
 CHUNK_CHARS = 1 << 20  # code points that a vectorised step holds at a time
 
 
@@ -14,6 +15,16 @@ def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     return df.select(*cols) if cols else df
 
 
+def text_batches(df: DataFrame) -> DataFrame:
+    """``df``, whose texts are about to go to Python: a batch gets TEXT_ROWS
+    rows at most, since texts are long and both sides hold a batch whole.  The
+    session's setting is only ever lowered."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= TEXT_ROWS:
+        conf.set(key, str(TEXT_ROWS))
+    return df
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage: a reliable checkpoint in the shared folder, so a lost
     executor costs a read of its files and no recomputation."""

@@ -36,6 +36,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import text_batches
+
 BLOCK_CHARS = 4_000_000
 PIECE_CHARS = 1 << 20
 MAX_HITS = 8_000_000  # shared q-grams held at a time; pieces with more are halved
@@ -326,7 +328,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, max_error: float = 0.1, segment
                              pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("edits", pa.int64())])))],
                     names=["doc_id", "item_id", "segments", "edits", "spans"])
 
-        out = out.union(rows.mapInArrow(run, schema))
+        out = out.union(text_batches(rows).mapInArrow(run, schema))
     return out
 
 
@@ -348,5 +350,5 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, keep: tuple[str, ...], max
                 hit = {x[0] for x in search(texts, shared.value)} | {x[0] for x in exact_places(texts, shared.value.short)}
                 yield batch.filter(pa.array([i not in hit for i in range(batch.num_rows)], pa.bool_()))
 
-        out = out.mapInArrow(run, schema)
+        out = text_batches(out).mapInArrow(run, schema)
     return out.select(*keep)

@@ -31,6 +31,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import text_batches
+
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset((
     "address article aside blockquote body br caption center dd details dialog div dl dt fieldset figcaption figure "
@@ -315,4 +317,4 @@ def main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", html
                  pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
     kind = rows.schema["page_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"page_id {kind}, url string, text string, n_chars long")
+    return text_batches(rows).mapInArrow(run, f"page_id {kind}, url string, text string, n_chars long")

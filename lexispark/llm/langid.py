@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import row_chunks
+from .common import row_chunks, text_batches
 
 UND = "und"
 SPACE = 32
@@ -97,7 +97,7 @@ def learn(docs: DataFrame, per_lang: int = 2000, slots_log2: int = 20, hashes: i
                     code, n = np.unique(trigrams(group["t"].tolist()[a:b])[1], return_counts=True)
                     yield pd.DataFrame({"l": label, "g": code.view(np.int64), "n": n})
 
-    counts = sample.mapInPandas(count, "l string, g long, n long").groupBy("l", "g").agg(F.sum("n").alias("n"))
+    counts = text_batches(sample).mapInPandas(count, "l string, g long, n long").groupBy("l", "g").agg(F.sum("n").alias("n"))
     rate = F.col("n") / F.sum("n").over(Window.partitionBy("l"))
     typical = (counts.withColumn("r", rate).withColumn("top", F.max("r").over(Window.partitionBy("g")))
                .where((F.col("n") >= min_count) & (F.col("r") >= min_share * F.col("top"))))
@@ -162,4 +162,4 @@ def predict(docs: DataFrame, filt: LanguageFilter, keep: tuple[str, ...] = ("doc
                 [batch.column(c) for c in keep] + [pa.array(lang, pa.string()), pa.array(score, pa.float64())],
                 names=[*keep, "lang_pred", "score"])
 
-    return docs.mapInArrow(run, schema)
+    return text_batches(docs).mapInArrow(run, schema)

@@ -36,7 +36,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import row_chunks
+from .common import row_chunks, text_batches
 from .tokencounts import Codec, encode_text, read_ranks
 
 BACKOFF = 0.4
@@ -151,7 +151,7 @@ def unit_blocks(docs: DataFrame, ranks_path: str, pattern: str, text: str, doc_i
 
     block = F.pmod(F.xxhash64("doc_id", "t"), F.lit(blocks)).cast("int").alias("block")
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.select(block, "doc_id", "t").mapInArrow(run, f"block int, doc_id {kind}, u binary").repartition("block")
+    return text_batches(rows.select(block, "doc_id", "t")).mapInArrow(run, f"block int, doc_id {kind}, u binary").repartition("block")
 
 
 def lm_scores(docs: DataFrame, ranks_path: str, pattern: str, order: int = 2, min_count: int = 2,

@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .blocks import in_blocks
+from .common import text_batches
 
 SPACE = "▁"
 BLOCK_CHARS = 8_000_000  # a task holds a block's texts, its distinct units and their ids
@@ -295,7 +296,7 @@ def encode(docs: DataFrame, model: Model, text: str = "text", doc_id: str = "doc
     """(doc_id, ids) of every row.  With ``decoded``, the ids are decoded in
     the same task, and the text (``t``) and what they decode to (``decoded``)
     are returned beside them."""
-    blocks = in_blocks(docs, doc_id, text, block_chars)
+    blocks = text_batches(in_blocks(docs, doc_id, text, block_chars))
     # units are few bytes and much work, so they are dealt to more partitions than their size asks for
     parts = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 

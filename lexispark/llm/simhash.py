@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, text_batches
 from .components import components
 
 SEED = 42
@@ -73,7 +73,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, text: str = "text", doc_id:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
 
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("t"))
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, fp long")
+    return text_batches(rows).mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, fp long")
 
 
 def embed(fp):
@@ -149,7 +149,11 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2, text:
 def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
     """``docs`` with one document of each component: the row whose doc_id is
     the component's.  Equal rows count as one; of rows without an id, those in
-    a component that has one go, and equal ones of the others count as one."""
-    found = near_duplicates(docs, shingle, max_bits).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    keep = found.select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(keep, F.col("__id").eqNullSafe(F.col("doc_id")), "left_semi").dropDuplicates(["doc_id", "text"])
+    a component that has one go, and equal ones of the others count as one.
+    The texts move once, to meet the ids that stay; only rows of a repeated id
+    are compared whole."""
+    found = near_duplicates(docs, shingle, max_bits)
+    ids = cut(found.groupBy(F.col("doc_id").alias("__id")).agg(
+        F.max(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("__keep"), F.count(F.lit(1)).alias("__n")).where("__keep"))
+    of = lambda n: docs.join(ids.where(n).select("__id"), F.col("__id").eqNullSafe(F.col("doc_id")), "left_semi")
+    return of("__n = 1").unionByName(of("__n > 1").dropDuplicates(["doc_id", "text"]))

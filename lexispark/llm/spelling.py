@@ -35,7 +35,7 @@ from collections import Counter
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, written
+from .common import cut, text_batches, written
 from .positions import positions
 
 RUN = re.compile("[A-Za-zÀ-ÿ]+")
@@ -93,7 +93,7 @@ def word_counts(docs: DataFrame, min_chars: int = 6, min_count: int = 5, drop_ev
 
     rows = docs.where(F.col(text).isNotNull()).select(
         F.coalesce(F.col(doc_id).cast("string"), F.lit("")).alias("id"), F.col(text).alias("t"))
-    return (rows.mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return (text_batches(rows).mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
             .where(F.col("n") >= min_count))
 
 

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, written
+from .common import cut, text_batches, written
 
 RUN = 1024
 WIDTH = {1: np.uint8, 2: np.dtype("<u2"), 4: np.dtype("<u4")}
@@ -185,7 +185,7 @@ def token_files(docs: DataFrame, ranks_path: str, pattern: str, eod: int, width:
         if size:
             yield out("tokens", [block], [np.concatenate(held).tobytes()], [None])
 
-    made = written(rows.mapInArrow(run, "kind string, file string, block long, payload binary, ids array<long>"), "token_files")
+    made = written(text_batches(rows).mapInArrow(run, "kind string, file string, block long, payload binary, ids array<long>"), "token_files")
     blocks = made.where("kind = 'tokens'").select("file", "block", "payload")
     return blocks, made.where("kind = 'ids'").select("file", F.col("block").alias("first"), "ids")
 
