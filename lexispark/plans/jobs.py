@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..functions.arrays import explode_rows
 from ..operators import (
-    bayes, chunks, clean, evaluate, features, labels, mergecounts, metrics, models, phrases, profile, rank, sequences,
+    bayes, chunks, clean, evaluate, features, labels, logistic, mergecounts, metrics, models, phrases, profile, rank, sequences,
     split, summary, terms, textmodel, topk, training,
 )
 from ..session import ensure_checkpoint_dir, scratch_path
@@ -487,8 +487,16 @@ def _classified(feats, features, path=None):
 
 
 def lr_predictions(spark, sf_dir):
+    """M4: fitted on the labelled training rows, the coefficients in blocks of
+    terms; predictions for the test rows."""
     docs, x, n_terms = ml_matrix(spark, sf_dir)
-    return _classified(models.sparse_vectors(x, docs, n_terms), "features", scratch_path(spark, "lr_model"))
+    docs = logistic.number_documents(docs).checkpoint()
+    n, top = docs.agg(F.count(F.lit(1)), F.max("label")).first()
+    entries = x.join(docs.select("doc_id", "dn"), "doc_id").select("dn", "tid", "weight")
+    train = docs.select("dn", F.when(F.col("split") != "test", F.col("label")).alias("label"))
+    model = logistic.fit(entries, train, n, n_terms, top + 1)
+    pred = logistic.predictions(model, top + 1)
+    return docs.where(F.col("split") == "test").join(pred, "dn").select("doc_id", "label", "pred")
 
 
 @job("text_classify_lr")

@@ -53,6 +53,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def settled(df, name: str):
+    """``df`` written to the shared folder and read again, for loops.  A
+    checkpoint keeps the size that the plan before it was guessed to have, and
+    a join's or cogroup's guess is a product, so in a loop of checkpoints the
+    guess gets more digits every round until planning takes longer than the
+    work; a table that was read has the size of its files."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for a written table."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
