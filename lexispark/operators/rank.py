@@ -89,12 +89,22 @@ def hash_rank(df: DataFrame, key_col: str, out: str = "rn") -> DataFrame:
 
 def row_slice(df: DataFrame, key: str, start: int, end: int) -> DataFrame:
     """``.loc[start:end]`` by position in ``key`` order, both ends
-    included (0-based positions in ``pos``; null keys first), from the
-    two-phase rank."""
+    included (0-based positions in ``pos``; null keys first).  Of the
+    two-phase rank, only the buckets that the slice touches are ranked."""
     if end < start:
         return df.limit(0).withColumn("pos", F.lit(0).cast("long"))
-    ranked = global_rank(df, key, "pos").withColumn("pos", F.col("pos") - 1)
-    return ranked.where(F.col("pos").between(start, end))
+    bucketed = numeric_buckets(df, key)
+    touched, before, run = [], 0, 0
+    for r in sorted(bucketed.groupBy("_bucket").count().collect()):  # MAX_BUCKETS + 1 rows at most
+        if run <= end and run + r["count"] > start:
+            before = before if touched else run
+            touched.append(r["_bucket"])
+        run += r["count"]
+    if not touched:
+        return df.limit(0).withColumn("pos", F.lit(0).cast("long"))
+    own = bucketed.where(F.col("_bucket").between(touched[0], touched[-1]))
+    ranked = rank_in_buckets(own, [F.col(key)], out="pos").drop("_bucket")
+    return ranked.withColumn("pos", F.col("pos") - 1 + F.lit(before)).where(F.col("pos").between(start, end))
 
 
 def head(df: DataFrame, key: str, n: int) -> DataFrame:

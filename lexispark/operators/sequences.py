@@ -54,6 +54,45 @@ def token_ids(df: DataFrame, cols: list[str], vocab: DataFrame, id_cols: list[st
     return out.drop("_m", "_row")
 
 
+def subword_vocabulary(tokens: DataFrame, tokenizer_json: str, term_col: str = "token") -> DataFrame:
+    """(token, ids): the subword ids of each distinct word, by a public
+    tokenizer's file (its content).  A word is encoded once, however often the
+    corpus has it."""
+    spark = tokens.sparkSession
+    shared = spark.sparkContext.broadcast(tokenizer_json)  # a vocabulary file: of fixed size
+
+    def run(batches):
+        import pyarrow as pa
+        from tokenizers import Tokenizer
+        tokenizer = Tokenizer.from_str(shared.value)
+        for batch in batches:
+            found = tokenizer.encode_batch(batch.column("token").to_pylist(), add_special_tokens=False)
+            yield pa.RecordBatch.from_arrays([batch.column("token"), pa.array([e.ids for e in found], pa.list_(pa.int32()))],
+                                             names=["token", "ids"])
+
+    words = tokens.select(F.col(term_col).alias("token")).where(F.col("token").isNotNull()).distinct()
+    return words.mapInArrow(run, "token string, ids array<int>").checkpoint()
+
+
+def pack_subwords(df: DataFrame, vocab: DataFrame, start: int, end: int, tokens_col: str = "tokens", id_col: str = "doc_id",
+                  max_len: int = 150, keep: list[str] | None = None) -> DataFrame:
+    """N1 in subwords: (id, input_ids, attention_mask, n_tokens) with the
+    tokenizer's ``start`` and ``end`` ids, cut to ``max_len``.  A word has one
+    id at least, so only the first ``max_len - 2`` words of a row are looked
+    up; words that ``vocab`` (token, ids) doesn't have give no id."""
+    keep = keep or []
+    words = F.coalesce(F.slice(tokens_col, 1, max_len - 2), F.array().cast("array<string>"))
+    df = df.select(id_col, *keep, words.alias("_w")).withColumn("_row", F.struct(id_col, F.xxhash64("_w").alias("_h")))
+    own = explode_rows(df, F.array_distinct("_w"), "token", "_row")
+    maps = own.join(vocab, "token").groupBy("_row").agg(F.map_from_entries(F.collect_set(F.struct("token", "ids"))).alias("_m"))
+    none = F.array().cast("array<int>")
+    ids = F.flatten(F.transform("_w", lambda w: F.coalesce(F.try_element_at("_m", w), none)))
+    out = df.join(maps, "_row", "left").withColumn("input_ids", F.concat(
+        F.array(F.lit(start)), F.slice(ids, 1, max_len - 2), F.array(F.lit(end))))
+    return out.select(id_col, *keep, "input_ids", F.size("input_ids").cast("long").alias("n_tokens"),
+                      F.array_repeat(F.lit(1), F.size("input_ids")).alias("attention_mask"))
+
+
 def pack_sequences(df: DataFrame, vocab: DataFrame, tokens_col: str = "tokens", id_col: str = "doc_id",
                    max_len: int = 150, keep: list[str] | None = None) -> DataFrame:
     """(id, input_ids, attention_mask, n_tokens) with CLS/SEP markers,

@@ -4,6 +4,7 @@ test tables.  ``JOBS`` is the registry exported by ``__spark_entry__``."""
 from __future__ import annotations
 
 import functools
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -373,6 +374,22 @@ def pack_sequences(spark, sf_dir):
     return s.select("doc_id", _ids_text("input_ids").alias("input_ids"), "n_tokens")
 
 
+# fixed values: the public tokenizer's file and its start and end ids
+SUBWORDS = ("word_bpe_49k.json", 49406, 49407)
+TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
+
+
+@job("pack_subwords")
+def pack_subwords(spark, sf_dir):
+    """N1 in the subwords of a public tokenizer."""
+    docs = sequences.with_seq_tokens(documents(spark, sf_dir, ("doc_id", "text")), "text", "_t")
+    name, start, end = SUBWORDS
+    with open(os.path.join(TOKENIZERS, name), encoding="utf-8") as f:
+        vocab = sequences.subword_vocabulary(explode_rows(docs, F.col("_t"), "token"), f.read())
+    s = sequences.pack_subwords(docs, vocab, start, end, tokens_col="_t", max_len=MAX_LEN)
+    return s.select("doc_id", _ids_text("input_ids").alias("input_ids"), "n_tokens")
+
+
 @job("pack_pairs")
 def pack_pairs(spark, sf_dir):
     conv = read_table(spark, sf_dir, "conversations", ["conv_id", "turn", "role", "text"])

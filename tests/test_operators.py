@@ -338,3 +338,31 @@ def test_grouped_split_without_single_rows(spark):
     part = collections.Counter(r["split"] for r in split.exact_split_grouped(df).collect())
     assert 0 <= 70 - part["test"] < 7 and 0 <= math.ceil(0.15 * (700 - part["test"])) - part["valid"] < 7
     assert split.exact_split_grouped(df.limit(0)).count() == 0
+
+
+def test_subword_sequences_equal_the_library(spark):
+    from tokenizers import Tokenizer
+    path = f"{jobs.TOKENIZERS}/{jobs.SUBWORDS[0]}"
+    lib = Tokenizer.from_file(path)
+    texts = [(1, "Unbelievable tokenizations, of words!"), (1, "other text"), (None, "naïve café"), (None, "x" * 400), (2, None), (3, "")]
+    texts += [(r["doc_id"], r["text"]) for r in jobs.documents(spark, SF_SMALL, ("doc_id", "text")).limit(60).collect()]
+    df = sequences.with_seq_tokens(spark.createDataFrame(texts, "doc_id long, text string"), "text", "_t").checkpoint()
+    with open(path, encoding="utf-8") as f:
+        vocab = sequences.subword_vocabulary(df.select(F.explode("_t").alias("token")), f.read())
+    got = sequences.pack_subwords(df, vocab, 7, 8, tokens_col="_t", max_len=40).collect()
+    want = [(r["doc_id"], [7] + lib.encode(" ".join(r["_t"] or []), add_special_tokens=False).ids[:38] + [8]) for r in df.collect()]
+    key = lambda x: (x[0] is None, x[0] or 0, x[1])
+    assert sorted([(r["doc_id"], r["input_ids"]) for r in got], key=key) == sorted(want, key=key)
+    assert all(r["n_tokens"] == len(r["input_ids"]) == sum(r["attention_mask"]) <= 40 for r in got)
+
+
+@pytest.mark.parametrize("rows_per_bucket", [7, 1_000_000])
+def test_row_slice_ranks_its_buckets_only(spark, monkeypatch, rows_per_bucket):
+    monkeypatch.setattr(rank, "ROWS_PER_BUCKET", rows_per_bucket)
+    keys = [None, None, None] + [3 * k % 101 for k in range(101)]
+    df = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k long, i long")
+    order = sorted(keys, key=lambda k: (k is not None, k or 0))
+    for a, b in ((0, 0), (0, 4), (2, 3), (50, 70), (100, 103), (103, 500), (104, 110), (5, 4)):
+        got = rank.row_slice(df, "k", a, b).collect()
+        assert sorted((r["pos"], -1 if r["k"] is None else r["k"]) for r in got) == [
+            (p, -1 if k is None else k) for p, k in enumerate(order) if a <= p <= b]
