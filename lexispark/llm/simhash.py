@@ -64,16 +64,23 @@ def fingerprint(text: str | None, shingle: int) -> int:
     return int(np.packbits(2 * count > n, bitorder="little").view(np.uint64)[0])
 
 
+def text_key(text: str):
+    """128 bits that stand for a text (null is a text of its own)."""
+    return F.struct(*[F.xxhash64(F.lit(k), F.col(text)).alias(f"h{k}") for k in (1, 2)], F.col(text).isNull().alias("none"))
+
+
 def fingerprints(docs: DataFrame, shingle: int = 3, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed long, for every row."""
+    """(doc_id, fp, key): the fingerprint as a signed long, and the text's
+    key, for every row."""
     def run(batches):
         import pyarrow as pa
         for batch in batches:
             fp = np.fromiter((fingerprint(t.as_py(), shingle) for t in batch.column("t")), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fp.view(np.int64)), batch.column("key")],
+                                             names=["doc_id", "fp", "key"])
 
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("t"))
-    return text_batches(rows).mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, fp long")
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("t"), text_key(text).alias("key"))
+    return text_batches(rows).mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, fp long, key {rows.schema['key'].dataType.simpleString()}")
 
 
 def embed(fp):
@@ -135,6 +142,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2, text:
                     doc_id: str = "doc_id") -> DataFrame:
     """(doc_id, fingerprint, component_id): every row with its fingerprint
     and the smallest doc_id that links reach from it."""
+    return _linked(docs, shingle, max_bits, text, doc_id).select("doc_id", "fingerprint", "component_id")
+
+
+def _linked(docs: DataFrame, shingle: int, max_bits: int, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     rows = cut(fingerprints(docs, shingle, text, doc_id))
     distinct = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("low")))
     links = cut(link_fingerprints(distinct.select("fp"), distinct.count(), max_bits))
@@ -143,17 +154,18 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2, text:
     low = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
     by_fp = rooted.join(low, "root").select("fp", "component_id")
     return rows.join(by_fp, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "key")
 
 
 def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
-    """``docs`` with one document of each component: the row whose doc_id is
-    the component's.  Equal rows count as one; of rows without an id, those in
+    """``docs`` with one document of each component: the row in it whose doc_id
+    is the component's.  Equal rows count as one; of rows without an id, those in
     a component that has one go, and equal ones of the others count as one.
     The texts move once, to meet the ids that stay; only rows of a repeated id
     are compared whole."""
-    found = near_duplicates(docs, shingle, max_bits)
-    ids = cut(found.groupBy(F.col("doc_id").alias("__id")).agg(
+    found = _linked(docs, shingle, max_bits)
+    rows = cut(found.groupBy(F.struct("doc_id", "key").alias("__row")).agg(
         F.max(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("__keep"), F.count(F.lit(1)).alias("__n")).where("__keep"))
-    of = lambda n: docs.join(ids.where(n).select("__id"), F.col("__id").eqNullSafe(F.col("doc_id")), "left_semi")
+    row = F.struct(F.col("doc_id"), text_key("text").alias("key"))  # in a struct, null equals null
+    of = lambda n: docs.join(rows.where(n).select("__row"), row == F.col("__row"), "left_semi")
     return of("__n = 1").unionByName(of("__n > 1").dropDuplicates(["doc_id", "text"]))
