@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..functions.arrays import explode_rows
 from ..operators import (
-    bayes, chunks, clean, evaluate, features, labels, logistic, mergecounts, metrics, models, phrases, profile, rank, sequences,
+    bayes, chunks, clean, evaluate, features, labels, logistic, mergecounts, metrics, models, phrases, profile, rank,
+    sentencegraph, sequences,
     split, summary, terms, textmodel, topk, training,
 )
 from ..session import ensure_checkpoint_dir, scratch_path
@@ -480,6 +481,13 @@ def extractive_summary(spark, sf_dir):
     return summary.extractive_summary(documents(spark, sf_dir, ("doc_id", "text")))
 
 
+@job("ranked_summary")
+def ranked_summary(spark, sf_dir):
+    """The two sentences that rank highest in each document's graph."""
+    s = sentencegraph.ranked_summary(documents(spark, sf_dir, ("doc_id", "text")))
+    return s.select("doc_id", F.array_join(F.col("sentences").cast("array<string>"), " ").alias("sentences"), "summary")
+
+
 # ---- 11. MLlib classifiers, LSA and the vector head (rows-only checks) ------
 
 LSA_K = 500
