@@ -36,14 +36,15 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import row_chunks, text_batches
+from .common import give_back, row_chunks, text_batches
 from .tokencounts import Codec, encode_text, read_ranks
 
 BACKOFF = 0.4
 UNIT_BITS = 16
 BLOCK_CHARS = 24_000_000
 CHUNK_UNITS = 1 << 18       # units that are sorted at a time
-CHUNK_TEXTS = (1 << 15) - 1  # texts of a chunk: their number stands above an n-gram in one long
+TEXT_BITS = 15
+CHUNK_TEXTS = (1 << TEXT_BITS) - 1  # texts of a chunk: their number stands below an n-gram in one long
 
 
 def encoder(ranks_path: str, pattern: str):
@@ -120,10 +121,15 @@ def score_block(units: list[np.ndarray], g: np.ndarray, c: np.ndarray, total: in
             continue
         counts = []
         for keys in ngrams(doc, unit, order):
-            mark, back, here = np.unique((doc << 3 * UNIT_BITS) | keys, return_inverse=True, return_counts=True)
-            key = mark & ((1 << 3 * UNIT_BITS) - 1)
+            mark = (keys << TEXT_BITS) | doc  # in the order of the keys, so that they are looked up in order
+            place = np.argsort(mark)
+            mark = mark[place]
+            first = np.flatnonzero(np.r_[True, mark[1:] != mark[:-1]])
+            here, key = np.diff(np.r_[first, len(mark)]), mark[first] >> TEXT_BITS
             n = c[np.minimum(np.searchsorted(g, key), len(g) - 1)] - (here if leave_one_out else 0)
-            counts.append(np.where(key > 0, n, 0)[back].astype(float))
+            found = np.empty(len(mark))
+            found[place] = np.repeat(np.where(key > 0, n, 0), here)
+            counts.append(found)
         rest = total - (lengths[doc] if leave_one_out else 0)
         s = np.where(counts[0] > 0, counts[0], backoff) / np.maximum(rest, 1)
         for n in range(1, order):
@@ -171,6 +177,7 @@ def lm_scores(docs: DataFrame, ranks_path: str, pattern: str, order: int = 2, mi
         units = opened(table)
         g, n = count_ngrams(units, order)
         g, n = np.r_[0, g], np.r_[sum(map(len, units)), n]  # 0 stands for the units themselves
+        give_back()
         return pa.table({"block": pa.array(np.full(len(g), key[0].as_py(), np.int32)), "g": pa.array(g), "n": pa.array(n)})
 
     def score(key, left, right):
@@ -180,7 +187,10 @@ def lm_scores(docs: DataFrame, ranks_path: str, pattern: str, order: int = 2, mi
         other, known = right.column("g").to_numpy(), right.column("c").to_numpy()
         total = int(known[other == 0][0])
         c[np.searchsorted(g, other[other > 0])] = known[other > 0]
+        del other, known
         n, s = score_block(units, g, c, total, order, min_count, backoff, leave_one_out)
+        del g, c
+        give_back()
         return pa.table({"doc_id": left.column("doc_id"), "n_units": pa.array(n), "lm_score": pa.array(s)})
 
     held = blocks.groupBy("block").applyInArrow(explode, "block int, g long, n long")
