@@ -9,7 +9,9 @@ task more than its partial counts.
 
 Defined results: null text stays null (its row counts as a page without
 lines); a null host is one host of its own; blank lines are never boilerplate;
-repeated rows count as pages of their own; empty input gives empty output.  A
+repeated rows count as pages of their own; a line exactly at the ratio stays
+(a tie drops nothing); texts of any length are read whole; empty input gives
+empty output.  A
 text whose lines all go becomes empty; its row stays.  With ``by_text`` a page
 is a distinct whole text of the host, so that copies of one page, whatever
 their number, don't make its lines boilerplate.  The documents' columns

@@ -22,7 +22,8 @@ work linear in the cell.
 Equal fingerprints are put together first, so exact copies cost one row.
 
 Defined results: null or wordless text has fingerprint 0 and is linked like
-any other; fewer than ``shingle`` words make one shingle; a null doc_id has
+any other; a bit that exactly half of the hashes have isn't set; texts of any
+length are read whole; fewer than ``shingle`` words make one shingle; a null doc_id has
 its row but never is a component_id unless its component has no other id;
 repeated rows have one result each; empty input gives an empty result."""
 

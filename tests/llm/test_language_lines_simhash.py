@@ -182,3 +182,25 @@ def test_components_of_a_long_path(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, 101), (101, 102), (5, 5)]
     got = {r["node"]: r["root"] for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(61)}, 100: 100, 101: 100, 102: 100}
+
+
+# ---- ties and long texts ---------------------------------------------------------
+
+def test_a_line_at_the_ratio_stays_and_long_texts_are_read_whole(spark):
+    rows = [(i, f"own {i}\n" + "one\n" * (i == 0) + "two\n" * (i < 2) + "end", None, "h", 0) for i in range(20)]
+    long_text = "\n".join(f"line {k}" for k in range(60_000)) + "\ntwo"
+    rows[1] = (1, long_text, None, "h", 0)
+    got = {r["doc_id"]: r for r in linededup.drop_boilerplate(frame(spark, rows), 0.05, 1).collect()}
+    assert [r["text"] for _, r in sorted(got.items())] == lines_by_hand(rows, 0.05, 1)
+    assert "one" in got[0]["text"].split("\n") and "two" not in got[0]["text"].split("\n")
+    assert got[1]["n_lines"] == 60_001 and got[1]["n_dropped"] == 1
+
+
+def test_simhash_bits_at_half_are_zero_and_long_texts_count_whole(spark):
+    one, two = (xxhash.xxh64_intdigest(g, 42) for g in (b"a b c", b"b c d"))
+    assert simhash.fingerprint("a b c d", 3) == one & two  # a bit that one of two shingles has is a tie
+    rng = random.Random(1)
+    text = " ".join(rng.choice(["red", "blue", "green", "day", "night"]) + str(rng.randrange(50)) for _ in range(20_000))
+    df = frame(spark, [(1, text, None, None, 0), (2, text[:-1], None, None, 0), (3, "w " * 400_000, None, None, 0)])
+    got = {r["doc_id"]: r["fingerprint"] for r in simhash.near_duplicates(df).collect()}
+    assert got[1] == f"{simhash_by_hand(text):016x}" and got[3] == f"{simhash_by_hand('w w w'):016x}"
