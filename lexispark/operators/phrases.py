@@ -11,7 +11,8 @@ built.
 Phase cutting is narrow: delimiters are replaced by a marker and the joined
 token string is split on it.  The documents are hash-partitioned by id once;
 the per-(doc, word) window, the per-phrase sum and the per-document rank
-all reuse that partitioning, so the whole job has one shuffle."""
+all reuse that partitioning, so the whole job has one shuffle.  Its number of
+partitions is given: phrases take many times the memory of their texts."""
 
 from __future__ import annotations
 
@@ -38,7 +39,8 @@ def rake_phrases(df: DataFrame, text_col: str = "text", id_col: str = "doc_id",
     """(id, *keep, rank, phrase, n_words, score): every phrase of every
     document, best first (score desc, phrase desc)."""
     keep = keep or []
-    docs = df.select(id_col, *keep, text_col).repartition(id_col)
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    docs = df.select(id_col, *keep, text_col).repartition(parts, id_col)
     ph = posexplode_rows(docs, phrase_arrays(F.col(text_col), stopwords), "pidx", "phrase", id_col, *keep)
     ph = ph.withColumn("words", F.split("phrase", " ", -1)).withColumn("n_words", F.size("words").cast("long"))
     # the phrase itself goes with its first word only, so the exploded rows stay linear in the text
