@@ -1,13 +1,15 @@
 """Training a classification head by epochs.
 
 The head is a two-layer network (linear, GELU, linear) over vectors that are
-already there.  Rows are dealt once to mini-batches by a hash of their ids and
-written with a folder a batch, so a step reads its own batch and no more; the
-order of the batches changes with the epoch.  A step is a gradient summed
-inside the tasks, then over the tasks, ``FAN_IN`` at a time; only the sum, as
-large as the head and not as the data, reaches the driver, which keeps the
-optimiser (AdamW with decoupled weight decay and a rate that falls linearly to
-0).  After each epoch the parameters, the optimiser's moments and the history
+already there.  Rows are dealt once to mini-batches by a hash of their ids; the
+order of the batches changes with the epoch.  Each step needs the one before
+it.  So an epoch's rows are put in the order of its batches, in runs of
+RUN_ROWS rows, and a job takes the steps of one run in one task, from the
+parameters that the run before it has left; only these, as large as the head
+and not as the data, go through the driver.  Batches of over ROWS_PER_TASK rows
+have a folder each, and a step is a job: a gradient summed inside the tasks,
+then over the tasks, ``FAN_IN`` at a time.  The optimiser is AdamW with decoupled
+weight decay and a rate that falls linearly to 0.  After each epoch the parameters, the optimiser's moments and the history
 so far are committed as a version (``store``): a fit that is stopped goes on
 behind its last committed epoch and ends with the same rows.
 
@@ -24,6 +26,7 @@ refused."""
 from __future__ import annotations
 
 import math
+import uuid
 import zlib
 
 import numpy as np
@@ -33,9 +36,11 @@ from pyspark.sql import functions as F
 from .store import load_version, save_version, versions
 
 ROWS_PER_TASK = 16_384
+RUN_ROWS = 32_768
 FAN_IN = 32
 BETA1, BETA2, EPS = 0.9, 0.999, 1e-8  # fixed values: the optimiser's usual constants
 GRADIENT = "part int, n long, loss double, hits long, g binary"
+TAKEN = "p binary, m binary, v binary, step long, n array<long>, loss array<double>, hits array<long>"
 
 
 # ---- the head --------------------------------------------------------------------
@@ -111,8 +116,9 @@ def deal_batches(df: DataFrame, path: str, batch_rows: int, seed: int, vec_col:
     shares = max(1, math.ceil(batch_rows / ROWS_PER_TASK))
     dealt = rows.withColumn("batch", F.pmod("_h", batches).cast("int")).withColumn(
         "share", F.pmod(F.shiftright("_h", 32), F.lit(shares)).cast("int"))
+    folders = ["split"] if batch_rows <= ROWS_PER_TASK else ["split", "batch"]
     (dealt.select("split", "batch", "share", "v", "y").repartition("split", "batch", "share")
-     .sortWithinPartitions("split", "batch", "share").write.mode("overwrite").partitionBy("split", "batch").parquet(path))
+     .sortWithinPartitions("split", "batch", "share").write.mode("overwrite").partitionBy(*folders).parquet(path))
     return spark.read.schema("split string, batch int, share int, v array<double>, y int").parquet(path)
 
 
@@ -155,6 +161,57 @@ def _added(parts: DataFrame, tasks: int) -> list:
     return parts.collect()
 
 
+def _in_runs(rows: DataFrame, order: list[int], batch_rows: int, path: str) -> int:
+    """Writes the training ``rows`` under ``path`` in runs of the batches'
+    ``order``, a folder a run; the number of runs."""
+    spark = rows.sparkSession
+    long = max(1, RUN_ROWS // batch_rows)
+    placed = spark.createDataFrame([(b, i, i // long) for i, b in enumerate(order)], "batch int, at int, run int")
+    (rows.join(placed, "batch").select("run", "at", "v", "y").repartition("run").sortWithinPartitions("run", "at")
+     .write.mode("overwrite").partitionBy("run").parquet(path))
+    return -(-len(order) // long)
+
+
+def _taken(rows: DataFrame, p, m, v, step: int, steps: int, rate: float, decay: float, d: int, hidden: int, k: int):
+    """The steps of one run (at, v, y), in the order of ``at``: (p, m, v, step,
+    [(mean loss, hits, rows) of each])."""
+    def run(batches):
+        import pyarrow as pa
+
+        state, met, held = [p, m, v, step], [], []
+
+        def take():
+            x, y = (np.concatenate(c) for c in zip(*held))
+            loss, hits, g = head_gradient(state[0], x, y, hidden, k)
+            met.append((loss / len(y), hits, len(y)))
+            state[3] += 1
+            state[:3] = adamw(state[0], g / len(y), state[1], state[2], state[3],
+                              rate * max(0.0, 1 - (state[3] - 1) / steps), decay)
+
+        last = None
+        for batch in batches:
+            x = batch.column("v").flatten().to_numpy(zero_copy_only=False).reshape(-1, d)
+            y, at = batch.column("y").to_numpy(), batch.column("at").to_numpy()
+            first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]]) if len(at) else []
+            for a, b in zip(first, [*first[1:], len(at)]):
+                if held and at[a] != last:
+                    take()
+                    held = []
+                held.append((x[a:b], y[a:b]))
+                last = at[a]
+        if held:
+            take()
+        loss, hits, n = zip(*met) if met else ((), (), ())
+        yield pa.RecordBatch.from_arrays(
+            [*[pa.array([s.astype("<f8").tobytes()], pa.binary()) for s in state[:3]], pa.array([state[3]], pa.int64()),
+             pa.array([list(n)], pa.list_(pa.int64())), pa.array([list(loss)], pa.list_(pa.float64())),
+             pa.array([list(hits)], pa.list_(pa.int64()))], names=["p", "m", "v", "step", "n", "loss", "hits"])
+
+    own = rows.where(F.size("v") == d).select("at", "v", "y").coalesce(1).sortWithinPartitions("at")
+    r = own.mapInArrow(run, TAKEN).first()
+    return (*[np.frombuffer(r[c], "<f8") for c in "pmv"], r["step"], list(zip(r["loss"], r["hits"], r["n"])))
+
+
 # ---- fit and predict ---------------------------------------------------------------
 
 def fit_head(df: DataFrame, path: str, epochs: int, batch_rows: int = 128, rate: float = 1e-3, decay: float = 0.01,
@@ -191,8 +248,15 @@ def fit_head(df: DataFrame, path: str, epochs: int, batch_rows: int = 128, rate:
     steps = epochs * len(train)
     for epoch in range(len(done), epochs if stop_after is None else min(epochs, stop_after)):
         met = []
-        for b in np.random.RandomState(zlib.crc32(f"{seed}-{epoch}".encode())).permutation(train):
-            own = batches.where((F.col("split") == "train") & (F.col("batch") == int(b)))
+        order = [int(b) for b in np.random.RandomState(zlib.crc32(f"{seed}-{epoch}".encode())).permutation(train)]
+        if batch_rows <= ROWS_PER_TASK:
+            folder = f"{path}/order/{epoch}-{uuid.uuid4().hex}"
+            for i in range(_in_runs(batches.where("split = 'train'"), order, batch_rows, folder)):
+                own = spark.read.schema("at int, v array<double>, y int").parquet(f"{folder}/run={i}")
+                p, m, v, step, own_met = _taken(own, p, m, v, step, steps, rate, decay, d, hidden, k)
+                met += own_met
+        for b in order if batch_rows > ROWS_PER_TASK else ():
+            own = batches.where((F.col("split") == "train") & (F.col("batch") == b))
             found = [r for r in _added(_sums(own, p, d, hidden, k, True), tasks) if r["n"]]
             if not found:
                 continue

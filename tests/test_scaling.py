@@ -39,3 +39,30 @@ def test_texts_are_tokenised_once(spark):
     assert "regexp" not in out._jdf.queryExecution().optimizedPlan().toString()
     got = sorted((r["doc_id"] or 0, r["terms"]) for r in out.collect() if r["terms"] is not None)
     assert len(got) == 4 and got[0] == (0, "cat") and got[1] == got[2] and got[3] == (3, "")
+
+
+def test_epochs_take_a_job_a_run_of_batches(spark, tmp_path):
+    rng = np.random.RandomState(3)
+    rows = [(i, rng.normal(size=4).tolist(), i % 2, "valid" if i % 10 == 0 else "train") for i in range(200)]
+    e = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int, split string").checkpoint()
+    group = f"head-{tmp_path.name}"
+    spark.sparkContext.setJobGroup(group, "head")
+    history = training.fit_head(e, str(tmp_path / "head"), epochs=2, batch_rows=4).collect()
+    taken = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    batches = spark.read.parquet(str(tmp_path / "head/batches")).where("split = 'train'").select("batch").distinct().count()
+    assert len(history) == 4 and batches > 30
+    assert taken < batches  # two epochs took over 2 * batches jobs
+
+
+def test_runs_of_batches_give_the_steps_of_single_batches(spark, tmp_path, monkeypatch):
+    rng = np.random.RandomState(4)
+    rows = [(i, rng.normal(size=4).tolist(), i % 3, "valid" if i % 5 == 0 else "train") for i in range(90)]
+    e = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int, split string").checkpoint()
+    got = {}
+    for name, run_rows, rows_per_task in (("one", 32_768, 16_384), ("short", 16, 16_384), ("jobs", 32_768, 7)):
+        monkeypatch.setattr(training, "RUN_ROWS", run_rows)
+        monkeypatch.setattr(training, "ROWS_PER_TASK", rows_per_task)
+        h = training.fit_head(e, str(tmp_path / name), epochs=2, batch_rows=8).orderBy("epoch", "split").collect()
+        got[name] = [x for r in h for x in (r["loss"], r["accuracy"])]
+    assert got["one"] == pytest.approx(got["jobs"], abs=1e-9) and got["short"] == pytest.approx(got["jobs"], abs=1e-9)
