@@ -66,3 +66,15 @@ def test_runs_of_batches_give_the_steps_of_single_batches(spark, tmp_path, monke
         h = training.fit_head(e, str(tmp_path / name), epochs=2, batch_rows=8).orderBy("epoch", "split").collect()
         got[name] = [x for r in h for x in (r["loss"], r["accuracy"])]
     assert got["one"] == pytest.approx(got["jobs"], abs=1e-9) and got["short"] == pytest.approx(got["jobs"], abs=1e-9)
+
+
+def test_chunk_runs_end_after_a_bounded_number_of_jobs(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(chunks, "AT_ONCE", 2)
+    monkeypatch.setattr(chunks, "JOBS", 3)
+    docs = spark.createDataFrame([(i, f"t{i}") for i in range(30)], "doc_id long, text string")
+    path = str(tmp_path / "run")
+    chunks.run_chunks(docs, "doc_id", lambda d: d, path, 2, at_once=2, stop_after=1)
+    out = chunks.run_chunks(docs, "doc_id", lambda d: d, path, 2)
+    assert sorted(r["doc_id"] for r in out.collect()) == list(range(30))
+    assert len(chunks.commits(spark, f"{path}/done")) == 4  # the stopped one and three
+    assert chunks.done_chunks(spark, path) == list(range(15))
