@@ -9,7 +9,9 @@ a document costs a step as much as it has postings, and sentences meet through
 shared terms only.
 
 Documents are dealt to blocks by a hash; a task iterates the documents of its
-block together until every rank changes by less than ``tol``.
+block together until every rank changes by less than ``tol``.  Postings are
+written compressed and carry a number in the place of the document's key, so
+what moves is a few numbers a posting.
 
 Defined results: documents without a word have no sentence here (and an empty
 summary); a sentence that shares no term with another one has the restart's
@@ -22,10 +24,10 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types
 
 from ..functions import text as T
 from ..functions.arrays import explode_rows
+from ..session import settled
 from .summary import SENTENCE, sentences
 
 DAMPING = 0.85
@@ -58,35 +60,36 @@ def sentence_ranks(df: DataFrame, text_col: str = "text", id_col: str = "doc_id"
     """(_doc, sidx, rank, n_tokens) of each sentence with a word; ``_doc`` is
     a struct of id and text hash."""
     spark = df.sparkSession
-    docs = df.where(F.col(text_col).isNotNull()).select(document_key(id_col, text_col).alias("_doc"), text_col).dropDuplicates(["_doc"])
-    sents = T.apply_steps(sentences(docs, text_col, "_doc"), "sentence", "toks", [F.lower] + T.WORD_TOKEN_STEPS)
-    counts = explode_rows(sents, F.col("toks"), "term", "_doc", "sidx").groupBy("_doc", "sidx", "term").agg(
-        F.count(F.lit(1)).alias("n")).checkpoint()
-    seen = counts.select("_doc", "term").distinct()
-    n_docs = docs.count()
-    idf = seen.groupBy("term").agg((F.log(F.lit(1.0 + n_docs) / (F.count(F.lit(1)) + 1.0)) + 1.0).alias("idf"))
+    keyed = df.where(F.col(text_col).isNotNull()).select(document_key(id_col, text_col).alias("_doc"), text_col)
+    n_docs = keyed.select("_doc").distinct().count()
+    # the texts move once: counts and the first sentence of a term are found where the document is
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    docs = keyed.repartition(parts, "_doc").dropDuplicates(["_doc"]).withColumn("dn", F.monotonically_increasing_id())
+    sents = T.apply_steps(sentences(docs, text_col, "_doc", "dn"), "sentence", "toks", [F.lower] + T.WORD_TOKEN_STEPS)
+    counts = explode_rows(sents, F.col("toks"), "term", "_doc", "dn", "sidx").groupBy("_doc", "dn", "sidx", "term").agg(
+        F.count(F.lit(1)).alias("n"))
+    earliest = F.min("sidx").over(Window.partitionBy("_doc", "dn", "term"))
+    counts = settled(counts.withColumn("new", F.col("sidx") == earliest), "postings")  # fixes the numbers
+    idf = counts.where("new").groupBy("term").agg((F.log(F.lit(1.0 + n_docs) / (F.count(F.lit(1)) + 1.0)) + 1.0).alias("idf"))
     blocks = max(1, -(-counts.count() // POSTINGS))
     rows = counts.join(idf, "term").select(
-        F.pmod(F.xxhash64("_doc"), F.lit(blocks)).cast("int").alias("block"), "_doc", "sidx", "n",
-        F.xxhash64("_doc", "term").alias("t"), (F.col("n") * F.col("idf")).alias("w"))
+        F.pmod(F.xxhash64("dn"), F.lit(blocks)).cast("int").alias("block"), "dn", "sidx", F.col("n").cast("int").alias("n"),
+        F.xxhash64("dn", "term").alias("t"), (F.col("n") * F.col("idf")).alias("w"))
 
     def rank(key, table):
         import pyarrow as pa
-        keys = table.column("_doc").combine_chunks()
-        name = np.array([f"{x['id']}\0{x['h1']}\0{x['h2']}" for x in keys.to_pylist()])
-        _, first, d = np.unique(name, return_index=True, return_inverse=True)
+        dn, d = np.unique(table.column("dn").to_numpy(), return_inverse=True)
         sidx = table.column("sidx").to_numpy().astype(np.int64)
         pair, s = np.unique((d.astype(np.int64) << 32) | sidx, return_inverse=True)
         _, t = np.unique(table.column("t").to_numpy(), return_inverse=True)
         w, n = table.column("w").to_numpy(), table.column("n").to_numpy()
         norm = np.sqrt(np.bincount(s, w * w))
         r = walk(s, t, w / norm[s], pair >> 32, damping, tol)
-        return pa.table({"_doc": keys.take(pa.array(first[pair >> 32])), "sidx": pa.array((pair & 0xFFFFFFFF).astype(np.int32)),
+        return pa.table({"dn": pa.array(dn[pair >> 32]), "sidx": pa.array((pair & 0xFFFFFFFF).astype(np.int32)),
                          "rank": pa.array(r), "n_tokens": pa.array(np.bincount(s, n).astype(np.int64))})
 
-    schema = types.StructType([rows.schema["_doc"], types.StructField("sidx", types.IntegerType()),
-                               types.StructField("rank", types.DoubleType()), types.StructField("n_tokens", types.LongType())])
-    return rows.groupBy("block").applyInArrow(rank, schema)
+    ranks = rows.groupBy("block").applyInArrow(rank, "dn long, sidx int, rank double, n_tokens long")
+    return ranks.join(counts.select("dn", "_doc").distinct(), "dn").drop("dn")
 
 
 def document_key(id_col: str, text_col: str):

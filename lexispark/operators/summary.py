@@ -16,9 +16,9 @@ from ..functions.arrays import explode_rows, posexplode_rows
 SENTENCE = r"[^.!?\n]+[.!?]*"
 
 
-def sentences(df: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """(id, sidx, sentence) with blank pieces dropped (sidx keeps text order)."""
-    s = posexplode_rows(df, F.regexp_extract_all(F.col(text_col), F.lit(SENTENCE), 0), "sidx", "sentence", id_col)
+def sentences(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", *keep: str) -> DataFrame:
+    """(id, *keep, sidx, sentence) with blank pieces dropped (sidx keeps text order)."""
+    s = posexplode_rows(df, F.regexp_extract_all(F.col(text_col), F.lit(SENTENCE), 0), "sidx", "sentence", id_col, *keep)
     return s.withColumn("sentence", T.strip_ws("sentence")).where(F.col("sentence") != "")
 
 

@@ -78,3 +78,12 @@ def test_chunk_runs_end_after_a_bounded_number_of_jobs(spark, tmp_path, monkeypa
     assert sorted(r["doc_id"] for r in out.collect()) == list(range(30))
     assert len(chunks.commits(spark, f"{path}/done")) == 4  # the stopped one and three
     assert chunks.done_chunks(spark, path) == list(range(15))
+
+
+def test_postings_are_written_compressed_under_a_number(spark):
+    text = "Red fox runs far today. Red fox sleeps here now. Blue sky."
+    docs = spark.createDataFrame([(1, text), (None, text), (1, "Other words. Other things."), (1, text)], "doc_id long, text string")
+    ranks = sentencegraph.sentence_ranks(docs)
+    assert len({(r["_doc"], r["sidx"]) for r in ranks.collect()}) == ranks.count() == 8
+    found = glob.glob(f"{ensure_checkpoint_dir(spark).removeprefix('file:')}/lexispark/postings/*")
+    assert found and "dn" in spark.read.parquet(found[0]).columns
