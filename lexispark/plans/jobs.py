@@ -17,7 +17,7 @@ from ..operators import (
     sentencegraph, sequences,
     split, summary, terms, textmodel, topk, training,
 )
-from ..session import ensure_checkpoint_dir, scratch_path
+from ..session import ensure_checkpoint_dir, scratch_path, settled
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from ..sources.tables import ingest_csv, read_table, read_written, record_counts, spread, write_table
 from .fixtures import augmented_documents, broken_csv, lemma_documents
@@ -363,10 +363,12 @@ def _ids_text(c):
 
 def document_sequences(spark, sf_dir, with_split=False):
     docs = split_documents(spark, sf_dir) if with_split else documents(spark, sf_dir, ("doc_id", "text"))
-    docs = sequences.with_seq_tokens(docs, "text", "_t")
+    keep = ["split"] if with_split else []
+    # tokenised once, for the vocabulary and for the sequences
+    docs = settled(sequences.with_seq_tokens(docs, "text", "_t").select("doc_id", *keep, "_t"), "tokens")
     vocab = sequences.vocabulary(explode_rows(docs, F.col("_t"), "token"))
     return sequences.pack_sequences(docs, vocab, tokens_col="_t", max_len=MAX_LEN,
-                                    keep=["split"] if with_split else None)
+                                    keep=keep)
 
 
 @job("pack_sequences")
@@ -384,6 +386,7 @@ TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
 def pack_subwords(spark, sf_dir):
     """N1 in the subwords of a public tokenizer."""
     docs = sequences.with_seq_tokens(documents(spark, sf_dir, ("doc_id", "text")), "text", "_t")
+    docs = settled(docs.select("doc_id", "_t"), "tokens")
     name, start, end = SUBWORDS
     with open(os.path.join(TOKENIZERS, name), encoding="utf-8") as f:
         vocab = sequences.subword_vocabulary(explode_rows(docs, F.col("_t"), "token"), f.read())

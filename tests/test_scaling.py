@@ -41,6 +41,13 @@ def test_texts_are_tokenised_once(spark):
     assert len(got) == 4 and got[0] == (0, "cat") and got[1] == got[2] and got[3] == (3, "")
 
 
+def test_sequences_are_tokenised_once(spark, tmp_path):
+    spark.createDataFrame([(1, "Some words, some"), (2, None)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    plan = jobs.document_sequences(spark, str(tmp_path))
+    assert "lower(" not in plan._jdf.queryExecution().optimizedPlan().toString()
+    assert {r["doc_id"]: r["n_tokens"] for r in plan.collect()} == {1: 5, 2: 2}
+
+
 def test_epochs_take_a_job_a_run_of_batches(spark, tmp_path):
     rng = np.random.RandomState(3)
     rows = [(i, rng.normal(size=4).tolist(), i % 2, "valid" if i % 10 == 0 else "train") for i in range(200)]
