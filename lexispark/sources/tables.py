@@ -14,7 +14,8 @@ from pyspark.sql import types as T
 from ..session import scratch_path
 
 NULL_MARK = "\\N"
-PARTITION_BYTES = 8 << 20  # of the read files that a shuffle partition stands for
+PARTITION_BYTES = 2 << 20  # of the read files that a shuffle partition stands for
+JOINED_BYTES = 8 << 20  # of a shuffle, compressed, that AQE may put into one task
 PASSAGE_SCHEMA = T.StructType([
     T.StructField("discourse_text", T.StringType(), True),
     T.StructField("discourse_type", T.StringType(), True),
@@ -119,18 +120,29 @@ def read_written(spark: SparkSession, path: str, fmt: str = "parquet", schema: T
     return spark.read.format(fmt).load(path)
 
 
+def _bytes(size: str) -> int:
+    """A size as Spark's settings write it: 8m, 64MB, 1048576b."""
+    text = size.strip().lower().removesuffix("b")
+    unit = "kmgtp".find(text[-1]) + 1
+    return int(text[:-1] if unit else text) << 10 * unit
+
+
 def sized_partitions(df: DataFrame) -> int:
     """Shuffle partitions for a job over the files of the scan ``df``: the
     session's number, which is raised to one for every PARTITION_BYTES.
 
     With a fixed number a task's share, and what it sorts or counts in memory,
     would grow with the input; where that makes too many, AQE puts them
-    together again."""
+    together again, up to JOINED_BYTES.  By AQE's own limit (64 MB) a task
+    sorts several GB of rows once the input is large enough to reach it."""
     spark = df.sparkSession
     held = 0
     if df.inputFiles():
         files = df.select("_metadata.file_path", "_metadata.file_size").distinct()
         held = files.agg(F.sum("file_size")).first()[0] or 0
+    advised = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    if _bytes(spark.conf.get(advised)) > JOINED_BYTES:
+        spark.conf.set(advised, JOINED_BYTES)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     if math.ceil(held / PARTITION_BYTES) > n:
         n = math.ceil(held / PARTITION_BYTES)

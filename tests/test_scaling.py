@@ -32,6 +32,38 @@ def test_shuffle_partitions_follow_the_files(spark, tmp_path, partitions, monkey
     assert tables.sized_partitions(spark.createDataFrame(rows, "doc_id long, text string")) == n
 
 
+def test_tasks_of_joined_partitions_are_bounded(spark, tmp_path, partitions, monkeypatch):
+    """AQE puts no more into a task than JOINED_BYTES, however many rows come
+    (its own limit is 64 MB, which a small input never reaches)."""
+    for size, want in (("8m", 8 << 20), ("64MB", 64 << 20), ("1048576b", 1 << 20), ("123", 123)):
+        assert tables._bytes(size) == want
+    name, least = "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+    old, old_least = spark.conf.get(name), spark.conf.get(least)
+    spark.createDataFrame([(i, f"t{i}") for i in range(5000)], "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    docs = tables.read_table(spark, str(tmp_path), "documents", ["doc_id", "text"])
+    try:
+        monkeypatch.setattr(tables, "JOINED_BYTES", 10_000)
+        spark.conf.set(name, "64MB")
+        spark.conf.set(least, "1b")
+        tables.sized_partitions(docs)
+        assert tables._bytes(spark.conf.get(name)) == 10_000
+        assert docs.groupBy("text").count().rdd.getNumPartitions() > 4
+        spark.conf.set(name, "1k")
+        tables.sized_partitions(docs)
+        assert spark.conf.get(name) == "1k"  # never raised
+    finally:
+        spark.conf.set(name, old)
+        spark.conf.set(least, old_least)
+
+
+def test_phrase_partitions_follow_the_files(spark, tmp_path, partitions, monkeypatch):
+    monkeypatch.setattr(tables, "PARTITION_BYTES", 100)
+    rows = [(i, f"red fox{i} the blue sky", "en") for i in range(200)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    out = jobs.doc_phrases(spark, str(tmp_path))
+    assert out.rdd.getNumPartitions() > partitions and out.count() == 400
+
+
 def test_texts_are_tokenised_once(spark):
     docs = spark.createDataFrame([(1, "cats and dogs"), (None, "cat"), (2, None), (1, "cats and dogs"), (3, "")],
                                  "doc_id long, text string")
