@@ -23,6 +23,7 @@ MULTI = "".join(TRANSLIT_MULTI)  # characters that become several
 MULTI_PIECES = f"[{MULTI}]|[^{MULTI}]+"
 PUNCT = r"[^" + WORD + WS + r"]"
 WS_RUN = r"[" + WS + r"]+"
+OTHER_WS = r"[" + WS.replace(" ", "") + r"]"  # white space that is no blank
 EDGE_WS = r"\A[" + WS + r"]+|[" + WS + r"]+\z"
 RAKE_TOKEN = r"[" + WORD + r"]+|[^" + WORD + WS + r"]+"
 HAS_WORD_CHAR = r"[" + WORD + r"]"
@@ -135,10 +136,16 @@ def remove_punctuation(c) -> Column:
     return F.regexp_replace(col(c), PUNCT, "")
 
 
+def blanks(c) -> Column:
+    """Every whitespace character as a blank."""
+    return F.regexp_replace(col(c), OTHER_WS, " ")
+
+
 def split_ws(c) -> Column:
-    """Python ``str.split()``: split on whitespace runs, no empty pieces
-    (after stripping, only an empty text gives an empty piece)."""
-    return F.array_remove(F.split(strip_ws(col(c)), WS_RUN, -1), "")
+    """Python ``str.split()``: split on whitespace runs, no empty pieces.
+    Cutting at a blank needs no regular expression, which ``split`` would
+    compile anew for every row."""
+    return F.array_remove(F.split(blanks(c), " ", -1), "")
 
 
 # A whole word, in whitespace-separated text
@@ -146,7 +153,7 @@ _W0, _W1 = r"(?<![^" + WS + r"])", r"(?![^" + WS + r"])"
 MERGED = _W0 + "(?:" + "|".join(f"({a})({b})" for a, b in SPLIT_FORMS.values()) + ")" + _W1
 MERGED_REPL = "".join(f"${2 * i + 1}" for i in range(len(SPLIT_FORMS))) + " " + \
     "".join(f"${2 * i + 2}" for i in range(len(SPLIT_FORMS)))
-STEM_TEXT = r"(?<!s)s(?=[" + WS + r"]|\z)"
+STEM_TEXT = r"s(?<!ss)(?=[" + WS + r"]|\z)"  # looks back at an s only, not at every character
 
 
 def split_merged_text(c) -> Column:

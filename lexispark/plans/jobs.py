@@ -247,10 +247,10 @@ def model_table(spark, sf_dir, target="lang"):
     return terms.normalize_terms(sp, keep=["label", "split"]).checkpoint()
 
 
-def tfidf_model(spark, sf_dir, target="lang"):
+def tfidf_model(spark, sf_dir, target="lang", settle: bool = True):
     mt = model_table(spark, sf_dir, target)
     w, idf, n_train = features.tfidf_fit_transform(mt, F.col("split") != "test", keep=["label", "split"])
-    return mt, w.checkpoint(), idf
+    return mt, w.checkpoint() if settle else w, idf
 
 
 @job("doc_term_counts")
@@ -280,8 +280,9 @@ def phrase_tfidf_weights(spark, sf_dir):
     return w.select("doc_id", "term", "tf", F.round("weight", 6).alias("weight"))
 
 
-def nb_model(spark, sf_dir, target="lang"):
-    mt, w, idf = tfidf_model(spark, sf_dir, target)
+def nb_model(spark, sf_dir, target="lang", settle: bool = True):
+    """Without ``settle`` the weights are not written down: for a job that reads them once."""
+    mt, w, idf = tfidf_model(spark, sf_dir, target, settle)
     train_labels = mt.where(F.col("split") != "test").select("doc_id", "label")
     train_w = w.where(F.col("split") != "test").select("doc_id", "label", "term", "weight")
     ct, classes = bayes.fit(train_w, train_labels, idf.count())
@@ -290,7 +291,7 @@ def nb_model(spark, sf_dir, target="lang"):
 
 @job("nb_fit")
 def nb_fit(spark, sf_dir):
-    _, _, ct, _ = nb_model(spark, sf_dir)
+    _, _, ct, _ = nb_model(spark, sf_dir, settle=False)
     return ct.select("label", "term", F.round("cnt", 6).alias("cnt"), F.round("log_theta", 6).alias("log_theta"))
 
 

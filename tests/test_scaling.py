@@ -6,7 +6,8 @@ import glob
 import numpy as np
 import pytest
 
-from lexispark.operators import chunks, sentencegraph, terms, training
+from lexispark.functions import text as T
+from lexispark.operators import chunks, features, sentencegraph, terms, training
 from lexispark.plans import jobs
 from lexispark.session import ensure_checkpoint_dir
 from lexispark.sources import tables
@@ -126,3 +127,33 @@ def test_postings_are_written_compressed_under_a_number(spark):
     assert len({(r["_doc"], r["sidx"]) for r in ranks.collect()}) == ranks.count() == 8
     found = glob.glob(f"{ensure_checkpoint_dir(spark).removeprefix('file:')}/lexispark/postings/*")
     assert found and "dn" in spark.read.parquet(found[0]).columns
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_small_lemma_table_leaves_the_tokens_where_they_are(spark):
+    docs = spark.createDataFrame([(1, "cats and a cat"), (1, "cats"), (None, "cats"), (2, None), (3, "the of"), (4, "")], "doc_id long, text string")
+    out = terms.normalize_terms(docs)
+    assert "BroadcastHashJoin [term" in plan_of(out)  # a sort-merge join moved every document's tokens
+    assert sorted((str(r["doc_id"]), str(r["terms"])) for r in out.collect()) == [
+        ("1", "cat"), ("1", "cat cat"), ("2", "None"), ("3", ""), ("4", ""), ("None", "cat")]
+
+
+def test_weights_hash_the_vocabulary(spark):
+    """The counts, many times as many rows as there are terms, are not sorted by term."""
+    docs = spark.createDataFrame([(1, "aa bb\tbb  c"), (1, "aa"), (2, "aa cc"), (None, "bb"), (3, None)], "doc_id long, terms string")
+    tf = features.term_counts(features.doc_terms(docs))
+    assert {(r["doc_id"], r["term"]): r["tf"] for r in tf.collect()} == {
+        (1, "aa"): 2, (1, "bb"): 2, (2, "aa"): 1, (2, "cc"): 1, (None, "bb"): 1}
+    w = features.tfidf(tf, features.fit_idf(tf, 5))
+    assert "ShuffledHashJoin [term" in plan_of(w) and w.count() == 5
+
+
+def test_white_space_is_cut_without_a_regular_expression_a_row(spark):
+    texts = ["", " \n", "a", " a  b\n\nc\x1d", "a  b", "　", " a\x85b "]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(99, None)], "i int, t string").select("i", T.split_ws("t").alias("o"))
+    assert "split(regexp_replace" in plan_of(df)
+    got = {r["i"]: r["o"] for r in df.collect()}
+    assert got == {**{i: t.split() for i, t in enumerate(texts)}, 99: None}
