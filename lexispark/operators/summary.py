@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..functions.arrays import explode_rows, posexplode_rows
+from ..functions.arrays import posexplode_rows
+from ..session import settled
 
 SENTENCE = r"[^.!?\n]+[.!?]*"
 
@@ -26,17 +27,26 @@ def extractive_summary(df: DataFrame, text_col: str = "text", id_col: str = "doc
                        min_tokens: int = 5, max_words: int = 30) -> DataFrame:
     """One row a document; one without a word token has an empty summary.
 
-    The text is tokenised once, to (document, sentence, term, n); document
-    frequencies and scores come from that table, and the winning sentence is
-    cut from its text by its number at the end."""
-    sents = T.apply_steps(sentences(df, text_col, id_col), "sentence", "toks", [F.lower] + T.WORD_TOKEN_STEPS)
-    counts = (explode_rows(sents, F.col("toks"), "term", id_col, "sidx")
-              .groupBy(id_col, "sidx", "term").agg(F.count(F.lit(1)).alias("n"))).checkpoint()
+    The text is tokenised once, to sentences whose tokens stand between blanks
+    (document, sentence, tokens), which are written; document frequencies and
+    scores come from that table, and the winning sentence is cut from its text
+    by its number at the end.  The tokens meet the IDF by a hash of a task's
+    terms, so they are neither counted nor sorted before."""
+    sents = T.apply_steps(sentences(df, text_col, id_col), "sentence", "toks",
+                          [F.lower, T.remove_punctuation, T.split_merged_text, T.blanks])  # split_ws without its list
+    toks = settled(sents.select(id_col, "sidx", "toks"), "sentence_tokens")
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def words(table, *cols):
+        return table.select(*cols, F.explode_outer(F.split("toks", " ")).alias("term")).where(F.col("term") != "")
+
     n_docs = df.select(id_col).distinct().count()
-    dfreq = counts.select(id_col, "term").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    # whole documents in a task: a document's distinct terms need no shuffle of their own
+    own = words(toks.repartition(parts, id_col), id_col).distinct()
+    dfreq = own.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     idf = dfreq.select("term", (F.log(F.lit(1.0 + n_docs) / (F.col("df") + 1.0)) + 1.0).alias("idf"))
-    scored = (counts.join(idf, "term").groupBy(id_col, "sidx")
-                    .agg((F.sum(F.col("n") * F.col("idf")) / F.sum("n")).alias("score"), F.sum("n").alias("n_tokens")))
+    scored = (words(toks, id_col, "sidx").join(idf.hint("shuffle_hash"), "term").groupBy(id_col, "sidx")
+              .agg(F.avg("idf").alias("score"), F.count(F.lit(1)).alias("n_tokens")))
     best = scored.groupBy(F.col(id_col).alias("_id")).agg(F.max(F.struct(
         (F.col("n_tokens") >= min_tokens).alias("enough"), F.round("score", 9).alias("rounded"), (-F.col("sidx")).alias("back"),
         "score", "n_tokens")).alias("b"))

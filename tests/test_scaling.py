@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from lexispark.functions import text as T
-from lexispark.operators import chunks, features, sentencegraph, terms, training
+from lexispark.operators import chunks, features, sentencegraph, summary, terms, training
 from lexispark.plans import jobs
 from lexispark.session import ensure_checkpoint_dir
 from lexispark.sources import tables
@@ -157,3 +157,13 @@ def test_white_space_is_cut_without_a_regular_expression_a_row(spark):
     assert "split(regexp_replace" in plan_of(df)
     got = {r["i"]: r["o"] for r in df.collect()}
     assert got == {**{i: t.split() for i, t in enumerate(texts)}, 99: None}
+
+
+def test_summaries_hash_the_vocabulary(spark):
+    texts = spark.createDataFrame([(1, "Red fox runs far away. Blue sky."), (1, "Red fox."), (None, "One two\x1dthree four five"), (2, None)],
+                                  "doc_id long, text string")
+    s = summary.extractive_summary(texts)
+    plan = plan_of(s)
+    assert "ShuffledHashJoin [term" in plan and "SortMergeJoin [term" not in plan
+    got = sorted((r["doc_id"] or 0, r["sentence_index"], r["n_tokens"]) for r in s.collect() if r["summary"])
+    assert got == [(0, 0, 5), (1, 0, 7), (1, 0, 7)]
