@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import settled
 from .metrics import argmax
 
 
@@ -26,7 +27,7 @@ def fit(train_w: DataFrame, labels: DataFrame, vocab_size: int, id_col: str = "d
     ``train_w`` is (id, label, term, weight); ``labels`` is (id, label) over
     every training document, also those without in-vocabulary terms (they
     still count in the prior).  Rows with a null label are left out."""
-    ct = (train_w.where(F.col("label").isNotNull()).groupBy("label", "term").agg(F.sum("weight").alias("cnt"))).checkpoint()
+    ct = settled(train_w.where(F.col("label").isNotNull()).groupBy("label", "term").agg(F.sum("weight").alias("cnt")), "class_terms")
     tot = ct.groupBy("label").agg(F.sum("cnt").alias("tot"))
     per = labels.where(F.col("label").isNotNull()).groupBy("label").agg(F.count(F.lit(1)).alias("n_c"))
     n = F.lit(float(labels.where(F.col("label").isNotNull()).count()))
