@@ -14,17 +14,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import settled
 from . import bayes, features, models, terms
 from .store import load_version, save_version
 
 
 def fit_nb(train: DataFrame, lemmas: DataFrame, path: str, label_col: str = "label", text_col: str = "text",
-           id_col: str = "doc_id") -> int:
+           id_col: str = "doc_id", tokens_col: str | None = None) -> int:
     """Fits TF-IDF and naive Bayes on ``train`` and commits the model under
-    ``path``; returns its version.  Rows without a label only count in the IDF."""
+    ``path``; returns its version.  Rows without a label only count in the IDF.
+    ``tokens_col``: texts that ``terms.normalized_texts`` has tokenised already."""
     spark = train.sparkSession
-    docs = terms.normalize_terms(train, text_col, id_col, keep=[label_col], lemmas=lemmas).withColumnRenamed(
-        label_col, "label").checkpoint()
+    docs = settled(terms.normalize_terms(train, text_col, id_col, keep=[label_col], lemmas=lemmas, tokens_col=tokens_col)
+                   .withColumnRenamed(label_col, "label"), "terms")
     w, idf, n = features.tfidf_fit_transform(docs, F.lit(True), id_col=id_col, keep=["label"])
     size = idf.count()
     counts, classes = bayes.fit(w.select(id_col, "label", "term", "weight"), docs.select(id_col, "label"), size, id_col)
@@ -35,9 +37,9 @@ def fit_nb(train: DataFrame, lemmas: DataFrame, path: str, label_col: str = "lab
 def fit_lsa(train: DataFrame, lemmas: DataFrame, path: str, k: int, text_col: str = "text", id_col: str = "doc_id") -> int:
     """Fits TF-IDF and LSA and commits the model; returns its version."""
     spark = train.sparkSession
-    docs = terms.normalize_terms(train, text_col, id_col, lemmas=lemmas).checkpoint()
+    docs = settled(terms.normalize_terms(train, text_col, id_col, lemmas=lemmas), "terms")
     w, idf, n = features.tfidf_fit_transform(docs, F.lit(True), id_col=id_col)
-    numbers = models.term_numbers(idf).checkpoint()
+    numbers = settled(models.term_numbers(idf), "numbers")
     s, v = models.lsa(w.join(numbers, "term").select(id_col, "tid", "weight"), k, id_col)
     return save_version(spark, path, {"lemmas": lemmas, "idf": idf, "numbers": numbers, "vectors": v},
                         {"kind": "lsa", "n_train": n, "singular_values": [float(x) for x in s]})
@@ -61,7 +63,7 @@ def score_nb(docs: DataFrame, path: str, version: int | None = None, text_col: s
              id_col: str = "doc_id") -> DataFrame:
     """(id, scores, pred) of every document by a stored model."""
     tables, _ = _load(docs.sparkSession, path, version, "nb")
-    w = weigh(docs, tables, text_col, id_col).checkpoint()
+    w = settled(weigh(docs, tables, text_col, id_col), "weights")
     return bayes.predict(w, docs.select(id_col), tables["class_terms"], tables["classes"], id_col)
 
 

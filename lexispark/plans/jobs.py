@@ -316,9 +316,11 @@ def nb_predictions(spark, sf_dir, target="lang"):
 def score_saved_nb(spark, sf_dir):
     """A naive Bayes model fitted on the training rows and
     stored; the test rows' texts scored with what was stored alone."""
-    docs = labels.label_encode(split_documents(spark, sf_dir), "lang").checkpoint()
-    path = scratch_path(spark, "nb_model")
-    textmodel.fit_nb(docs.where("split <> 'test'"), terms.corpus_lemmas(docs), path)
+    docs, path = labels.label_encode(split_documents(spark, sf_dir), "lang"), scratch_path(spark, "nb_model")
+    # tokenised once, for the lemmas and for the fit
+    tokens = terms.normalized_texts(docs, keep=["label", "split"])
+    lemmas = settled(terms.corpus_lemmas(tokens, tokens_col="tokens"), "lemmas")
+    textmodel.fit_nb(tokens.where("split <> 'test'"), lemmas, path, tokens_col="tokens")
     test = docs.where("split = 'test'")
     return test.select("doc_id", "label").join(textmodel.score_nb(test, path).select("doc_id", "pred"), "doc_id")
 

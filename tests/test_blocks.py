@@ -43,3 +43,9 @@ def test_weights_are_neither_shuffled_nor_written_by_entry(spark, name, monkeypa
     assert made and all("Exchange" not in w._jdf.queryExecution().executedPlan().toString() for w in made)
     assert out.count() and spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "true"
 
+
+def test_a_stored_model_is_fitted_on_texts_that_were_tokenised_once(spark, monkeypatch):
+    """The corpus for the lemmas and the fit, then the test texts: before, each use of the lemmas tokenised the corpus again."""
+    taken, steps = [], terms.T.normalized_steps
+    monkeypatch.setattr(terms.T, "normalized_steps", lambda *a: taken.append(1) or steps(*a))
+    assert jobs.JOBS["score_saved_nb"](spark, SF_SMALL).count() and len(taken) == 2
