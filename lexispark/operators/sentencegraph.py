@@ -10,8 +10,9 @@ shared terms only.
 
 Documents are dealt to blocks by a hash; a task iterates the documents of its
 block together until every rank changes by less than ``tol``.  Postings are
-written compressed and carry a number in the place of the document's key, so
-what moves is a few numbers a posting.
+written by blocks (``features.packed_counts``), as numbers beside the block's
+terms, and stay there: what moves to the vocabulary and back is a block's
+distinct terms.
 
 Defined results: documents without a word have no sentence here (and an empty
 summary); a sentence that shares no term with another one has the restart's
@@ -26,12 +27,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..functions.arrays import explode_rows
 from ..session import settled
+from . import features
 from .summary import SENTENCE, sentences
 
 DAMPING = 0.85
-POSTINGS = 2_000_000  # of a block, about
+POSTINGS = 2_000_000  # of a block, at most about
+CHARS = 6  # of a text that a posting stands for, about
 
 
 def walk(sentence: np.ndarray, term: np.ndarray, weight: np.ndarray, doc: np.ndarray, damping: float = DAMPING,
@@ -59,37 +61,40 @@ def sentence_ranks(df: DataFrame, text_col: str = "text", id_col: str = "doc_id"
                    tol: float = 1e-9) -> DataFrame:
     """(_doc, sidx, rank, n_tokens) of each sentence with a word; ``_doc`` is
     a struct of id and text hash."""
-    spark = df.sparkSession
     keyed = df.where(F.col(text_col).isNotNull()).select(document_key(id_col, text_col).alias("_doc"), text_col)
-    n_docs = keyed.select("_doc").distinct().count()
-    # the texts move once: counts and the first sentence of a term are found where the document is
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    docs = keyed.repartition(parts, "_doc").dropDuplicates(["_doc"]).withColumn("dn", F.monotonically_increasing_id())
-    sents = T.apply_steps(sentences(docs, text_col, "_doc", "dn"), "sentence", "toks", [F.lower] + T.WORD_TOKEN_STEPS)
-    counts = explode_rows(sents, F.col("toks"), "term", "_doc", "dn", "sidx").groupBy("_doc", "dn", "sidx", "term").agg(
-        F.count(F.lit(1)).alias("n"))
-    earliest = F.min("sidx").over(Window.partitionBy("_doc", "dn", "term"))
-    counts = settled(counts.withColumn("new", F.col("sidx") == earliest), "postings")  # fixes the numbers
-    idf = counts.where("new").groupBy("term").agg((F.log(F.lit(1.0 + n_docs) / (F.count(F.lit(1)) + 1.0)) + 1.0).alias("idf"))
-    blocks = max(1, -(-counts.count() // POSTINGS))
-    rows = counts.join(idf, "term").select(
-        F.pmod(F.xxhash64("dn"), F.lit(blocks)).cast("int").alias("block"), "dn", "sidx", F.col("n").cast("int").alias("n"),
-        F.xxhash64("dn", "term").alias("t"), (F.col("n") * F.col("idf")).alias("w"))
-
-    def rank(key, table):
+    n_docs, chars = keyed.agg(F.countDistinct("_doc"), F.sum(F.length(text_col))).first()
+    parts = max(features.block_count(df.sparkSession), -(-(chars or 0) // (CHARS * POSTINGS)))
+    # the texts move once: counts and a term's documents are found where the document is
+    docs = keyed.withColumn("b", features.block_of("_doc", parts).cast("int")).repartitionById(parts, "b").dropDuplicates(["b", "_doc"])
+    docs = docs.withColumn("dn", F.monotonically_increasing_id())
+    sents = T.apply_steps(sentences(docs, text_col, "_doc", "b", "dn"), "sentence", "text",
+                          [F.lower, T.remove_punctuation, T.split_merged_text, T.blanks])
+    rows = sents.select("b", "dn", "_doc.id", "_doc.h1", "_doc.h2", "sidx", F.lit(True).alias("all"), "text")
+    counts = features.packed_counts(rows, ["dn", "id", "h1", "h2", "sidx", "all"], 1, once=True)
+    counts = settled(counts.withColumn("dn", F.col("docs.dn")), "postings")  # fixes the numbers
+    blocks = features.known_terms(counts.drop("dn"), features.fit_block_idf(counts, n_docs), idf="double")
+
+    def rank(batches):
         import pyarrow as pa
-        dn, d = np.unique(table.column("dn").to_numpy(), return_inverse=True)
-        sidx = table.column("sidx").to_numpy().astype(np.int64)
-        pair, s = np.unique((d.astype(np.int64) << 32) | sidx, return_inverse=True)
-        _, t = np.unique(table.column("t").to_numpy(), return_inverse=True)
-        w, n = table.column("w").to_numpy(), table.column("n").to_numpy()
-        norm = np.sqrt(np.bincount(s, w * w))
-        r = walk(s, t, w / norm[s], pair >> 32, damping, tol)
-        return pa.table({"dn": pa.array(dn[pair >> 32]), "sidx": pa.array((pair & 0xFFFFFFFF).astype(np.int32)),
-                         "rank": pa.array(r), "n_tokens": pa.array(np.bincount(s, n).astype(np.int64))})
-
-    ranks = rows.groupBy("block").applyInArrow(rank, "dn long, sidx int, rank double, n_tokens long")
-    return ranks.join(counts.select("dn", "_doc").distinct(), "dn").drop("dn")
+        for t in batches:
+            for k in range(t.num_rows):
+                docs, ends, c, tf, idf = (t.column(x)[k].values for x in ("docs", "ends", "c", "tf", "idf"))
+                ends, c, tf, idf = (x.to_numpy() for x in (ends, c, tf, idf))
+                many = np.diff(np.r_[0, ends])
+                at = np.flatnonzero(many)  # sentences with a word
+                s = np.repeat(np.arange(len(at)), many[at])
+                _, doc = np.unique(docs.field("dn").to_numpy()[at], return_inverse=True)
+                _, term = np.unique(doc[s].astype(np.int64) * max(1, len(idf)) + c, return_inverse=True)
+                w = tf * idf[c]
+                norm = np.sqrt(np.bincount(s, w * w, len(at)))
+                r = walk(s, term, w / norm[s], doc, damping, tol)
+                own = [docs.field(x).take(pa.array(at)) for x in ("id", "h1", "h2", "sidx")]
+                yield pa.RecordBatch.from_arrays([*own, pa.array(r), pa.array(np.bincount(s, tf, len(at)).astype(np.int64))],
+                                                 names=["id", "h1", "h2", "sidx", "rank", "n_tokens"])
+
+    kind = df.schema[id_col].dataType.simpleString()
+    ranks = blocks.select("docs", "ends", "c", "tf", "idf").mapInArrow(rank, f"id {kind}, h1 long, h2 long, sidx int, rank double, n_tokens long")
+    return settled(ranks, "ranks").select(F.struct("id", "h1", "h2").alias("_doc"), "sidx", "rank", "n_tokens")
 
 
 def document_key(id_col: str, text_col: str):
